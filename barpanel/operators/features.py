@@ -20,8 +20,12 @@ from barpanel.plans.layout import PLAIN, SeriesLayout, broadcast_if_small, mater
 # ---------------------------------------------------------------------------
 # F1 / F2
 # ---------------------------------------------------------------------------
-def compute_features(panel: DataFrame, layout: SeriesLayout = PLAIN) -> DataFrame:
-    """All 18 features + target for every row (warm-up rows still present)."""
+def compute_features(panel: DataFrame, layout: SeriesLayout = PLAIN,
+                     extra=None, extra_cols=()) -> DataFrame:
+    """All 18 features + target for every row (warm-up rows still present).
+
+    ``extra(df, layout)`` may add more window columns (``extra_cols``) in the
+    same pass, sharing its exchange and sorts (e.g. momentum lags)."""
     lay = layout.with_halo(*Wn.feature_halo())
     key = lay.key
     df = lay.prepare(panel.select(key, *lay.order, *OHLCV))
@@ -31,18 +35,21 @@ def compute_features(panel: DataFrame, layout: SeriesLayout = PLAIN) -> DataFram
     df = Wn.volatility(df, lay)
     df = Wn.volume_norm(df, lay)
     df = Wn.target_next_up(df, lay)
+    if extra is not None:
+        df = extra(df, lay)
     df = lay.finish(df)
-    extra = ["_rn", "_blk"] if lay.blocked else []
-    return df.select(key, *lay.order, *FEATURE_COLS, "target", *extra)
+    helpers = ["_rn", "_blk"] if lay.blocked else []
+    return df.select(key, *lay.order, *FEATURE_COLS, "target", *extra_cols, *helpers)
 
 
 def complete(df: DataFrame) -> DataFrame:
     return df.dropna(how="any", subset=FEATURE_COLS + ["target"])
 
 
-def feature_frame(panel: DataFrame, layout: SeriesLayout = PLAIN) -> DataFrame:
+def feature_frame(panel: DataFrame, layout: SeriesLayout = PLAIN,
+                  extra=None, extra_cols=()) -> DataFrame:
     """features with every incomplete (warm-up) row dropped."""
-    return complete(compute_features(panel, layout))
+    return complete(compute_features(panel, layout, extra, extra_cols))
 
 
 def warmup_report(panel: DataFrame, layout: SeriesLayout = PLAIN) -> DataFrame:

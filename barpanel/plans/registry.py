@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-_FAMILIES = ("queries", "queries_io")
-_ORACLES = ("oracles", "oracles_io")
+_FAMILIES = ("queries", "queries_io", "queries_eval")
+_ORACLES = ("oracles", "oracles_io", "oracles_eval")
 
 
 def _load():
