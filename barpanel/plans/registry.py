@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-_FAMILIES = ("queries", "queries_io", "queries_eval")
+_FAMILIES = ("queries", "queries_io", "queries_eval", "queries_ml")
 _ORACLES = ("oracles", "oracles_io", "oracles_eval")
 
 
