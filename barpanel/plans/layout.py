@@ -184,5 +184,30 @@ class SeriesLayout:
 PLAIN = SeriesLayout()
 
 
+@dataclass(frozen=True)
+class AutoLayout:
+    """Decide per data set: plain windows while the largest series fits one
+    block, the blocked (skew-safe) layout beyond. The check is a grouped
+    count per key (map-side partial aggregation, one small exchange)."""
+    key: str = "ticker"
+    order: tuple = ("date",)
+    block_rows: int = 1 << 20
+
+    def resolve(self, df: DataFrame) -> SeriesLayout:
+        biggest = df.groupBy(self.key).count().agg(F.max("count")).first()[0] or 0
+        if biggest <= self.block_rows:
+            return SeriesLayout(key=self.key, order=self.order)
+        return SeriesLayout(key=self.key, order=self.order, block_rows=self.block_rows)
+
+
+def resolve(layout, df: DataFrame, order=None) -> SeriesLayout:
+    """A concrete layout for ``df`` (``order`` overrides the time axis)."""
+    if order is not None:
+        layout = replace(layout, order=tuple(order))
+    if isinstance(layout, AutoLayout):
+        return layout.resolve(df)
+    return layout
+
+
 def blocked(block_rows: int = 1 << 20, key: str = "ticker", order=("date",)) -> SeriesLayout:
     return SeriesLayout(key=key, order=tuple(order), block_rows=block_rows)

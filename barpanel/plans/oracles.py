@@ -102,3 +102,4 @@ oracle("sequence_report", pipeline_sql("""select ticker, split, count(*)::bigint
 oracle("prepare_panel", pipeline_sql(f"""select ticker, split, count(*)::bigint as n_seq,
   max(len(seq))::int as window, max(len(seq[1]))::int as n_features, sum(y)::bigint as n_up,
   {sql_date('first_date', 'min(date)')}, {sql_date('last_date', 'max(date)')} from sq group by ticker, split"""))
+oracle("scaler_store", ORACLES["normalize_splits"])

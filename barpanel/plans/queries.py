@@ -17,16 +17,26 @@ from barpanel.functions import scalars as P
 from barpanel.operators import features as FT
 from barpanel.operators import windows as Wn
 from barpanel.operators.ewm import alpha_from, ewm_columns
-from barpanel.plans.layout import PLAIN, SeriesLayout, blocked
+from barpanel.plans.layout import PLAIN, AutoLayout, SeriesLayout, blocked, resolve
 from barpanel.plans.present import RATIO, spark_round
 from barpanel.sources.fixtures import panel_daily, panel_dirty, panel_hourly
 
 
-def default_layout() -> SeriesLayout:
-    """Blocked layout (skew-safe) unless BARPANEL_LAYOUT=plain."""
-    if os.environ.get("BARPANEL_LAYOUT", "blocked") == "plain":
+def default_layout():
+    """``auto`` (default): plain windows while every series fits one block of
+    BARPANEL_BLOCK_ROWS rows, the blocked skew-safe layout beyond;
+    BARPANEL_LAYOUT=plain / blocked forces one."""
+    mode = os.environ.get("BARPANEL_LAYOUT", "auto")
+    rows = int(os.environ.get("BARPANEL_BLOCK_ROWS", str(1 << 20)))
+    if mode == "plain":
         return PLAIN
-    return blocked(int(os.environ.get("BARPANEL_BLOCK_ROWS", str(1 << 20))))
+    if mode == "blocked":
+        return blocked(rows)
+    return AutoLayout(block_rows=rows)
+
+
+def layout_for(df, order=None) -> SeriesLayout:
+    return resolve(default_layout(), df, order)
 
 
 REGISTRY: dict = {}
@@ -40,16 +50,17 @@ def query(name: str):
 
 
 def _prepared(spark: SparkSession, sf_dir: str, layout: SeriesLayout | None = None) -> dict:
-    lay = layout or default_layout()
-    return FT.prepare_panel(panel_daily(spark, sf_dir), lay)
+    panel = panel_daily(spark, sf_dir)
+    lay = layout or layout_for(panel)
+    return FT.prepare_panel(panel, lay)
 
 
 # ---------------------------------------------------------------------------
 # W / P: single window operators on the daily panel
 # ---------------------------------------------------------------------------
 def _windowed(spark, sf_dir, build, cols, layout=None) -> DataFrame:
-    lay = (layout or default_layout())
     panel = panel_daily(spark, sf_dir)
+    lay = (layout or layout_for(panel))
     lay = lay.with_halo(*Wn.feature_halo())
     df = lay.prepare(panel.select("ticker", "date", *OHLCV))
     df = build(df, lay)
@@ -172,21 +183,24 @@ def q_tcn(spark, sf_dir):
 @query("feature_frame")
 def q_feature_frame(spark, sf_dir):
     """F1."""
-    f = FT.feature_frame(panel_daily(spark, sf_dir), default_layout())
+    p = panel_daily(spark, sf_dir)
+    f = FT.feature_frame(p, layout_for(p))
     return spark_round(f.select("ticker", "date", *FEATURE_COLS, "target"))
 
 
 @query("warmup_report")
 def q_warmup(spark, sf_dir):
     """F2."""
-    return FT.warmup_report(panel_daily(spark, sf_dir), default_layout())
+    p = panel_daily(spark, sf_dir)
+    return FT.warmup_report(p, layout_for(p))
 
 
 @query("chrono_split")
 def q_split(spark, sf_dir):
     """split label and position of every complete row."""
-    lay = default_layout()
-    s = FT.chrono_split(FT.feature_frame(panel_daily(spark, sf_dir), lay), lay, keep_pos=True)
+    p = panel_daily(spark, sf_dir)
+    lay = layout_for(p)
+    s = FT.chrono_split(FT.feature_frame(p, lay), lay, keep_pos=True)
     return spark_round(s.select("ticker", "date", "split", F.col("_pos").alias("pos"),
                                 F.col("_n").alias("n")))
 
@@ -194,16 +208,18 @@ def q_split(spark, sf_dir):
 @query("leakage_check")
 def q_leak(spark, sf_dir):
     """F4."""
-    lay = default_layout()
-    s = FT.chrono_split(FT.feature_frame(panel_daily(spark, sf_dir), lay), lay)
+    p = panel_daily(spark, sf_dir)
+    lay = layout_for(p)
+    s = FT.chrono_split(FT.feature_frame(p, lay), lay)
     return spark_round(FT.leakage_check(s))
 
 
 @query("split_report")
 def q_split_report(spark, sf_dir):
     """F5."""
-    lay = default_layout()
-    s = FT.chrono_split(FT.feature_frame(panel_daily(spark, sf_dir), lay), lay)
+    p = panel_daily(spark, sf_dir)
+    lay = layout_for(p)
+    s = FT.chrono_split(FT.feature_frame(p, lay), lay)
     return spark_round(FT.split_bounds(s))
 
 
@@ -268,3 +284,16 @@ def q_prepare(spark, sf_dir):
         F.max(F.size(F.element_at("seq", 1))).cast("int").alias("n_features"),
         F.sum("y").cast("bigint").alias("n_up"),
         F.min("date").alias("first_date"), F.max("date").alias("last_date")))
+
+
+@query("scaler_store")
+def q_scaler_store(spark, sf_dir):
+    """F8: scaler params written to Parquet, read back and re-applied to the
+    split frame (inference path): equals the fitted scaling."""
+    from barpanel.sources.panel_io import scratch_path
+    st = _prepared(spark, sf_dir)
+    path = scratch_path(spark, "scaler")
+    FT.save_scaler(st["params"], path)
+    again = FT.apply_minmax(st["split"], FT.load_scaler(spark, path))
+    return spark_round(again.select("ticker", "date", "split", *FEATURE_COLS, "target"),
+                       digits={c: RATIO for c in FEATURE_COLS})

@@ -14,7 +14,7 @@ from barpanel.operators import metrics as M
 from barpanel.operators import search as H
 from barpanel.operators import selection as K
 from barpanel.plans.present import METRIC, RATIO, spark_round
-from barpanel.plans.queries import _prepared, default_layout, query
+from barpanel.plans.queries import _prepared, layout_for, query
 from barpanel.sources import panel_io as IO
 from barpanel.sources.fixtures import panel_daily
 
@@ -186,7 +186,8 @@ def q_a9(spark, sf_dir):
 @query("sort_panel")
 def q_k1(spark, sf_dir):
     """K1: date position of every bar within its ticker."""
-    s = K.sort_panel(panel_daily(spark, sf_dir), default_layout(), "pos")
+    p = panel_daily(spark, sf_dir)
+    s = K.sort_panel(p, layout_for(p), "pos")
     return s.select("ticker", _d(), "pos")
 
 
@@ -200,9 +201,10 @@ def _trials(spark, sf_dir, n=N_TRIALS):
 
 
 def _search_rows(spark, sf_dir):
-    lay = default_layout()
+    p = panel_daily(spark, sf_dir)
+    lay = layout_for(p)
     cols = [f"mom_{n}" for n in MOM_NS]
-    feats = FT.feature_frame(panel_daily(spark, sf_dir), lay,
+    feats = FT.feature_frame(p, lay,
                              extra=lambda df, l: H.momentum_columns(df, l, MOM_NS),
                              extra_cols=cols)
     return FT.chrono_split(feats, lay)

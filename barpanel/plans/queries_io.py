@@ -8,7 +8,7 @@ from barpanel.constants import FEATURE_COLS, OHLC, OHLCV
 from barpanel.operators import features as FT
 from barpanel.operators import quality as QL
 from barpanel.plans.present import RATIO, spark_round
-from barpanel.plans.queries import _prepared, default_layout, query
+from barpanel.plans.queries import _prepared, layout_for, query
 from barpanel.sources import panel_io as IO
 from barpanel.sources.fixtures import panel_daily, panel_dirty, panel_hourly, table
 
@@ -44,15 +44,15 @@ def q_drop_all_null(spark, sf_dir):
 def q_ffill(spark, sf_dir):
     """Q4: after Q3, prices carried forward in ingest order."""
     d = QL.drop_all_null_prices(_dirty(spark, sf_dir))
-    d = QL.forward_fill(d, OHLC, default_layout())
+    d = QL.forward_fill(d, OHLC, layout_for(d, ["seq"]))
     return spark_round(d.select("ticker", "seq", "date", *OHLC))
 
 
 @query("bfill")
 def q_bfill(spark, sf_dir):
     """Q5: Q3 -> Q4 -> Q5."""
-    lay = default_layout()
     d = QL.drop_all_null_prices(_dirty(spark, sf_dir))
+    lay = layout_for(d, ["seq"])
     d = QL.backward_fill(QL.forward_fill(d, OHLC, lay), OHLC, lay)
     return spark_round(d.select("ticker", "seq", "date", *OHLC))
 
@@ -74,7 +74,8 @@ def q_dedup(spark, sf_dir):
 @query("clean_panel")
 def q_clean(spark, sf_dir):
     """Q8."""
-    d = QL.clean_panel(_dirty(spark, sf_dir), default_layout())
+    raw = _dirty(spark, sf_dir)
+    d = QL.clean_panel(raw, layout_for(raw, ["seq"]))
     return spark_round(d.select("ticker", "date", *OHLCV))
 
 
@@ -145,7 +146,8 @@ def q_manifest(spark, sf_dir):
     """Gate the dirty panel, clean the passing tickers, report."""
     raw = _dirty(spark, sf_dir)
     gate = QL.validate_gate(raw)
-    clean = QL.clean_panel(QL.keep_valid(raw, gate), default_layout())
+    valid = QL.keep_valid(raw, gate)
+    clean = QL.clean_panel(valid, layout_for(valid, ["seq"]))
     return IO.collection_manifest(raw, gate, clean)
 
 
