@@ -144,7 +144,8 @@ def score_trial_rows(rows: DataFrame, params: DataFrame, ns, key: str = "ticker"
     of params per ticker, broadcast; momentum picked by n from an array."""
     moms = F.array(*[F.col(f"mom_{n}") for n in ns])
     idx = F.array_position(F.array(*[F.lit(n) for n in ns]), F.col("n_mom")).cast("int")
-    j = rows.join(F.broadcast(params), key)
+    from barpanel.plans.layout import broadcast_if_small
+    j = rows.join(broadcast_if_small(params), key)
     p = momentum_proba(F.element_at(moms, idx), "thr", "scale", "side")
     return j.select(key, "split", "date", F.col(y).cast("int").alias("y"), p.alias("p")).withColumn(
         "pred", P.threshold_label("p"))

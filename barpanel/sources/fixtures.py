@@ -43,6 +43,9 @@ def panel_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily panel with injected defects, in ingest order ``seq``.
 
     Columns: ticker, date, open, high, low, close, volume (DOUBLE), rev, seq.
+    A real ingest log carries ``seq``; this fixture derives it from
+    (date, rev) with a per-ticker row number, which is fine for the five
+    fixture series (the cleaning operators themselves are skew-safe).
     """
     p = panel_daily(spark, sf_dir).withColumn("volume", F.col("volume").cast("double"))
     d = F.dayofmonth("date")

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference processes daily batches only (no streams, watermarks,
+event-time windows or state), so no streaming operator is claimed. A panel
+that grows by daily files is handled by the batch operators, which read the
+partitioned store (``sources.panel_io``) with partition pruning.
+"""
