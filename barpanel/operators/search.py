@@ -156,3 +156,49 @@ def best_on_test(rows_test: DataFrame, best: DataFrame, ns, key: str = "ticker")
     params = best.select(F.col("study").alias(key), "trial", "n_mom", "thr", "scale", "side")
     scored = score_trial_rows(rows_test, params, ns, key)
     return M.evaluate(scored, by=(key, "split"))
+
+
+# --- ML trials ---------------------------------------------------------------
+# boosted-tree space, Spark ML names: maxDepth int [2, 5], stepSize log [0.01, 0.3],
+# subsamplingRate float [0.6, 1.0], featureSubsetStrategy float [0.6, 1.0]
+GBT_SPACE = {"maxDepth": ("int", 2, 5), "stepSize": ("log", 0.01, 0.3),
+             "subsamplingRate": ("float", 0.6, 1.0), "featureSubsetStrategy": ("float", 0.6, 1.0)}
+
+
+def search_model(seqs: DataFrame, trials: list, name: str = "gbt", base: dict | None = None,
+                 threads: int = 4) -> tuple[DataFrame, dict]:
+    """H3/H5 for ML models: every trial config is fitted on the train windows
+    (val for early stopping) as a concurrent Spark job from a small thread
+    pool; objective = validation directional accuracy, a failing trial
+    scores 0.0. The best trial (K2 rule: highest value, lowest trial) is
+    scored once on the test windows. Returns (study table, best info)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from barpanel.operators import models as ML
+    if len(trials) > MAX_TRIALS:
+        raise ValueError("too many trials for one pass")
+    tr = seqs.filter(F.col("split") == "train")
+    va = seqs.filter(F.col("split") == "val")
+
+    def one(t):
+        cfg = {**(base or {}), **{k: v for k, v in t.items() if k != "trial"}}
+        if "featureSubsetStrategy" in cfg:
+            cfg["featureSubsetStrategy"] = str(round(float(cfg["featureSubsetStrategy"]), 4))
+        try:
+            m = ML.build_model(name, cfg)
+            m.fit(tr, va) if name == "gbt" else m.fit(tr)
+            r = M.evaluate(m.predict(va), by=()).first()
+            return t["trial"], float(r["directional_accuracy"] or 0.0), r["sharpe_ratio"], r["mae"], m
+        except Exception:  # noqa: BLE001 -- a failing trial scores 0.0
+            return t["trial"], 0.0, None, None, None
+
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(trials)))) as ex:
+        res = list(ex.map(one, trials))
+    spark = seqs.sparkSession
+    study = spark.createDataFrame([(int(a), float(b), c, d) for a, b, c, d, _ in res],
+                                  "trial bigint, value double, val_sharpe double, val_mae double")
+    best = max(res, key=lambda r: (r[1], -r[0]))
+    test = None
+    if best[4] is not None:
+        test = M.evaluate(best[4].predict(seqs.filter(F.col("split") == "test")), by=("split",))
+    return study, {"trial": best[0], "value": best[1], "test": test}

@@ -118,3 +118,23 @@ def q_m9(spark, sf_dir):
     return m.history.select(F.lit("gbt-all").alias("run"), "step",
                             F.round("train_loss", RATIO).alias("train_loss"),
                             F.round("val_loss", RATIO).alias("val_loss"))
+
+
+@query("hpo_gbt")
+def q_hpo_gbt(spark, sf_dir):
+    """H3/H5 for the tree model: 4 sampled configurations fitted
+    concurrently; study table with the best trial's test metrics joined."""
+    from barpanel.operators import search as H
+    s = _seqs(spark, sf_dir)
+    st = spark.createDataFrame([("all",)], "study string")
+    trials = [r.asDict() for r in H.sample_trials(st, 4, H.GBT_SPACE).drop("study")
+              .orderBy("trial").collect()]
+    study, best = H.search_model(s, trials, "gbt", {"maxIter": 5})
+    out = study.withColumn("is_best", F.col("trial") == F.lit(best["trial"]))
+    if best["test"] is not None:
+        t = best["test"].select(*[F.col(c).alias(f"test_{c}") for c in
+                                  ("directional_accuracy", "mae", "rmse", "sharpe_ratio")])
+        # one metrics row, attached to the best trial
+        out = out.join(F.broadcast(t.withColumn("is_best", F.lit(True))), "is_best", "left")
+    return out.select("trial", F.round("value", 4).alias("value"), "val_sharpe", "val_mae",
+                      "is_best", *[c for c in out.columns if c.startswith("test_")])
