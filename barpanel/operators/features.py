@@ -217,7 +217,9 @@ def prepare_panel(panel: DataFrame, layout: SeriesLayout = PLAIN,
     Returns the frames of every stage; ``sequences`` is the final tensor table.
     """
     feats = feature_frame(panel, layout)
-    split = chrono_split(feats, layout, keep_pos=True)
+    # used twice (train-only fit and the scaling join): computed once, kept
+    # in memory with spill to disk
+    split = chrono_split(feats, layout, keep_pos=True).persist()
     scaled, params = normalize_splits(split, layout.key)
     seqs = sliding_sequences(scaled, layout, window)
     return {"features": feats, "split": split, "params": params,
