@@ -52,3 +52,63 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
        failed = 0 AS kept, failed::BIGINT AS failed, 2 AS policy
 FROM f
 """
+
+ORACLES["op4_source_mixing"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, coalesce('=' || source, '') AS k, coalesce(doc_id::VARCHAR, '') AS id,
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS n
+  FROM documents),
+s AS (SELECT k, sum(n)::BIGINT AS t FROM d GROUP BY k),
+p AS (SELECT k, t, ln(t / (SELECT sum(t)::DOUBLE FROM s)) AS lp FROM s WHERE t > 0),
+bisect(step, lo, hi) AS (
+  SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE
+  UNION ALL
+  SELECT step + 1, CASE WHEN r > 2.0 THEN (lo + hi) / 2 ELSE lo END,
+         CASE WHEN r > 2.0 THEN hi ELSE (lo + hi) / 2 END
+  FROM (SELECT step, lo, hi, (SELECT max(exp(((lo + hi) / 2 - 1.0) * lp))
+                                   / min(exp(((lo + hi) / 2 - 1.0) * lp)) FROM p) AS r
+        FROM bisect WHERE step < 50)),
+a AS (
+  SELECT CASE WHEN (SELECT max(exp(-lp)) / min(exp(-lp)) FROM p) > 2.0
+              THEN (SELECT hi FROM bisect WHERE step = 50) ELSE 0.0 END AS a),
+w AS (
+  SELECT k, t, e / sum(e) OVER () AS weight
+  FROM (SELECT s.k, s.t, coalesce(exp((SELECT a FROM a) * lp), 0.0) AS e
+        FROM s LEFT JOIN p ON p.k = s.k)),
+q AS (
+  SELECT k, t, weight,
+         coalesce(round(weight * (SELECT max(t / weight) FROM w WHERE weight > 0)), 0)::BIGINT
+           AS quota,
+         greatest(1, ceil(t / 65536.0))::BIGINT AS blocks
+  FROM w),
+dealt AS (
+  SELECT d.*, q.t, q.quota, q.weight,
+         ('0x' || substr(md5(id || '|mix-1'), 1, 12))::BIGINT % blocks AS block
+  FROM d JOIN q USING (k)),
+passes AS (
+  SELECT k, block, t, quota, b, unnest(generate_series(0,
+         CASE WHEN t > 0 THEN ceil(quota / t)::BIGINT - 1 ELSE 0 END)) AS pass
+  FROM (SELECT k, block, any_value(t) AS t, any_value(quota) AS quota, sum(n)::BIGINT AS b
+        FROM dealt GROUP BY k, block)
+  WHERE quota > 0 OR t = 0),
+ordered AS (
+  SELECT *, quota - pass * t AS rest,
+         coalesce(sum(b) OVER (PARTITION BY k, pass
+           ORDER BY md5(k || '|' || pass || '|' || block || '|mix-1'), block
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+  FROM passes),
+taken AS (
+  SELECT *, CASE WHEN t > 0 THEN (pass * t + before) / quota ELSE 0.0 END AS slot
+  FROM ordered WHERE before < rest OR t = 0),
+r AS (
+  SELECT doc_id, source, dealt.weight, dealt.block, pass, slot, n, dealt.k, b, before, rest,
+         md5(id || '|' || pass || '|mix-1') AS key
+  FROM dealt JOIN taken ON taken.k = dealt.k AND taken.block = dealt.block),
+seen AS (
+  SELECT *, coalesce(sum(n) OVER (PARTITION BY k, pass, block ORDER BY key
+           RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW EXCLUDE GROUP), 0) AS ahead
+  FROM r)
+SELECT doc_id, source, round(weight, 9) AS weight, pass::INTEGER AS pass, block,
+       round(slot, 9) AS slot, key AS order_key
+FROM seen WHERE before + b <= rest OR ahead < rest - before
+"""
