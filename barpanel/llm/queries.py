@@ -85,3 +85,10 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "source", F.round("mix_weight", 9).alias("weight"),
                       F.col("mix_pass").alias("pass"), F.col("mix_block").alias("block"),
                       F.round("mix_slot", 9).alias("slot"), F.col("mix_key").alias("order_key"))
+
+
+@query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from barpanel.llm.simhash import near_duplicates
+    got = near_duplicates(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "fingerprint", "component_id")
