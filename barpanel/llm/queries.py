@@ -92,3 +92,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from barpanel.llm.simhash import near_duplicates
     got = near_duplicates(table(spark, sf_dir, "documents"))
     return got.select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from barpanel.llm.embed_dedup import near_duplicates
+    got = near_duplicates(table(spark, sf_dir, "embeddings"))
+    return got.select("vec_id", "n_links", "component_id",
+                      (F.col("vec_id") == F.col("component_id")).alias("kept"))
