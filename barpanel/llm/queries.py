@@ -100,3 +100,11 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = near_duplicates(table(spark, sf_dir, "embeddings"))
     return got.select("vec_id", "n_links", "component_id",
                       (F.col("vec_id") == F.col("component_id")).alias("kept"))
+
+
+@query
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from barpanel.llm.suffix_dedup import deduplicate
+    got = deduplicate(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_bytes", "n_removed", F.size("starts").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
