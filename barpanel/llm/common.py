@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from barpanel.session import ensure_checkpoint_dir
 
@@ -94,6 +95,33 @@ def texts(b: pa.RecordBatch, column: str = "text") -> list[str]:
     return ["" if t is None else t for t in b.column(column).to_pylist()]
 
 
+def appended(docs: DataFrame, added: str, make, text_col: str = "text") -> DataFrame:
+    """Whole rows with columns added that ``make`` finds for a list of texts, a
+    column each. The input's columns come as ``c0``, ``c1``, ... under the new
+    ones, whatever their names were; :func:`restored` names them again."""
+    n = len(docs.columns)
+    schema = StructType(docs.toDF(*[f"c{i}" for i in range(n)]).schema.fields)
+    new = schema_of(added)
+    for f in StructType.fromDDL(added):
+        schema = schema.add(f)
+    text = f"c{docs.columns.index(text_col)}"
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        for b in pieces(batches, text):
+            got = make(texts(b, text))
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, *(pa.array(x, f.type) for x, f in zip(got, new))],
+                names=[*b.schema.names, *new.names])
+
+    return docs.toDF(*[f"c{i}" for i in range(n)]).mapInArrow(run, schema)
+
+
+def restored(df: DataFrame, like: DataFrame, **changed) -> DataFrame:
+    """The columns of ``like`` out of :func:`appended`'s; ``changed`` ones anew."""
+    return df.select(*[changed.get(c, F.col(f"c{i}")).alias(c)
+                       for i, c in enumerate(like.columns)])
+
+
 def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Tables of whole groups from batches sorted by integer ``keys``: the
     open last group of a batch waits for the next one."""

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barpanel.llm.common import SPACES, pieces, schema_of, texts
+from barpanel.llm.common import SPACES, appended, pieces, restored, schema_of, texts
 
 SYMBOLS = "#*$%&|<>"
 
@@ -125,6 +125,13 @@ def apply_policy(led: DataFrame, version: int = CURRENT) -> DataFrame:
         "kept": F.col("failed").bitwiseAND(F.lit(base | mask)) == 0})
 
 
+def keep_rows(docs: DataFrame, version: int = CURRENT, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, unchanged, that a policy keeps."""
+    led = appended(docs, MEASURES, lambda ts: zip(*map(measure_text, ts)), text_col)
+    return restored(apply_policy(led.withColumn("failed", failure_bits()), version)
+                    .filter("kept"), docs)
+
+
 def ablation(led: DataFrame, version: int = CURRENT) -> DataFrame:
     """Per rule of a policy: documents that fail it, fail only it, and the
     documents kept with the policy and without the rule. The texts are not

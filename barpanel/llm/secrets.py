@@ -27,13 +27,14 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barpanel.llm.common import cut, pieces, schema_of, texts
+from barpanel.llm.common import appended, cut, pieces, restored, schema_of, texts
 
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -220,86 +221,133 @@ def bh_cells(hist: np.ndarray, fdr: float) -> int:
     return int(ok[0]) if ok.size else CELLS
 
 
-_SCAN = ("doc_id long,letters array<long>,starts array<long>,kinds array<int>,ends array<long>,"
-         "tokens array<string>")
+@dataclass(frozen=True)
+class Null:
+    """What the corpus says of ordinary text: the shares of its letters, and
+    the lowest accepted cell of each length band."""
+    letters: np.ndarray
+    least: tuple[int, ...]
 
 
-def _scan(batches) -> Iterator[pa.RecordBatch]:
-    """Pattern spans and candidates of every document; the first row of a
-    batch also carries the letter counts of the whole batch."""
-    out = schema_of(_SCAN)
-    for b in pieces(batches, "text"):
-        rows, counts = [], np.zeros(256, np.int64)
-        for t in texts(b):
-            base = base_spans(t)
-            cand = candidates(t, base)
-            rows.append((base + [(s, 3, e) for s, e in cand], [t[s:e] for s, e in cand]))
-            counts += np.bincount(np.frombuffer(t.encode(), np.uint8), minlength=256)
-        low = (counts[97:123] + counts[65:91]).tolist()
-        letters = [low] + [None] * (len(rows) - 1)
-        yield pa.RecordBatch.from_arrays([
-            b.column("doc_id"), pa.array(letters, out.field(1).type),
-            *(pa.array([[x[i] for x in r[0]] for r in rows], out.field(2 + i).type)
-              for i in range(3)),
-            pa.array([r[1] for r in rows], out.field(5).type)], schema=out)
+def band_of(n: int) -> int:
+    return next(i for i, top in enumerate(BANDS) if n <= top)
 
 
-def scan(docs: DataFrame, fdr: float = FDR, id_col: str = "doc_id",
-         text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id`` and ``spans``, an array of (start,
-    kind, end, p) sorted by start and kind; p is null for pattern spans."""
-    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    found = cut(d.mapInArrow(_scan, _SCAN))
+def calibrate(docs: DataFrame, fdr: float = FDR, text_col: str = "text") -> Null:
+    """Counts the letters of all texts, tests every candidate of the corpus
+    against them and runs Benjamini-Hochberg in each length band. 26 letter
+    counts and a histogram of fixed size come back, whatever the corpus."""
+
+    def find(batches) -> Iterator[pa.RecordBatch]:
+        schema = schema_of("token string,letters array<long>")
+        for b in pieces(batches, "text"):
+            tokens, counts = [], np.zeros(256, np.int64)
+            for t in texts(b):
+                tokens += [t[s:e] for s, e in candidates(t, base_spans(t))]
+                counts += np.bincount(np.frombuffer(t.encode(), np.uint8), minlength=256)
+            letters = (counts[97:123] + counts[65:91]).tolist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([None, *tokens], pa.string()),
+                 pa.array([letters] + [None] * len(tokens), schema.field(1).type)], schema=schema)
 
-    # the corpus's letters, one count per letter, over all documents
-    n = (found.filter("letters IS NOT NULL")
-         .select(F.posexplode("letters").alias("i", "n")).groupBy("i").agg(F.sum("n").alias("n")))
+    found = cut(docs.select(F.col(text_col).alias("text"))
+                .mapInArrow(find, "token string,letters array<long>"))
+    n = (found.filter("letters IS NOT NULL").select(F.posexplode("letters").alias("i", "n"))
+         .groupBy("i").agg(F.sum("n").alias("n")))
     letters = np.ones(26)
     for r in n.collect():  # 26 rows
         letters[r["i"]] += r["n"]
     letters = letters / letters.sum()
 
-    bands = list(BANDS)
-
     def test(batches) -> Iterator[pa.RecordBatch]:
-        out = schema_of(_TESTED)
         for b in batches:
-            toks = b.column("tokens").to_pylist()
-            p = [[p_value(t, letters) for t in ts] for ts in toks]
-            band = [[next(i for i, top in enumerate(bands) if len(t) <= top) for t in ts]
-                    for ts in toks]
-            cell = [[cell_of(x) for x in ps] for ps in p]
+            tokens = b.column("token").to_pylist()
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(c) for c in ("doc_id", "starts", "kinds", "ends")),
-                 pa.array(p, out.field(4).type), pa.array(band, out.field(5).type),
-                 pa.array(cell, out.field(6).type)], schema=out)
+                [pa.array([band_of(len(t)) for t in tokens], pa.int32()),
+                 pa.array([cell_of(p_value(t, letters)) for t in tokens], pa.int32())],
+                schema=schema_of("band int,cell int"))
 
-    tested = cut(found.drop("letters").mapInArrow(test, _TESTED))
     hist = np.zeros((len(BANDS), CELLS), np.int64)
-    cells = (tested.filter(F.size("bands") > 0)
-             .select(F.explode(F.arrays_zip("bands", "cells")).alias("x"))
-             .groupBy("x.bands", "x.cells").agg(F.count(F.lit(1)).alias("n")))
+    cells = (found.filter("token IS NOT NULL").select("token")
+             .mapInArrow(test, "band int,cell int")
+             .groupBy("band", "cell").agg(F.count(F.lit(1)).alias("n")))
     for r in cells.collect():  # at most bands x cells rows
-        hist[r["bands"], r["cells"]] = r["n"]
-    least = F.array(*[F.lit(bh_cells(h, fdr)) for h in hist])
-
-    # candidates stand after the pattern spans: their i-th is tests' i-th
-    n_base = F.size("starts") - F.size("p")
-    span = F.transform(
-        F.arrays_zip("starts", "kinds", "ends"),
-        lambda x, i: F.struct(
-            x["starts"].alias("start"), x["kinds"].alias("kind"), x["ends"].alias("end"),
-            F.when(i >= n_base, F.get(F.col("p"), i - n_base)).alias("p"),
-            F.coalesce((i < n_base) | (F.get(F.col("cells"), i - n_base)
-                       >= F.get(least, F.get(F.col("bands"), i - n_base))), F.lit(False))
-            .alias("is_secret")))
-    kept = F.filter(span, lambda x: x["is_secret"])
-    return tested.select("doc_id", F.array_sort(F.transform(
-        kept, lambda x: F.struct(x["start"], x["kind"], x["end"], x["p"]))).alias("spans"))
-
-
-_TESTED = ("doc_id long,starts array<long>,kinds array<int>,ends array<long>,p array<double>,"
-           "bands array<int>,cells array<int>")
+        hist[r["band"], r["cell"]] = r["n"]
+    return Null(letters, tuple(bh_cells(h, fdr) for h in hist))
+
+
+def spans_of(text: str, null: Null) -> list[tuple[int, int, int, float | None]]:
+    """All spans of a text: (start, kind number, end, p), sorted; p is None for
+    pattern spans."""
+    base = base_spans(text)
+    out = [(s, k, e, None) for s, k, e in base]
+    for s, e in candidates(text, base):
+        p = p_value(text[s:e], null.letters)
+        if cell_of(p) >= null.least[band_of(e - s)]:
+            out.append((s, 3, e, p))
+    out.sort(key=lambda x: x[:2])
+    return out
+
+
+_FOUND = "starts array<long>,kinds array<int>,ends array<long>,p array<double>"
+
+
+def scan(docs: DataFrame, null: Null | None = None, fdr: float = FDR, id_col: str = "doc_id",
+         text_col: str = "text") -> DataFrame:
+    """One row per document: ``doc_id`` and ``spans``, an array of (start,
+    kind, end, p) sorted by start and kind; p is null for pattern spans."""
+    null = calibrate(docs, fdr, text_col) if null is None else null
+    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        schema = schema_of("doc_id long," + _FOUND)
+        for b in pieces(batches, "text"):
+            rows = [spans_of(t, null) for t in texts(b)]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), *(pa.array([[x[i] for x in r] for r in rows], f.type)
+                                       for i, f in enumerate(list(schema)[1:]))], schema=schema)
+
+    found = d.mapInArrow(run, "doc_id long," + _FOUND)
+    return found.select("doc_id", F.transform(
+        F.arrays_zip("starts", "kinds", "ends", "p"),
+        lambda x: F.struct(x["starts"].alias("start"), x["kinds"].alias("kind"),
+                           x["ends"].alias("end"), x["p"].alias("p"))).alias("spans"))
+
+
+def masked_text(text: str, null: Null, mask: str) -> tuple[str, int]:
+    """The text with every span, or run of overlapping spans, replaced; the
+    number of replacements."""
+    out, at, n = [], 0, 0
+    end = -1
+    for s, _, e, _ in spans_of(text, null):
+        if s < end:
+            end = max(end, e)
+            continue
+        if end >= 0:
+            at = end
+        out += [text[at:s], mask]
+        end, n = e, n + 1
+    return ("".join(out) + text[end:], n) if n else (text, 0)
+
+
+def mask_rows(docs: DataFrame, mask: str, null: Null | None = None, fdr: float = FDR,
+              text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
+    """The rows of ``docs`` with the secrets of their texts replaced by
+    ``mask``; texts without any, null ones too, and their rows stay as they
+    are. ``length_col``, where there is one, follows the new text."""
+    null = calibrate(docs, fdr, text_col) if null is None else null
+
+    def make(ts):
+        return zip(*[masked_text(t, null, mask) for t in ts])
+
+    got = appended(docs, "new_text string,n_masked int", make, text_col)
+    hit = F.col("n_masked") > 0
+    old = {c: F.col(f"c{i}") for i, c in enumerate(docs.columns)}
+    changed = {text_col: F.when(hit, F.col("new_text")).otherwise(old[text_col])}
+    if length_col in old:
+        changed[length_col] = F.when(hit, F.char_length("new_text").cast(
+            docs.schema[length_col].dataType)).otherwise(old[length_col])
+    return restored(got, docs, **changed)
 
 
 def listed(spans: str = "spans", below: int = len(KINDS)):

@@ -35,7 +35,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barpanel.llm.common import cut, pieces, ragged, runs, schema_of, starts_of, texts
+from barpanel.llm.common import (
+    appended, cut, pieces, ragged, restored, runs, schema_of, starts_of, texts)
 from barpanel.llm.components import components
 
 SHINGLE = 3
@@ -164,16 +165,48 @@ def links(fps: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS,
     return found.unionByName(_compared(fine.join(many.drop("n"), ["k", "key"]), distance))
 
 
+def grouped(rows: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """``fp``, ``component`` (the least fingerprint reachable) and
+    ``component_id`` (the smallest id) of rows (``doc_id``, ``fp``)."""
+    distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    of = components(links(distinct.select("fp"), distance), "a", "b")
+    owned = distinct.join(of.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "first_id", F.coalesce("component", "fp").alias("component"))
+    least = owned.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    return owned.join(least, "component").select("fp", "component", "component_id")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
                     seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``fp``, ``fingerprint`` (16 hex
     digits) and ``component_id``, the smallest id reachable by links."""
     rows = cut(fingerprints(docs, shingle, seed, id_col, text_col))
-    distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    of = components(links(distinct.select("fp"), distance), "a", "b")
-    grouped = distinct.join(of.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first_id", F.coalesce("component", "fp").alias("component"))
-    least = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    owner = grouped.join(least, "component").select("fp", "component_id")
-    return rows.join(owner, "fp").select(
+    return rows.join(grouped(rows, distance), "fp").select(
         "doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_first(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
+               seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, unchanged, one per component: the row whose id is
+    the component's; of repeated rows of that id, one. A component without any
+    id keeps one of its rows."""
+    rows = cut(fingerprints(docs, shingle, seed, id_col, text_col))
+    of = cut(grouped(rows, distance))
+    id_ = F.col(f"`{id_col}`").cast("long")
+    repeated = cut(rows.filter("doc_id IS NOT NULL").groupBy("doc_id").count()
+                   .filter("count > 1").select(F.col("doc_id").alias("twice")))
+    stay = (rows.join(of, "fp").filter("doc_id = component_id")
+            .select(F.col("doc_id").alias("stay")).distinct())
+    once = (stay.join(repeated, stay["stay"] == repeated["twice"], "left_anti"))
+    kept = docs.join(once, id_ == once["stay"], "left_semi")
+    if rows.filter("doc_id IS NULL").isEmpty() and repeated.isEmpty():
+        return kept
+    # rows that their id does not tell apart are judged by their fingerprint
+    odd = docs.join(repeated, id_ == repeated["twice"], "left_semi").unionByName(
+        docs.filter(id_.isNull()))
+    marked = appended(odd, "fp long", lambda ts: [np.array(
+        [fingerprint(t, shingle, seed) for t in ts], np.uint64).view(np.int64)], text_col)
+    own = F.col(f"c{docs.columns.index(id_col)}").cast("long")
+    first = (marked.join(of, "fp").filter(own.eqNullSafe(F.col("component_id")))
+             .dropDuplicates(["component"]))
+    return kept.unionByName(restored(first, docs))
