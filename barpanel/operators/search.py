@@ -1,13 +1,16 @@
 """Hyper-parameter search with trials as data (H1-H6).
 
-* H1: trials are rows generated in Spark: a portable linear congruential
-  draw ``u = ((t + seed)·m + 12345) mod 2^31 / 2^31`` per dimension (one
-  multiplier per dimension), mapped to int / float / log-float / categorical
-  ranges. Random search (the reference's TPE sampler is sequential: not built).
+* H1: trials are rows generated in Spark. Every (study, trial, parameter) has a
+  draw of its own, ``u`` = the first 32 bits of the md5 of ``study|trial|
+  parameter|seed`` over 2^32, mapped to int / float / log-float / categorical
+  ranges: independent, portable and without a limit on dimensions or trials.
+  Random search (the reference's TPE sampler is sequential: not built).
 * H3: a *formula* model (momentum over n days against a threshold) is scored
-  for every trial in **one** pass over the validation rows: each trial is a
-  set of aggregate columns of a single ``groupBy(ticker)``, so the data is
-  read once, aggregated map-side, and no row × trial product is formed.
+  for every trial in one pass over the validation rows. The trials of a study
+  travel as arrays of at most ``TRIALS_PER_ROW`` structs; rows meet them by an
+  equi-join on the study, are exploded in the same stage and aggregated
+  map-side per (study, trial). The plan's size does not depend on the number of
+  trials and nothing is collected.
 * K2 picks the best trial; H5 re-scores it once on the test split; H6 joins
   the leaderboard.
 """
@@ -22,15 +25,15 @@ from pyspark.sql import functions as F
 from barpanel.functions import scalars as P
 from barpanel.operators import metrics as M
 
-TWO31 = 2147483648
-MULTIPLIERS = (1103515245, 22695477, 134775813, 214013, 69069, 1664525)
 SEED = 42
-MAX_TRIALS = 2000          # bound on the per-pass trial columns
+TRIALS_PER_ROW = 256
 
 
-def uniform(t, dim: int, seed: int = SEED) -> Column:
-    tt = P.col(t).cast("bigint") + F.lit(seed)
-    return F.pmod(tt * F.lit(MULTIPLIERS[dim]) + F.lit(12345), F.lit(TWO31)) / F.lit(float(TWO31))
+def uniform(study, trial, parameter: str, seed: int = SEED) -> Column:
+    """A number in [0, 1) drawn for (study, trial, parameter, seed)."""
+    text = F.concat_ws("|", P.col(study).cast("string"), P.col(trial).cast("string"),
+                       F.lit(parameter), F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(2.0 ** 32)
 
 
 def int_param(u: Column, lo: int, hi: int) -> Column:
@@ -52,35 +55,40 @@ def cat_param(u: Column, choices) -> Column:
 
 
 # --- search spaces --------------------------------------------------------
-# momentum formula model: n_mom int [2, 20], thr float [-0.02, 0.02],
-# scale log-float [0.001, 0.1], side categorical (long, contrarian)
+# The formula model.
 MOMENTUM_SPACE = {"n_mom": ("int", 2, 20), "thr": ("float", -0.02, 0.02),
                   "scale": ("log", 0.001, 0.1), "side": ("cat", ["long", "contrarian"])}
-# network spaces (for H2 derived parameters)
-TCN_SPACE = {"n_dilation_levels": ("int", 3, 6), "kernel_size": ("cat", [2, 3, 5]),
-             "dropout": ("float", 0.0, 0.5), "learning_rate": ("log", 1e-4, 1e-2)}
+# Ranges of the tree and network models, and what is added to
+# every configuration of a model.
+TREE_SPACE = {"n_estimators": ("int", 100, 500), "max_depth": ("int", 3, 8),
+              "learning_rate": ("log", 1e-3, 0.3), "subsample": ("float", 0.6, 1.0),
+              "colsample_bytree": ("float", 0.6, 1.0), "min_child_weight": ("int", 1, 10),
+              "gamma": ("float", 0.0, 1.0), "reg_alpha": ("log", 1e-4, 10.0),
+              "reg_lambda": ("log", 1e-4, 10.0)}
+LSTM_SPACE = {"hidden_size": ("cat", [32, 64, 128, 256]), "num_layers": ("int", 1, 3),
+              "dropout": ("float", 0.0, 0.5), "learning_rate": ("log", 1e-4, 1e-2),
+              "batch_size": ("cat", [32, 64, 128]), "grad_clip": ("float", 0.5, 5.0)}
+TCN_SPACE = {"n_dilation_levels": ("int", 3, 6), "num_channels": ("cat", [32, 64, 128]),
+             "kernel_size": ("cat", [2, 3, 5]), "dropout": ("float", 0.0, 0.5),
+             "learning_rate": ("log", 1e-4, 1e-2), "batch_size": ("cat", [32, 64, 128]),
+             "grad_clip": ("float", 0.5, 5.0)}
 TFT_SPACE = {"n_heads": ("cat", [2, 4, 8]), "d_model_factor": ("int", 1, 4),
-             "lstm_layers": ("int", 1, 2), "dropout": ("float", 0.0, 0.4)}
+             "lstm_layers": ("int", 1, 2), "dropout": ("float", 0.0, 0.4),
+             "learning_rate": ("log", 1e-4, 1e-2), "batch_size": ("cat", [32, 64, 128]),
+             "grad_clip": ("float", 0.5, 5.0)}
+SPACES = {"xgboost": TREE_SPACE, "lstm": LSTM_SPACE, "tcn": TCN_SPACE, "tft": TFT_SPACE}
 NET_CONSTANTS = {"epochs": 50, "patience": 10, "random_state": 42}
+TREE_CONSTANTS = {"early_stopping_rounds": 30}
 
 
 def sample_trials(studies: DataFrame, n_trials: int, space: dict, seed: int = SEED,
                   study: str = "study") -> DataFrame:
     """H1: ``n_trials`` configurations per study row (trial 0..n-1)."""
     t = studies.select(study, F.explode(F.sequence(F.lit(0), F.lit(n_trials - 1))).alias("trial"))
-    cols = {}
-    for d, (name, spec) in enumerate(space.items()):
-        u = uniform("trial", d, seed)
-        kind = spec[0]
-        if kind == "int":
-            cols[name] = int_param(u, spec[1], spec[2])
-        elif kind == "float":
-            cols[name] = float_param(u, spec[1], spec[2])
-        elif kind == "log":
-            cols[name] = log_param(u, spec[1], spec[2])
-        else:
-            cols[name] = cat_param(u, spec[1])
-    return t.withColumns(cols).withColumn("trial", F.col("trial").cast("bigint"))
+    t = t.withColumn("trial", F.col("trial").cast("bigint"))
+    kinds = {"int": int_param, "float": float_param, "log": log_param, "cat": cat_param}
+    return t.withColumns({name: kinds[kind](uniform(study, "trial", name, seed), *args)
+                          for name, (kind, *args) in space.items()})
 
 
 def derived_params(trials: DataFrame) -> DataFrame:
@@ -95,7 +103,10 @@ def derived_params(trials: DataFrame) -> DataFrame:
                 F.col("dilations"), F.lit(0), lambda a, x: a + x) + 1)
     if "n_heads" in trials.columns:
         out = out.withColumn("d_model", F.col("n_heads") * F.lit(8) * F.col("d_model_factor"))
-    return out.withColumns({k: F.lit(v) for k, v in NET_CONSTANTS.items()})
+    constants = dict(NET_CONSTANTS)
+    if "n_estimators" in trials.columns:
+        constants |= TREE_CONSTANTS
+    return out.withColumns({k: F.lit(v) for k, v in constants.items()})
 
 
 # --- the formula model ------------------------------------------------------
@@ -106,99 +117,105 @@ def momentum_columns(df: DataFrame, layout, ns, price: str = "close") -> DataFra
                            for n in ns})
 
 
+def momentum_of(ns, n: Column) -> Column:
+    """The momentum over ``n`` days out of the columns ``mom_<n>``."""
+    moms = F.array(*[F.col(f"mom_{k}") for k in ns])
+    return F.get(moms, (F.array_position(F.array(*[F.lit(k) for k in ns]), n) - 1).cast("int"))
+
+
 def momentum_proba(mom: Column, thr, scale, side) -> Column:
     z = (mom - P.col(thr)) / P.col(scale)
     p_long = P.sigmoid(z)
     return F.when(P.col(side) == "contrarian", F.lit(1.0) - p_long).otherwise(p_long)
 
 
-def evaluate_trials(rows: DataFrame, trials: list, by=("ticker",), y: str = "target") -> DataFrame:
-    """H3: objective = directional accuracy per (ticker, trial); also Sharpe
-    and MAE. ``trials``: dicts with trial, n_mom, thr, scale, side (the
-    search configuration, bounded by MAX_TRIALS). A trial with no rows
-    scores 0.0."""
-    if len(trials) > MAX_TRIALS:
-        raise ValueError(f"{len(trials)} trials > {MAX_TRIALS}: run the search in batches")
-    yy = F.col(y).cast("double")
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for t in trials:
-        i = t["trial"]
-        p = momentum_proba(F.col(f"mom_{t['n_mom']}"), F.lit(t["thr"]), F.lit(t["scale"]),
-                           F.lit(t["side"]))
-        pred = (p >= 0.5).cast("double")
-        r = (F.lit(2.0) * pred - 1) * (F.lit(2.0) * yy - 1)
-        sd = F.stddev_pop(r)
-        aggs += [F.avg((pred == yy).cast("double")).alias(f"da_{i}"),
-                 F.avg(F.abs(p - yy)).alias(f"mae_{i}"),
-                 F.when(sd > 0, F.avg(r) / sd * F.lit(math.sqrt(252))).otherwise(0.0).alias(f"sh_{i}")]
-    wide = rows.groupBy(*by).agg(*aggs)
-    parts = ", ".join(f"{t['trial']}L, `da_{t['trial']}`, `sh_{t['trial']}`, `mae_{t['trial']}`"
-                      for t in trials)
-    long = wide.selectExpr(*by, f"stack({len(trials)}, {parts}) as (trial, value, val_sharpe, val_mae)")
-    return long.withColumn("value", F.coalesce("value", F.lit(0.0)))
-
-
-def score_trial_rows(rows: DataFrame, params: DataFrame, ns, key: str = "ticker",
-                     y: str = "target") -> DataFrame:
-    """Score each ticker's rows with that ticker's chosen trial (H5): one row
-    of params per ticker, broadcast; momentum picked by n from an array."""
-    moms = F.array(*[F.col(f"mom_{n}") for n in ns])
-    idx = F.array_position(F.array(*[F.lit(n) for n in ns]), F.col("n_mom")).cast("int")
-    from barpanel.plans.layout import broadcast_if_small
-    j = rows.join(broadcast_if_small(params), key)
-    p = momentum_proba(F.element_at(moms, idx), "thr", "scale", "side")
-    return j.select(key, "split", "date", F.col(y).cast("int").alias("y"), p.alias("p")).withColumn(
-        "pred", P.threshold_label("p"))
+def score_trials(rows: DataFrame, trials: DataFrame, ns, key: str = "ticker",
+                 study: str = "study", y: str = "target") -> DataFrame:
+    """Probability of every row of a study under every trial of that study:
+    (key, trial, y, p, pred). Trials: study, trial, n_mom, thr, scale, side."""
+    packed = (trials.select(F.col(study).alias(key), "trial", "n_mom", "thr", "scale", "side")
+              .groupBy(key, F.floor(F.col("trial") / F.lit(TRIALS_PER_ROW)).alias("_part"))
+              .agg(F.collect_list(F.struct("trial", "n_mom", "thr", "scale", "side")).alias("_t")))
+    moms = [f"mom_{n}" for n in ns]
+    j = (rows.select(key, F.col(y).cast("double").alias("y"), *moms)
+         .join(packed.drop("_part"), key)
+         .withColumn("t", F.explode("_t")).drop("_t"))
+    p = momentum_proba(momentum_of(ns, F.col("t.n_mom")), F.col("t.thr"), F.col("t.scale"),
+                       F.col("t.side"))
+    return (j.select(key, F.col("t.trial").alias("trial"), "y", p.alias("p"))
+            .withColumn("pred", (F.col("p") >= 0.5).cast("double")))
+
+
+def evaluate_trials(rows: DataFrame, trials: DataFrame, ns, key: str = "ticker",
+                    study: str = "study", y: str = "target") -> DataFrame:
+    """H3: objective = directional accuracy per (study, trial); also Sharpe
+    and MAE. A trial without rows scores 0.0."""
+    scored = score_trials(rows, trials, ns, key, study, y)
+    got = scored.groupBy(F.col(key).alias(study), "trial").agg(
+        M.directional_accuracy().alias("value"), M.sharpe().alias("val_sharpe"),
+        M.mae().alias("val_mae"))
+    return (trials.join(got, [study, "trial"], "left")
+            .withColumn("value", F.coalesce("value", F.lit(0.0))))
 
 
 def best_on_test(rows_test: DataFrame, best: DataFrame, ns, key: str = "ticker") -> DataFrame:
     """H5: the best trial of each study scored once on the test rows."""
-    params = best.select(F.col("study").alias(key), "trial", "n_mom", "thr", "scale", "side")
-    scored = score_trial_rows(rows_test, params, ns, key)
+    scored = score_trials(rows_test, best, ns, key).withColumn("split", F.lit("test"))
     return M.evaluate(scored, by=(key, "split"))
 
 
 # --- ML trials ---------------------------------------------------------------
-# boosted-tree space, Spark ML names: maxDepth int [2, 5], stepSize log [0.01, 0.3],
-# subsamplingRate float [0.6, 1.0], featureSubsetStrategy float [0.6, 1.0]
-GBT_SPACE = {"maxDepth": ("int", 2, 5), "stepSize": ("log", 0.01, 0.3),
-             "subsamplingRate": ("float", 0.6, 1.0), "featureSubsetStrategy": ("float", 0.6, 1.0)}
+def tree_config(params: dict) -> dict:
+    """A tree configuration of the space in Spark ML's names. Spark ML has no
+    L1 / L2 terms, so ``reg_alpha`` and ``reg_lambda`` stay in the study only."""
+    names = {"n_estimators": "maxIter", "max_depth": "maxDepth", "learning_rate": "stepSize",
+             "subsample": "subsamplingRate", "min_child_weight": "minInstancesPerNode",
+             "gamma": "minInfoGain"}
+    out = {names[k]: v for k, v in params.items() if k in names}
+    if "colsample_bytree" in params:
+        out["featureSubsetStrategy"] = str(round(float(params["colsample_bytree"]), 4))
+    if "early_stopping_rounds" in params:
+        out["early_stopping_rounds"] = params["early_stopping_rounds"]
+    return out
 
 
 def search_model(seqs: DataFrame, trials: list, name: str = "gbt", base: dict | None = None,
                  threads: int = 4) -> tuple[DataFrame, dict]:
     """H3/H5 for ML models: every trial config is fitted on the train windows
     (val for early stopping) as a concurrent Spark job from a small thread
-    pool; objective = validation directional accuracy, a failing trial
-    scores 0.0. The best trial (K2 rule: highest value, lowest trial) is
-    scored once on the test windows. Returns (study table, best info)."""
+    pool; objective = validation directional accuracy. A trial that fails
+    scores 0.0 and keeps its error in ``state``. Only the best model so far is
+    held; it is scored once on the test windows. Returns (study table, best
+    info)."""
     from concurrent.futures import ThreadPoolExecutor
+    from threading import Lock
 
     from barpanel.operators import models as ML
-    if len(trials) > MAX_TRIALS:
-        raise ValueError("too many trials for one pass")
     tr = seqs.filter(F.col("split") == "train")
     va = seqs.filter(F.col("split") == "val")
+    lock, best = Lock(), {"trial": None, "value": -1.0, "model": None}
 
     def one(t):
-        cfg = {**(base or {}), **{k: v for k, v in t.items() if k != "trial"}}
-        if "featureSubsetStrategy" in cfg:
-            cfg["featureSubsetStrategy"] = str(round(float(cfg["featureSubsetStrategy"]), 4))
+        cfg = {**(base or {}), **tree_config({k: v for k, v in t.items() if k != "trial"})}
         try:
             m = ML.build_model(name, cfg)
-            m.fit(tr, va) if name == "gbt" else m.fit(tr)
+            m.fit(tr, va)
             r = M.evaluate(m.predict(va), by=()).first()
-            return t["trial"], float(r["directional_accuracy"] or 0.0), r["sharpe_ratio"], r["mae"], m
-        except Exception:  # noqa: BLE001 -- a failing trial scores 0.0
-            return t["trial"], 0.0, None, None, None
+        except Exception as e:  # noqa: BLE001  the error is part of the study
+            return t["trial"], 0.0, None, None, f"FAIL: {type(e).__name__}: {e}"[:500]
+        value = float(r["directional_accuracy"] or 0.0)
+        with lock:
+            if (value, -t["trial"]) > (best["value"], -(best["trial"] or 0)):
+                best.update(trial=t["trial"], value=value, model=m)
+        return t["trial"], value, r["sharpe_ratio"], r["mae"], "COMPLETE"
 
     with ThreadPoolExecutor(max_workers=max(1, min(threads, len(trials)))) as ex:
         res = list(ex.map(one, trials))
-    spark = seqs.sparkSession
-    study = spark.createDataFrame([(int(a), float(b), c, d) for a, b, c, d, _ in res],
-                                  "trial bigint, value double, val_sharpe double, val_mae double")
-    best = max(res, key=lambda r: (r[1], -r[0]))
+    study = seqs.sparkSession.createDataFrame(
+        [(int(a), float(b), c, d, e) for a, b, c, d, e in res],
+        "trial bigint, value double, val_sharpe double, val_mae double, state string")
     test = None
-    if best[4] is not None:
-        test = M.evaluate(best[4].predict(seqs.filter(F.col("split") == "test")), by=("split",))
-    return study, {"trial": best[0], "value": best[1], "test": test}
+    if best["model"] is not None:
+        test = M.evaluate(best["model"].predict(seqs.filter(F.col("split") == "test")),
+                          by=("split",))
+    return study, {"trial": best["trial"], "value": best["value"], "test": test}

@@ -6,7 +6,6 @@ import math
 
 from barpanel.constants import FEATURE_COLS
 from barpanel.operators.metrics import linear_weights
-from barpanel.operators.search import MULTIPLIERS, SEED
 from barpanel.plans.oracles import oracle
 from barpanel.plans.present import METRIC, RATIO, sql_date
 from barpanel.plans.sqlparts import PANEL_DAILY, features_ctes, pipeline_sql, split_ctes
@@ -110,33 +109,78 @@ select ticker, {sql_date()}, (row_number() over (partition by ticker order by da
 
 
 # H ---------------------------------------------------------------------------
-def _u(dim: int, seed: int = SEED) -> str:
-    return f"(((trial + {seed}) * {MULTIPLIERS[dim]} + 12345) % 2147483648) / 2147483648.0"
+# Written out from the definition; no constant is shared with the code.
+def _u(parameter: str) -> str:
+    text = f"study || '|' || trial || '|{parameter}|42'"
+    return f"(('0x' || substr(md5({text}), 1, 8))::bigint / 4294967296.0::double)"
 
 
-_la, _lb = math.log(0.001), math.log(0.1)
-TRIALS_CTE = f"""studies as (select distinct o_orderpriority as study from orders),
-tr as (select study, t::bigint as trial from studies, range(0, {N_TRIALS}) r(t)),
-tp as (select study, trial, (2 + floor({_u(0)} * 19))::int as n_mom,
-  -0.02 + {_u(1)} * 0.04 as thr,
-  exp({_la!r} + {_u(2)} * {(_lb - _la)!r}) as scale,
-  case when floor({_u(3)} * 2) = 0 then 'long' else 'contrarian' end as side from tr)"""
+def _int(parameter, lo, hi):
+    return f"({lo} + floor({_u(parameter)} * {hi - lo + 1}))::int"
+
+
+def _real(parameter, lo, hi):
+    return f"({lo!r}::double + {_u(parameter)} * {hi - lo!r}::double)"
+
+
+def _log(parameter, lo, hi):
+    return f"exp({math.log(lo)!r}::double + {_u(parameter)} * {math.log(hi) - math.log(lo)!r}::double)"
+
+
+def _cat(parameter, choices):
+    items = ", ".join(repr(c) for c in choices)
+    return f"([{items}])[floor({_u(parameter)} * {len(choices)})::int + 1]"
+
+
+_TRIALS = f"""studies as (select distinct o_orderpriority as study from orders),
+tr as (select study, t::bigint as trial from studies, range(0, {N_TRIALS}) r(t))"""
+TRIALS_CTE = f"""{_TRIALS},
+tp as (select study, trial, {_int('n_mom', 2, 20)} as n_mom, {_real('thr', -0.02, 0.02)} as thr,
+  {_log('scale', 0.001, 0.1)} as scale, {_cat('side', ['long', 'contrarian'])} as side from tr)"""
 
 oracle("sample_trials", f"""with {TRIALS_CTE}
 select study, trial, n_mom, round(thr, 8) as thr, round(scale, 8) as scale, side from tp""")
 
-_k = "case floor(" + _u(1) + " * 3) when 0 then 2 when 1 then 3 else 5 end"
-_h = "case floor(" + _u(0, SEED + 1) + " * 3) when 0 then 2 when 1 then 4 else 8 end"
-oracle("derived_params", f"""with studies as (select distinct o_orderpriority as study from orders),
-tr as (select study, t::bigint as trial from studies, range(0, {N_TRIALS}) r(t)),
-tcn as (select study, trial, (3 + floor({_u(0)} * 4))::int as n, ({_k})::int as k from tr),
-tft as (select study, trial, ({_h})::int as h, (1 + floor({_u(1, SEED + 1)} * 4))::int as f from tr)
-select study, trial, 'tcn' as model,
-  array_to_string(list_transform(range(n), lambda i: (1 << i)::varchar), ',') as dilations,
-  k as kernel_size, ((k - 1) * ((1 << n) - 1) + 1)::int as receptive_field, null::int as d_model,
-  50 as epochs, 10 as patience, 42 as random_state from tcn
-union all
-select study, trial, 'tft', null::varchar, null::int, null::int, (h * 8 * f)::int, 50, 10, 42 from tft""")
+_INTS = ("n_estimators max_depth min_child_weight hidden_size num_layers num_channels kernel_size "
+         "receptive_field n_heads d_model lstm_layers batch_size epochs patience random_state "
+         "early_stopping_rounds").split()
+_REALS = ("learning_rate subsample colsample_bytree gamma reg_alpha reg_lambda dropout "
+          "grad_clip").split()
+_NET = {"learning_rate": _log("learning_rate", 1e-4, 1e-2),
+        "batch_size": _cat("batch_size", [32, 64, 128]), "grad_clip": _real("grad_clip", 0.5, 5.0)}
+_LEVELS = _int("n_dilation_levels", 3, 6)
+_KERNEL = _cat("kernel_size", [2, 3, 5])
+_HEADS = _cat("n_heads", [2, 4, 8])
+_MODELS = {
+    "xgboost": {"n_estimators": _int("n_estimators", 100, 500), "max_depth": _int("max_depth", 3, 8),
+                "learning_rate": _log("learning_rate", 1e-3, 0.3),
+                "subsample": _real("subsample", 0.6, 1.0),
+                "colsample_bytree": _real("colsample_bytree", 0.6, 1.0),
+                "min_child_weight": _int("min_child_weight", 1, 10),
+                "gamma": _real("gamma", 0.0, 1.0), "reg_alpha": _log("reg_alpha", 1e-4, 10.0),
+                "reg_lambda": _log("reg_lambda", 1e-4, 10.0), "early_stopping_rounds": "30"},
+    "lstm": {**_NET, "hidden_size": _cat("hidden_size", [32, 64, 128, 256]),
+             "num_layers": _int("num_layers", 1, 3), "dropout": _real("dropout", 0.0, 0.5)},
+    "tcn": {**_NET, "num_channels": _cat("num_channels", [32, 64, 128]), "kernel_size": _KERNEL,
+            "dropout": _real("dropout", 0.0, 0.5),
+            "dilations": f"array_to_string(list_transform(range({_LEVELS}), "
+                         "lambda i: (1 << i)::varchar), ',')",
+            "receptive_field": f"(({_KERNEL}) - 1) * ((1 << {_LEVELS}) - 1) + 1"},
+    "tft": {**_NET, "n_heads": _HEADS, "d_model": f"{_HEADS} * 8 * {_int('d_model_factor', 1, 4)}",
+            "lstm_layers": _int("lstm_layers", 1, 2), "dropout": _real("dropout", 0.0, 0.4)},
+}
+
+
+def _model_sql(model: str, cols: dict) -> str:
+    cols = {**cols, "epochs": "50", "patience": "10", "random_state": "42"}
+    parts = [f"({cols.get(c, 'null')})::int as {c}" for c in _INTS]
+    parts += [f"round(({cols.get(c, 'null')})::double, {RATIO}) as {c}" for c in _REALS]
+    return (f"select study, trial, '{model}' as model, ({cols.get('dilations', 'null')})::varchar "
+            f"as dilations, {', '.join(parts)} from tr")
+
+
+oracle("derived_params", f"with {_TRIALS}\n"
+       + "\nunion all\n".join(_model_sql(k, c) for k, c in _MODELS.items()))
 
 _moms = ", ".join(f"close / lag(close, {n}) over w - 1" for n in MOM_NS)
 _mom_list = "[" + ", ".join(f"mom_{n}" for n in MOM_NS) + "]"

@@ -17,7 +17,8 @@ from barpanel.functions import scalars as P
 from barpanel.operators import features as FT
 from barpanel.operators import windows as Wn
 from barpanel.operators.ewm import alpha_from, ewm_columns
-from barpanel.plans.layout import PLAIN, AutoLayout, SeriesLayout, blocked, resolve
+from barpanel.plans.layout import (PLAIN, AutoLayout, SeriesLayout, blocked, materialize,
+                                   resolve)
 from barpanel.plans.present import RATIO, spark_round
 from barpanel.sources.fixtures import panel_daily, panel_dirty, panel_hourly
 
@@ -39,6 +40,13 @@ def layout_for(df, order=None) -> SeriesLayout:
     return resolve(default_layout(), df, order)
 
 
+def laid_panel(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, SeriesLayout]:
+    """The daily panel and its layout. The bars are written once, so that the
+    size check of the layout does not read the source a second time."""
+    panel = materialize(panel_daily(spark, sf_dir))
+    return panel, layout_for(panel)
+
+
 REGISTRY: dict = {}
 
 
@@ -50,17 +58,16 @@ def query(name: str):
 
 
 def _prepared(spark: SparkSession, sf_dir: str, layout: SeriesLayout | None = None) -> dict:
-    panel = panel_daily(spark, sf_dir)
-    lay = layout or layout_for(panel)
-    return FT.prepare_panel(panel, lay)
+    panel, lay = laid_panel(spark, sf_dir)
+    return FT.prepare_panel(panel, layout or lay)
 
 
 # ---------------------------------------------------------------------------
 # W / P: single window operators on the daily panel
 # ---------------------------------------------------------------------------
 def _windowed(spark, sf_dir, build, cols, layout=None) -> DataFrame:
-    panel = panel_daily(spark, sf_dir)
-    lay = (layout or layout_for(panel))
+    panel, lay = laid_panel(spark, sf_dir)
+    lay = layout or lay
     lay = lay.with_halo(*Wn.feature_halo())
     df = lay.prepare(panel.select("ticker", "date", *OHLCV))
     df = build(df, lay)
@@ -183,23 +190,21 @@ def q_tcn(spark, sf_dir):
 @query("feature_frame")
 def q_feature_frame(spark, sf_dir):
     """F1."""
-    p = panel_daily(spark, sf_dir)
-    f = FT.feature_frame(p, layout_for(p))
+    p, lay = laid_panel(spark, sf_dir)
+    f = FT.feature_frame(p, lay)
     return spark_round(f.select("ticker", "date", *FEATURE_COLS, "target"))
 
 
 @query("warmup_report")
 def q_warmup(spark, sf_dir):
     """F2."""
-    p = panel_daily(spark, sf_dir)
-    return FT.warmup_report(p, layout_for(p))
+    return FT.warmup_report(*laid_panel(spark, sf_dir))
 
 
 @query("chrono_split")
 def q_split(spark, sf_dir):
     """split label and position of every complete row."""
-    p = panel_daily(spark, sf_dir)
-    lay = layout_for(p)
+    p, lay = laid_panel(spark, sf_dir)
     s = FT.chrono_split(FT.feature_frame(p, lay), lay, keep_pos=True)
     return spark_round(s.select("ticker", "date", "split", F.col("_pos").alias("pos"),
                                 F.col("_n").alias("n")))
@@ -208,8 +213,7 @@ def q_split(spark, sf_dir):
 @query("leakage_check")
 def q_leak(spark, sf_dir):
     """F4."""
-    p = panel_daily(spark, sf_dir)
-    lay = layout_for(p)
+    p, lay = laid_panel(spark, sf_dir)
     s = FT.chrono_split(FT.feature_frame(p, lay), lay)
     return spark_round(FT.leakage_check(s))
 
@@ -217,8 +221,7 @@ def q_leak(spark, sf_dir):
 @query("split_report")
 def q_split_report(spark, sf_dir):
     """F5."""
-    p = panel_daily(spark, sf_dir)
-    lay = layout_for(p)
+    p, lay = laid_panel(spark, sf_dir)
     s = FT.chrono_split(FT.feature_frame(p, lay), lay)
     return spark_round(FT.split_bounds(s))
 

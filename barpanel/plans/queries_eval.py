@@ -14,7 +14,7 @@ from barpanel.operators import metrics as M
 from barpanel.operators import search as H
 from barpanel.operators import selection as K
 from barpanel.plans.present import METRIC, RATIO, spark_round
-from barpanel.plans.queries import _prepared, layout_for, query
+from barpanel.plans.queries import _prepared, laid_panel, query
 from barpanel.sources import panel_io as IO
 from barpanel.sources.fixtures import panel_daily
 
@@ -186,8 +186,8 @@ def q_a9(spark, sf_dir):
 @query("sort_panel")
 def q_k1(spark, sf_dir):
     """K1: date position of every bar within its ticker."""
-    p = panel_daily(spark, sf_dir)
-    s = K.sort_panel(p, layout_for(p), "pos")
+    p, lay = laid_panel(spark, sf_dir)
+    s = K.sort_panel(p, lay, "pos")
     return s.select("ticker", _d(), "pos")
 
 
@@ -201,30 +201,25 @@ def _trials(spark, sf_dir, n=N_TRIALS):
 
 
 def _search_rows(spark, sf_dir):
-    p = panel_daily(spark, sf_dir)
-    lay = layout_for(p)
+    """Features, momenta and splits of every row, written once per study job:
+    validation and test rows are read from there."""
+    p, lay = laid_panel(spark, sf_dir)
     cols = [f"mom_{n}" for n in MOM_NS]
     feats = FT.feature_frame(p, lay,
                              extra=lambda df, l: H.momentum_columns(df, l, MOM_NS),
                              extra_cols=cols)
-    return FT.chrono_split(feats, lay)
+    rows = FT.chrono_split(feats, lay).select("ticker", "date", "split", "target", *cols)
+    path = IO.scratch_path(spark, "search-rows")
+    rows.write.partitionBy("split").parquet(path)
+    return spark.read.parquet(path)
 
 
-def _trial_list(trials_df):
-    rows = (trials_df.select("trial", "n_mom", "thr", "scale", "side").distinct()
-            .orderBy("trial").limit(H.MAX_TRIALS + 1).collect())
-    return [r.asDict() for r in rows]
-
-
-def _study_results(spark, sf_dir, trial_filter=None):
-    rows = _search_rows(spark, sf_dir)
-    val = rows.filter(F.col("split") == "val")
+def _study_results(spark, sf_dir, trial_filter=None, rows=None):
+    rows = _search_rows(spark, sf_dir) if rows is None else rows
     trials = _trials(spark, sf_dir)
     if trial_filter is not None:
         trials = trials.filter(trial_filter)
-    res = H.evaluate_trials(val, _trial_list(trials))
-    res = res.withColumnRenamed("ticker", "study")
-    return res.join(trials, ["study", "trial"]), rows
+    return H.evaluate_trials(rows.filter(F.col("split") == "val"), trials, MOM_NS), rows
 
 
 @query("sample_trials")
@@ -237,20 +232,24 @@ def q_h1(spark, sf_dir):
 
 @query("derived_params")
 def q_h2(spark, sf_dir):
-    """H2: network configurations with derived dilations / d_model."""
+    """H2: configurations of all four models with derived dilations / d_model."""
     st = _studies(spark, sf_dir)
-    tcn = H.derived_params(H.sample_trials(st, N_TRIALS, H.TCN_SPACE))
-    tft = H.derived_params(H.sample_trials(st, N_TRIALS, H.TFT_SPACE, seed=H.SEED + 1))
-    a = tcn.select("study", "trial", F.lit("tcn").alias("model"),
-                   F.array_join("dilations", ",").alias("dilations"), "kernel_size",
-                   "receptive_field", F.lit(None).cast("int").alias("d_model"),
-                   "epochs", "patience", "random_state")
-    b = tft.select("study", "trial", F.lit("tft").alias("model"),
-                   F.lit(None).cast("string").alias("dilations"),
-                   F.lit(None).cast("int").alias("kernel_size"),
-                   F.lit(None).cast("int").alias("receptive_field"), "d_model",
-                   "epochs", "patience", "random_state")
-    return a.unionByName(b)
+    ints = ["n_estimators", "max_depth", "min_child_weight", "hidden_size", "num_layers",
+            "num_channels", "kernel_size", "receptive_field", "n_heads", "d_model", "lstm_layers",
+            "batch_size", "epochs", "patience", "random_state", "early_stopping_rounds"]
+    reals = ["learning_rate", "subsample", "colsample_bytree", "gamma", "reg_alpha", "reg_lambda",
+             "dropout", "grad_clip"]
+    out = None
+    for model, space in H.SPACES.items():
+        t = H.derived_params(H.sample_trials(st, N_TRIALS, space))
+        cols = [F.col(c).cast("int").alias(c) if c in t.columns
+                else F.lit(None).cast("int").alias(c) for c in ints]
+        cols += [F.round(c, RATIO).alias(c) if c in t.columns
+                 else F.lit(None).cast("double").alias(c) for c in reals]
+        dil = F.array_join("dilations", ",") if "dilations" in t.columns else F.lit(None).cast("string")
+        t = t.select("study", "trial", F.lit(model).alias("model"), dil.alias("dilations"), *cols)
+        out = t if out is None else out.unionByName(t)
+    return out
 
 
 def _round_results(r):
@@ -270,15 +269,13 @@ def q_h3(spark, sf_dir):
 def q_h4(spark, sf_dir):
     """H4: a stored partial study (first 15 trials) is resumed: only the
     remaining trials (anti join against the store) are evaluated."""
-    first, _ = _study_results(spark, sf_dir, F.col("trial") < 15)
+    first, rows = _study_results(spark, sf_dir, F.col("trial") < 15)
     path = IO.scratch_path(spark, "study")
     first.write.mode("overwrite").parquet(path)
     stored = spark.read.parquet(path)
-    wanted = _trials(spark, sf_dir)
-    remaining = wanted.join(stored.select("study", "trial"), ["study", "trial"], "left_anti")
-    rows = _search_rows(spark, sf_dir).filter(F.col("split") == "val")
-    more = H.evaluate_trials(rows, _trial_list(remaining)).withColumnRenamed("ticker", "study")
-    more = more.join(remaining, ["study", "trial"])
+    remaining = _trials(spark, sf_dir).join(stored.select("study", "trial"),
+                                            ["study", "trial"], "left_anti")
+    more = H.evaluate_trials(rows.filter(F.col("split") == "val"), remaining, MOM_NS)
     return _round_results(stored.unionByName(more.select(*stored.columns)))
 
 
