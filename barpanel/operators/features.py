@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from barpanel.constants import DEFAULT_WINDOW, FEATURE_COLS, OHLCV, TEST_PCT, VAL_PCT
 from barpanel.functions import scalars as P
 from barpanel.operators import windows as Wn
-from barpanel.plans.layout import PLAIN, SeriesLayout, broadcast_if_small, materialize
+from barpanel.plans.layout import PLAIN, SeriesLayout, materialize
 
 
 # ---------------------------------------------------------------------------
@@ -144,10 +144,9 @@ def params_long(params: DataFrame, key: str = "ticker", cols=FEATURE_COLS) -> Da
 def apply_minmax(df: DataFrame, params: DataFrame, key: str = "ticker",
                  cols=FEATURE_COLS) -> DataFrame:
     """Scale with stored params. The params table has one row per
-    ticker; it is broadcast after a size check, otherwise shuffle-joined
+    ticker; its size in bytes decides between broadcast and shuffle join
     (AQE splits a hot ticker)."""
-    p = broadcast_if_small(params)
-    j = df.join(p, key)
+    j = df.join(params, key)
     scaled = {c: P.minmax_scale(F.col(c).cast("double"), f"min_{c}", f"max_{c}") for c in cols}
     return j.withColumns(scaled).drop(*[f"{m}_{c}" for c in cols for m in ("min", "max")])
 
@@ -217,9 +216,9 @@ def prepare_panel(panel: DataFrame, layout: SeriesLayout = PLAIN,
     Returns the frames of every stage; ``sequences`` is the final tensor table.
     """
     feats = feature_frame(panel, layout)
-    # used twice (train-only fit and the scaling join): computed once, kept
-    # in memory with spill to disk
-    split = chrono_split(feats, layout, keep_pos=True).persist()
+    # read twice (train-only fit and the scaling join): written once; the
+    # checkpoint goes with the frame, so nothing stays cached
+    split = materialize(chrono_split(feats, layout, keep_pos=True))
     scaled, params = normalize_splits(split, layout.key)
     seqs = sliding_sequences(scaled, layout, window)
     return {"features": feats, "split": split, "params": params,

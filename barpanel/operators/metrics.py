@@ -93,9 +93,7 @@ def class_balance(df: DataFrame, by=("ticker",), y: str = "y") -> DataFrame:
 def with_class_weight(df: DataFrame, balance: DataFrame, by=("ticker",), y: str = "y",
                       out: str = "weight") -> DataFrame:
     """A8 as a weight column: positives weigh n_neg / n_pos."""
-    from barpanel.plans.layout import broadcast_if_small
-    b = broadcast_if_small(balance.select(*by, "scale_pos_weight"))
-    return (df.join(b, list(by))
+    return (df.join(balance.select(*by, "scale_pos_weight"), list(by))
             .withColumn(out, F.when(F.col(y) == 1, F.col("scale_pos_weight")).otherwise(1.0))
             .drop("scale_pos_weight"))
 

@@ -5,11 +5,11 @@ null -> forward fill -> backward fill (leading gap) -> volume null -> 0 ->
 keep the first row per date in ingest order -> sort by date. The fills run in
 *ingest order* (``seq``), before the de-duplication.
 
-Forward fill looks back without bound, so it cannot use a halo. Under the
-blocked layout it is a two-level scan instead: a fill inside each block, and
-for a block's leading gap the last value of the earlier blocks, found on a
-per-block summary (one row per block). The backward fill only ever fills the
-series' leading gap, from the series' first value (a per-ticker summary).
+A fill looks back (or ahead) without bound, so it cannot use a halo. Under the
+blocked layout it is a two-level scan instead: a fill inside each block, and for
+what is left the nearest value of the earlier (later) blocks, found on a
+per-block summary (one row per block). Frames only ever grow, also backward (the
+order is reversed), so a fill is linear in the rows.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barpanel.constants import MAX_NULL_RATE, OHLC, OHLCV
-from barpanel.plans.layout import PLAIN, SeriesLayout, broadcast_if_small
+from barpanel.plans.layout import PLAIN, SeriesLayout, materialize
 
 
 # ---------------------------------------------------------------------------
@@ -32,20 +32,23 @@ def null_rates(raw: DataFrame, key: str = "ticker", cols=OHLCV) -> DataFrame:
 
 
 def validate_gate(raw: DataFrame, key: str = "ticker", cols=OHLCV,
-                  max_rate: float = MAX_NULL_RATE) -> DataFrame:
+                  max_rate: float = MAX_NULL_RATE, requested: DataFrame | None = None) -> DataFrame:
     """Q2: ``ok`` unless the key has no rows or a column's null rate > max_rate
-    (a rate of exactly max_rate passes)."""
+    (a rate of exactly max_rate passes). With ``requested`` (a table of keys)
+    every requested key has a row; one without data has 0 rows and fails."""
     r = null_rates(raw, key, cols)
+    if requested is not None:
+        r = requested.select(key).distinct().join(r, key, "left").withColumn(
+            "n_rows", F.coalesce("n_rows", F.lit(0)))
     worst = F.greatest(*[F.col(f"null_{c}") for c in cols])
-    return r.withColumns({"max_null_rate": worst,
-                          "ok": (F.col("n_rows") > 0) & (worst <= F.lit(max_rate))})
+    return r.withColumns({"max_null_rate": worst, "ok": F.coalesce(
+        (F.col("n_rows") > 0) & (worst <= F.lit(max_rate)), F.lit(False))})
 
 
 def keep_valid(raw: DataFrame, gate: DataFrame, key: str = "ticker") -> DataFrame:
-    """Rows of the tickers that pass the gate (semi join on a checked-size
-    one-row-per-ticker table)."""
-    passing = broadcast_if_small(gate.filter(F.col("ok")).select(key))
-    return raw.join(passing, key, "left_semi")
+    """Rows of the tickers that pass the gate (semi join on a one-row-per-ticker
+    table)."""
+    return raw.join(gate.filter(F.col("ok")).select(key), key, "left_semi")
 
 
 # ---------------------------------------------------------------------------
@@ -61,43 +64,44 @@ def _ingest_layout(layout: SeriesLayout, order: str) -> SeriesLayout:
     return replace(layout, order=(order,), halo_back=0, halo_ahead=0)
 
 
-def forward_fill(df: DataFrame, cols=OHLC, layout: SeriesLayout = PLAIN,
-                 order: str = "seq") -> DataFrame:
-    """Q4: carry the last known value forward, per column, in ``order``."""
+def _fill(df: DataFrame, cols, layout: SeriesLayout, order: str, ahead: bool) -> DataFrame:
+    """The nearest known value at or before (``ahead``: at or after) each row."""
     lay = _ingest_layout(layout, order)
     key = lay.key
+
+    def by(c):
+        return F.col(c).desc() if ahead else F.col(c).asc()
+    upto = (Window.unboundedPreceding, 0)
     if not lay.blocked:
-        w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        w = Window.partitionBy(key).orderBy(by(order)).rowsBetween(*upto)
         return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
     d = lay.prepare(df)
-    w = lay.rows(Window.unboundedPreceding, 0)
-    d = d.withColumns({f"_ff_{c}": F.last(c, ignorenulls=True).over(w) for c in cols})
-    # last non-null value of each block, then of all earlier blocks
+    w = Window.partitionBy(key, "_blk").orderBy(by("_rn")).rowsBetween(*upto)
+    d = materialize(d.withColumns({f"_in_{c}": F.last(c, ignorenulls=True).over(w) for c in cols}))
+    # the value nearest to the next block, then to any block after it
+    pick = F.min_by if ahead else F.max_by
     summ = d.groupBy(key, "_blk").agg(*[
-        F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_rn"))).alias(f"_bl_{c}") for c in cols])
-    before = Window.partitionBy(key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+        pick(c, F.when(F.col(c).isNotNull(), F.col("_rn"))).alias(f"_bl_{c}") for c in cols])
+    beyond = Window.partitionBy(key).orderBy(by("_blk")).rowsBetween(Window.unboundedPreceding, -1)
     summ = summ.select(key, "_blk", *[
-        F.last(f"_bl_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}") for c in cols])
-    d = d.join(broadcast_if_small(summ), [key, "_blk"])
-    d = d.withColumns({c: F.coalesce(f"_ff_{c}", f"_carry_{c}") for c in cols})
+        F.last(f"_bl_{c}", ignorenulls=True).over(beyond).alias(f"_carry_{c}") for c in cols])
+    d = d.join(summ, [key, "_blk"])
+    d = d.withColumns({c: F.coalesce(f"_in_{c}", f"_carry_{c}") for c in cols})
     return lay.finish(d, keep_ordinal=False).drop(
-        *[f"_{p}_{c}" for c in cols for p in ("ff", "carry")])
+        *[f"_{p}_{c}" for c in cols for p in ("in", "carry")])
+
+
+def forward_fill(df: DataFrame, cols=OHLC, layout: SeriesLayout = PLAIN,
+                 order: str = "seq") -> DataFrame:
+    """Q4: carry the last known value forward, per column, in ``order``."""
+    return _fill(df, cols, layout, order, ahead=False)
 
 
 def backward_fill(df: DataFrame, cols=OHLC, layout: SeriesLayout = PLAIN,
                   order: str = "seq") -> DataFrame:
-    """Q5: after ``forward_fill`` only a leading gap is left; fill it with the
-    series' first value (``first(ignorenulls)`` to the end of the series)."""
-    key = layout.key
-    if not layout.blocked:
-        w = Window.partitionBy(key).orderBy(order).rowsBetween(0, Window.unboundedFollowing)
-        return df.withColumns({c: F.coalesce(F.col(c), F.first(c, ignorenulls=True).over(w))
-                               for c in cols})
-    firsts = df.groupBy(key).agg(*[
-        F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_first_{c}") for c in cols])
-    d = df.join(broadcast_if_small(firsts), key)
-    return d.withColumns({c: F.coalesce(c, f"_first_{c}") for c in cols}).drop(
-        *[f"_first_{c}" for c in cols])
+    """Q5: carry the next known value backward; after Q4 only a leading gap is
+    left to fill."""
+    return _fill(df, cols, layout, order, ahead=True)
 
 
 def fill_volume(df: DataFrame, col: str = "volume") -> DataFrame:

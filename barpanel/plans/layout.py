@@ -30,13 +30,10 @@ from pyspark.sql import functions as F
 
 from barpanel.session import shuffle_partitions
 
-# Summaries broadcast below this many rows; above, a shuffle join is used.
-BROADCAST_ROWS = 2_000_000
-
-
 def with_ordinal(df: DataFrame, key: str, order: list[str], out: str = "_rn",
                  partitions: int | None = None) -> DataFrame:
-    """Add a 0-based ordinal of each row within its ``key``, by ``order``.
+    """Add a 0-based ordinal of each row within its ``key``, by ``order``. The
+    summary is joined without a hint: sizes in bytes decide.
 
     ``order`` must be unique within a key (it is the series' time axis plus a
     tie-breaker). Skew-safe: no window or group holds a whole key.
@@ -56,21 +53,10 @@ def with_ordinal(df: DataFrame, key: str, order: list[str], out: str = "_rn",
         Window.unboundedPreceding, -1)
     summ = summ.select(key, "_pid", "_m0",
                        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    summ = broadcast_if_small(summ)
     return (r.join(summ, [key, "_pid"])
             .select(*df.columns, (F.col("_mid") - F.col("_m0") + F.col("_off")).alias(out)))
 
 
-def broadcast_if_small(small: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a summary only after checking its size; larger summaries go
-    through a shuffle join. The summary is persisted so the check and the join
-    share one computation of it."""
-    small = small.persist()
-    if small.count() <= limit:
-        return F.broadcast(small)
-    return small
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage at a stage boundary: a reliable checkpoint written to
     the shared folder named by ``spark.checkpoint.dir`` (survives lost
@@ -175,7 +161,6 @@ class SeriesLayout:
             self.key, "_blk",
             F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_boff"),
             F.sum("_bn").over(whole).alias(count))
-        per_blk = broadcast_if_small(per_blk)
         return (local.join(per_blk, [self.key, "_blk"])
                 .withColumn(pos, F.col("_loc") + F.col("_boff"))
                 .drop("_loc", "_boff"))

@@ -15,8 +15,8 @@ from barpanel.sources.fixtures import panel_daily, panel_dirty, panel_hourly, ta
 _DIRTY_DIGITS = {"volume": 4}
 
 
-def _dirty(spark, sf_dir):
-    return panel_dirty(spark, sf_dir)
+def _dirty(spark, sf_dir, missing="null"):
+    return IO.nan_to_null(panel_dirty(spark, sf_dir, missing))
 
 
 # Q ---------------------------------------------------------------------------

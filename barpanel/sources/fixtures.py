@@ -39,34 +39,44 @@ def panel_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bars(e, F.col("event_type"), F.date_trunc("hour", "ts"), "value", "event_id")
 
 
-def panel_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+def requested_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a collection asks for: every ticker of the panel and one that has
+    no data."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("ticker")).distinct()
+    return o.unionByName(o.agg(F.lit("9.ABSENT").alias("ticker")))
+
+
+def panel_dirty(spark: SparkSession, sf_dir: str, missing: str = "null") -> DataFrame:
     """The daily panel with injected defects, in ingest order ``seq``.
 
     Columns: ticker, date, open, high, low, close, volume (DOUBLE), rev, seq.
-    A real ingest log carries ``seq``; this fixture derives it from
-    (date, rev) with a per-ticker row number, which is fine for the five
-    fixture series (the cleaning operators themselves are skew-safe).
+    Missing prices are NULL or, with ``missing="nan"``, NaN as a file of floats
+    would hold them; every reader passes ``panel_io.nan_to_null``. A real ingest
+    log carries ``seq``; here it numbers (date, rev) per ticker by the range
+    partitions of ``with_ordinal``, so no ticker is held by one task.
     """
+    from barpanel.plans.layout import with_ordinal
     p = panel_daily(spark, sf_dir).withColumn("volume", F.col("volume").cast("double"))
     d = F.dayofmonth("date")
     m = F.month("date")
+    gap = F.lit(None if missing == "null" else float("nan")).cast("double")
     all_null = d == 29
-    open_null = (d == 3) & (m % 2 == 1)
+    # the first days of every series lack an open: a leading gap
+    open_null = ((d == 3) & (m % 2 == 1)) | (F.col("date") < F.lit("1992-01-05").cast("date"))
     close_null = ((d == 17) & (m % 2 == 0)) | (
         (F.col("ticker") == "5-LOW") & d.isin(11, 22))
     vol_null = d == 13
     base = p.select(
         "ticker", "date",
-        F.when(all_null | open_null, None).otherwise(F.col("open")).alias("open"),
-        F.when(all_null, None).otherwise(F.col("high")).alias("high"),
-        F.when(all_null, None).otherwise(F.col("low")).alias("low"),
-        F.when(all_null | close_null, None).otherwise(F.col("close")).alias("close"),
-        F.when(vol_null, None).otherwise(F.col("volume")).alias("volume"),
+        F.when(all_null | open_null, gap).otherwise(F.col("open")).alias("open"),
+        F.when(all_null, gap).otherwise(F.col("high")).alias("high"),
+        F.when(all_null, gap).otherwise(F.col("low")).alias("low"),
+        F.when(all_null | close_null, gap).otherwise(F.col("close")).alias("close"),
+        F.when(vol_null, gap).otherwise(F.col("volume")).alias("volume"),
         F.lit(1).alias("rev"))
     dup = (base.filter(F.dayofmonth("date") == 7)
            .select("ticker", "date",
                    *[(F.col(c) + 1).alias(c) for c in ("open", "high", "low", "close")],
                    "volume", F.lit(2).alias("rev")))
-    from pyspark.sql import Window
-    w = Window.partitionBy("ticker").orderBy("date", "rev")
-    return base.unionByName(dup).withColumn("seq", F.row_number().over(w).cast("bigint"))
+    n = with_ordinal(base.unionByName(dup), "ticker", ["date", "rev"], "_n")
+    return n.withColumn("seq", (F.col("_n") + 1).cast("bigint")).drop("_n")

@@ -32,6 +32,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """Ingest rule: NaN is a missing value. Every float column of a panel that
+    enters the library passes here, so that null rates, fills, windows and
+    targets see NULL."""
+    floats = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
+    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast(df.schema[c].dataType))
+                           for c in floats}) if floats else df
+
+
 def scan_panel(df: DataFrame, tickers=None, start=None, end=None,
                key: str = "ticker", date: str = "date") -> DataFrame:
     """Rows of the chosen tickers in [start, end) (end exclusive)."""
@@ -47,7 +56,7 @@ def scan_panel(df: DataFrame, tickers=None, start=None, end=None,
 
 def read_panel(spark: SparkSession, path: str, tickers=None, start=None, end=None) -> DataFrame:
     """S1 over a stored panel: partition pruning on ticker, pushdown on date."""
-    return scan_panel(spark.read.parquet(path), tickers, start, end)
+    return nan_to_null(scan_panel(spark.read.parquet(path), tickers, start, end))
 
 
 def require_columns(df: DataFrame, cols=OHLCV) -> DataFrame:
