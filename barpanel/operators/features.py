@@ -91,16 +91,33 @@ def chrono_split(features: DataFrame, layout: SeriesLayout = PLAIN,
     return df
 
 
-def split_bounds(split_df: DataFrame, key: str = "ticker", order: str = "date") -> DataFrame:
-    """Per ticker × split: rows, first and last date."""
-    return (split_df.groupBy(key, "split")
-            .agg(F.count(F.lit(1)).alias("n_rows"),
-                 F.min(order).alias("start"), F.max(order).alias("end")))
+SPLITS = ("train", "val", "test")
 
 
-def leakage_check(split_df: DataFrame, key: str = "ticker", order: str = "date") -> DataFrame:
+def requested_splits(requested: DataFrame, key: str = "ticker") -> DataFrame:
+    """Every requested ticker with every split."""
+    return requested.select(key).distinct().withColumn(
+        "split", F.explode(F.array(*[F.lit(x) for x in SPLITS])))
+
+
+def split_bounds(split_df: DataFrame, key: str = "ticker", order: str = "date",
+                 requested: DataFrame | None = None) -> DataFrame:
+    """Per ticker × split: rows, first and last date (F5). With ``requested``
+    (a table of tickers) empty splits and absent tickers have 0 rows."""
+    r = (split_df.groupBy(key, "split")
+         .agg(F.count(F.lit(1)).alias("n_rows"),
+              F.min(order).alias("start"), F.max(order).alias("end")))
+    if requested is None:
+        return r
+    return requested_splits(requested, key).join(r, [key, "split"], "left").withColumn(
+        "n_rows", F.coalesce("n_rows", F.lit(0)))
+
+
+def leakage_check(split_df: DataFrame, key: str = "ticker", order: str = "date",
+                  requested: DataFrame | None = None) -> DataFrame:
     """per ticker ``ok`` = max(train) < min(val) and max(val) < min(test).
-    An empty split gives NULL bounds and hence ``ok`` = false."""
+    An empty split gives NULL bounds and hence ``ok`` = false; with
+    ``requested`` so does a ticker without any complete row."""
     o = F.col(order)
     s = F.col("split")
     r = split_df.groupBy(key).agg(
@@ -108,14 +125,18 @@ def leakage_check(split_df: DataFrame, key: str = "ticker", order: str = "date")
         F.min(F.when(s == "val", o)).alias("val_min"),
         F.max(F.when(s == "val", o)).alias("val_max"),
         F.min(F.when(s == "test", o)).alias("test_min"))
+    if requested is not None:
+        r = requested.select(key).distinct().join(r, key, "left")
     ok = (F.col("train_max") < F.col("val_min")) & (F.col("val_max") < F.col("test_min"))
     return r.withColumn("ok", F.coalesce(ok, F.lit(False)))
 
 
 def assert_no_leakage(split_df: DataFrame, key: str = "ticker", order: str = "date") -> None:
-    bad = leakage_check(split_df, key, order).filter(~F.col("ok")).select(key).limit(20).collect()
-    if bad:
-        raise AssertionError(f"leakage or empty split for {[r[0] for r in bad]}")
+    bad = leakage_check(split_df, key, order).filter(~F.col("ok")).select(key)
+    n = bad.count()
+    if n:
+        some = [r[0] for r in bad.limit(20).collect()]
+        raise AssertionError(f"leakage or empty split for {n} tickers, among them {some}")
 
 
 # ---------------------------------------------------------------------------
@@ -198,12 +219,20 @@ def sliding_sequences(scaled: DataFrame, layout: SeriesLayout = PLAIN,
                      F.col("target").cast("bigint").alias("y"))
 
 
-def sequence_report(seqs: DataFrame, key: str = "ticker") -> DataFrame:
-    """N, window and n_features per ticker × split."""
-    return (seqs.groupBy(key, "split")
-            .agg(F.count(F.lit(1)).alias("n_seq"),
-                 F.max(F.size("seq")).cast("int").alias("window"),
-                 F.max(F.size(F.element_at("seq", 1))).cast("int").alias("n_features")))
+def sequence_report(seqs: DataFrame, key: str = "ticker", window: int = DEFAULT_WINDOW,
+                    n_features: int = len(FEATURE_COLS),
+                    requested: DataFrame | None = None) -> DataFrame:
+    """N, window and n_features per ticker × split; with ``requested`` also
+    where there is no window."""
+    r = (seqs.groupBy(key, "split")
+         .agg(F.count(F.lit(1)).alias("n_seq"),
+              F.max(F.size("seq")).cast("int").alias("window"),
+              F.max(F.size(F.element_at("seq", 1))).cast("int").alias("n_features")))
+    if requested is None:
+        return r
+    return requested_splits(requested, key).join(r, [key, "split"], "left").withColumns({
+        "n_seq": F.coalesce("n_seq", F.lit(0)), "window": F.coalesce("window", F.lit(window)),
+        "n_features": F.coalesce("n_features", F.lit(n_features))})
 
 
 # ---------------------------------------------------------------------------
@@ -223,3 +252,22 @@ def prepare_panel(panel: DataFrame, layout: SeriesLayout = PLAIN,
     seqs = sliding_sequences(scaled, layout, window)
     return {"features": feats, "split": split, "params": params,
             "scaled": scaled, "sequences": seqs}
+
+
+def prepare_report(stages: dict, requested: DataFrame, key: str = "ticker",
+                   order: str = "date") -> DataFrame:
+    """outcome per requested ticker × split: windows, their shape, ups and
+    dates, and ``status``: OK if the ticker's splits are all there and in order,
+    FAIL for tickers that are absent, too short or without complete rows."""
+    seqs = stages["sequences"]
+    # the grouped facts once; a second aggregate over them gives the windows
+    facts = seqs.groupBy(key, "split").agg(
+        F.count(F.lit(1)).alias("n_seq"), F.max(F.size("seq")).cast("int").alias("window"),
+        F.max(F.size(F.element_at("seq", 1))).cast("int").alias("n_features"),
+        F.sum("y").cast("bigint").alias("n_up"),
+        F.min(order).alias("first_date"), F.max(order).alias("last_date"))
+    gate = leakage_check(stages["split"], key, order, requested).select(
+        key, F.when(F.col("ok"), "OK").otherwise("FAIL").alias("status"))
+    return (requested_splits(requested, key).join(facts, [key, "split"], "left").join(gate, key)
+            .withColumns({"n_seq": F.coalesce("n_seq", F.lit(0)),
+                          "n_up": F.coalesce("n_up", F.lit(0))}))

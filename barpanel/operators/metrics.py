@@ -69,16 +69,20 @@ def metrics_long(metrics: DataFrame, by=("ticker",), split: str = "split") -> Da
 
 
 def result_table(metrics: DataFrame, key: str = "ticker", split: str = "test") -> DataFrame:
-    """One summary row per ticker, accuracy shown as a percentage. The
-    metrics are already rounded to 4 digits and shown in full (no second
-    rounding, whose ties would differ between engines)."""
+    """One summary row per ticker: accuracy as a percentage with one
+    decimal, Sharpe with two, MAE and RMSE with four. Rounded half up in
+    decimal arithmetic from the 4-digit metrics, so ties round alike in any
+    engine."""
     m = metrics.filter(F.col("split") == split)
+
+    def fixed(c: Column, digits: int) -> Column:
+        return F.round(c.cast("decimal(20,6)"), digits).cast(f"decimal(20,{digits})").cast("string")
+    acc = F.round(F.col("directional_accuracy"), 4).cast("decimal(20,6)") * F.lit(100)
     return m.select(
-        key, "n",
-        F.format_string("%.2f%%", F.col("directional_accuracy") * 100).alias("accuracy"),
-        F.format_string("%.4f", F.col("sharpe_ratio")).alias("sharpe"),
-        F.format_string("%.4f", F.col("mae")).alias("mae"),
-        F.format_string("%.4f", F.col("rmse")).alias("rmse")).orderBy(key)
+        key, "n", F.concat(fixed(acc, 1), F.lit("%")).alias("accuracy"),
+        fixed(F.round("sharpe_ratio", 4), 2).alias("sharpe"),
+        fixed(F.round("mae", 4), 4).alias("mae"),
+        fixed(F.round("rmse", 4), 4).alias("rmse")).orderBy(key)
 
 
 def class_balance(df: DataFrame, by=("ticker",), y: str = "y") -> DataFrame:

@@ -66,16 +66,21 @@ select ticker, count(*)::bigint as n_before,
 from fx_all group by ticker""")
 oracle("chrono_split", pipeline_sql(
     f"select ticker, {sql_date()}, split, pos::bigint as pos, n::bigint as n from sp", upto="sp"))
-oracle("leakage_check", pipeline_sql("""select ticker,
-  strftime(max(case when split = 'train' then date end), '%Y-%m-%d') as train_max,
-  strftime(min(case when split = 'val' then date end), '%Y-%m-%d') as val_min,
-  strftime(max(case when split = 'val' then date end), '%Y-%m-%d') as val_max,
-  strftime(min(case when split = 'test' then date end), '%Y-%m-%d') as test_min,
-  coalesce(max(case when split = 'train' then date end) < min(case when split = 'val' then date end)
-    and max(case when split = 'val' then date end) < min(case when split = 'test' then date end), false) as ok
-from sp group by ticker""", upto="sp"))
-oracle("split_report", pipeline_sql(f"""select ticker, split, count(*)::bigint as n_rows,
-  {sql_date('start', 'min(date)')}, {sql_date('end', 'max(date)')} from sp group by ticker, split""", upto="sp"))
+REQUESTED = ("(select distinct o_orderpriority as ticker from orders"
+             " union all select '9.ABSENT')")
+REQUESTED_SPLITS = f"(select ticker, unnest(['train', 'val', 'test']) as split from {REQUESTED})"
+_LEAK = f"""leak as (select q.ticker, max(case when split = 'train' then date end) as train_max,
+  min(case when split = 'val' then date end) as val_min,
+  max(case when split = 'val' then date end) as val_max,
+  min(case when split = 'test' then date end) as test_min
+  from {REQUESTED} q left join sp using (ticker) group by q.ticker)"""
+oracle("leakage_check", pipeline_sql(f""", {_LEAK}
+select ticker, strftime(train_max, '%Y-%m-%d') as train_max, strftime(val_min, '%Y-%m-%d') as val_min,
+  strftime(val_max, '%Y-%m-%d') as val_max, strftime(test_min, '%Y-%m-%d') as test_min,
+  coalesce(train_max < val_min and val_max < test_min, false) as ok from leak""", upto="sp"))
+oracle("split_report", pipeline_sql(f"""select q.ticker, q.split, count(sp.ticker)::bigint as n_rows,
+  {sql_date('start', 'min(date)')}, {sql_date('end', 'max(date)')}
+from {REQUESTED_SPLITS} q left join sp using (ticker, split) group by all""", upto="sp"))
 
 _unpivot = " union all ".join(
     f"select ticker, '{c}' as feature, round(min_{c}, {RATIO}) as min, round(max_{c}, {RATIO}) as max from sc_par"
@@ -97,9 +102,14 @@ oracle("sliding_sequences", pipeline_sql(f"""select ticker, split, {sql_date()},
   len(seq)::int as n_steps, round(seq[1][4]::double, {RATIO}) as first_close,
   round(seq[-1][4]::double, {RATIO}) as last_close,
   round(list_sum(list_transform(flatten(seq), lambda x: x::double)), 3) as seq_sum, y from sq"""))
-oracle("sequence_report", pipeline_sql("""select ticker, split, count(*)::bigint as n_seq,
-  max(len(seq))::int as window, max(len(seq[1]))::int as n_features from sq group by ticker, split"""))
-oracle("prepare_panel", pipeline_sql(f"""select ticker, split, count(*)::bigint as n_seq,
-  max(len(seq))::int as window, max(len(seq[1]))::int as n_features, sum(y)::bigint as n_up,
-  {sql_date('first_date', 'min(date)')}, {sql_date('last_date', 'max(date)')} from sq group by ticker, split"""))
+oracle("sequence_report", pipeline_sql(f"""select q.ticker, q.split, count(seq)::bigint as n_seq,
+  coalesce(max(len(seq)), 30)::int as window, coalesce(max(len(seq[1])), 18)::int as n_features
+from {REQUESTED_SPLITS} q left join sq using (ticker, split) group by all"""))
+oracle("prepare_panel", pipeline_sql(f""", {_LEAK}
+select q.ticker, q.split, count(seq)::bigint as n_seq, max(len(seq))::int as window,
+  max(len(seq[1]))::int as n_features, coalesce(sum(y), 0)::bigint as n_up,
+  {sql_date('first_date', 'min(date)')}, {sql_date('last_date', 'max(date)')},
+  max(case when train_max < val_min and val_max < test_min then 'OK' else 'FAIL' end) as status
+from {REQUESTED_SPLITS} q left join sq using (ticker, split) left join leak using (ticker)
+group by q.ticker, q.split"""))
 oracle("scaler_store", ORACLES["normalize_splits"])

@@ -85,8 +85,10 @@ _long = " union all ".join(
     for m in ("directional_accuracy", "mae", "rmse", "sharpe_ratio"))
 oracle("metrics_long", _score_sql(f", {_EVAL}\n{_long}"))
 oracle("result_table", _score_sql(f""", {_EVAL}
-select ticker, n, printf('%.2f%%', directional_accuracy * 100) as accuracy,
-  printf('%.4f', sharpe_ratio) as sharpe, printf('%.4f', mae) as mae, printf('%.4f', rmse) as rmse
+select ticker, n,
+  round(round(directional_accuracy, 4)::decimal(20,6) * 100, 1)::decimal(20,1)::varchar || '%' as accuracy,
+  round(round(sharpe_ratio, 4)::decimal(20,6), 2)::decimal(20,2)::varchar as sharpe,
+  round(mae, 4)::decimal(20,4)::varchar as mae, round(rmse, 4)::decimal(20,4)::varchar as rmse
 from ev where split = 'test'"""))
 oracle("class_balance", _seq_sql("""select ticker, sum((y = 0)::bigint)::bigint as n_neg,
   sum((y = 1)::bigint)::bigint as n_pos,

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from barpanel.constants import FEATURE_COLS
-from barpanel.plans.oracles import oracle
-from barpanel.plans.present import RATIO, sql_date
-from barpanel.plans.sqlparts import PANEL_DAILY, PANEL_DIRTY, PANEL_HOURLY, pipeline_sql
+from barpanel.plans.oracles import ORACLES, REQUESTED, oracle
+from barpanel.plans.present import RATIO, sql_date, sql_round
+from barpanel.plans.sqlparts import (PANEL_DAILY, PANEL_DIRTY, PANEL_HOURLY, features_ctes,
+                                     pipeline_sql)
 
 _D = f"with d as ({PANEL_DIRTY})"
 _P4 = ", ".join(f"round({c}, 4) as {c}" for c in ("open", "high", "low", "close"))
@@ -21,9 +22,11 @@ _RATES = ", ".join(f"round(avg(({c} is null)::int), {RATIO}) as null_{c}"
 _WORST = "greatest(" + ", ".join(f"avg(({c} is null)::int)" for c in ("open", "high", "low", "close", "volume")) + ")"
 
 oracle("null_rate", f"{_D}\nselect ticker, count(*)::bigint as n_rows, {_RATES} from d group by ticker")
-oracle("validate_gate", f"""{_D}
-select ticker, count(*)::bigint as n_rows, round({_WORST}, {RATIO}) as max_null_rate,
-  (count(*) > 0 and {_WORST} <= 0.05) as ok from d group by ticker""")
+_GATE = f"""g as (select ticker, count(*)::bigint as n_rows, {_WORST} as worst from d group by ticker),
+gate as (select ticker, coalesce(n_rows, 0) as n_rows, worst,
+  coalesce(n_rows > 0 and worst <= 0.05, false) as ok from {REQUESTED} q left join g using (ticker))"""
+oracle("validate_gate", f"""{_D}, {_GATE}
+select ticker, n_rows, round(worst, {RATIO}) as max_null_rate, ok from gate""")
 oracle("drop_all_null_ohlc", f"""{_D}
 select ticker, {sql_date()}, seq, rev, {_P4}, round(volume, 4) as volume from d where {_NOT_ALL_NULL}""")
 oracle("ffill", f"""{_D}, q3 as (select * from d where {_NOT_ALL_NULL}),
@@ -62,7 +65,7 @@ oracle("utc_naive_date", f"""with h as ({PANEL_HOURLY})
 select ticker, strftime(date, '%Y-%m-%d %H:%M:%S') as bar, strftime(cast(date as date), '%Y-%m-%d') as day,
   round(close, 4) as close from h""")
 oracle("ticker_slug", f"""with d as ({PANEL_DAILY}), h as ({PANEL_HOURLY}),
-t as (select ticker, count(*)::bigint as n_bars from d group by ticker
+t as (select q.ticker, count(d.ticker)::bigint as n_bars from {REQUESTED} q left join d using (ticker) group by q.ticker
       union all select ticker, count(*)::bigint from h group by ticker)
 select ticker, replace(ticker, '.', '_') as slug, n_bars from t""")
 oracle("write_panel_parquet", f"""with p as ({PANEL_DAILY})
@@ -71,8 +74,7 @@ oracle("write_panel_csv", f"""with p as ({PANEL_DAILY})
 select ticker, {sql_date()}, """ + ", ".join(
     f"printf('%.4f', {c}) as {c}" for c in ("open", "high", "low", "close"))
     + ", volume::varchar as volume from p")
-oracle("collection_manifest", f"""{_D},
-gate as (select ticker, (count(*) > 0 and {_WORST} <= 0.05) as ok from d group by ticker),
+oracle("collection_manifest", f"""{_D}, {_GATE},
 dv as (select * from d where ticker in (select ticker from gate where ok)),
 {CLEAN_SQL.replace('from d where', 'from dv where')},
 st as (select ticker, count(*)::bigint as rows, min(date) as s, max(date) as e from clean group by ticker)
@@ -80,9 +82,27 @@ select g.ticker, case when ok then 'OK' else 'FAILED' end as status,
   case when ok then st.rows end as rows,
   case when ok then strftime(st.s, '%Y-%m-%d') end as start,
   case when ok then strftime(st.e, '%Y-%m-%d') end as "end",
+  '2024-01-31T00:00:00+00:00' as collected_at,
+  '{{"start":"1992-01-01","end":"1998-12-31"}}' as parameters,
   case when ok then '{{"status":"OK","rows":' || st.rows || ',"start":"' || strftime(st.s, '%Y-%m-%d')
     || '","end":"' || strftime(st.e, '%Y-%m-%d') || '"}}' else '{{"status":"FAILED"}}' end as entry
 from gate g left join st using (ticker)""")
+oracle("write_processed_csv", pipeline_sql(
+    "select ticker, split, strftime(date, '%Y-%m-%d') as date, "
+    + ", ".join(f"printf('%.6f', {c}) as {c}" for c in ("open", "high", "low", "close", "volume"))
+    + " from sc", upto="sc"))
+oracle("require_columns", f"""with p as ({PANEL_DAILY})
+select {_P4}, volume from p""")
+for _name in ("null_rate", "validate_gate", "ffill", "clean_panel"):
+    oracle(f"nan_{_name}", ORACLES[_name])  # NaN counts as missing: the same result
+oracle("nan_target_next_up", f"""{_D}, x as (select ticker, date, case when prev <> 0 and close / prev > 0
+    then ln(close / prev) end as r from (select *, lag(close) over (partition by ticker order by date) as prev
+    from d where rev = 1))
+select ticker, {sql_date()}, case when lead(r) over (partition by ticker order by date) > 0
+  then 1 else 0 end as target from x""")
+oracle("nan_feature_frame", f"""{_D}, {CLEAN_SQL},
+{features_ctes('select * from clean')}
+select ticker, {sql_date()}, """ + ", ".join(sql_round(c) for c in FEATURE_COLS) + ", target from fx")
 oracle("write_processed", pipeline_sql(
     f"select ticker, {sql_date()}, split, "
     + ", ".join(f"round({c}, {RATIO}) as {c}" for c in FEATURE_COLS)

@@ -20,7 +20,7 @@ from barpanel.operators.ewm import alpha_from, ewm_columns
 from barpanel.plans.layout import (PLAIN, AutoLayout, SeriesLayout, blocked, materialize,
                                    resolve)
 from barpanel.plans.present import RATIO, spark_round
-from barpanel.sources.fixtures import panel_daily, panel_dirty, panel_hourly
+from barpanel.sources.fixtures import panel_daily, requested_tickers
 
 
 def default_layout():
@@ -215,7 +215,7 @@ def q_leak(spark, sf_dir):
     """F4."""
     p, lay = laid_panel(spark, sf_dir)
     s = FT.chrono_split(FT.feature_frame(p, lay), lay)
-    return spark_round(FT.leakage_check(s))
+    return spark_round(FT.leakage_check(s, requested=requested_tickers(spark, sf_dir)))
 
 
 @query("split_report")
@@ -223,7 +223,7 @@ def q_split_report(spark, sf_dir):
     """F5."""
     p, lay = laid_panel(spark, sf_dir)
     s = FT.chrono_split(FT.feature_frame(p, lay), lay)
-    return spark_round(FT.split_bounds(s))
+    return spark_round(FT.split_bounds(s, requested=requested_tickers(spark, sf_dir)))
 
 
 @query("fit_minmax")
@@ -273,20 +273,16 @@ def q_seq(spark, sf_dir):
 @query("sequence_report")
 def q_seq_report(spark, sf_dir):
     """F9."""
-    return FT.sequence_report(_prepared(spark, sf_dir)["sequences"])
+    return FT.sequence_report(_prepared(spark, sf_dir)["sequences"],
+                              requested=requested_tickers(spark, sf_dir))
 
 
 @query("prepare_panel")
 def q_prepare(spark, sf_dir):
     """F10 (flagship): raw orders -> panel -> features -> split -> scaled ->
-    sequences; per ticker × split: windows, window shape, ups, date range."""
-    sq = _prepared(spark, sf_dir)["sequences"]
-    return spark_round(sq.groupBy("ticker", "split").agg(
-        F.count(F.lit(1)).alias("n_seq"),
-        F.max(F.size("seq")).cast("int").alias("window"),
-        F.max(F.size(F.element_at("seq", 1))).cast("int").alias("n_features"),
-        F.sum("y").cast("bigint").alias("n_up"),
-        F.min("date").alias("first_date"), F.max("date").alias("last_date")))
+    sequences; the outcome of every requested ticker × split."""
+    return spark_round(FT.prepare_report(_prepared(spark, sf_dir),
+                                         requested_tickers(spark, sf_dir)))
 
 
 @query("scaler_store")

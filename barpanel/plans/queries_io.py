@@ -8,9 +8,12 @@ from barpanel.constants import FEATURE_COLS, OHLC, OHLCV
 from barpanel.operators import features as FT
 from barpanel.operators import quality as QL
 from barpanel.plans.present import RATIO, spark_round
+from barpanel.operators import windows as Wn
+from barpanel.plans.layout import materialize
 from barpanel.plans.queries import _prepared, layout_for, query
 from barpanel.sources import panel_io as IO
-from barpanel.sources.fixtures import panel_daily, panel_dirty, panel_hourly, table
+from barpanel.sources.fixtures import (panel_daily, panel_dirty, panel_hourly, requested_tickers,
+                                       table)
 
 _DIRTY_DIGITS = {"volume": 4}
 
@@ -29,7 +32,7 @@ def q_null_rate(spark, sf_dir):
 @query("validate_gate")
 def q_gate(spark, sf_dir):
     """Q2."""
-    g = QL.validate_gate(_dirty(spark, sf_dir))
+    g = QL.validate_gate(_dirty(spark, sf_dir), requested=requested_tickers(spark, sf_dir))
     return spark_round(g.select("ticker", "n_rows", "max_null_rate", "ok"), default=RATIO)
 
 
@@ -43,7 +46,7 @@ def q_drop_all_null(spark, sf_dir):
 @query("ffill")
 def q_ffill(spark, sf_dir):
     """Q4: after Q3, prices carried forward in ingest order."""
-    d = QL.drop_all_null_prices(_dirty(spark, sf_dir))
+    d = materialize(QL.drop_all_null_prices(_dirty(spark, sf_dir)))
     d = QL.forward_fill(d, OHLC, layout_for(d, ["seq"]))
     return spark_round(d.select("ticker", "seq", "date", *OHLC))
 
@@ -51,7 +54,7 @@ def q_ffill(spark, sf_dir):
 @query("bfill")
 def q_bfill(spark, sf_dir):
     """Q5: Q3 -> Q4 -> Q5."""
-    d = QL.drop_all_null_prices(_dirty(spark, sf_dir))
+    d = materialize(QL.drop_all_null_prices(_dirty(spark, sf_dir)))
     lay = layout_for(d, ["seq"])
     d = QL.backward_fill(QL.forward_fill(d, OHLC, lay), OHLC, lay)
     return spark_round(d.select("ticker", "seq", "date", *OHLC))
@@ -74,7 +77,7 @@ def q_dedup(spark, sf_dir):
 @query("clean_panel")
 def q_clean(spark, sf_dir):
     """Q8."""
-    raw = _dirty(spark, sf_dir)
+    raw = materialize(_dirty(spark, sf_dir))
     d = QL.clean_panel(raw, layout_for(raw, ["seq"]))
     return spark_round(d.select("ticker", "date", *OHLCV))
 
@@ -117,7 +120,9 @@ def q_utc(spark, sf_dir):
 @query("ticker_slug")
 def q_slug(spark, sf_dir):
     """File-safe names of every panel's tickers."""
-    t = (panel_daily(spark, sf_dir).groupBy("ticker").agg(F.count(F.lit(1)).alias("n_bars"))
+    t = (requested_tickers(spark, sf_dir).join(
+            panel_daily(spark, sf_dir).groupBy("ticker").agg(F.count(F.lit(1)).alias("n_bars")),
+            "ticker", "left").withColumn("n_bars", F.coalesce("n_bars", F.lit(0)))
          .unionByName(panel_hourly(spark, sf_dir).groupBy("ticker")
                       .agg(F.count(F.lit(1)).alias("n_bars"))))
     return t.select("ticker", IO.ticker_slug("ticker").alias("slug"), "n_bars")
@@ -141,14 +146,87 @@ def q_write_csv(spark, sf_dir):
     return back.select("ticker", "date", *OHLC, "volume")
 
 
+@query("write_processed_csv")
+def q_write_processed_csv(spark, sf_dir):
+    """Scaled splits as CSV with 6 decimals, read back as text."""
+    path = IO.scratch_path(spark, "processed-csv")
+    sc = _prepared(spark, sf_dir)["scaled"].withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+    IO.write_panel_csv(sc.select("ticker", "split", "date", *OHLCV), path, 6, OHLCV)
+    return spark.read.option("header", True).csv(path).select("ticker", "split", "date", *OHLCV)
+
+
+@query("require_columns")
+def q_require_columns(spark, sf_dir):
+    """The price columns of the panel, whatever their case and company."""
+    p = panel_daily(spark, sf_dir)
+    odd = p.select("ticker", "date", *[F.col(c).alias(c.upper()) for c in OHLCV])
+    return spark_round(IO.require_columns(odd))
+
+
+# NaN is missing ---------------------------------------------------------------
+def _nan(spark, sf_dir):
+    return _dirty(spark, sf_dir, "nan")
+
+
+@query("nan_null_rate")
+def q_nan_null_rate(spark, sf_dir):
+    """Q1 on a panel whose gaps are NaN."""
+    return spark_round(QL.null_rates(_nan(spark, sf_dir)), default=RATIO)
+
+
+@query("nan_validate_gate")
+def q_nan_gate(spark, sf_dir):
+    """Q2 on a panel whose gaps are NaN."""
+    g = QL.validate_gate(_nan(spark, sf_dir), requested=requested_tickers(spark, sf_dir))
+    return spark_round(g.select("ticker", "n_rows", "max_null_rate", "ok"), default=RATIO)
+
+
+@query("nan_ffill")
+def q_nan_ffill(spark, sf_dir):
+    """Q4 on a panel whose gaps are NaN."""
+    d = materialize(QL.drop_all_null_prices(_nan(spark, sf_dir)))
+    d = QL.forward_fill(d, OHLC, layout_for(d, ["seq"]))
+    return spark_round(d.select("ticker", "seq", "date", *OHLC))
+
+
+def _nan_clean(spark, sf_dir):
+    raw = materialize(_nan(spark, sf_dir))
+    return materialize(QL.clean_panel(raw, layout_for(raw, ["seq"])))
+
+
+@query("nan_clean_panel")
+def q_nan_clean(spark, sf_dir):
+    """Q8 on a panel whose gaps are NaN."""
+    return spark_round(_nan_clean(spark, sf_dir).select("ticker", "date", *OHLCV))
+
+
+@query("nan_target_next_up")
+def q_nan_target(spark, sf_dir):
+    """W9 on a panel whose gaps are NaN: no return, no rise."""
+    p = materialize(_nan(spark, sf_dir).filter("rev = 1"))
+    lay = layout_for(p).with_halo(2, 2)
+    d = lay.prepare(p.select("ticker", "date", *OHLCV))
+    d = lay.finish(Wn.target_next_up(Wn.log_return(d, lay), lay), keep_ordinal=False)
+    return spark_round(d.select("ticker", "date", "target"))
+
+
+@query("nan_feature_frame")
+def q_nan_features(spark, sf_dir):
+    """F1 on the cleaned panel whose gaps were NaN."""
+    p = _nan_clean(spark, sf_dir)
+    f = FT.feature_frame(p, layout_for(p))
+    return spark_round(f.select("ticker", "date", *FEATURE_COLS, "target"))
+
+
 @query("collection_manifest")
 def q_manifest(spark, sf_dir):
     """Gate the dirty panel, clean the passing tickers, report."""
-    raw = _dirty(spark, sf_dir)
-    gate = QL.validate_gate(raw)
+    raw = materialize(_dirty(spark, sf_dir))  # read by the gate and the cleaning
+    gate = QL.validate_gate(raw, requested=requested_tickers(spark, sf_dir))
     valid = QL.keep_valid(raw, gate)
-    clean = QL.clean_panel(valid, layout_for(valid, ["seq"]))
-    return IO.collection_manifest(raw, gate, clean)
+    clean = QL.clean_panel(valid, layout_for(raw, ["seq"]))
+    return IO.collection_manifest(gate, clean, "2024-01-31T00:00:00+00:00",
+                                  {"start": "1992-01-01", "end": "1998-12-31"})
 
 
 @query("write_processed")

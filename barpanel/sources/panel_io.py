@@ -9,6 +9,7 @@ machine-local folder.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -105,20 +106,24 @@ def write_panel_csv(df: DataFrame, path: str, digits: int = 4, cols=OHLC) -> Non
     format_prices(df, digits, cols).write.mode("overwrite").option("header", True).csv(path)
 
 
-def collection_manifest(raw: DataFrame, gate: DataFrame, clean: DataFrame,
-                        key: str = "ticker", date: str = "date") -> DataFrame:
-    """Per ticker: status, rows, first / last date; FAILED for rejected
-    tickers; ``entry`` is the JSON object of the manifest's ``results`` map."""
+def collection_manifest(gate: DataFrame, clean: DataFrame, collected_at: str,
+                        parameters: dict, key: str = "ticker", date: str = "date") -> DataFrame:
+    """Per ticker of the gate (which has a row for every requested one):
+    status, rows, first / last date; FAILED for rejected and absent tickers;
+    ``entry`` is the JSON object of the manifest's ``results`` map.
+    ``collected_at`` and ``parameters`` (JSON) describe the collection."""
     stats = clean.groupBy(key).agg(F.count(F.lit(1)).alias("rows"),
                                    F.min(date).alias("start"), F.max(date).alias("end"))
     g = gate.select(key, "ok").join(stats, key, "left")
-    ok = F.col("ok")
+    ok = F.col("ok") & F.col("rows").isNotNull()
     out = g.select(
         key,
         F.when(ok, "OK").otherwise("FAILED").alias("status"),
         F.when(ok, F.col("rows")).alias("rows"),
         F.when(ok, F.date_format("start", "yyyy-MM-dd")).alias("start"),
-        F.when(ok, F.date_format("end", "yyyy-MM-dd")).alias("end"))
+        F.when(ok, F.date_format("end", "yyyy-MM-dd")).alias("end"),
+        F.lit(collected_at).alias("collected_at"),
+        F.lit(json.dumps(parameters, separators=(",", ":"))).alias("parameters"))
     return out.withColumn("entry", F.to_json(F.struct("status", "rows", "start", "end")))
 
 
