@@ -66,15 +66,6 @@ def mean_pool(seq, n_features: int) -> Column:
     return F.transform(total, lambda v: v / F.size(s))
 
 
-def softmax(scores) -> Column:
-    """Softmax across an array (max-shifted; sums to 1)."""
-    s = col(scores)
-    m = F.array_max(s)
-    e = F.transform(s, lambda v: F.exp(v - m))
-    tot = F.aggregate(e, F.lit(0.0), lambda acc, v: acc + v)
-    return F.transform(e, lambda v: v / tot)
-
-
 def weighted_sum(weights, values) -> Column:
     """P10: Σ w_i · v_i."""
     prod = F.zip_with(col(weights), col(values), lambda w, v: w * v)
@@ -98,7 +89,3 @@ def realised_return(pred, y) -> Column:
 
 def sigmoid(z) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-col(z)))
-
-
-def round_half_up(x, digits: int) -> Column:
-    return F.round(col(x), digits)

@@ -2,25 +2,25 @@
 
 ``y_0 = x_0``, ``y_t = (1-α) y_{t-1} + α x_t`` (the ``adjust=False`` form),
 starting at the first non-null value; null inputs are skipped (the output
-carries the last value). The map ``y -> a·y + α·x`` (a = 1-α) is affine and
-therefore associative, which gives a block scan out of ordinary window
-functions:
-
-* rows of a window partition are cut into sub-blocks of ``S`` rows, with
-  ``S·ln(1/a) <= 500`` so the closed form ``a^c · Σ w·x·a^-c`` over one
-  sub-block cannot overflow;
-* a sub-block's ends ``(L, Δ)`` (local value, number of observations) are
-  gathered with ``collect_list`` over the preceding rows -- at most
-  ``rows/S`` short structs -- and folded by ``aggregate`` into the carry;
-* ``y = loc + a^c · carry``.
-
-One sort for the sub-block partition, one for the series order, for all the
-EWMs of a pass together; no join, no UDF.
-
-In the blocked layout each window partition starts ``halo`` rows before the
-block. Starting from an empty state there changes a value by ``a^k · y`` with
-``k >= memory_rows(α)``, where ``a^k`` already underflows to 0.0 in double
-precision: the block's own rows get the per-series result.
+carries the last value). With ``y_in = x_0`` as the state before the first
+observation every step is the same affine map, which gives a block scan out of
+ordinary window functions:
+
+* observations (not rows) are numbered and cut into sub-blocks of ``S`` of them,
+  with ``37 <= S·ln(1/a) <= 500`` (a = 1-α): the closed form
+  ``a^c · Σ α·x·a^-c`` over a sub-block cannot overflow, and what a sub-block
+  inherits from the one before the last is below double precision. So the
+  carry of a sub-block is the value at the end of the one before, found by
+  ``last(ignorenulls)`` over the growing frame: linear in the rows;
+* ``y = loc + a^c · carry``, plus ``a^n · y_in`` for the n-th observation.
+
+Specs whose ratio of ``ln(1/a)`` does not allow a common ``S`` get sub-blocks of
+their own. No UDF, and under the plain layout no join.
+
+In the blocked layout a window partition counts only the observations of its
+own rows, from an empty state; the state that enters a block is folded from a
+summary with one row per block. A long run of nulls therefore changes nothing,
+and both layouts give the same result.
 """
 
 from __future__ import annotations
@@ -30,10 +30,10 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barpanel.plans.layout import SeriesLayout
+from barpanel.plans.layout import SeriesLayout, materialize
 
-_MAX_EXP = 500.0    # keep a^-c below e^500
-_MAX_SUB = 4096
+_MAX_EXP = 500.0    # keeps a^-c below e^500
+_LOST = 37.0        # e^-37 is below the precision of a double
 
 
 def alpha_from(com: float | None = None, span: float | None = None,
@@ -51,73 +51,124 @@ def alpha_from(com: float | None = None, span: float | None = None,
     return a
 
 
-def memory_rows(alpha: float) -> int:
-    """Rows after which (1-α)^k underflows to 0.0 (below 2^-1075)."""
-    return int(math.ceil(745.2 / -math.log(1.0 - alpha))) + 1
+def _decay(alpha: float) -> float:
+    return -math.log1p(-alpha)
 
 
-def sub_block_rows(alphas) -> int:
-    s = min(int(_MAX_EXP / -math.log(1.0 - a)) for a in alphas)
-    return max(1, min(_MAX_SUB, s))
+def sub_blocks(alphas) -> list[tuple[int, list[float]]]:
+    """Sub-block lengths and the alphas that share each."""
+    out: list[tuple[int, list[float]]] = []
+    for a in sorted(set(alphas), key=_decay, reverse=True):
+        if out and out[-1][0] * _decay(a) >= _LOST:
+            out[-1][1].append(a)
+        else:
+            out.append((max(1, int(_MAX_EXP / _decay(a))), [a]))
+    return out
 
 
 def ewm_columns(df: DataFrame, layout: SeriesLayout, specs: dict) -> DataFrame:
-    """Add EWM columns. ``specs``: ``{out_name: (input Column or name, alpha)}``.
+    """Add EWM columns. ``specs``: ``{out_name: (input, alpha[, counter])}``; a
+    ``counter`` names a column that is null exactly where the input is, so that
+    inputs with the same gaps share one numbering.
 
-    All specs of one call share the two window sorts; an EWM of an EWM
-    (MACD signal) needs a second call.
+    An EWM of an EWM (MACD signal) needs a second call.
     """
-    alphas = [a for _, a in specs.values()]
-    S = sub_block_rows(alphas)
     W = layout.window()
     upto = W.rowsBetween(Window.unboundedPreceding, 0)
     before = W.rowsBetween(Window.unboundedPreceding, -1)
-
-    base = df.withColumn("_rp", F.row_number().over(W) - 1)
-    base = base.withColumn("_sb", F.floor(F.col("_rp") / F.lit(S)))
-    Wsb = layout.sub_window("_sb").rowsBetween(Window.unboundedPreceding, 0)
-    is_end = (F.col("_rp") % F.lit(S)) == F.lit(S - 1)
-    start = layout.starts_series()
-
-    # pass 1: per-sub-block counts and local closed form; series-level counts
-    inputs = {n: (F.col(x) if isinstance(x, str) else x) for n, (x, _) in specs.items()}
-    step1 = {}
-    for n, x in inputs.items():
-        step1[f"_x_{n}"] = x.cast("double")
-    base = base.withColumns(step1)
-    step2 = {}
+    own = F.col("_own") if layout.blocked else None
+    keep = list(df.columns)
+
+    # inputs and observation numbers (1, 2, ...) per counter
+    counters: dict[str, str] = {}
+    step = {}
+    for n, (x, _, *counter) in specs.items():
+        x = (F.col(x) if isinstance(x, str) else x).cast("double")
+        step[f"_x_{n}"] = x if own is None else F.when(own, x)
+        counters[n] = counter[0] if counter else f"_x_{n}"
+    df = df.withColumns(step)
+    number: dict[str, str] = {}
+    step = {}
+    for n, c in counters.items():
+        if c not in number:
+            number[c] = f"_n_{len(number)}"
+            step[number[c]] = F.count(f"_x_{n}").over(upto)
+    df = df.withColumns(step)
+
+    # local value of every observation, from sub-block sums
+    lengths = {a: (i, S) for i, (S, group) in
+               enumerate(sub_blocks(a for _, a, *_ in specs.values())) for a in group}
+    step = {}
+    for n, (_, alpha, *_) in specs.items():
+        i, S = lengths[alpha]
+        step[f"_b_{i}{number[counters[n]]}"] = F.floor((F.col(number[counters[n]]) - 1) / F.lit(S))
+    df = df.withColumns(step)
+    step = {}
+    for n, (_, alpha, *_) in specs.items():
+        i, S = lengths[alpha]
+        la, num = -_decay(alpha), F.col(number[counters[n]])
+        blk = f"_b_{i}{number[counters[n]]}"
+        c = num - F.col(blk) * S   # 1 .. S within the sub-block
+        inside = layout.sub_window(blk).rowsBetween(Window.unboundedPreceding, 0)
+        term = F.lit(alpha) * F.col(f"_x_{n}") * F.exp(-(c - 1) * F.lit(la))
+        step[f"_l_{n}"] = F.when(F.col(f"_x_{n}").isNotNull(),
+                                 F.exp((c - 1) * F.lit(la)) * F.sum(term).over(inside))
+    df = df.withColumns(step)
+    step = {}
+    for n, (_, alpha, *_) in specs.items():
+        i, S = lengths[alpha]
+        la, num = -_decay(alpha), F.col(number[counters[n]])
+        c = num - F.col(f"_b_{i}{number[counters[n]]}") * S
+        end = F.when(c == S, F.col(f"_l_{n}"))   # null unless an observation
+        carry = F.coalesce(F.last(end, ignorenulls=True).over(before), F.lit(0.0))
+        step[f"_l_{n}"] = F.col(f"_l_{n}") + F.exp(c * F.lit(la)) * carry
+    df = df.withColumns(step)
+
+    if layout.blocked:
+        df = _with_states(materialize(df), layout, specs, number, counters)
+        state = {n: F.col(f"_s_{n}") for n in specs}
+    else:
+        state = {n: F.first(f"_x_{n}", ignorenulls=True).over(upto) for n in specs}
+    step = {}
+    for n, (_, alpha, *_) in specs.items():
+        num = F.col(number[counters[n]])
+        step[f"_l_{n}"] = F.col(f"_l_{n}") + F.exp(num * F.lit(-_decay(alpha))) * state[n]
+    df = df.withColumns(step)
+    # rows without an observation carry the last value
+    step = {}
+    for n in specs:
+        y = F.last(f"_l_{n}", ignorenulls=True).over(upto)
+        step[n] = F.coalesce(y, F.col(f"_s_{n}")) if layout.blocked else y
+    if layout.blocked:  # before the first observation of the series there is no value
+        for n in specs:
+            step[n] = F.when(F.col(f"_any_{n}") | (F.col(number[counters[n]]) > 0), step[n])
+    return df.withColumns(step).select(*[c for c in keep if c not in specs], *specs)
+
+
+def _with_states(df: DataFrame, layout: SeriesLayout, specs: dict, number: dict,
+                 counters: dict) -> DataFrame:
+    """``_s_<out>``: the state that enters each block; ``_any_<out>``: whether
+    earlier blocks hold an observation. From one summary row per block."""
+    key = layout.key
+    own = df.filter("_own")
+    aggs = []
     for n in specs:
-        x = F.col(f"_x_{n}")
-        step2[f"_c_{n}"] = F.count(x).over(Wsb)          # obs in sub-block up to t
-        step2[f"_n_{n}"] = F.count(x).over(upto)         # obs in partition up to t
-    base = base.withColumns(step2)
-    step3 = {}
-    for n, (_, alpha) in specs.items():
-        a = 1.0 - alpha
-        la = math.log(a)
-        x, c, nn = F.col(f"_x_{n}"), F.col(f"_c_{n}"), F.col(f"_n_{n}")
-        wt = F.when((nn == 1) & start, F.lit(1.0)).otherwise(F.lit(alpha))
-        term = wt * x * F.exp(-(c - 1) * F.lit(la))
-        step3[f"_l_{n}"] = F.exp((c - 1) * F.lit(la)) * F.coalesce(
-            F.sum(term).over(Wsb), F.lit(0.0))
-    base = base.withColumns(step3)
-
-    # pass 2: carry from the ends of earlier sub-blocks
-    step4 = {}
-    for n, (_, alpha) in specs.items():
-        a = 1.0 - alpha
-        la = math.log(a)
-        c = F.col(f"_c_{n}")
-        end = F.when(is_end, F.struct(
-            F.coalesce(F.col(f"_l_{n}"), F.lit(0.0)).alias("l"),
-            c.cast("double").alias("d")))
-        ends = F.collect_list(end).over(before)
-        carry = F.aggregate(ends, F.lit(0.0), _fold(la))
-        y = F.col(f"_l_{n}") + F.exp(c * F.lit(la)) * carry
-        step4[n] = F.when(F.col(f"_n_{n}") > 0, y)
-    out = base.withColumns(step4)
-    helpers = ["_rp", "_sb"] + [f"_{p}_{n}" for n in specs for p in ("x", "c", "n", "l")]
-    return out.drop(*helpers)
+        seen = F.col(f"_x_{n}").isNotNull()
+        aggs += [F.max_by(f"_l_{n}", F.when(seen, F.col("_rn"))).alias(f"_end_{n}"),
+                 F.count(f"_x_{n}").alias(f"_obs_{n}"),
+                 F.min_by(f"_x_{n}", F.when(seen, F.col("_rn"))).alias(f"_first_{n}")]
+    summ = own.groupBy(key, "_blk").agg(*aggs)
+    earlier = Window.partitionBy(key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy(key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, 0)
+    cols = [key, "_blk"]
+    for n, (_, alpha, *_) in specs.items():
+        la = -_decay(alpha)
+        first = F.first(f"_first_{n}", ignorenulls=True).over(upto)
+        ends = F.collect_list(F.struct(F.coalesce(f"_end_{n}", F.lit(0.0)).alias("l"),
+                                       F.col(f"_obs_{n}").cast("double").alias("d"))).over(earlier)
+        cols += [F.aggregate(ends, first, _fold(la)).alias(f"_s_{n}"),
+                 (F.coalesce(F.sum(f"_obs_{n}").over(earlier), F.lit(0)) > 0).alias(f"_any_{n}")]
+    return df.join(summ.select(*cols), [key, "_blk"])
 
 
 def _fold(la: float):

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from barpanel.constants import (MACD_FAST_SPAN, MACD_SIGNAL_SPAN, MACD_SLOW_SPAN,
                                 RSI_COM, TRADING_DAYS, VOL_WINDOW, VOLUME_WINDOW)
 from barpanel.functions import scalars as P
-from barpanel.operators.ewm import alpha_from, ewm_columns, memory_rows
+from barpanel.operators.ewm import alpha_from, ewm_columns
 from barpanel.plans.layout import SeriesLayout
 
 
@@ -74,10 +74,10 @@ def rsi_macd(df: DataFrame, layout: SeriesLayout, price: str = "close",
     df = df.withColumn("_delta", delta)
     df = df.withColumns({"_gain": P.clip_gain("_delta"), "_loss": P.clip_loss("_delta")})
     df = ewm_columns(df, layout, {
-        "_avg_gain": ("_gain", alpha_from(com=RSI_COM)),
-        "_avg_loss": ("_loss", alpha_from(com=RSI_COM)),
-        "ema_12": (price, alpha_from(span=MACD_FAST_SPAN)),
-        "ema_26": (price, alpha_from(span=MACD_SLOW_SPAN)),
+        "_avg_gain": ("_gain", alpha_from(com=RSI_COM), "_delta"),
+        "_avg_loss": ("_loss", alpha_from(com=RSI_COM), "_delta"),
+        "ema_12": (price, alpha_from(span=MACD_FAST_SPAN), price),
+        "ema_26": (price, alpha_from(span=MACD_SLOW_SPAN), price),
     })
     rs = F.try_divide(F.col("_avg_gain"), F.nullif(F.col("_avg_loss"), F.lit(0.0)))
     df = df.withColumns({
@@ -136,9 +136,6 @@ def receptive_field(kernel: int, dilations) -> int:
 
 
 def feature_halo() -> tuple[int, int]:
-    """Rows of history (and future) the feature set needs for exact results."""
-    m_rsi = 1 + memory_rows(alpha_from(com=RSI_COM))
-    m_macd = (memory_rows(alpha_from(span=MACD_SLOW_SPAN))
-              + memory_rows(alpha_from(span=MACD_SIGNAL_SPAN)))
-    m_roll = max(50, VOL_WINDOW + 1, VOLUME_WINDOW)
-    return max(m_rsi, m_macd, m_roll), 2   # lead of log_return needs 2 rows ahead
+    """Rows of history (and future) the feature set needs for exact results;
+    EWMs need none, their state is carried from block to block."""
+    return max(50, VOL_WINDOW + 1, VOLUME_WINDOW), 2   # lead of log_return needs 2 rows ahead

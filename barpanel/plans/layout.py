@@ -99,12 +99,6 @@ class SeriesLayout:
         """Window over a finer partition (e.g. EWM sub-blocks)."""
         return Window.partitionBy(*self.partition_cols(), *extra).orderBy(*self.order_cols())
 
-    def starts_series(self) -> Column:
-        """True on rows whose window partition contains the series' first row."""
-        if not self.blocked:
-            return F.lit(True)
-        return (F.col("_blk") * F.lit(self.block_rows) - F.lit(self.halo_back)) <= 0
-
     # -- preparing and finishing a frame --------------------------------------
     def prepare(self, df: DataFrame, ordinal: str | None = None) -> DataFrame:
         """Lay ``df`` out for window work.

@@ -83,7 +83,7 @@ select g.ticker, case when ok then 'OK' else 'FAILED' end as status,
   case when ok then strftime(st.s, '%Y-%m-%d') end as start,
   case when ok then strftime(st.e, '%Y-%m-%d') end as "end",
   '2024-01-31T00:00:00+00:00' as collected_at,
-  '{{"start":"1992-01-01","end":"1998-12-31"}}' as parameters,
+  '{{"start":"1995-01-01","end":"2001-12-31"}}' as parameters,
   case when ok then '{{"status":"OK","rows":' || st.rows || ',"start":"' || strftime(st.s, '%Y-%m-%d')
     || '","end":"' || strftime(st.e, '%Y-%m-%d') || '"}}' else '{{"status":"FAILED"}}' end as entry
 from gate g left join st using (ticker)""")

@@ -226,7 +226,7 @@ def q_manifest(spark, sf_dir):
     valid = QL.keep_valid(raw, gate)
     clean = QL.clean_panel(valid, layout_for(raw, ["seq"]))
     return IO.collection_manifest(gate, clean, "2024-01-31T00:00:00+00:00",
-                                  {"start": "1992-01-01", "end": "1998-12-31"})
+                                  {"start": "1995-01-01", "end": "2001-12-31"})
 
 
 @query("write_processed")

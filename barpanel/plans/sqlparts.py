@@ -26,10 +26,9 @@ from events group by 1, 2"""
 
 PANEL_DIRTY = f"""with pd as ({PANEL_DAILY}),
 base as (select ticker, date,
-  case when day(date) = 29 or (day(date) = 3 and month(date) % 2 = 1)
-       or date < date '1992-01-05' then null else open end as open,
+  case when day(date) = 29 or (day(date) = 3 and month(date) % 2 = 1) then null else open end as open,
   case when day(date) = 29 then null else high end as high,
-  case when day(date) = 29 then null else low end as low,
+  case when day(date) = 29 or date < date '1995-01-15' then null else low end as low,
   case when day(date) = 29 or (day(date) = 17 and month(date) % 2 = 0)
        or (ticker = '5-LOW' and day(date) in (11, 22)) then null else close end as close,
   case when day(date) = 13 then null else volume::double end as volume,

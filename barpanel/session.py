@@ -5,11 +5,14 @@
   ``nullif`` in the operators, so a zero never raises.
 * AQE with skew-join splitting: the only joins against big sides are keyed on
   ``ticker`` (scaler params, per-ticker counts) and AQE splits a hot ticker.
+* Checkpoint files go when the frames that wrote them do.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -22,6 +25,7 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
 }
 
@@ -57,8 +61,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder is configured (a shared file system); we only set
-    our own, a fresh scratch folder, when it is unset, as in local tests.
+    On a cluster the folder must be configured (a shared file system): files in
+    a machine's own folder would be lost to the others, so its absence raises.
+    Only a local master, as in tests, gets a scratch folder of its own, which is
+    removed when the driver ends.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -66,7 +72,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="barpanel-ckpt-", dir="/tmp")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", d)
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d

@@ -61,8 +61,9 @@ def panel_dirty(spark: SparkSession, sf_dir: str, missing: str = "null") -> Data
     m = F.month("date")
     gap = F.lit(None if missing == "null" else float("nan")).cast("double")
     all_null = d == 29
-    # the first days of every series lack an open: a leading gap
-    open_null = ((d == 3) & (m % 2 == 1)) | (F.col("date") < F.lit("1992-01-05").cast("date"))
+    open_null = (d == 3) & (m % 2 == 1)
+    # the first days of every series lack a low: a leading gap
+    low_null = F.col("date") < F.lit("1995-01-15").cast("date")
     close_null = ((d == 17) & (m % 2 == 0)) | (
         (F.col("ticker") == "5-LOW") & d.isin(11, 22))
     vol_null = d == 13
@@ -70,7 +71,7 @@ def panel_dirty(spark: SparkSession, sf_dir: str, missing: str = "null") -> Data
         "ticker", "date",
         F.when(all_null | open_null, gap).otherwise(F.col("open")).alias("open"),
         F.when(all_null, gap).otherwise(F.col("high")).alias("high"),
-        F.when(all_null, gap).otherwise(F.col("low")).alias("low"),
+        F.when(all_null | low_null, gap).otherwise(F.col("low")).alias("low"),
         F.when(all_null | close_null, gap).otherwise(F.col("close")).alias("close"),
         F.when(vol_null, gap).otherwise(F.col("volume")).alias("volume"),
         F.lit(1).alias("rev"))

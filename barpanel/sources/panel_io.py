@@ -9,6 +9,7 @@ machine-local folder.
 
 from __future__ import annotations
 
+import atexit
 import json
 import uuid
 
@@ -27,10 +28,28 @@ class MissingDataError(FileNotFoundError):
     pass
 
 
+_scratch: list[tuple[SparkSession, str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint directory."""
+    """A fresh folder under the shared checkpoint directory; removed when the
+    driver ends, since lazy results may read it until then."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    if not _scratch:
+        atexit.register(_remove_scratch)
+    _scratch.append((spark, path))
+    return path
+
+
+def _remove_scratch() -> None:
+    for spark, path in _scratch:
+        try:
+            jvm = spark.sparkContext._jvm
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # noqa: BLE001  the session may have ended already
+            return
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
-"""Metric properties, softmax, early stopping, best trial, trial sampling."""
+"""Metric properties, softmax, early stopping, best trial, trial sampling and
+evaluation."""
 
 import math
 
@@ -67,15 +68,102 @@ def test_best_trial_tie_lowest(spark):
     assert r["trial"] == 1 and r["n_trials"] == 3
 
 
-def test_trials_in_range(spark):
+def test_draws_cover_their_ranges(spark):
+    """200 trials reach every category and nearly all of every range."""
+    st = spark.createDataFrame([("a",), ("b",)], "study string")
+    for space in (H.MOMENTUM_SPACE, *H.SPACES.values()):
+        t = H.sample_trials(st, 200, space).filter("study = 'a'").toPandas()
+        for name, (kind, *args) in space.items():
+            x = t[name]
+            if kind == "cat":
+                assert set(x) == set(args[0])
+                continue
+            lo, hi = (math.log(v) for v in args) if kind == "log" else args
+            x = x.map(math.log) if kind == "log" else x
+            assert lo - 1e-9 <= x.min() and x.max() <= hi + 1e-9
+            assert x.max() - x.min() >= 0.9 * (hi - lo), name
+
+
+def test_draws_are_independent(spark):
+    st = spark.createDataFrame([("a",), ("b",)], "study string")
+    t = H.sample_trials(st, 300, H.MOMENTUM_SPACE).toPandas()
+    a, b = (t[t.study == k].sort_values("trial").reset_index(drop=True) for k in "ab")
+    assert not (a.thr == b.thr).any()
+    assert abs(a.thr.corr(b.thr)) < 0.2 and abs(a.thr.corr(a.trial)) < 0.2
+    assert abs(a.thr.corr(a.scale.map(math.log))) < 0.2
+    other = H.sample_trials(st, 300, H.MOMENTUM_SPACE, seed=7).filter("study = 'a'").toPandas()
+    assert not set(other.thr) & set(a.thr)
+
+
+def test_derived_params(spark):
     st = spark.createDataFrame([("a",)], "study string")
-    t = H.sample_trials(st, 200, H.MOMENTUM_SPACE).toPandas()
-    assert t.n_mom.between(2, 20).all() and t.thr.between(-0.02, 0.02).all()
-    assert t.scale.between(0.001, 0.1).all() and set(t.side) <= {"long", "contrarian"}
     d = H.derived_params(H.sample_trials(st, 50, H.TFT_SPACE)).toPandas()
-    assert (d.d_model % d.n_heads == 0).all()
+    assert (d.d_model % d.n_heads == 0).all() and d.d_model.between(16, 256).all()
+    assert (d.d_model == d.n_heads * 8 * d.d_model_factor).all()
     c = H.derived_params(H.sample_trials(st, 50, H.TCN_SPACE)).toPandas()
     assert all(list(x) == [2 ** i for i in range(n)] for x, n in zip(c.dilations, c.n_dilation_levels))
+    t = H.derived_params(H.sample_trials(st, 5, H.TREE_SPACE)).toPandas()
+    assert set(t.early_stopping_rounds) == {30} and set(t.random_state) == {42}
+
+
+NS = [2, 3, 4, 5]
+
+
+def search_rows(spark, n=60):
+    import random
+    rnd = random.Random(4)
+    rows = [(k, "val", i, rnd.randint(0, 1), *[rnd.gauss(0, 0.02) for _ in NS])
+            for k in ("a", "b") for i in range(n)]
+    return spark.createDataFrame(rows, "ticker string, split string, date int, target int, "
+                                 + ", ".join(f"mom_{k} double" for k in NS)), rows
+
+
+def trial_table(spark, n, studies=("a", "b", "none")):
+    st = spark.createDataFrame([(s,) for s in studies], "study string")
+    return H.sample_trials(st, n, {**H.MOMENTUM_SPACE, "n_mom": ("int", 2, 5)})
+
+
+def test_evaluate_trials_by_hand(spark):
+    df, rows = search_rows(spark)
+    got = {(r.study, r.trial): r for r in
+           H.evaluate_trials(df, trial_table(spark, 12), NS).collect()}
+    assert len(got) == 36
+    for (study, _), r in got.items():
+        mine = [x for x in rows if x[0] == study]
+        if not mine:
+            assert r.value == 0.0 and r.val_mae is None
+            continue
+        ps = []
+        for x in mine:
+            z = (x[4 + NS.index(r.n_mom)] - r.thr) / r.scale
+            p = 1 / (1 + math.exp(-z))
+            ps.append((1 - p if r.side == "contrarian" else p, x[3]))
+        assert r.value == pytest.approx(sum((p >= 0.5) == (y == 1) for p, y in ps) / len(ps))
+        assert r.val_mae == pytest.approx(sum(abs(p - y) for p, y in ps) / len(ps))
+
+
+def test_many_trials_keep_the_plan_small(spark):
+    df, _ = search_rows(spark, 20)
+    few = H.evaluate_trials(df, trial_table(spark, 40), NS)
+    many = H.evaluate_trials(df, trial_table(spark, 3000), NS)
+    size = [len(d._jdf.queryExecution().optimizedPlan().toString()) for d in (few, many)]
+    assert size[1] <= size[0] + 100  # only the number is longer
+    assert many.count() == 9000
+    best = K.best_trial(many.filter("study <> 'none'"))
+    test = H.best_on_test(df, best, NS).collect()
+    assert {r.ticker for r in test} == {"a", "b"}
+
+
+def test_failing_ml_trial_keeps_its_error(spark, daily):
+    from barpanel.operators import features as FT
+    from barpanel.plans.layout import PLAIN
+    s = FT.prepare_panel(daily, PLAIN, window=5)["sequences"]
+    study, best = H.search_model(s, [{"trial": 0, "n_estimators": 2, "max_depth": 2},
+                                     {"trial": 1, "n_estimators": 2, "max_depth": 99}],
+                                 "gbt", threads=1)
+    rows = {r.trial: r for r in study.collect()}
+    assert rows[0].state == "COMPLETE" and best["trial"] == 0
+    assert rows[1].state.startswith("FAIL") and rows[1].value == 0.0
 
 
 def test_causal_filter_receptive_field():

@@ -1,37 +1,52 @@
-"""Feature windows against pandas semantics; blocked layout against plain."""
+"""Feature windows against plain recurrences over lists; blocked layout
+against plain."""
+
+import math
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from barpanel.constants import FEATURE_COLS
 from barpanel.operators import features as FT
-from barpanel.operators.ewm import alpha_from, ewm_columns, memory_rows
+from barpanel.operators.ewm import alpha_from, ewm_columns, sub_blocks
 from barpanel.plans.layout import PLAIN, SeriesLayout, blocked
 
 
-def pandas_features(raw: pd.DataFrame) -> pd.DataFrame:
-    out = []
-    for tk, g in raw.sort_values(["ticker", "date"]).groupby("ticker"):
-        g = g.set_index("date")
-        c, v = g["close"], g["volume"].astype(float)
-        d = pd.DataFrame(index=g.index)
-        d["log_return"] = np.log(c / c.shift(1))
-        for w in (10, 20, 50):
-            d[f"sma_{w}"] = c.rolling(w).mean()
-        delta = c.diff()
-        ag = delta.clip(lower=0).ewm(com=13, adjust=False).mean()
-        al = (-delta.clip(upper=0)).ewm(com=13, adjust=False).mean()
-        d["rsi_14"] = 100 - 100 / (1 + ag / al.replace(0, np.nan))
-        d["macd"] = c.ewm(span=12, adjust=False).mean() - c.ewm(span=26, adjust=False).mean()
-        d["macd_signal"] = d["macd"].ewm(span=9, adjust=False).mean()
-        d["volatility_20"] = d["log_return"].rolling(20).std() * np.sqrt(252)
-        d["volume_norm"] = v / v.rolling(20).mean().replace(0, np.nan)
-        d["target"] = (d["log_return"].shift(-1) > 0).astype(int)
-        d["ticker"] = tk
-        out.append(d.reset_index())
-    return pd.concat(out)
+def smoothed(xs, alpha):
+    """y0 = x0, then y = (1 - alpha) y + alpha x; None is skipped."""
+    out, y = [], None
+    for x in xs:
+        if x is not None:
+            y = x if y is None else (1 - alpha) * y + alpha * x
+        out.append(y)
+    return out
+
+
+def expected_row(close, volume, t):
+    """The features of day ``t`` by their formulas, from the series up to t."""
+    past = close[:t + 1]
+    row = {"log_return": math.log(close[t] / close[t - 1]) if t else None}
+    for n in (10, 20, 50):
+        row[f"sma_{n}"] = sum(past[-n:]) / n if t + 1 >= n else None
+    up, down = [None], [None]
+    for a, b in zip(past, past[1:]):
+        up.append(max(b - a, 0.0))
+        down.append(max(a - b, 0.0))
+    gain, loss = smoothed(up, 1 / 14)[-1], smoothed(down, 1 / 14)[-1]
+    row["rsi_14"] = 100 - 100 / (1 + gain / loss) if loss else None
+    line = [f - s for f, s in zip(smoothed(past, 2 / 13), smoothed(past, 2 / 27))]
+    row["macd"], row["macd_signal"] = line[-1], smoothed(line, 2 / 10)[-1]
+    if t >= 20:
+        r = [math.log(close[k] / close[k - 1]) for k in range(t - 19, t + 1)]
+        m = sum(r) / 20
+        row["volatility_20"] = math.sqrt(sum((x - m) ** 2 for x in r) / 19 * 252)
+    else:
+        row["volatility_20"] = None
+    recent = volume[max(0, t - 19):t + 1]
+    row["volume_norm"] = volume[t] / (sum(recent) / 20) if t >= 19 else None
+    row["target"] = int(t + 1 < len(close) and close[t + 1] > close[t])
+    return row
 
 
 def _close(a, b, rel=1e-8):
@@ -41,14 +56,36 @@ def _close(a, b, rel=1e-8):
     assert np.allclose(a[m], b[m], rtol=rel, atol=1e-6)
 
 
-def test_features_match_pandas(daily):
-    got = FT.compute_features(daily, PLAIN).toPandas()
-    ref = pandas_features(daily.toPandas())
-    m = got.merge(ref, on=["ticker", "date"], suffixes=("", "_r"))
-    assert len(m) == len(ref) == len(got)
-    for c in ["log_return", "sma_10", "sma_50", "rsi_14", "macd", "macd_signal",
-              "volatility_20", "volume_norm", "target"]:
-        _close(m[c], m[c + "_r"])
+def test_features_match_the_formulas(daily01):
+    rows = FT.compute_features(daily01, PLAIN).collect()
+    bars = {}
+    for r in daily01.orderBy("ticker", "date").collect():
+        bars.setdefault(r.ticker, []).append(r)
+    got = {(r.ticker, r.date): r for r in rows}
+    assert len(got) == sum(map(len, bars.values()))
+    for ticker, series in bars.items():
+        close, volume = [r.close for r in series], [r.volume for r in series]
+        for t in [0, 1, 13, 18, 19, 20, 48, 49, 50, 333, len(series) - 2, len(series) - 1]:
+            row = got[ticker, series[t].date]
+            for name, want in expected_row(close, volume, t).items():
+                if want is None:
+                    assert row[name] is None, (name, t)
+                else:
+                    assert row[name] == pytest.approx(want, rel=1e-8, abs=1e-7), (name, t)
+
+
+def test_hand_worked_rows(spark):
+    """Closes 100, 110, 99: returns, smoothed gain and loss by hand."""
+    df = spark.createDataFrame(
+        [("T", d, c, c, c, c, 10) for d, c in enumerate((100.0, 110.0, 99.0))],
+        "ticker string, date int, open double, high double, low double, close double, volume long")
+    a, b, c = FT.compute_features(df, PLAIN).orderBy("date").collect()
+    assert (a.log_return, a.rsi_14, a.target) == (None, None, 1)
+    assert b.log_return == pytest.approx(0.0953101798) and b.rsi_14 is None and b.target == 0
+    # gain 10 * 13/14 = 9.285714, loss 11/14 = 0.785714
+    assert c.rsi_14 == pytest.approx(100 - 100 / (1 + 9.2857142857 / 0.7857142857))
+    # 12-day: 100, 101.538462, 101.147929; 26-day: 100, 100.740741, 100.611797
+    assert c.macd == pytest.approx(101.1479289941 - 100.6117969822)
 
 
 def test_warmup_49_rows(daily01):
@@ -65,25 +102,41 @@ def test_blocked_equals_plain(daily01):
         _close(a[c].values, b[c].values, rel=1e-12)
 
 
-def test_ewm_block_start_from_empty_state(daily01):
-    """Halo shorter than the history: blocks start from an empty state, yet
-    the halo covers the memory of alpha so values equal the plain scan."""
-    alpha = 0.9
-    lay = SeriesLayout(block_rows=128, halo_back=memory_rows(alpha))
-    plain = ewm_columns(daily01, PLAIN, {"e": ("close", alpha)}).select("ticker", "date", "e")
-    d = lay.prepare(daily01)
-    d = lay.finish(ewm_columns(d, lay, {"e": ("close", alpha)}), keep_ordinal=False)
-    a = plain.toPandas().sort_values(["ticker", "date"])
-    b = d.select("ticker", "date", "e").toPandas().sort_values(["ticker", "date"])
-    _close(a["e"].values, b["e"].values, rel=1e-12)
-
-
-def test_ewm_adjust_false_matches_pandas(daily01):
-    got = ewm_columns(daily01, PLAIN, {"e": ("volume", alpha_from(com=13))}).toPandas()
-    got = got.sort_values(["ticker", "date"])
-    ref = got.groupby("ticker")["volume"].transform(
-        lambda s: s.astype(float).ewm(com=13, adjust=False).mean())
-    _close(got["e"].values, ref.values, rel=1e-9)
+def gappy(spark, n=2500):
+    """A series with a long run of nulls, a leading gap and scattered ones."""
+    xs = [None if i < 7 or 600 < i < 1700 or i % 11 == 3 else math.sin(i) * 10 + 20
+          for i in range(n)]
+    df = spark.createDataFrame([("G", i, x) for i, x in enumerate(xs)],
+                               "ticker string, date int, x double")
+    return df, xs
+
+
+@pytest.mark.parametrize("block_rows", [None, 64, 700])
+def test_ewm_over_long_gaps(spark, block_rows):
+    """Both layouts give the recurrence's values, also past a run of nulls
+    that is longer than blocks."""
+    df, xs = gappy(spark)
+    specs = {f"e{k}": ("x", a) for k, a in enumerate((0.002, 2 / 27, 0.2, 0.9, 0.99))}
+    if block_rows is None:
+        got = ewm_columns(df, PLAIN, specs)
+    else:
+        lay = SeriesLayout(block_rows=block_rows).with_halo(2, 1)
+        got = lay.finish(ewm_columns(lay.prepare(df), lay, specs), keep_ordinal=False)
+    rows = got.orderBy("date").collect()
+    for name, (_, alpha) in specs.items():
+        _close([r[name] for r in rows], smoothed(xs, alpha), rel=1e-11)
+
+
+def test_sub_blocks_forget_what_they_inherit():
+    for S, alphas in sub_blocks([0.001, 0.07, 0.2, 0.9, 0.999999]):
+        for a in alphas:
+            assert 37 <= S * -math.log1p(-a) <= 500
+
+
+def test_ewm_of_volume(daily01):
+    got = ewm_columns(daily01, PLAIN, {"e": ("volume", alpha_from(com=13))})
+    rows = got.filter("ticker = '2-HIGH'").orderBy("date").collect()
+    _close([r.e for r in rows], smoothed([float(r.volume) for r in rows], 1 / 14), rel=1e-9)
 
 
 def test_causality(daily):
