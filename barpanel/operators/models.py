@@ -10,6 +10,7 @@ convolutional / attention networks themselves are not built (see README).
 
 from __future__ import annotations
 
+import json
 import math
 from concurrent.futures import ThreadPoolExecutor
 
@@ -20,14 +21,14 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barpanel.constants import FEATURE_COLS, PROBA_THRESHOLD
+from barpanel.constants import FEATURE_COLS, IMPROVE_EPS, PROBA_THRESHOLD
 from barpanel.operators import metrics as M
-from barpanel.operators import selection as K
 
 # --- fixed values: model defaults (merged with a user config) --------------
-GBT_DEFAULTS = {"maxIter": 10, "maxDepth": 4, "stepSize": 0.05, "subsamplingRate": 0.8,
-                "featureSubsetStrategy": "0.8", "seed": 42, "early_stopping_rounds": 30}
-MLP_DEFAULTS = {"hidden": [16], "maxIter": 30, "stepSize": 0.03, "seed": 42}
+GBT_DEFAULTS = {"maxIter": 300, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8,
+                "featureSubsetStrategy": "0.8", "minInstancesPerNode": 1, "minInfoGain": 0.0,
+                "seed": 42, "early_stopping_rounds": 30}
+MLP_DEFAULTS = {"hidden": [64], "epochs": 50, "patience": 10, "steps_per_epoch": 5, "seed": 42}
 # -----------------------------------------------------------------------------
 
 
@@ -111,39 +112,46 @@ class GBTModel(PanelModel):
         return GBTClassifier(maxIter=max_iter or c["maxIter"], maxDepth=c["maxDepth"],
                              stepSize=c["stepSize"], subsamplingRate=c["subsamplingRate"],
                              featureSubsetStrategy=str(c["featureSubsetStrategy"]),
-                             weightCol="weight", seed=c["seed"])
+                             minInstancesPerNode=c["minInstancesPerNode"],
+                             minInfoGain=c["minInfoGain"], weightCol="weight", seed=c["seed"])
 
     def _label(self, p, out):
         return F.col("prediction").cast("int")
 
     def fit(self, train: DataFrame, val: DataFrame | None = None, by=()) -> "GBTModel":
-        bal = M.class_balance(train, by=by) if by else M.class_balance(
-            train.withColumn("_all", F.lit(1)), by=("_all",))
-        tr = train if by else train.withColumn("_all", F.lit(1))
-        tr = M.with_class_weight(tr, bal, by=by or ("_all",))
-        tv = with_vectors(tr).persist()
-        n_features = len(tv.select("features").first()[0])
-        model = self._estimator(n_features, tv).fit(tv)
-        if val is not None:
-            # M2: loss after each round on val, stopping rule replayed (K3)
+        """M1/M2. With ``val`` the trees stop once the validation log-loss has
+        had no strict minimum for ``early_stopping_rounds`` rounds, and the
+        trees up to that minimum stay. Spark ML grows a whole ensemble at
+        once, so ensembles of growing size are fitted (the same seed gives the
+        same first trees) until one holds its minimum and the patience."""
+        one = F.lit(1).alias("_all")
+        tr = train if by else train.select("*", one)
+        bal = M.class_balance(tr, by=by or ("_all",))
+        tv = with_vectors(M.with_class_weight(tr, bal, by=by or ("_all",))).persist()
+        try:
+            n_features = len(tv.select("features").first()[0])
+            most, patience = self.config["maxIter"], self.config["early_stopping_rounds"]
+            if val is None:
+                self.best_round = most
+                self.model = self._estimator(n_features, tv).fit(tv)
+                return self
             vv = with_vectors(val).withColumn("weight", F.lit(1.0))
-            tl = model.evaluateEachIteration(tv)
-            vl = model.evaluateEachIteration(vv)
-            spark = train.sparkSession
-            self.history = spark.createDataFrame(
-                [(i + 1, float(a), float(b)) for i, (a, b) in enumerate(zip(tl, vl))],
+            rounds = min(most, 2 * patience)
+            while True:
+                model = self._estimator(n_features, tv, rounds).fit(tv)
+                # Spark's boosting loss is twice the binary log-loss
+                vl = [x / 2 for x in model.evaluateEachIteration(vv)]
+                self.best_round, stop = first_minimum(vl, patience)
+                if stop < rounds or rounds == most:
+                    break
+                rounds = min(most, 2 * rounds)
+            tl = [x / 2 for x in model.evaluateEachIteration(tv)]
+            self.history = train.sparkSession.createDataFrame(
+                [(i + 1, float(a), float(b)) for i, (a, b) in enumerate(zip(tl, vl)) if i < stop],
                 "step int, train_loss double, val_loss double")
-            stop = K.early_stop(self.history.withColumn("run", F.lit(0)),
-                                self.config["early_stopping_rounds"], step="step",
-                                val="val_loss").first()
-            self.best_round = int(stop["best_step"])
-            if self.best_round < len(vl):
-                # same seed and data: the first k trees of the long fit
-                model = self._estimator(n_features, tv, self.best_round).fit(tv)
-        else:
-            self.best_round = self.config["maxIter"]
-        self.model = model
-        tv.unpersist()
+            self.model = first_trees(model, self.best_round)
+        finally:
+            tv.unpersist()
         return self
 
     def importances(self, window: int, names=FEATURE_COLS) -> DataFrame:
@@ -157,8 +165,39 @@ class GBTModel(PanelModel):
         return spark.createDataFrame(rows, "lag int, feature string, importance double")
 
 
+def first_minimum(losses, patience: int) -> tuple[int, int]:
+    """(round of the strict minimum, last round run), counted from 1, when
+    boosting stops after ``patience`` rounds without a new minimum."""
+    best, at = math.inf, 0
+    for i, x in enumerate(losses, 1):
+        if x < best:
+            best, at = x, i
+        elif i - at >= patience:
+            return at, i
+    return at, len(losses)
+
+
+def first_trees(model: GBTClassificationModel, k: int) -> GBTClassificationModel:
+    """The ensemble of a model's first ``k`` trees."""
+    from pyspark import SparkContext
+    sc, j = SparkContext._active_spark_context, model._java_obj
+    ml = sc._jvm.org.apache.spark.ml
+    trees = sc._gateway.new_array(ml.regression.DecisionTreeRegressionModel, k)
+    weights = sc._gateway.new_array(sc._gateway.jvm.double, k)
+    all_trees, all_weights = j.trees(), list(j.treeWeights())
+    for i in range(k):
+        trees[i], weights[i] = all_trees[i], all_weights[i]
+    return GBTClassificationModel(ml.classification.GBTClassificationModel(
+        j.uid(), trees, weights, j.numFeatures(), j.numClasses()))
+
+
 class MLPModel(PanelModel):
-    """M5: feed-forward network on the flattened window (the neural family)."""
+    """M5: feed-forward network on the flattened window (the neural family).
+
+    An epoch is ``steps_per_epoch`` quasi-Newton steps from the weights so far.
+    With ``val`` the replayed rule of K3 (its improvement margin and
+    ``patience``) ends the training, and the best epoch's weights stay;
+    ``history`` holds both losses of every epoch."""
 
     kind = "mlp"
     defaults = MLP_DEFAULTS
@@ -167,11 +206,45 @@ class MLPModel(PanelModel):
     def _model_class():
         return MultilayerPerceptronClassificationModel
 
-    def _estimator(self, n_features, train):
-        c = self.config
-        return MultilayerPerceptronClassifier(layers=[n_features, *c["hidden"], 2],
-                                              maxIter=c["maxIter"], stepSize=c["stepSize"],
-                                              seed=c["seed"])
+    def fit(self, train: DataFrame, val: DataFrame | None = None) -> "MLPModel":
+        c, weights = self.config, None
+        tv = with_vectors(train).persist()
+        vv = None if val is None else with_vectors(val).persist()
+        try:
+            layers = [len(tv.select("features").first()[0]), *c["hidden"], 2]
+            rows, best, wait = [], (math.inf, 0, None), 0
+            for epoch in range(1, c["epochs"] + 1):
+                e = MultilayerPerceptronClassifier(layers=layers, maxIter=c["steps_per_epoch"],
+                                                   seed=c["seed"], tol=0.0)
+                if weights is not None:
+                    e = e.setInitialWeights(weights)
+                self.model = e.fit(tv)
+                weights = self.model.weights
+                tl, vl = (None if d is None else self._loss(d) for d in (tv, vv))
+                rows.append((epoch, tl, vl))
+                if vv is None:
+                    continue
+                if vl < best[0] - IMPROVE_EPS:
+                    best, wait = (vl, epoch, self.model), 0
+                else:
+                    wait += 1
+                    if wait >= c["patience"]:
+                        break
+            if vv is not None and best[2] is not None:
+                self.model = best[2]
+            self.best_round = best[1] or len(rows)
+            self.history = train.sparkSession.createDataFrame(
+                rows, "step int, train_loss double, val_loss double")
+        finally:
+            tv.unpersist()
+            if vv is not None:
+                vv.unpersist()
+        return self
+
+    def _loss(self, vectors: DataFrame) -> float:
+        p = vector_to_array("probability")[1]
+        return float(self.model.transform(vectors).select(p.alias("p"), "y")
+                     .agg(M.log_loss()).first()[0] or 0.0)
 
 
 MODEL_REGISTRY = {"gbt": GBTModel, "mlp": MLPModel}
@@ -184,45 +257,55 @@ def build_model(name: str, config: dict | None = None) -> PanelModel:
     return MODEL_REGISTRY[name](config)
 
 
-def train_per_ticker(seqs: DataFrame, name: str, tickers, config: dict | None = None,
+def train_per_ticker(stored: DataFrame, name: str, tickers, config: dict | None = None,
                      threads: int = 4) -> dict:
-    """M6: one model per ticker, fitted as concurrent Spark jobs from a small
-    thread pool over the cached window table. Unknown ticker -> error."""
-    known = {r[0] for r in seqs.select("ticker").distinct().collect()}
-    missing = [t for t in tickers if t not in known]
-    if missing:
-        raise ValueError(f"no windows for {missing}")
+    """M6: one model per requested ticker, fitted as concurrent Spark jobs from
+    a small thread pool. ``stored`` is a table partitioned by (ticker, split),
+    so a fit reads its own partitions only. A ticker without windows raises."""
 
     def one(t):
-        s = seqs.filter(F.col("ticker") == t)
-        m = build_model(name, config)
+        s = stored.filter(F.col("ticker") == t)
         tr, va = s.filter(F.col("split") == "train"), s.filter(F.col("split") == "val")
-        if isinstance(m, GBTModel):
-            m.fit(tr, va)
-        else:
-            m.fit(tr)
-        return t, m
+        if tr.isEmpty():
+            raise ValueError(f"no windows for {t!r}")
+        return t, build_model(name, config).fit(tr, va)
 
     with ThreadPoolExecutor(max_workers=max(1, min(threads, len(tickers)))) as ex:
         return dict(ex.map(one, tickers))
 
 
+RUN_SCHEMA = "run string, kind string, key string, step int, value double, text string"
+
+
 def run_log_rows(run: str, kind: str, params: dict, metrics: DataFrame | None = None,
-                 history: DataFrame | None = None, spark=None) -> DataFrame:
-    """M8/M9: long rows (run, kind, key, step, value) for one run."""
-    rows = [(run, kind, f"param.{k}", None, float(v)) for k, v in params.items()
-            if isinstance(v, (int, float)) and not isinstance(v, bool) and math.isfinite(float(v))]
-    df = spark.createDataFrame(rows, "run string, kind string, key string, step int, value double")
+                 history: DataFrame | None = None, spark=None,
+                 counts: DataFrame | None = None, importances: DataFrame | None = None) -> DataFrame:
+    """M8/M9: long rows of one run. Numbers stand in ``value``, everything else
+    (strings, lists, flags) in ``text``; nothing is dropped. ``counts``: rows
+    per (ticker, split)."""
+    rows = []
+    for k, v in params.items():
+        number = isinstance(v, (int, float)) and not isinstance(v, bool) and math.isfinite(v)
+        text = None if number else v if isinstance(v, str) else json.dumps(v)
+        rows.append((run, kind, f"param.{k}", None, float(v) if number else None, text))
+    df = spark.createDataFrame(rows, RUN_SCHEMA)
+
+    def add(key, value, step=None, of=None):
+        return df.unionByName(of.select(
+            F.lit(run).alias("run"), F.lit(kind).alias("kind"), key.alias("key"),
+            (F.lit(None) if step is None else F.col(step)).cast("int").alias("step"),
+            value.cast("double").alias("value"), F.lit(None).cast("string").alias("text")))
+    if counts is not None:
+        df = add(F.concat(F.lit("count."), "ticker", F.lit(".n_"), "split"), F.col("n"), of=counts)
     if metrics is not None:
-        long = M.metrics_long(metrics)
-        df = df.unionByName(long.select(F.lit(run).alias("run"), F.lit(kind).alias("kind"),
-                                        F.concat(F.lit("metric."), F.col("ticker"), F.lit("."),
-                                                 F.col("key")).alias("key"),
-                                        F.lit(None).cast("int").alias("step"), "value"))
+        df = add(F.concat(F.lit("metric."), "ticker", F.lit("."), "key"), F.col("value"),
+                 of=M.metrics_long(metrics))
+    if importances is not None:
+        df = add(F.concat(F.lit("importance."), "feature", F.lit(".lag"), F.col("lag")),
+                 F.col("importance"), of=importances)
     if history is not None:
         for c in ("train_loss", "val_loss"):
-            df = df.unionByName(history.select(F.lit(run).alias("run"), F.lit(kind).alias("kind"),
-                                               F.lit(c).alias("key"), "step", F.col(c).alias("value")))
+            df = add(F.lit(c), F.col(c), "step", history)
     return df
 
 

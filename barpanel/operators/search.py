@@ -219,3 +219,35 @@ def search_model(seqs: DataFrame, trials: list, name: str = "gbt", base: dict |
         test = M.evaluate(best["model"].predict(seqs.filter(F.col("split") == "test")),
                           by=("split",))
     return study, {"trial": best["trial"], "value": best["value"], "test": test}
+
+
+def resume_models(stored: DataFrame, studies: DataFrame, n_trials: int, path: str,
+                  name: str = "gbt", base: dict | None = None, seed: int = SEED,
+                  threads: int = 4) -> DataFrame:
+    """One study per (model, ticker) of ``studies`` with ``n_trials`` trials of
+    the tree space, kept at ``path``: trials already there are not run again.
+    ``stored``: windows partitioned by (ticker, split). Returns the whole store
+    with ``is_best`` and the best trials' test metrics."""
+    spark = stored.sparkSession
+    wanted = derived_params(sample_trials(studies, n_trials, TREE_SPACE, seed))
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if p.getFileSystem(conf).exists(p):
+        done = spark.read.parquet(path).select("study", "trial")
+        wanted = wanted.join(done, ["study", "trial"], "left_anti")
+    todo: dict[str, list] = {}
+    for r in wanted.orderBy("study", "trial").collect():  # configurations, not data
+        t = r.asDict()
+        todo.setdefault(t.pop("study"), []).append(t)
+    for study, trials in todo.items():
+        seqs = stored.filter(F.col("ticker") == study)
+        results, best = search_model(seqs, trials, name, base, threads)
+        test = best["test"].first() if best["test"] is not None else None
+        out = results.withColumns({"study": F.lit(study), **{
+            f"test_{m}": F.when(F.col("trial") == best["trial"], F.lit(test[m])).cast("double")
+            if test is not None else F.lit(None).cast("double") for m in M.METRICS}})
+        out.coalesce(1).write.mode("append").parquet(path)
+    got = spark.read.parquet(path)
+    best = got.groupBy("study").agg(F.max_by(
+        "trial", F.struct(F.col("value"), -F.col("trial"))).alias("best"))
+    return got.join(best, "study").withColumn("is_best", F.col("trial") == F.col("best")).drop("best")

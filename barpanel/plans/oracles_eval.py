@@ -231,3 +231,14 @@ st as (select run, step, v as best, step as best_step, 0 as wait, false as stopp
 last as (select *, row_number() over (partition by run order by step desc) as k from st)
 select run, step::bigint as stop_step, best_step::bigint as best_step, round(best, {METRIC}) as best_val,
   stopped as stopped_early from last where k = 1""")
+
+_FEATURE_LIST = '["' + '", "'.join(FEATURE_COLS) + '"]'
+oracle("run_log", _score_sql(f""", {_EVAL}
+select 'linear-all' as run, 'train' as kind, key, null::int as step, value::double as value, text from (
+  select 'param.' || k as key, v as value, t as text from (values ('model', null, 'linear'),
+    ('asset', null, 'all'), ('window', 30.0, null), ('n_features', 18.0, null),
+    ('features', null, '{_FEATURE_LIST}'), ('shuffle', null, 'false')) x(k, v, t)
+  union all select 'count.' || ticker || '.n_' || split, n, null from ev
+  union all select 'metric.' || ticker || '.' || key, value, null from ({_long}))"""))
+oracle("model_registry", _seq_sql("""select name, name as kind, split, count(*)::bigint as n_windows
+from sq, (values ('gbt'), ('mlp')) m(name) group by name, split"""))

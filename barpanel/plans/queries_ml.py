@@ -1,10 +1,14 @@
 """Registered Spark ML queries (M1-M9). Model fits are iterative, so these
-have no SQL oracle: the driver checks rows, our tests check properties."""
+have no SQL oracle (``run_log`` and ``model_registry`` have): the driver checks
+rows, our tests check properties."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from barpanel.constants import FEATURE_COLS
+from barpanel.operators import features as FT
+from barpanel.operators import metrics as M
 from barpanel.operators import models as ML
 from barpanel.plans.present import RATIO
 from barpanel.plans.queries import _prepared, query
@@ -14,17 +18,43 @@ WINDOW = 30
 
 
 def _seqs(spark, sf_dir):
-    return _prepared(spark, sf_dir)["sequences"].persist()
+    """The windows, stored once per job by (ticker, split)."""
+    path = IO.scratch_path(spark, "sequences")
+    IO.write_sequences(_prepared(spark, sf_dir)["sequences"], path)
+    return spark.read.parquet(path)
 
 
 def _split(s, name):
     return s.filter(F.col("split") == name)
 
 
+_fitted: dict = {}
+
+
+def forget() -> None:
+    """Drops the fitted model that the tree queries share."""
+    _fitted.clear()
+
+
+def _source_state(spark, sf_dir):
+    """Names, sizes and times of the files behind the panel: a rewritten input
+    is another state."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/orders.parquet")
+    files = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+    return (spark.sparkContext.applicationId, *sorted(
+        (f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files))
+
+
 def _fit_gbt(spark, sf_dir):
-    s = _seqs(spark, sf_dir)
-    m = ML.build_model("gbt").fit(_split(s, "train"), _split(s, "val"))
-    return s, m
+    """The windows and the tree model with the full defaults. M1-M4, M7 and M9
+    look at the same model, so it is fitted once per state of the source."""
+    key = _source_state(spark, sf_dir)
+    if key not in _fitted:
+        forget()
+        s = _seqs(spark, sf_dir)
+        _fitted[key] = s, ML.build_model("gbt").fit(_split(s, "train"), _split(s, "val"))
+    return _fitted[key]
 
 
 def _pred_out(pred):
@@ -68,7 +98,7 @@ def q_m4(spark, sf_dir):
 def q_m5(spark, sf_dir):
     """M5: feed-forward network on the flattened windows; metrics."""
     s = _seqs(spark, sf_dir)
-    m = ML.build_model("mlp").fit(_split(s, "train"))
+    m = ML.build_model("mlp").fit(_split(s, "train"), _split(s, "val"))
     return m.evaluate(s)
 
 
@@ -77,7 +107,7 @@ def q_m6(spark, sf_dir):
     """M6: one GBT per ticker (concurrent jobs); test metrics of each."""
     s = _seqs(spark, sf_dir)
     tickers = sorted(r[0] for r in s.select("ticker").distinct().collect())
-    models = ML.train_per_ticker(s, "gbt", tickers, {"maxIter": 5, "maxDepth": 3})
+    models = ML.train_per_ticker(s, "gbt", tickers)
     out = None
     for t, m in models.items():
         e = m.evaluate(s.filter(F.col("ticker") == t)).withColumn("best_round", F.lit(m.best_round))
@@ -102,15 +132,45 @@ def q_m7(spark, sf_dir):
 
 @query("run_log")
 def q_m8(spark, sf_dir):
-    """M8: params, metrics and learning curve appended to the runs table."""
+    """M8: the linear scorer's run: model, window, counts per ticker and split
+    and all metrics, appended to the runs table and read back."""
+    s = _seqs(spark, sf_dir)
+    scores = M.score_sequences(s, WINDOW)
+    counts = s.groupBy("ticker", "split").agg(F.count(F.lit(1)).alias("n"))
+    rows = ML.run_log_rows("linear-all", "train", {
+        "model": "linear", "asset": "all", "window": WINDOW, "n_features": len(FEATURE_COLS),
+        "features": FEATURE_COLS, "shuffle": False}, M.evaluate(scores), None, spark, counts)
+    path = IO.scratch_path(spark, "runs")
+    ML.append_runs(rows, path)
+    return spark.read.parquet(path).withColumn("value", F.round("value", 4))
+
+
+@query("run_log_gbt")
+def q_m8_gbt(spark, sf_dir):
+    """M8 for the tree model: every parameter, counts, metrics, importances and
+    the learning curve."""
     s, m = _fit_gbt(spark, sf_dir)
-    rows = ML.run_log_rows("gbt-all", "train", {**m.config, "best_round": m.best_round},
-                           m.evaluate(s), m.history, spark)
+    counts = s.groupBy("ticker", "split").agg(F.count(F.lit(1)).alias("n"))
+    rows = ML.run_log_rows("gbt-all", "train", {
+        "model": m.kind, "asset": "all", "window": WINDOW, **m.config,
+        "best_round": m.best_round}, m.evaluate(s), m.history, spark, counts,
+        m.importances(WINDOW))
     path = IO.scratch_path(spark, "runs")
     ML.append_runs(rows, path)
     return spark.read.parquet(path).withColumn("value", F.round("value", RATIO))
 
 
+@query("model_registry")
+def q_m10(spark, sf_dir):
+    """The models by name and what each trains on from the panel."""
+    s = _seqs(spark, sf_dir)
+    per = s.groupBy("split").agg(F.count(F.lit(1)).alias("n_windows"))
+    names = spark.createDataFrame([(k, c.kind) for k, c in ML.MODEL_REGISTRY.items()],
+                                  "name string, kind string")
+    return (names.withColumn("split", F.explode(F.array(*[F.lit(x) for x in FT.SPLITS])))
+            .join(per, "split").select("name", "kind", "split", "n_windows"))
+
+
 @query("learning_curve")
 def q_m9(spark, sf_dir):
     """M9: loss per boosting round (train and val)."""
@@ -120,21 +180,21 @@ def q_m9(spark, sf_dir):
                             F.round("val_loss", RATIO).alias("val_loss"))
 
 
+#: Trials per (model, ticker) in this query; the operator has no default.
+HPO_TRIALS = 2
+
+
 @query("hpo_gbt")
 def q_hpo_gbt(spark, sf_dir):
-    """H3/H5 for the tree model: 4 sampled configurations fitted
-    concurrently; study table with the best trial's test metrics joined."""
+    """H3-H6 for the tree model: a study per ticker over the full tree space,
+    kept in a store; a second call resumes it and runs the missing trials only;
+    the best trial of each study is scored once on test."""
     from barpanel.operators import search as H
     s = _seqs(spark, sf_dir)
-    st = spark.createDataFrame([("all",)], "study string")
-    trials = [r.asDict() for r in H.sample_trials(st, 4, H.GBT_SPACE).drop("study")
-              .orderBy("trial").collect()]
-    study, best = H.search_model(s, trials, "gbt", {"maxIter": 5})
-    out = study.withColumn("is_best", F.col("trial") == F.lit(best["trial"]))
-    if best["test"] is not None:
-        t = best["test"].select(*[F.col(c).alias(f"test_{c}") for c in
-                                  ("directional_accuracy", "mae", "rmse", "sharpe_ratio")])
-        # one metrics row, attached to the best trial
-        out = out.join(F.broadcast(t.withColumn("is_best", F.lit(True))), "is_best", "left")
-    return out.select("trial", F.round("value", 4).alias("value"), "val_sharpe", "val_mae",
-                      "is_best", *[c for c in out.columns if c.startswith("test_")])
+    studies = s.select(F.col("ticker").alias("study")).distinct()
+    path = IO.scratch_path(spark, "ml-study")
+    H.resume_models(s, studies.filter("study < '3'"), HPO_TRIALS, path)   # an interrupted study
+    out = H.resume_models(s, studies, HPO_TRIALS, path)
+    return out.select("study", "trial", F.round("value", 4).alias("value"), "val_sharpe",
+                      "val_mae", "state", "is_best",
+                      *[c for c in out.columns if c.startswith("test_")])
