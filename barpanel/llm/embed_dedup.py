@@ -92,28 +92,46 @@ def codes(unit: np.ndarray, tables: int, hashes: int, probes: int, seed: int) ->
     return out
 
 
-def _hashed(tables: int, hashes: int, probes: int, seed: int):
-    """Task function: unit vectors and codes of the classes."""
+def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length 1, in double precision. Scaled first, so that squares of
+    large or small components stay finite."""
+    x = x.astype(float)
+    x /= np.abs(x).max(1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _packed(code: np.ndarray, dim: int, hashes: int) -> np.ndarray:
+    """Codes in 32 bits where the buckets of the dimension fit them."""
+    full = 1 << max(1, (dim - 1).bit_length())
+    return code.astype("<i4" if (2 * full) ** hashes < 1 << 31 else "<i8")
+
+
+def _unpacked(blobs: list[bytes], tables: int, probes: int) -> np.ndarray:
+    kind = f"<i{len(blobs[0]) // (tables * probes)}"
+    return np.frombuffer(b"".join(blobs), kind).reshape(len(blobs), tables, probes)
+
+
+def _hashed(tables: int, hashes: int, probes: int, seed: int, kind: str):
+    """Task function: vectors as they came (``kind``: their components) and
+    codes of the classes."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 b = whole.slice(at, 512)
                 vectors = [np.array(v, float) for v in b.column("vector").to_pylist()]
-                unit, code = [b""] * len(vectors), [b""] * len(vectors)
+                raw, code = [b""] * len(vectors), [b""] * len(vectors)
                 dims = np.array([len(v) for v in vectors])
-                for d in np.unique(dims):
+                for d in np.unique(dims).tolist():
                     pick = np.flatnonzero(dims == d)
                     x = np.stack([vectors[i] for i in pick])
-                    # scaled first: squares of large components stay finite
-                    x = x / np.abs(x).max(1, keepdims=True)
-                    x /= np.linalg.norm(x, axis=1, keepdims=True)
-                    for i, u, c in zip(pick, x, codes(x, tables, hashes, probes, seed)):
-                        unit[i], code[i] = u.tobytes(), c.tobytes()
+                    c = _packed(codes(_unit(x), tables, hashes, probes, seed), d, hashes)
+                    for i, v, k in zip(pick, x.astype(kind), c):
+                        raw[i], code[i] = v.tobytes(), k.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [b.column("id"), b.column("n"), pa.array(dims.astype(np.int64)),
-                     pa.array(unit, pa.binary()), pa.array(code, pa.binary())],
-                    schema=schema_of("id long,n long,dim long,unit binary,codes binary"))
+                     pa.array(raw, pa.binary()), pa.array(code, pa.binary())],
+                    schema=schema_of("id long,n long,dim long,raw binary,codes binary"))
     return run
 
 
@@ -123,11 +141,12 @@ def _dealt(tables: int, probes: int):
     def run(batches) -> Iterator[pa.RecordBatch]:
         schema = schema_of("id long,dim long,k long,bucket long,own boolean")
         for whole in batches:
-            for at in range(0, whole.num_rows, 2048):
-                b = whole.slice(at, 2048)
-                c = np.stack([np.frombuffer(x, np.int64) for x in b.column("codes").to_pylist()])
-                n, each = len(c), tables * probes
-                c = c.reshape(n, tables, probes)
+            # one width of codes at a time
+            wide = np.array([len(x) for x in whole.column("codes").to_pylist()])
+            for b in (whole.take(pa.array(rows[at:at + 2048])) for w in np.unique(wide)
+                      for rows in [np.flatnonzero(wide == w)] for at in range(0, len(rows), 2048)):
+                c = _unpacked(b.column("codes").to_pylist(), tables, probes).astype(np.int64)
+                each = tables * probes
                 fresh = np.ones(c.shape, bool)  # short vectors have fewer buckets than probes
                 for p in range(1, probes):
                     fresh[:, :, p] = (c[:, :, p, None] != c[:, :, :p]).all(2)
@@ -175,7 +194,7 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return root
 
 
-def _compare(tables: int, probes: int, least: float):
+def _compare(tables: int, probes: int, least: float, kind: str):
     """Task function: cells of a partition sorted by cell. Per class: links
     seen (``links``, weighted by class size) and ``root``, linked to it."""
 
@@ -217,10 +236,9 @@ def _compare(tables: int, probes: int, least: float):
             ends = np.r_[starts_of(dim)]
             for s, e in zip(ends[:-1], ends[1:]):
                 part = slice(int(s), int(e))
-                unit = np.frombuffer(b"".join(t.column("unit")[part].to_pylist()),
-                                     float).reshape(e - s, -1)
-                code = np.frombuffer(b"".join(t.column("codes")[part].to_pylist()),
-                                     np.int64).reshape(e - s, tables, probes)
+                unit = _unit(np.frombuffer(b"".join(t.column("raw")[part].to_pylist()),
+                                           kind).reshape(e - s, -1))
+                code = _unpacked(t.column("codes")[part].to_pylist(), tables, probes)
                 lk, lb, lc, ll, lr = (x[part] for x in (k, bucket, chunk, left, right))
                 li, ln = id_[part], n[part]
                 at = starts_of(lk, lb, ll, lr)
@@ -251,8 +269,12 @@ def near_duplicates(vectors: DataFrame, least: float = MIN_COSINE, tables: int =
                     vector_col: str = "embedding") -> DataFrame:
     """One row per row of ``vectors``: ``vec_id``, ``n_links`` (others of
     cosine ``least`` or more) and ``component_id``, the smallest id reachable."""
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"),
-                          F.col(vector_col).cast("array<double>").alias("vector"))
+    # single-precision components travel as such; sums are double all along
+    single = vectors.schema[vector_col].dataType.elementType.typeName() == "float"
+    kind = "<f4" if single else "<f8"
+    rows = vectors.select(
+        F.col(id_col).cast("long").alias("id"),
+        F.col(vector_col).cast("array<float>" if single else "array<double>").alias("vector"))
     sound = F.coalesce(
         F.col("id").isNotNull() & (F.size("vector") > 0)
         & F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -262,7 +284,8 @@ def near_duplicates(vectors: DataFrame, least: float = MIN_COSINE, tables: int =
     classes = stored(known.groupBy("vector").agg(F.min("id").alias("id"),
                                                  F.count(F.lit(1)).alias("n")))
     hashed = stored(classes.select("id", "n", "vector").mapInArrow(
-        _hashed(tables, hashes, probes, seed), "id long,n long,dim long,unit binary,codes binary"))
+        _hashed(tables, hashes, probes, seed, kind),
+        "id long,n long,dim long,raw binary,codes binary"))
     dealt = stored(hashed.select("id", "dim", "codes").mapInArrow(
         _dealt(tables, probes), "id long,dim long,k long,bucket long,own boolean"))
     place = ["dim", "k", "bucket"]
@@ -276,9 +299,9 @@ def near_duplicates(vectors: DataFrame, least: float = MIN_COSINE, tables: int =
              .select(*place, "id", "own", "chunk", F.least("chunk", "other").alias("left"),
                      F.greatest("chunk", "other").alias("right")))
     cell = [*place, "left", "right"]
-    found = cut(cells.join(hashed.select("id", "n", "unit", "codes"), "id")
+    found = cut(cells.join(hashed.select("id", "n", "raw", "codes"), "id")
                 .repartition(*cell).sortWithinPartitions(*cell, "id")
-                .mapInArrow(_compare(tables, probes, least), "id long,links long,root long"))
+                .mapInArrow(_compare(tables, probes, least, kind), "id long,links long,root long"))
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
     of = components(found, "id", "root").withColumnRenamed("node", "id")
     classes = (classes.join(counts, "id", "left").join(of, "id", "left")

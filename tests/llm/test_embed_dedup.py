@@ -76,3 +76,17 @@ def test_rotation_keeps_length():
 
 def test_empty_table(spark):
     assert embed_dedup.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_double_vectors_and_many_dimensions(spark):
+    """Double components, and dimensions whose codes need 64 bits."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(30):
+        d = 1500 if i % 2 else 20
+        rows.append((i, [float(x) for x in rng.standard_normal(d)]))
+    rows += [(100, rows[1][1][:-1] + [0.5]), (101, rows[0][1][:-1] + [rows[0][1][-1] + 1e-9])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id)
+           for r in embed_dedup.near_duplicates(df).collect()}
+    assert got == brute(rows) and got[100][1] == 1 and got[101][1] == 0
