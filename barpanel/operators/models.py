@@ -208,14 +208,17 @@ class MLPModel(PanelModel):
 
     def fit(self, train: DataFrame, val: DataFrame | None = None) -> "MLPModel":
         c, weights = self.config, None
-        tv = with_vectors(train).persist()
+        # Spark averages the gradient over blocks of a partition, so rows of
+        # small partitions would weigh more: deal them out evenly
+        parts = max(1, min(train.rdd.getNumPartitions(), train.count() // 2048))
+        tv = with_vectors(train).repartition(parts).persist()
         vv = None if val is None else with_vectors(val).persist()
         try:
             layers = [len(tv.select("features").first()[0]), *c["hidden"], 2]
             rows, best, wait = [], (math.inf, 0, None), 0
             for epoch in range(1, c["epochs"] + 1):
                 e = MultilayerPerceptronClassifier(layers=layers, maxIter=c["steps_per_epoch"],
-                                                   seed=c["seed"], tol=0.0)
+                                                   seed=c["seed"])
                 if weights is not None:
                     e = e.setInitialWeights(weights)
                 self.model = e.fit(tv)
