@@ -73,6 +73,7 @@ class SeriesLayout:
     block_rows: int | None = None   # None: plain layout
     halo_back: int = 0
     halo_ahead: int = 0
+    ranges: int | None = None       # range partitions for numbering; None: the session's
 
     # -- construction ---------------------------------------------------------
     @property
@@ -109,7 +110,7 @@ class SeriesLayout:
         if not self.blocked:
             return df
         if ordinal is None:
-            df = with_ordinal(df, self.key, list(self.order), "_rn")
+            df = with_ordinal(df, self.key, list(self.order), "_rn", self.ranges)
         elif ordinal != "_rn":
             df = df.withColumn("_rn", F.col(ordinal))
         b = self.block_rows
@@ -173,10 +174,14 @@ class AutoLayout:
     block_rows: int = 1 << 20
 
     def resolve(self, df: DataFrame) -> SeriesLayout:
-        biggest = df.groupBy(self.key).count().agg(F.max("count")).first()[0] or 0
-        if biggest <= self.block_rows:
+        rows, biggest = (df.groupBy(self.key).count()
+                         .agg(F.sum("count"), F.max("count")).first())
+        if (biggest or 0) <= self.block_rows:
             return SeriesLayout(key=self.key, order=self.order)
-        return SeriesLayout(key=self.key, order=self.order, block_rows=self.block_rows)
+        # a range partition holds about one block, whatever the panel's size
+        ranges = max(shuffle_partitions(df.sparkSession), -(-rows // self.block_rows))
+        return SeriesLayout(key=self.key, order=self.order, block_rows=self.block_rows,
+                            ranges=ranges)
 
 
 def resolve(layout, df: DataFrame, order=None) -> SeriesLayout:

@@ -78,3 +78,20 @@ def test_blocked_sequences_equal_plain(daily01):
     assert len(pa) == len(pb)
     assert (pa["y"] == pb["y"]).all()
     assert all(list(x) == list(y) for x, y in zip(pa["f"], pb["f"]))
+
+
+def test_auto_layout_scales_its_ranges(daily01):
+    """Small series stay plain; large ones get blocks, and as many range
+    partitions as the panel has blocks."""
+    from barpanel.plans.layout import AutoLayout
+    n = daily01.count()
+    assert not AutoLayout().resolve(daily01).blocked
+    lay = AutoLayout(block_rows=100).resolve(daily01)
+    assert lay.blocked and lay.ranges == -(-n // 100)
+    d = lay.with_halo(3, 1).prepare(daily01)
+    got = lay.finish(d).orderBy("ticker", "date").collect()
+    assert len(got) == n
+    at = {}
+    for r in got:
+        assert r["_rn"] == at.get(r.ticker, 0)
+        at[r.ticker] = at.get(r.ticker, 0) + 1
