@@ -4,8 +4,9 @@ Pass one tokenises: every task numbers its documents' ids from 0 and writes
 them with its partition number. The partitions' totals, one row each, give
 global offsets by a prefix sum. Pass two adds the offset and cuts at multiples
 of the sequence length; a document that crosses a cut leaves one boundary
-record (piece) in each sequence it touches. No token is shuffled, and only the
-last sequence can be short.
+record (piece) in each sequence it touches. What remains after the last whole
+sequence is cut into falling powers of two, lengths that need no padding. No
+token is shuffled, and no padding is left.
 
 Ids are those that the ``tokenizers`` library gives for ``byte_bpe_50k.json``
 without special tokens (a special token's name in a text is ordinary text);
@@ -81,6 +82,17 @@ def offsets(tokenised: DataFrame) -> DataFrame:
     return totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
 
 
+def tail(total: int, length: int) -> list[tuple[int, int, int]]:
+    """(sequence, first id, ids) of the short sequences after the whole ones."""
+    sequence, first = divmod(total, length)[0], total - total % length
+    out = []
+    for k in reversed(range((total - first).bit_length())):
+        if (total - first) >> k:
+            out.append((sequence, first, 1 << k))
+            sequence, first = sequence + 1, first + (1 << k)
+    return out
+
+
 def pack(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULARY,
          end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: ``doc_id``, ``start`` (its document's ids before it),
@@ -88,35 +100,46 @@ def pack(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULARY,
     ``sequence_id`` and ``offset`` in the sequence."""
     rows = stored(tokenise(docs, vocabulary, end_id, id_col, text_col))
     base = stored(offsets(rows))
+    total = rows.agg(F.sum("n")).first()[0] or 0
     if base.count() <= SENT_ROWS:
         base = F.broadcast(base)
-    g = F.col("base") + F.col("at")
-
-    def row(c: str) -> Column:
-        return F.col(c)
-    cut = (rows.join(base, "part")
-           .select("doc_id", "n", "ids", g.alias("g"),
-                   F.explode(F.sequence(F.floor(g / length), F.floor((g + row("n") - 1) / length)))
-                   .alias("sequence_id")))
-    first = row("sequence_id") * length
-    begin = F.greatest(row("g"), first)
-    size = F.least(row("g") + row("n"), first + length) - begin
-    start = begin - row("g")
+    whole, short = total // length, tail(total, length)
+    g, end = F.col("base") + F.col("at"), F.col("base") + F.col("at") + F.col("n")
+
+    def window(sequence, first, size) -> Column:
+        return F.struct(*[F.lit(x).cast("long").alias(k) if isinstance(x, int) else
+                          x.cast("long").alias(k) for k, x in
+                          (("id", sequence), ("first", first), ("size", size))])
+    lo, hi = F.floor(g / length), F.least(F.floor((end - 1) / length), F.lit(whole - 1))
+    windows = F.when(lo <= hi, F.transform(
+        F.sequence(lo, F.greatest(lo, hi)), lambda k: window(k, k * length, length)))
+    if short:
+        touched = F.filter(F.array(*[window(*x) for x in short]),
+                           lambda x: (x["first"] < end) & (x["first"] + x["size"] > g))
+        windows = F.concat(F.coalesce(windows, F.array().cast(
+            "array<struct<id:bigint,first:bigint,size:bigint>>")), touched)
+    cut = rows.join(base, "part").select("doc_id", "n", "ids", g.alias("g"),
+                                         F.explode(windows).alias("w"))
+    begin = F.greatest(F.col("g"), F.col("w.first"))
+    size = F.least(F.col("g") + F.col("n"), F.col("w.first") + F.col("w.size")) - begin
+    start = begin - F.col("g")
     return cut.select(
         "doc_id", start.alias("start"), size.alias("length"),
         F.substring("ids", (start * 4 + 1).cast("int"), (size * 4).cast("int")).alias("ids"),
-        row("n").alias("doc_tokens"), "sequence_id", (begin - first).alias("offset"))
+        F.col("n").alias("doc_tokens"), F.col("w.id").alias("sequence_id"),
+        (begin - F.col("w.first")).alias("offset"))
 
 
 def sequences(packed: DataFrame, length: int = LENGTH, pad_id: int = END_ID) -> DataFrame:
-    """The padded sequences of packed pieces: ``sequence_id``, ``n_tokens`` and
-    ``ids`` (binary of ``4 * length`` bytes). A sequence gathers at most
-    ``length`` pieces, as each holds an id."""
+    """The sequences of packed pieces: ``sequence_id``, ``n_tokens`` and ``ids``
+    (binary, 4 bytes an id), padded to ``length`` unless their length is a power
+    of two. A sequence gathers at most ``length`` pieces, as each holds an id."""
     got = packed.groupBy("sequence_id").agg(
         F.sum("length").alias("n_tokens"),
         F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("parts"))
     joined = F.aggregate("parts", F.lit(b"").cast("binary"),
                          lambda acc, x: F.concat(acc, x["ids"]))
     pad = int(pad_id).to_bytes(4, "little")
+    size = F.when(F.bit_count("n_tokens") == 1, F.col("n_tokens")).otherwise(F.lit(length))
     return got.select("sequence_id", "n_tokens",
-                      F.rpad(joined, F.lit(4 * length), F.lit(pad)).alias("ids"))
+                      F.rpad(joined, (4 * size).cast("int"), F.lit(pad)).alias("ids"))

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from barpanel.llm.packing import pack, sequences
 from tests.llm.helpers import docs, prose
@@ -43,15 +44,17 @@ def check(spark, df, rows, tokenizer, length):
             assert joined == lists[0] and {r.doc_tokens for r in pieces} == {len(joined)}
         else:
             assert sum(r.length for r in pieces) == sum(map(len, lists))
-    last = max(by_seq)
-    assert sorted(by_seq) == list(range(last + 1))
+    total = sum(len(x) for lists in want.values() for x in lists)
+    sizes = [length] * (total // length) + [1 << k for k in range(20, -1, -1)
+                                            if total % length >> k & 1]
+    assert sorted(by_seq) == list(range(len(sizes)))
     for s, ps in by_seq.items():
         ps.sort(key=lambda r: r.offset)
         at = 0
         for r in ps:
             assert r.offset == at
             at += r.length
-        assert at == length if s < last else 0 < at <= length
+        assert at == sizes[s]  # nothing needs padding
     return got
 
 
@@ -67,6 +70,18 @@ def test_repeated_rows_and_null_ids(spark, tokenizer):
     check(spark, df, rows, tokenizer, 4)
 
 
+def test_tail():
+    from barpanel.llm.packing import tail
+    assert tail(2048, 1024) == [] and tail(0, 1024) == []
+    assert tail(1024 + 700, 1024) == [(1, 1024, 512), (2, 1536, 128), (3, 1664, 32),
+                                      (4, 1696, 16), (5, 1712, 8), (6, 1720, 4)]
+
+
+def test_short_corpus(spark, tokenizer):
+    """Less than one sequence: powers of two only."""
+    check(spark, docs(spark, ["a b c", "d"]), [(0, "a b c"), (1, "d")], tokenizer, 1024)
+
+
 def test_empty_table(spark):
     assert pack(docs(spark, [])).count() == 0
 
@@ -79,9 +94,13 @@ def test_sequences_are_padded(spark, tokenizer):
         stream += np.frombuffer(r.ids, "<u4").tolist()
     for k, r in seqs.items():
         ids = np.frombuffer(r.ids, "<u4").tolist()
-        assert len(ids) == 64
-        assert ids[:r.n_tokens] == stream[64 * k:64 * k + r.n_tokens]
-        assert not any(ids[r.n_tokens:])
+        at = sum(x.n_tokens for j, x in seqs.items() if j < k)
+        assert len(ids) == r.n_tokens and ids == stream[at:at + r.n_tokens]
+    # pieces that do not fill a power of two are padded
+    odd = got.filter("sequence_id = 0 AND offset = 0").withColumn("length", F.lit(3)).withColumn(
+        "ids", F.substring("ids", 1, 12))
+    r = sequences(odd, 64, 9).first()
+    assert np.frombuffer(r.ids, "<u4")[3:].tolist() == [9] * 61
 
 
 def test_query_digest(spark, tokenizer, tmp_path):

@@ -90,5 +90,10 @@ def test_run(spark, tmp_path):
     docs(spark, texts, source=source).write.parquet(f"{tmp_path}/documents.parquet")
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in got} <= set(range(len(texts)))
-    assert sum(r.length for r in got) == max(r.sequence_id for r in got) * 1024 + sum(
-        r.length for r in got if r.sequence_id == max(x.sequence_id for x in got))
+    sizes = {}
+    for r in got:
+        sizes[r.sequence_id] = sizes.get(r.sequence_id, 0) + r.length
+    order = [sizes[k] for k in range(len(sizes))]
+    whole = sum(order) // 1024
+    assert order[:whole] == [1024] * whole
+    assert all(x & (x - 1) == 0 for x in order[whole:])
