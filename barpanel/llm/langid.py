@@ -139,18 +139,20 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     if model is None:
         return d.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
-    sent = d.sparkSession.sparkContext.broadcast(model)
+    # plain values: executors need not have the class
+    sent = d.sparkSession.sparkContext.broadcast((model.labels, model.prior, model.logp))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         out = schema_of("doc_id long,lang_pred string,score double")
+        known = Model(*sent.value)
         for b in pieces(batches, "text", 4 << 20):
             ts = texts(b)
-            p = scores(sent.value, ts)
+            p = scores(known, ts)
             best = p.argmax(1)
             has = [any(map(str.isalpha, t)) for t in ts]
             yield pa.RecordBatch.from_arrays([
                 b.column("doc_id"),
-                pa.array([sent.value.labels[k] if ok else "und" for k, ok in zip(best, has)],
+                pa.array([known.labels[k] if ok else "und" for k, ok in zip(best, has)],
                          pa.string()),
                 pa.array([float(p[i, k]) if ok else 0.0 for i, (k, ok)
                           in enumerate(zip(best, has))], pa.float64())], schema=out)

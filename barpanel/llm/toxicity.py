@@ -182,10 +182,11 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     if model is None:
         return d.select("doc_id", F.lit(0.0).alias("score"))
-    sent = d.sparkSession.sparkContext.broadcast(model)
+    # plain values: executors need not have the class
+    sent = d.sparkSession.sparkContext.broadcast((model.w0, model.w, model.v))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        m = sent.value
+        m = Model(*sent.value)
         for b in pieces(batches, "text", 4 << 20):
             found = [terms(t, len(m.w)) for t in texts(b)]
             lengths = np.array([len(x) for x in found])
