@@ -261,7 +261,7 @@ def build_model(name: str, config: dict | None = None) -> PanelModel:
 
 
 def train_per_ticker(stored: DataFrame, name: str, tickers, config: dict | None = None,
-                     threads: int = 4) -> dict:
+                     threads: int = 8) -> dict:
     """M6: one model per requested ticker, fitted as concurrent Spark jobs from
     a small thread pool. ``stored`` is a table partitioned by (ticker, split),
     so a fit reads its own partitions only. A ticker without windows raises."""

@@ -180,7 +180,7 @@ def tree_config(params: dict) -> dict:
 
 
 def search_model(seqs: DataFrame, trials: list, name: str = "gbt", base: dict | None = None,
-                 threads: int = 4) -> tuple[DataFrame, dict]:
+                 threads: int = 8) -> tuple[DataFrame, dict]:
     """H3/H5 for ML models: every trial config is fitted on the train windows
     (val for early stopping) as a concurrent Spark job from a small thread
     pool; objective = validation directional accuracy. A trial that fails
@@ -223,7 +223,7 @@ def search_model(seqs: DataFrame, trials: list, name: str = "gbt", base: dict |
 
 def resume_models(stored: DataFrame, studies: DataFrame, n_trials: int, path: str,
                   name: str = "gbt", base: dict | None = None, seed: int = SEED,
-                  threads: int = 4) -> DataFrame:
+                  threads: int = 8) -> DataFrame:
     """One study per (model, ticker) of ``studies`` with ``n_trials`` trials of
     the tree space, kept at ``path``: trials already there are not run again.
     ``stored``: windows partitioned by (ticker, split). Returns the whole store
