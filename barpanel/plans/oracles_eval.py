@@ -134,14 +134,15 @@ def _cat(parameter, choices):
     return f"([{items}])[floor({_u(parameter)} * {len(choices)})::int + 1]"
 
 
-_TRIALS = f"""studies as (select distinct o_orderpriority as study from orders),
-tr as (select study, t::bigint as trial from studies, range(0, {N_TRIALS}) r(t))"""
+_TRIALS = f"""studies as (select o_orderpriority as study,
+  count(distinct cast(o_orderdate as date))::bigint as n_bars from orders group by 1),
+tr as (select study, n_bars, t::bigint as trial from studies, range(0, {N_TRIALS}) r(t))"""
 TRIALS_CTE = f"""{_TRIALS},
-tp as (select study, trial, {_int('n_mom', 2, 20)} as n_mom, {_real('thr', -0.02, 0.02)} as thr,
+tp as (select study, n_bars, trial, {_int('n_mom', 2, 20)} as n_mom, {_real('thr', -0.02, 0.02)} as thr,
   {_log('scale', 0.001, 0.1)} as scale, {_cat('side', ['long', 'contrarian'])} as side from tr)"""
 
 oracle("sample_trials", f"""with {TRIALS_CTE}
-select study, trial, n_mom, round(thr, 8) as thr, round(scale, 8) as scale, side from tp""")
+select study, trial, n_bars, n_mom, round(thr, 8) as thr, round(scale, 8) as scale, side from tp""")
 
 _INTS = ("n_estimators max_depth min_child_weight hidden_size num_layers num_channels kernel_size "
          "receptive_field n_heads d_model lstm_layers batch_size epochs patience random_state "
@@ -177,7 +178,7 @@ def _model_sql(model: str, cols: dict) -> str:
     cols = {**cols, "epochs": "50", "patience": "10", "random_state": "42"}
     parts = [f"({cols.get(c, 'null')})::int as {c}" for c in _INTS]
     parts += [f"round(({cols.get(c, 'null')})::double, {RATIO}) as {c}" for c in _REALS]
-    return (f"select study, trial, '{model}' as model, ({cols.get('dilations', 'null')})::varchar "
+    return (f"select study, trial, n_bars, '{model}' as model, ({cols.get('dilations', 'null')})::varchar "
             f"as dilations, {', '.join(parts)} from tr")
 
 

@@ -16,7 +16,7 @@ from barpanel.operators import selection as K
 from barpanel.plans.present import METRIC, RATIO, spark_round
 from barpanel.plans.queries import _prepared, laid_panel, query
 from barpanel.sources import panel_io as IO
-from barpanel.sources.fixtures import panel_daily
+from barpanel.sources.fixtures import table
 
 WINDOW = 30
 N_TRIALS = 40
@@ -193,7 +193,9 @@ def q_k1(spark, sf_dir):
 
 # H ---------------------------------------------------------------------------
 def _studies(spark, sf_dir):
-    return panel_daily(spark, sf_dir).select(F.col("ticker").alias("study")).distinct()
+    """One study per ticker, with the bars that it searches on."""
+    return table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("study")).agg(
+        F.countDistinct(F.to_date("o_orderdate")).alias("n_bars"))
 
 
 def _trials(spark, sf_dir, n=N_TRIALS):
@@ -225,8 +227,8 @@ def _study_results(spark, sf_dir, trial_filter=None, rows=None):
 @query("sample_trials")
 def q_h1(spark, sf_dir):
     """H1: 40 momentum-model configurations per study (ticker)."""
-    t = _trials(spark, sf_dir)
-    return t.select("study", "trial", "n_mom", F.round("thr", RATIO + 2).alias("thr"),
+    t = _trials(spark, sf_dir).join(_studies(spark, sf_dir), "study")
+    return t.select("study", "trial", "n_bars", "n_mom", F.round("thr", RATIO + 2).alias("thr"),
                     F.round("scale", RATIO + 2).alias("scale"), "side")
 
 
@@ -249,7 +251,7 @@ def q_h2(spark, sf_dir):
         dil = F.array_join("dilations", ",") if "dilations" in t.columns else F.lit(None).cast("string")
         t = t.select("study", "trial", F.lit(model).alias("model"), dil.alias("dilations"), *cols)
         out = t if out is None else out.unionByName(t)
-    return out
+    return out.join(st, "study")
 
 
 def _round_results(r):
