@@ -16,6 +16,7 @@ by one; an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barpanel.llm.common import pieces, schema_of, texts
+from barpanel.llm.common import pieces, ragged, schema_of, texts
 
 DIMS = 1 << 18
 RANK = 8
@@ -35,7 +36,8 @@ RATE = 0.3
 #: Terms of fewer labelled rows are not learned.
 MIN_ROWS = 3
 LEAST_STEP = 0.003
-#: Terms nearer than this to equal shares under both labels are not learned.
+#: Terms nearer than this to equal shares under both labels have no weight of
+#: their own; they take part in pairs like all others.
 LEAST_Z = 0.7
 #: Expected number of labelled rows that the machine is fitted on.
 MAX_TRAINING_ROWS = 20_000
@@ -91,20 +93,70 @@ def confidence(rows: list[np.ndarray], y: np.ndarray, dims: int) -> np.ndarray:
     return np.where(pos + neg >= MIN_ROWS, z, 0.0)
 
 
+def pair_confidence(rows: list[np.ndarray], y: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """How far the strongest interaction of each known term is from 0 beyond what
+    chance gives to the largest of all pairs, in standard errors: the change that
+    one term of a pair makes in the other's smoothed log-odds ratio of the labels,
+    over every pair that ``MIN_ROWS`` rows hold."""
+    dims, ids = len(known), np.flatnonzero(known)
+    local = np.full(dims, -1, np.int64)
+    local[ids] = np.arange(len(ids))
+    found = [local[r[known[r]]] for r in rows]
+    lengths = np.array([len(r) for r in found], np.int64)
+    out = np.zeros(dims)
+    if not lengths.sum():
+        return out
+    flat, first = np.concatenate(found), np.cumsum(lengths) - lengths
+    label = np.repeat(y > 0, lengths)
+    k = len(ids)
+    n = (float((y <= 0).sum()), float((y > 0).sum()))
+    one = (np.bincount(flat[~label], minlength=k), np.bincount(flat[label], minlength=k))
+    holders = np.split(np.repeat(np.arange(len(rows)), lengths)[np.argsort(flat, kind="stable")],
+                       np.cumsum(np.bincount(flat, minlength=k))[:-1])
+    chance = math.sqrt(2 * math.log(max(2.0, k * (k - 1) / 2)))
+    best = np.zeros(k)
+    for a, rows_a in enumerate(holders):
+        both = []
+        for side in (0, 1):
+            pick = rows_a[(y[rows_a] > 0) == bool(side)]
+            at = ragged(first[pick], lengths[pick])
+            both.append(np.bincount(flat[at], minlength=k))
+        b = np.flatnonzero(both[0] + both[1] >= MIN_ROWS)
+        b = b[b > a]  # each pair once
+        odds, var = 0.0, 0.0
+        for side, sign in ((0, -1.0), (1, 1.0)):
+            ab = both[side][b]
+            a_only, b_only = one[side][a] - ab, one[side][b] - ab
+            neither = n[side] - ab - a_only - b_only
+            for cell, s in ((ab, 1.0), (a_only, -1.0), (b_only, -1.0), (neither, 1.0)):
+                odds = odds + sign * s * np.log(cell + 0.5)
+                var = var + 1 / (cell + 0.5)
+        z = np.abs(odds) / np.sqrt(var)
+        best[a] = max(best[a], z.max(initial=0.0))
+        best[b] = np.maximum(best[b], z)
+    out[ids] = np.maximum(best - chance, 0.0)
+    return out
+
+
 def train(rows: list[np.ndarray], y: np.ndarray, dims: int = DIMS, rank: int = RANK,
           epochs: int = EPOCHS, rate: float = RATE, l2: float = 1e-4, batch: int = 64,
           seed: int = 7) -> Model:
-    """AdaGrad on the log-loss. A term's step is scaled by the confidence that
-    the labels differ in it (from ``LEAST_STEP`` up to 1 at four standard errors), so
-    the few telling terms of a text are learned before its many chance ones.
+    """AdaGrad on the log-loss. The step of a term's own weight is scaled by the
+    confidence that the labels differ in it (from ``LEAST_STEP`` up to 1 at four
+    standard errors), so the few telling terms of a text are learned before its
+    many chance ones. Its pair vector steps by that or by the confidence of its
+    strongest pair, since equal shares say nothing about pairs (exclusive or).
     The result depends on the order of the rows, so callers sort them."""
     rng = np.random.default_rng(seed)
     z = confidence(rows, y, dims)
-    step = np.where(z > LEAST_Z, np.clip((z / 4) ** 2, LEAST_STEP, 1.0), 0.0)
-    rows = [r[step[r] > 0] for r in rows]
+    known = np.bincount(np.concatenate([*rows, np.zeros(0, np.int32)]), minlength=dims) >= MIN_ROWS
+    step = np.where(known & (z > LEAST_Z), np.clip((z / 4) ** 2, LEAST_STEP, 1.0), 0.0)
+    pair = pair_confidence(rows, y, known)
+    step_v = np.where(known, np.maximum(step, np.clip((pair / 4) ** 2, LEAST_STEP, 1.0)), 0.0)
+    rows = [r[known[r]] for r in rows]
     share = min(max(float(y.mean()), 1e-3), 1 - 1e-3)
     w0, w = float(np.log(share / (1 - share))), np.zeros(dims)
-    v = rng.normal(0, 0.01, (dims, rank)) * (step > 0)[:, None]
+    v = rng.normal(0, 0.01, (dims, rank)) * known[:, None]
     gw, gv, g0 = np.full(dims, 1e-6), np.full((dims, rank), 1e-6), 1e-2
     for _ in range(epochs):
         order = rng.permutation(len(rows))
@@ -130,7 +182,7 @@ def train(rows: list[np.ndarray], y: np.ndarray, dims: int = DIMS, rank: int = R
             grads = np.add.reduceat(pull[by_term], np.r_[0, np.cumsum(np.bincount(inv))[:-1]],
                                     axis=0) + l2 * v[used]
             gv[used] += grads ** 2
-            v[used] -= 0.1 * rate * step[used, None] * grads / np.sqrt(gv[used])
+            v[used] -= 0.1 * rate * step_v[used, None] * grads / np.sqrt(gv[used])
     return Model(w0, w, v)
 
 

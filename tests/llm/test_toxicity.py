@@ -34,6 +34,28 @@ def test_learns_pairs():
     assert ((p >= 0.3) == y).mean() > 0.97
 
 
+def test_learns_exclusive_or_with_balanced_marginals():
+    """Both words are equally frequent under both labels: only the pair tells."""
+    def rows(rng, n):
+        out = []
+        for k in range(n):
+            a, b = bool(k & 1), bool(k & 2)
+            w = prose(rng, 12).split() + ["scum"] * a + ["outsiders"] * b
+            rng.shuffle(w)
+            out.append((" ".join(w), int(a != b)))
+        return out
+    rng = random.Random(1)
+    train, test = rows(rng, 4000), rows(rng, 800)
+    y = np.array([y for _, y in train], float)
+    terms = [toxicity.terms(t) for t, _ in train]
+    both = toxicity.terms("scum outsiders")
+    assert (toxicity.confidence(terms, y, toxicity.DIMS)[both] < toxicity.LEAST_Z).all()
+    m = toxicity.train(terms, y)
+    found = [toxicity.terms(t) for t, _ in test]
+    z = toxicity.logits(m, np.concatenate(found), np.array([len(x) for x in found]))
+    assert ((z >= 0) == np.array([y for _, y in test])).mean() > 0.8
+
+
 def test_pair_term_by_definition():
     rng = np.random.default_rng(0)
     m = toxicity.Model(0.5, rng.normal(size=16), rng.normal(size=(16, 3)))
