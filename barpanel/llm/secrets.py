@@ -5,7 +5,8 @@ Two detectors over whole texts:
 * *patterns*: assignments to a secret-like name, access key ids and long hex
   runs (``base_spans``);
 * *randomness*: every run of 20 or more characters of an encoding alphabet is a
-  candidate. Its encoding is inferred (hex, base32, base64), and three tests
+  candidate. Its encoding is inferred (hex, base32 and base36 in either case,
+  base62, base64), and three tests
   ask whether it could be ordinary text of the corpus: chi-squared distance
   from the uniform alphabet, runs above and below the alphabet's middle, and
   lag-one serial correlation. Ordinary text is the null model: letters drawn
@@ -51,7 +52,12 @@ FDR = 0.001
 #: Upper ends of the length bands that control false discovery apart.
 BANDS = (24, 32, 40, 64, 128, 1 << 30)
 _HEXDIGITS = frozenset("0123456789abcdef")
-_BASE32 = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_DIGITS = "0123456789"
+#: Alphabets in the order of their codes, narrow ones first; hex has its own rule.
+ALPHABETS = {"base32": _UPPER + "234567", "base32 lower": _LOWER + "234567",
+             "base36": _DIGITS + _UPPER, "base36 lower": _DIGITS + _LOWER,
+             "base62": _UPPER + _LOWER + _DIGITS, "base64": _UPPER + _LOWER + _DIGITS + "+/"}
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -92,22 +98,19 @@ def encoding(token: str) -> tuple[str, int]:
     if chars <= _HEXDIGITS or {c.lower() for c in chars} <= _HEXDIGITS and \
             not (chars & set("abcdef") and chars & set("ABCDEF")):
         return "hex", 16
-    if chars <= _BASE32:
-        return "base32", 32
-    return "base64", 64
+    return next(((k, len(a)) for k, a in ALPHABETS.items() if chars <= _AT[k].keys()),
+                ("base64", 64))
 
 
-_B64 = {c: i for i, c in enumerate(
-    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")} | {"-": 62, "_": 63}
-_B32 = {c: i for i, c in enumerate("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")}
+_AT = {k: {c: i for i, c in enumerate(a)} for k, a in ALPHABETS.items()}
+_AT["base64"] |= {"-": 62, "_": 63}
 
 
 def codes(token: str, kind: str) -> np.ndarray:
     t = token.rstrip("=")
     if kind == "hex":
         return np.array([int(c, 16) for c in t], np.int64)
-    at = _B32 if kind == "base32" else _B64
-    return np.array([at[c] for c in t], np.int64)
+    return np.array([_AT[kind][c] for c in t], np.int64)
 
 
 def _normal_tail(z: float) -> float:
@@ -187,10 +190,9 @@ def p_value(token: str, letters: np.ndarray) -> float:
     if kind == "hex":
         null[10:] = letters[:6]
         null = null / null.sum() if null.sum() > 0 else np.full(size, 1 / size)
-    elif kind == "base32":
-        null[:26] = letters
     else:
-        null[26:52] = letters
+        first = _AT[kind].get("a", _AT[kind].get("A"))
+        null[first:first + 26] = letters
     mean, var = chi_moments(null, n)
     p_chi = _normal_tail((x2 - mean) / math.sqrt(var))
     # class changes of text: rare (a capital, a joined number), about Poisson
