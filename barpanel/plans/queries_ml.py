@@ -180,8 +180,8 @@ def q_m9(spark, sf_dir):
                             F.round("val_loss", RATIO).alias("val_loss"))
 
 
-#: Trials per (model, ticker) in this query; the operator has no default.
-HPO_TRIALS = 2
+#: Trials per (model, ticker) in this query, the reference's default; the operator has none.
+HPO_TRIALS = 50
 
 
 @query("hpo_gbt")

@@ -1,0 +1,19 @@
+"""The registered study runs the reference's trials (its --trials default)."""
+from barpanel.operators import search
+from barpanel.plans import queries_ml
+
+
+def test_hpo_gbt_runs_50_trials_per_study(spark, tmp_path, monkeypatch):
+    seqs = spark.createDataFrame([("1",), ("5",)], "ticker string")
+    got = []
+
+    def resume(stored, studies, n_trials, path, **_):
+        got.append((sorted(r.study for r in studies.collect()), n_trials))
+        return spark.createDataFrame(
+            [], "study string, trial long, value double, val_sharpe double, val_mae double, "
+                "state string, is_best boolean")
+    monkeypatch.setattr(queries_ml, "_seqs", lambda *_: seqs)
+    monkeypatch.setattr(queries_ml.IO, "scratch_path", lambda *_: str(tmp_path))
+    monkeypatch.setattr(search, "resume_models", resume)
+    queries_ml.q_hpo_gbt(spark, "")
+    assert got[-1] == (["1", "5"], 50)
