@@ -112,3 +112,53 @@ SELECT doc_id, source, round(weight, 9) AS weight, pass::INTEGER AS pass, block,
        round(slot, 9) AS slot, key AS order_key
 FROM seen WHERE before + b <= rest OR ahead < rest - before
 """
+
+ORACLES["op11_collocations"] = r"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS p, piece FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents)),
+listed AS (SELECT lang, p, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+one AS (SELECT lang, unnest(ws) AS phrase FROM listed),
+two AS (
+  SELECT lang, ws[i] AS w1, ws[i + 1] AS w2
+  FROM (SELECT lang, ws, unnest(generate_series(1, len(ws) - 1)) AS i FROM listed)),
+three AS (
+  SELECT lang, ws[i] AS w1, ws[i + 1] AS w2, ws[i + 2] AS w3
+  FROM (SELECT lang, ws, unnest(generate_series(1, len(ws) - 2)) AS i FROM listed)),
+f1 AS (SELECT lang, phrase AS w, count(*) AS f FROM one GROUP BY ALL),
+f2 AS (SELECT lang, w1, w2, count(*) AS f FROM two GROUP BY ALL),
+f3 AS (SELECT lang, w1, w2, w3, count(*) AS f FROM three GROUP BY ALL HAVING count(*) >= 10),
+total AS (SELECT lang, count(*) AS n FROM one GROUP BY lang),
+inside AS (
+  SELECT lang, a, b, max(f) AS f FROM (
+    SELECT lang, w1 AS a, w2 AS b, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3)
+  GROUP BY lang, a, b),
+c2 AS (
+  SELECT f2.lang, f2.w1 || ' ' || f2.w2 AS phrase, f2.f AS a, x.f AS l, y.f AS r,
+         1000000::HUGEINT * f2.f * f2.f // (x.f::HUGEINT * y.f) AS score
+  FROM f2 JOIN f1 x ON x.lang = f2.lang AND x.w = f2.w1
+          JOIN f1 y ON y.lang = f2.lang AND y.w = f2.w2
+          LEFT JOIN inside i ON i.lang = f2.lang AND i.a = f2.w1 AND i.b = f2.w2
+  WHERE f2.f >= 10 AND 100 * coalesce(i.f, 0) < 50 * f2.f),
+c3 AS (
+  SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3 AS phrase, f3.f AS a,
+         x1.f AS l1, y1.f AS r1, x2.f AS l2, y2.f AS r2,
+         1000000::HUGEINT * f3.f * f3.f // (x1.f::HUGEINT * y1.f) AS s1,
+         1000000::HUGEINT * f3.f * f3.f // (x2.f::HUGEINT * y2.f) AS s2
+  FROM f3 JOIN f1 x1 ON x1.lang = f3.lang AND x1.w = f3.w1
+          JOIN f2 y1 ON y1.lang = f3.lang AND y1.w1 = f3.w2 AND y1.w2 = f3.w3
+          JOIN f2 x2 ON x2.lang = f3.lang AND x2.w1 = f3.w1 AND x2.w2 = f3.w2
+          JOIN f1 y2 ON y2.lang = f3.lang AND y2.w = f3.w3),
+c AS (
+  SELECT lang, phrase, a, l, r, score FROM c2
+  UNION ALL
+  SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END,
+         CASE WHEN s1 <= s2 THEN r1 ELSE r2 END, least(s1, s2) FROM c3),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM c)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000"""

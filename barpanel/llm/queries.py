@@ -108,3 +108,9 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = deduplicate(table(spark, sf_dir, "documents"))
     return got.select("doc_id", "n_bytes", "n_removed", F.size("starts").cast("long").alias("n_spans"),
                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from barpanel.llm.collocations import collocations
+    return collocations(table(spark, sf_dir, "documents"))
