@@ -114,3 +114,10 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     from barpanel.llm.collocations import collocations
     return collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from barpanel.llm.repair import damage, repair
+    conversations = table(spark, sf_dir, "conversations")
+    return repair(damage(conversations), conversations.select("conv_id"))
