@@ -121,3 +121,20 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     from barpanel.llm.repair import damage, repair
     conversations = table(spark, sf_dir, "conversations")
     return repair(damage(conversations), conversations.select("conv_id"))
+
+
+#: Scores from here on are predicted good.
+GOOD_FROM = 0.5
+
+
+@query
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from barpanel.llm.langid import fold
+    from barpanel.llm.quality import fit, score
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    known = labels.filter((fold(of=3) != 1) & F.col("quality").isNotNull())
+    model = fit(docs.select("doc_id", "text").join(known, "doc_id"))
+    return score(docs, model).select(
+        "doc_id", F.coalesce(fold(of=3) == 1, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= GOOD_FROM).cast("int").alias("predicted"))
