@@ -21,7 +21,8 @@ Without a budget, the smallest one is taken that uses every document.
 Defined cases: a null source is a source of its own; null and empty texts count
 no token and join every pass of their block, at least one; documents of a
 source without any token are taken once; a null ``doc_id`` hashes as the empty
-text; equal ids share their order key, and at the cut they stay together;
+text; a text of any length is read whole, and its block may be that much larger
+than the others; equal ids (ties) share their order key, and at the cut they stay together;
 repeated rows are rows of their own; an empty table gives an empty result; the
 other columns of the input come back in ``mix``, but for columns that bear the
 name of an added one (``ADDED``).
@@ -69,35 +70,43 @@ class Target:
 
 
 def exponent(sources: DataFrame, target: Target, steps: int = STEPS) -> float:
-    """Bisects the exponent on the table of sources (``tokens`` > 0). A step
-    is one aggregation of that small table; only numbers come back. The larger
-    exponent (closer to the corpus) is returned, so a repetition limit holds."""
+    """Bisects the exponent on the table of sources (``tokens`` > 0). Six
+    halvings at a time share one aggregation of that small table, at all the
+    exponents that they may ask for; only numbers come back. The larger exponent
+    (closer to the corpus) is returned, so a repetition limit holds."""
     total = sources.agg(F.sum("tokens")).first()[0] or 0
     if not total:
         return 1.0
     lp = F.ln(F.col("tokens") / F.lit(float(total)))
 
-    def flat_enough(a: float) -> bool:
-        """Whether the weights are at least as flat as the target."""
-        w = F.exp(F.lit(a) * lp)
+    def flat_enough(at: list[float]) -> dict[float, bool]:
+        """Whether the weights at each exponent are at least as flat as the target."""
+        rows = sources.select(lp.alias("lp"), F.explode(F.array(*map(F.lit, at))).alias("a"))
         if target.max_repeat is not None:
-            r = F.exp(F.lit(a - 1.0) * lp)
-            got = sources.agg(F.max(r) / F.min(r)).first()[0]
-            return got > target.max_repeat
-        z, s = sources.agg(F.sum(w), F.sum(w * lp)).first()
-        return math.log(z) - a * s / z >= target.entropy
+            r = F.exp((F.col("a") - 1.0) * F.col("lp"))
+            got = rows.groupBy("a").agg((F.max(r) / F.min(r)).alias("r")).collect()
+            return {x["a"]: x["r"] > target.max_repeat for x in got}
+        w = F.exp(F.col("a") * F.col("lp"))
+        got = rows.groupBy("a").agg(F.sum(w).alias("z"), F.sum(w * F.col("lp")).alias("s")).collect()
+        return {x["a"]: math.log(x["z"]) - x["a"] * x["s"] / x["z"] >= target.entropy for x in got}
 
     lo, hi = 0.0, 1.0  # flat at lo, not at hi
-    if flat_enough(hi):
+    ends = flat_enough([lo, hi])
+    if ends[hi]:
         return hi
-    if not flat_enough(lo):
+    if not ends[lo]:
         return lo
-    for _ in range(steps):
-        mid = (lo + hi) / 2
-        if flat_enough(mid):
-            lo = mid
-        else:
-            hi = mid
+    while steps > 0:
+        bits = min(steps, 6)
+        steps -= bits
+        step = (hi - lo) / 2 ** bits  # exact: a power of two
+        known = flat_enough([lo + k * step for k in range(1, 2 ** bits)])
+        for _ in range(bits):
+            mid = (lo + hi) / 2
+            if known[mid]:
+                lo = mid
+            else:
+                hi = mid
     return hi
 
 
@@ -158,7 +167,8 @@ def plan(docs: DataFrame, target: Target, budget: int | None = None,
     passes = (passes.join(supers, [*of_pass, "super"])
               .withColumn("before", F.col("base") + F.coalesce(
                   F.sum("block_tokens").over(within), F.lit(0)))
-              .filter((F.col("before") < F.col("left")) | (whole == 0)))
+              .filter((F.col("before") < F.col("left")) | (whole == 0)
+                      | ((F.col("block_tokens") == 0) & (F.col("pass") == 0))))
     passes = stored(passes)
 
     # the block that the quota ends in: documents are taken while the tokens

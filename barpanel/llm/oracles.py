@@ -99,7 +99,7 @@ ordered AS (
   FROM passes),
 taken AS (
   SELECT *, CASE WHEN t > 0 THEN (pass * t + before) / quota ELSE 0.0 END AS slot
-  FROM ordered WHERE before < rest OR t = 0),
+  FROM ordered WHERE before < rest OR t = 0 OR (b = 0 AND pass = 0)),
 r AS (
   SELECT doc_id, source, dealt.weight, dealt.block, pass, slot, n, dealt.k, b, before, rest,
          md5(id || '|' || pass || '|mix-1') AS key
@@ -110,7 +110,7 @@ seen AS (
   FROM r)
 SELECT doc_id, source, round(weight, 9) AS weight, pass::INTEGER AS pass, block,
        round(slot, 9) AS slot, key AS order_key
-FROM seen WHERE before + b <= rest OR ahead < rest - before
+FROM seen WHERE before + b <= rest OR ahead < rest - before OR (b = 0 AND pass = 0)
 """
 
 ORACLES["op11_collocations"] = r"""

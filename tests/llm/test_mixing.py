@@ -36,12 +36,13 @@ def brute(rows, budget, alpha, block_tokens, seed=mixing.SEED):
             for b in sorted({*of.values()}, key=lambda b: (md5(key, p, b, seed), b)):
                 inside = sorted(((md5(i, p, seed), k, n) for i, k, n in own if of[i] == b))
                 size = sum(n for _, _, n in inside)
-                if before >= left and t[s]:
-                    break
+                if before >= left and t[s] and (size or p):
+                    continue
                 ahead = 0
                 for h in sorted({h for h, _, _ in inside}):
                     same = [x for x in inside if x[0] == h]
-                    if before + size <= left or ahead < left - before or not t[s]:
+                    if (before + size <= left or ahead < left - before or not t[s]
+                            or (not size and p == 0)):
                         out += [(k, p) for _, k, _ in same]
                     ahead += sum(n for _, _, n in same)
                 before += size
@@ -136,3 +137,23 @@ def test_budget(spark):
     df = docs(spark, texts, source=["a"] * 10 + ["b"] * 10)
     got = mix(df, Target(max_repeat=1.0), budget=100).collect()
     assert Counter(r.source for r in got) == {"a": 5, "b": 5}
+
+
+@pytest.mark.parametrize("block_tokens", [1 << 16, 100])
+def test_very_long_text_and_empty_texts_all_stay(spark, block_tokens):
+    """Most blocks of the source hold no token; they sort behind the long text's."""
+    texts = ["w " * 7_000_000] + [""] * 200
+    got = mix(docs(spark, texts), Target(max_repeat=2.0), block_tokens=block_tokens)
+    assert {r.doc_id for r in got.select("doc_id").collect()} == set(range(201))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_every_document_comes_back(spark, seed):
+    """Random tables with many texts without words, one source or several."""
+    rng = random.Random(seed)
+    n = 150
+    texts = [rng.choice([None, "", " ", prose(rng, rng.choice([1, 5, 200]))]) for _ in range(n)]
+    source = [rng.choice(["a", "a", "b", None][:1 + seed]) for _ in range(n)]
+    got = mix(docs(spark, texts, source=source), Target(max_repeat=1.5),
+              block_tokens=rng.choice([3, 50]))
+    assert {r.doc_id for r in got.collect()} == set(range(n))
