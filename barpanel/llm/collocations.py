@@ -50,7 +50,7 @@ TOP = 2000
 #: Bytes of text whose stripes share a bucket (on average), and that a task
 #: counts at once.
 BUCKET_BYTES = 8 << 20
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 4 << 20
 #: Pairs in more than one of so many places are dealt by follower.
 HOT_SHARE = 1024
 #: One of so many documents is looked at for such pairs.
