@@ -15,6 +15,7 @@ from barpanel.constants import DEFAULT_WINDOW, FEATURE_COLS, OHLCV, TEST_PCT, VA
 from barpanel.functions import scalars as P
 from barpanel.operators import windows as Wn
 from barpanel.plans.layout import PLAIN, SeriesLayout, materialize
+from barpanel.sources.store import PanelStore
 
 
 # ---------------------------------------------------------------------------
@@ -178,13 +179,18 @@ def normalize_splits(split_df: DataFrame, key: str = "ticker") -> tuple[DataFram
     return apply_minmax(split_df, params, key), params
 
 
-def save_scaler(params: DataFrame, path: str) -> None:
-    """F8: persist scaler params (Parquet) for reuse at inference."""
-    params.write.mode("overwrite").parquet(path)
+def save_scaler(params: DataFrame, path: str, key: str = "ticker") -> None:
+    """F8: scaler params for reuse at inference; replaces the tickers of
+    ``params`` only."""
+    PanelStore(params.sparkSession, path, (key,)).write(params)
 
 
-def load_scaler(spark, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def load_scaler(spark, path: str, tickers=None, key: str = "ticker") -> DataFrame:
+    """F8: the stored params of all or some tickers."""
+    df = PanelStore(spark, path, (key,)).read(**{key: tickers})
+    if df is None:
+        raise FileNotFoundError(f"no scaler stored at {path}")
+    return df
 
 
 # ---------------------------------------------------------------------------

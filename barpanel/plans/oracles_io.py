@@ -74,6 +74,23 @@ oracle("write_panel_csv", f"""with p as ({PANEL_DAILY})
 select ticker, {sql_date()}, """ + ", ".join(
     f"printf('%.4f', {c}) as {c}" for c in ("open", "high", "low", "close"))
     + ", volume::varchar as volume from p")
+_P4_TWICE = ", ".join(f"round({c} * (case when ticker = '2-HIGH' then 2 else 1 end), 4) as {c}"
+                      for c in ("open", "high", "low", "close"))
+oracle("replace_ticker", f"""with p as ({PANEL_DAILY})
+select ticker, {sql_date()}, {_P4_TWICE}, volume from p""")
+oracle("replace_ticker_csv", f"""with p as ({PANEL_DAILY})
+select ticker, {sql_date()}, """ + ", ".join(
+    f"printf('%.4f', {c} * (case when ticker = '2-HIGH' then 2 else 1 end)) as {c}"
+    for c in ("open", "high", "low", "close")) + ", volume::varchar as volume from p")
+oracle("replace_processed", pipeline_sql(
+    f"select ticker, {sql_date()}, split, round(case when ticker = '2-HIGH' and split = 'val' "
+    f"then -close else close end, {RATIO}) as close, target from sc", upto="sc"))
+oracle("replace_sequences", pipeline_sql("""select ticker, split, count(*)::bigint as n_seq,
+  sum(case when ticker = '3-MEDIUM' and split = 'test' then 1 - y else y end)::bigint as n_up
+from sq group by ticker, split"""))
+oracle("replace_scaler", pipeline_sql("""select ticker, round(min_close, 4) as min_close,
+  round(case when ticker = '2-HIGH' then 1.0 else max_close end, 4) as max_close from sc_par""",
+    upto="sc"))
 oracle("collection_manifest", f"""{_D}, {_GATE},
 dv as (select * from d where ticker in (select ticker from gate where ok)),
 {CLEAN_SQL.replace('from d where', 'from dv where')},

@@ -142,8 +142,7 @@ def q_write_csv(spark, sf_dir):
     path = IO.scratch_path(spark, "panel-csv")
     p = panel_daily(spark, sf_dir).withColumn("date", F.date_format("date", "yyyy-MM-dd"))
     IO.write_panel_csv(p, path)
-    back = spark.read.option("header", True).csv(path)
-    return back.select("ticker", "date", *OHLC, "volume")
+    return IO.read_panel_csv(spark, path).select("ticker", "date", *OHLC, "volume")
 
 
 @query("write_processed_csv")
@@ -151,8 +150,9 @@ def q_write_processed_csv(spark, sf_dir):
     """Scaled splits as CSV with 6 decimals, read back as text."""
     path = IO.scratch_path(spark, "processed-csv")
     sc = _prepared(spark, sf_dir)["scaled"].withColumn("date", F.date_format("date", "yyyy-MM-dd"))
-    IO.write_panel_csv(sc.select("ticker", "split", "date", *OHLCV), path, 6, OHLCV)
-    return spark.read.option("header", True).csv(path).select("ticker", "split", "date", *OHLCV)
+    keys = ("ticker", "split")
+    IO.write_panel_csv(sc.select(*keys, "date", *OHLCV), path, 6, OHLCV, keys)
+    return IO.read_panel_csv(spark, path, keys).select(*keys, "date", *OHLCV)
 
 
 @query("require_columns")
@@ -218,6 +218,80 @@ def q_nan_features(spark, sf_dir):
     return spark_round(f.select("ticker", "date", *FEATURE_COLS, "target"))
 
 
+# Replacing one ticker ---------------------------------------------------------
+class _Broken(RuntimeError):
+    pass
+
+
+def _rewrite_one(write, df, ticker, change):
+    """Everything, then one ticker changed, then a write that fails midway
+    (another ticker's rows, a division by zero in the last of them)."""
+    write(df)
+    write(df.filter(F.col("ticker") == ticker).withColumns(change))
+    broken = df.filter(F.col("ticker") == "5-LOW").withColumns(
+        {c: F.lit(1.0) / F.when(F.col("date") > "1998-01-01", 0).otherwise(1)
+         for c in list(change)[:1]})
+    try:
+        write(broken)
+    except Exception:  # noqa: BLE001  ANSI raises in the task
+        return
+    raise _Broken("the broken write should have failed")
+
+
+@query("replace_ticker")
+def q_replace_ticker(spark, sf_dir):
+    """One ticker rewritten at twice its prices; the others, and the one
+    whose rewriting failed, as they were."""
+    path = IO.scratch_path(spark, "panel")
+    _rewrite_one(lambda d: IO.write_panel_parquet(d, path), panel_daily(spark, sf_dir), "2-HIGH",
+                 {c: F.col(c) * 2 for c in OHLC})
+    return spark_round(IO.read_panel(spark, path).select("ticker", "date", *OHLCV))
+
+
+@query("replace_ticker_csv")
+def q_replace_ticker_csv(spark, sf_dir):
+    """As ``replace_ticker`` for the CSV panel."""
+    path = IO.scratch_path(spark, "panel-csv")
+    p = panel_daily(spark, sf_dir).withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+    _rewrite_one(lambda d: IO.write_panel_csv(d, path), p, "2-HIGH",
+                 {c: F.col(c) * 2 for c in OHLC})
+    return IO.read_panel_csv(spark, path).select("ticker", "date", *OHLC, "volume")
+
+
+@query("replace_processed")
+def q_replace_processed(spark, sf_dir):
+    """One split of one ticker rewritten; its other splits stay."""
+    path = IO.scratch_path(spark, "processed")
+    d = _prepared(spark, sf_dir)["scaled"].select("ticker", "split", "date", "close", "target")
+    IO.write_processed(d, path)
+    IO.write_processed(d.filter("ticker = '2-HIGH' AND split = 'val'")
+                       .withColumn("close", -F.col("close")), path)
+    return spark_round(IO.read_processed(spark, path), {"close": RATIO})
+
+
+@query("replace_sequences")
+def q_replace_sequences(spark, sf_dir):
+    """One ticker's test windows rewritten with their targets turned."""
+    path = IO.scratch_path(spark, "sequences")
+    d = _prepared(spark, sf_dir)["sequences"]
+    IO.write_sequences(d, path)
+    IO.write_sequences(d.filter("ticker = '3-MEDIUM' AND split = 'test'")
+                       .withColumn("y", 1 - F.col("y")), path)
+    return IO.read_sequences(spark, path).groupBy("ticker", "split").agg(
+        F.count(F.lit(1)).alias("n_seq"), F.sum("y").cast("bigint").alias("n_up"))
+
+
+@query("replace_scaler")
+def q_replace_scaler(spark, sf_dir):
+    """F8: one ticker's params rewritten; the others stay."""
+    path = IO.scratch_path(spark, "scaler")
+    params = _prepared(spark, sf_dir)["params"]
+    FT.save_scaler(params, path)
+    FT.save_scaler(params.filter("ticker = '2-HIGH'").withColumn("max_close", F.lit(1.0)), path)
+    return spark_round(FT.load_scaler(spark, path).select("ticker", "min_close", "max_close"),
+                       default=4)
+
+
 @query("collection_manifest")
 def q_manifest(spark, sf_dir):
     """Gate the dirty panel, clean the passing tickers, report."""
@@ -235,7 +309,7 @@ def q_write_processed(spark, sf_dir):
     st = _prepared(spark, sf_dir)
     path = IO.scratch_path(spark, "processed")
     IO.write_processed(st["scaled"].select("ticker", "split", "date", *FEATURE_COLS, "target"), path)
-    back = spark.read.parquet(path)
+    back = IO.read_processed(spark, path)
     return spark_round(back.select("ticker", "date", "split", *FEATURE_COLS, "target"),
                        digits={c: RATIO for c in FEATURE_COLS})
 

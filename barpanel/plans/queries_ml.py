@@ -21,7 +21,7 @@ def _seqs(spark, sf_dir):
     """The windows, stored once per job by (ticker, split)."""
     path = IO.scratch_path(spark, "sequences")
     IO.write_sequences(_prepared(spark, sf_dir)["sequences"], path)
-    return spark.read.parquet(path)
+    return IO.read_sequences(spark, path)
 
 
 def _split(s, name):

@@ -1,8 +1,9 @@
 """Panel scans and sinks.
 
-Stored panels are Parquet partitioned by ``ticker`` (and ``split`` for the
-processed data and the sequence tensors), so a ticker / split filter prunes
-whole directories and the date range is pushed into the Parquet scan.
+Stored panels are partitioned by ``ticker`` (and ``split`` for the processed data
+and the sequence tensors) in a ``PanelStore``: a ticker / split filter opens
+only its folders, the date range is pushed into the Parquet scan, and a write
+replaces the tickers that it holds and no others.
 Scratch output goes under the shared ``spark.checkpoint.dir``, never to a
 machine-local folder.
 """
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from barpanel.constants import OHLC, OHLCV
 from barpanel.session import ensure_checkpoint_dir
+from barpanel.sources.store import PanelStore
 
 
 class MissingColumnsError(ValueError):
@@ -75,8 +77,12 @@ def scan_panel(df: DataFrame, tickers=None, start=None, end=None,
 
 
 def read_panel(spark: SparkSession, path: str, tickers=None, start=None, end=None) -> DataFrame:
-    """S1 over a stored panel: partition pruning on ticker, pushdown on date."""
-    return nan_to_null(scan_panel(spark.read.parquet(path), tickers, start, end))
+    """S1 over a stored panel: only the chosen tickers' folders are opened, the
+    date range is pushed down."""
+    df = PanelStore(spark, path).read(ticker=tickers)
+    if df is None:
+        raise MissingDataError(f"no panel stored at {path}")
+    return nan_to_null(scan_panel(df, tickers, start, end))
 
 
 def require_columns(df: DataFrame, cols=OHLCV) -> DataFrame:
@@ -110,9 +116,8 @@ def ticker_slug(ticker) -> Column:
 
 
 def write_panel_parquet(df: DataFrame, path: str, key: str = "ticker") -> None:
-    """Snappy Parquet partitioned by ticker."""
-    (df.write.mode("overwrite").option("compression", "snappy")
-     .partitionBy(key).parquet(path))
+    """Snappy Parquet per ticker; replaces the tickers of ``df`` only."""
+    PanelStore(df.sparkSession, path, (key,), compression="snappy").write(df)
 
 
 def format_prices(df: DataFrame, digits: int = 4, cols=OHLC) -> DataFrame:
@@ -120,9 +125,20 @@ def format_prices(df: DataFrame, digits: int = 4, cols=OHLC) -> DataFrame:
     return df.withColumns({c: F.format_string(f"%.{digits}f", F.col(c)) for c in cols})
 
 
-def write_panel_csv(df: DataFrame, path: str, digits: int = 4, cols=OHLC) -> None:
-    """CSV with a header and fixed decimals."""
-    format_prices(df, digits, cols).write.mode("overwrite").option("header", True).csv(path)
+def write_panel_csv(df: DataFrame, path: str, digits: int = 4, cols=OHLC,
+                    keys=("ticker",)) -> None:
+    """CSV with a header and fixed decimals, a folder per ticker (or other
+    ``keys``); replaces those of ``df`` only."""
+    PanelStore(df.sparkSession, path, keys, "csv", header=True).write(
+        format_prices(df, digits, cols))
+
+
+def read_panel_csv(spark: SparkSession, path: str, keys=("ticker",), **chosen) -> DataFrame:
+    """The CSV panel as written, every column as text."""
+    df = PanelStore(spark, path, keys, "csv", header=True).read(**chosen)
+    if df is None:
+        raise MissingDataError(f"no panel stored at {path}")
+    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
 
 
 def collection_manifest(gate: DataFrame, clean: DataFrame, collected_at: str,
@@ -147,21 +163,34 @@ def collection_manifest(gate: DataFrame, clean: DataFrame, collected_at: str,
 
 
 def write_processed(df: DataFrame, path: str, key: str = "ticker") -> None:
-    """Scaled splits stored as (ticker, split) partitions."""
-    df.write.mode("overwrite").partitionBy(key, "split").parquet(path)
+    """Scaled splits stored per (ticker, split); replaces those of ``df`` only."""
+    PanelStore(df.sparkSession, path, (key, "split")).write(df)
+
+
+def read_processed(spark: SparkSession, path: str, tickers=None, splits=None,
+                   key: str = "ticker") -> DataFrame:
+    """The stored splits of all or some tickers."""
+    df = PanelStore(spark, path, (key, "split")).read(**{key: tickers, "split": splits})
+    if df is None:
+        raise MissingDataError(f"nothing stored at {path}")
+    return df
 
 
 def write_sequences(seqs: DataFrame, path: str, key: str = "ticker") -> None:
-    """Sequence tensors (ARRAY<ARRAY<FLOAT>>) per (ticker, split)."""
-    seqs.write.mode("overwrite").partitionBy(key, "split").parquet(path)
+    """Sequence tensors (ARRAY<ARRAY<FLOAT>>) per (ticker, split);
+    replaces those of ``seqs`` only."""
+    PanelStore(seqs.sparkSession, path, (key, "split")).write(seqs)
+
+
+def read_sequences(spark: SparkSession, path: str, key: str = "ticker") -> DataFrame:
+    """Every ticker's sequences."""
+    return read_processed(spark, path, key=key)
 
 
 def load_sequences(spark: SparkSession, path: str, ticker: str, split: str | None = None,
                    key: str = "ticker") -> DataFrame:
-    """One ticker's sequences (partition-pruned); error when absent."""
-    df = spark.read.parquet(path).filter(F.col(key) == ticker)
-    if split is not None:
-        df = df.filter(F.col("split") == split)
-    if df.limit(1).count() == 0:
+    """One ticker's sequences (its folders only); error when absent."""
+    df = PanelStore(spark, path, (key, "split")).read(**{key: ticker, "split": split})
+    if df is None or df.limit(1).count() == 0:
         raise MissingDataError(f"no sequences stored for {ticker!r}; run prepare first")
     return df

@@ -88,7 +88,7 @@ def test_mlp_uses_validation(spark, seqs):
 def test_per_ticker_models_and_missing_ticker(spark, seqs):
     path = IO.scratch_path(spark, "test-stored")
     IO.write_sequences(seqs, path)
-    stored = spark.read.parquet(path)
+    stored = IO.read_sequences(spark, path)
     got = ML.train_per_ticker(stored, "gbt", ["2-HIGH", "5-LOW"], {"maxIter": 2, "maxDepth": 2})
     assert set(got) == {"2-HIGH", "5-LOW"} and all(m.model for m in got.values())
     with pytest.raises(ValueError):
@@ -106,7 +106,7 @@ def test_ml_study_resumes(spark, seqs, monkeypatch):
     from barpanel.operators import search as H
     path = IO.scratch_path(spark, "test-windows")
     IO.write_sequences(seqs.filter("ticker IN ('2-HIGH', '5-LOW')"), path)
-    stored = spark.read.parquet(path)
+    stored = IO.read_sequences(spark, path)
     monkeypatch.setitem(H.TREE_SPACE, "n_estimators", ("int", 1, 3))
     monkeypatch.setitem(H.TREE_SPACE, "max_depth", ("int", 1, 2))
     study = IO.scratch_path(spark, "test-study")
@@ -205,7 +205,8 @@ def test_partition_pruning(spark, daily):
     IO.write_panel_parquet(daily, path)
     q = IO.read_panel(spark, path, ["2-HIGH"], "1996-01-01", "1997-01-01")
     plan = q._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan and "2-HIGH" in plan
+    assert "2-HIGH" in plan and "1-URGENT" not in plan and "PushedFilters: [IsNotNull(date)" in plan
+    assert {f.split("ticker=")[1].split("/")[0] for f in q.inputFiles()} == {"2-HIGH"}
     assert q.select("ticker").distinct().count() == 1
 
 
