@@ -18,9 +18,10 @@ Specs whose ratio of ``ln(1/a)`` does not allow a common ``S`` get sub-blocks of
 their own. No UDF, and under the plain layout no join.
 
 In the blocked layout a window partition counts only the observations of its
-own rows, from an empty state; the state that enters a block is folded from a
-summary with one row per block. A long run of nulls therefore changes nothing,
-and both layouts give the same result.
+own rows, from an empty state; the state that enters a block comes from a scan
+of the blocks' affine maps on two levels (``prefix_states``), linear in the blocks.
+A long run of nulls therefore changes nothing, and both layouts give the same
+result.
 """
 
 from __future__ import annotations
@@ -145,34 +146,91 @@ def ewm_columns(df: DataFrame, layout: SeriesLayout, specs: dict) -> DataFrame:
     return df.withColumns(step).select(*[c for c in keep if c not in specs], *specs)
 
 
+#: Blocks whose states one task scans.
+SUPER_BLOCKS = 4096
+
+
 def _with_states(df: DataFrame, layout: SeriesLayout, specs: dict, number: dict,
-                 counters: dict) -> DataFrame:
+                 counters: dict, super_blocks: int | None = None) -> DataFrame:
     """``_s_<out>``: the state that enters each block; ``_any_<out>``: whether
-    earlier blocks hold an observation. From one summary row per block."""
+    earlier blocks hold an observation.
+
+    A block maps the state that enters it to ``state * a^d + l`` (``d``
+    observations, ``l`` its end value from an empty state). These pairs compose
+    associatively, so they are scanned on two levels: over the blocks of a
+    superblock, then over superblocks. No window holds more than
+    ``super_blocks`` summary rows, or one row per superblock of a series.
+    """
     key = layout.key
     own = df.filter("_own")
     aggs = []
     for n in specs:
         seen = F.col(f"_x_{n}").isNotNull()
-        aggs += [F.max_by(f"_l_{n}", F.when(seen, F.col("_rn"))).alias(f"_end_{n}"),
+        aggs += [F.coalesce(F.max_by(f"_l_{n}", F.when(seen, F.col("_rn"))), F.lit(0.0))
+                 .alias(f"_end_{n}"),
                  F.count(f"_x_{n}").alias(f"_obs_{n}"),
                  F.min_by(f"_x_{n}", F.when(seen, F.col("_rn"))).alias(f"_first_{n}")]
-    summ = own.groupBy(key, "_blk").agg(*aggs)
-    earlier = Window.partitionBy(key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy(key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, 0)
+    blocks = own.groupBy(key, "_blk").agg(*aggs).withColumn(
+        "_sup", F.floor(F.col("_blk") / F.lit(super_blocks or SUPER_BLOCKS)))
+    decay = {n: _decay(alpha) for n, (_, alpha, *_) in specs.items()}
+    blocks = materialize(prefix_states(blocks, [key, "_sup"], "_blk", decay))
+    supers = blocks.groupBy(key, "_sup").agg(*[x for n in specs for x in (
+        F.sum(f"_obs_{n}").alias(f"_obs_{n}"), F.max_by(f"_y_{n}", "_blk").alias(f"_end_{n}"),
+        F.min_by(f"_first_{n}", F.when(F.col(f"_first_{n}").isNotNull(), F.col("_blk")))
+        .alias(f"_first_{n}"))])
+    upto = Window.partitionBy(key).orderBy("_sup").rowsBetween(Window.unboundedPreceding, 0)
+    supers = prefix_states(supers, [key], "_sup", decay).select(
+        key, "_sup", *[x for n in specs for x in (
+            F.col(f"_before_{n}").alias(f"_sup_before_{n}"),
+            F.col(f"_state_{n}").alias(f"_sup_state_{n}"),
+            F.first(f"_first_{n}", ignorenulls=True).over(upto).alias(f"_start_{n}"))])
     cols = [key, "_blk"]
-    for n, (_, alpha, *_) in specs.items():
-        la = -_decay(alpha)
-        first = F.first(f"_first_{n}", ignorenulls=True).over(upto)
-        ends = F.collect_list(F.struct(F.coalesce(f"_end_{n}", F.lit(0.0)).alias("l"),
-                                       F.col(f"_obs_{n}").cast("double").alias("d"))).over(earlier)
-        cols += [F.aggregate(ends, first, _fold(la)).alias(f"_s_{n}"),
-                 (F.coalesce(F.sum(f"_obs_{n}").over(earlier), F.lit(0)) > 0).alias(f"_any_{n}")]
-    return df.join(summ.select(*cols), [key, "_blk"])
-
-
-def _fold(la: float):
-    # closure keeps the lambda at two parameters (acc, e)
-    def f(acc: Column, e: Column) -> Column:
-        return acc * F.exp(e["d"] * F.lit(la)) + e["l"]
-    return f
+    for n, la in decay.items():
+        # until the series' first observation nothing decays: its state is that value
+        into = F.col(f"_sup_state_{n}") + F.exp(F.col(f"_sup_before_{n}") * F.lit(-la)) * F.col(f"_start_{n}")
+        cols += [(F.col(f"_state_{n}") + F.exp(F.col(f"_before_{n}") * F.lit(-la)) * into).alias(f"_s_{n}"),
+                 (F.col(f"_before_{n}") + F.col(f"_sup_before_{n}") > 0).alias(f"_any_{n}")]
+    return df.join(blocks.join(supers, [key, "_sup"]).select(*cols), [key, "_blk"])
+
+
+def prefix_states(df: DataFrame, part: list[str], order: str, decay: dict) -> DataFrame:
+    """Scan of affine maps, linear in the rows. Row i of a partition holds, per
+    name, ``_obs_`` (d) and ``_end_`` (l) of the map ``s -> s * e^(-decay d) + l``. Adds
+    ``_y_`` (the maps up to row i applied to 0), ``_state_`` (those before row i) and
+    ``_before_`` (the observations before row i).
+
+    As in the rows' scan, observations are cut into stretches of S with
+    ``37 <= S * decay <= 500``: a closed form inside a stretch, and as carry the
+    last value of the stretch before, because older ones are below double
+    precision. A row whose map spans several stretches only hastens that.
+    """
+    W = Window.partitionBy(*part).orderBy(order)
+    upto = W.rowsBetween(Window.unboundedPreceding, 0)
+    before = W.rowsBetween(Window.unboundedPreceding, -1)
+    keep = list(df.columns)
+    df = df.withColumns({f"_d_{n}": F.sum(f"_obs_{n}").over(upto).cast("double") for n in decay})
+    step = {}
+    for n, la in decay.items():
+        S = max(1, int(_MAX_EXP / la))
+        step[f"_g_{n}"] = F.floor(F.greatest(F.col(f"_d_{n}") - 1, F.lit(0)) / F.lit(S))
+    df = df.withColumns(step)
+    for n, la in decay.items():
+        S = max(1, int(_MAX_EXP / la))
+        c = F.col(f"_d_{n}") - F.col(f"_g_{n}") * F.lit(S)
+        inside = (Window.partitionBy(*part, f"_g_{n}").orderBy(order)
+                  .rowsBetween(Window.unboundedPreceding, 0))
+        df = df.withColumn(f"_y_{n}", F.exp(c * F.lit(-la)) * F.sum(
+            F.col(f"_end_{n}") * F.exp(c * F.lit(la))).over(inside))
+    step = {}
+    for n in decay:
+        ends = F.lead(f"_g_{n}").over(W) != F.col(f"_g_{n}")
+        step[f"_e_{n}"] = F.when(ends, F.struct(F.col(f"_d_{n}").alias("d"), F.col(f"_y_{n}").alias("y")))
+    df = df.withColumns(step)
+    step = {n: F.last(f"_e_{n}", ignorenulls=True).over(before) for n in decay}
+    df = df.withColumns({f"_p_{n}": c for n, c in step.items()})
+    df = df.withColumns({f"_y_{n}": F.col(f"_y_{n}") + F.coalesce(
+        F.exp((F.col(f"_d_{n}") - F.col(f"_p_{n}.d")) * F.lit(-la)) * F.col(f"_p_{n}.y"), F.lit(0.0))
+        for n, la in decay.items()})
+    return df.select(*keep, *[f"_y_{n}" for n in decay], *[x for n in decay for x in (
+        F.coalesce(F.lag(f"_y_{n}").over(W), F.lit(0.0)).alias(f"_state_{n}"),
+        F.coalesce(F.lag(f"_d_{n}").over(W), F.lit(0.0)).alias(f"_before_{n}"))])

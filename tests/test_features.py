@@ -163,3 +163,57 @@ def test_never_rising_series_loses_all_rows(spark):
     f = FT.compute_features(df, PLAIN)
     assert f.filter(F.col("rsi_14").isNotNull()).count() == 0
     assert FT.complete(f).count() == 0
+
+
+def test_prefix_states_equal_a_fold(spark):
+    """Affine maps of blocks with 0, few and very many observations."""
+    from barpanel.operators.ewm import prefix_states
+    rng = np.random.default_rng(3)
+    rows = []
+    for part in range(3):
+        for i in range(400):
+            d = int(rng.choice([0, 0, 1, 3, 64, 5000, 10 ** 7]))
+            rows.append((part, i, d, float(rng.normal(50, 30)) if d else 0.0))
+    decay = {"slow": 1e-4, "mid": 0.07, "fast": 4.6}
+    df = spark.createDataFrame(rows, "p int, i int, d long, l double").select(
+        "p", "i", *[F.col("d").alias(f"_obs_{n}") for n in decay],
+        *[F.col("l").alias(f"_end_{n}") for n in decay])
+    got = {(r.p, r.i): r for r in prefix_states(df, ["p"], "i", decay).collect()}
+    for name, la in decay.items():
+        for part in range(3):
+            state, seen = 0.0, 0
+            for p, i, d, x in rows:
+                if p == part:
+                    r = got[p, i]
+                    assert r[f"_state_{name}"] == pytest.approx(state, rel=1e-9, abs=1e-12)
+                    assert r[f"_before_{name}"] == seen
+                    state, seen = state * math.exp(-la * d) + x, seen + d
+                    assert r[f"_y_{name}"] == pytest.approx(state, rel=1e-9, abs=1e-12)
+
+
+def test_states_over_several_superblocks(spark, monkeypatch):
+    """Superblocks of four blocks, runs of nulls longer than superblocks."""
+    from barpanel.operators import ewm
+    monkeypatch.setattr(ewm, "SUPER_BLOCKS", 4)
+    df, xs = gappy(spark)
+    lay = SeriesLayout(block_rows=64).with_halo(2, 1)
+    specs = {f"e{k}": ("x", a) for k, a in enumerate((0.002, 0.2, 0.99))}
+    rows = lay.finish(ewm_columns(lay.prepare(df), lay, specs), keep_ordinal=False).orderBy(
+        "date").collect()
+    for name, (_, alpha) in specs.items():
+        _close([r[name] for r in rows], smoothed(xs, alpha), rel=1e-11)
+
+
+def test_blocked_ewm_is_linear_in_blocks(spark):
+    """Eight times the blocks take nowhere near 64 times as long."""
+    import time
+    took = []
+    for n in (20_000, 20_000, 160_000):  # the first pays for compilation
+        df = spark.range(n).select(F.lit("G").alias("ticker"), F.col("id").cast("int").alias("date"),
+                                   F.when(F.col("id") % 9000 < 5000, F.sin("id")).alias("x"))
+        lay = SeriesLayout(block_rows=64)
+        t = time.perf_counter()
+        got = lay.finish(ewm_columns(lay.prepare(df), lay, {"e": ("x", 0.07)}), keep_ordinal=False)
+        assert got.agg(F.count("e"), F.sum("e")).first()[0] == n
+        took.append(time.perf_counter() - t)
+    assert took[2] < 20 * took[1]
