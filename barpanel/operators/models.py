@@ -42,6 +42,21 @@ def with_vectors(seqs: DataFrame, seq: str = "seq", out: str = "features") -> Da
     return seqs.withColumn(out, array_to_vector(flat)).withColumn("label", F.col("y").cast("double"))
 
 
+class Prepared:
+    """Persisted train and val vectors; whoever prepared them releases them,
+    after the last fit."""
+
+    def __init__(self, train: DataFrame, val: DataFrame | None):
+        self.train = train.persist()
+        self.val = None if val is None else val.persist()
+        self.n_features = len(self.train.select("features").first()[0])
+
+    def release(self) -> None:
+        for d in (self.train, self.val):
+            if d is not None:
+                d.unpersist()
+
+
 class PanelModel:
     """M10 contract: defaults merged with the user config; ``fit`` on the
     train windows (val only for early stopping); ``predict`` before ``fit``
@@ -56,15 +71,20 @@ class PanelModel:
         self.history = None
 
     # -- to override -------------------------------------------------------
-    def _estimator(self, n_features: int, train: DataFrame):
+    def prepare(self, train: DataFrame, val: DataFrame | None = None) -> "Prepared":
+        """Vectors of the windows, persisted, for one fit or many."""
+        return Prepared(with_vectors(train), None if val is None else with_vectors(val))
+
+    def fit_prepared(self, data: "Prepared") -> "PanelModel":
         raise NotImplementedError
 
     # -- common ------------------------------------------------------------
     def fit(self, train: DataFrame, val: DataFrame | None = None) -> "PanelModel":
-        tv = with_vectors(train)
-        n_features = len(tv.select("features").first()[0])
-        self.model = self._estimator(n_features, tv).fit(tv)
-        return self
+        data = self.prepare(train, val)
+        try:
+            return self.fit_prepared(data)
+        finally:
+            data.release()
 
     def _check(self):
         if self.model is None:
@@ -118,40 +138,42 @@ class GBTModel(PanelModel):
     def _label(self, p, out):
         return F.col("prediction").cast("int")
 
-    def fit(self, train: DataFrame, val: DataFrame | None = None, by=()) -> "GBTModel":
-        """M1/M2. With ``val`` the trees stop once the validation log-loss has
-        had no strict minimum for ``early_stopping_rounds`` rounds, and the
-        trees up to that minimum stay. Spark ML grows a whole ensemble at
-        once, so ensembles of growing size are fitted (the same seed gives the
-        same first trees) until one holds its minimum and the patience."""
-        one = F.lit(1).alias("_all")
-        tr = train if by else train.select("*", one)
+    def prepare(self, train: DataFrame, val: DataFrame | None = None, by=()) -> Prepared:
+        """With class weights, over all rows or per group ``by``."""
+        tr = train if by else train.select("*", F.lit(1).alias("_all"))
         bal = M.class_balance(tr, by=by or ("_all",))
-        tv = with_vectors(M.with_class_weight(tr, bal, by=by or ("_all",))).persist()
-        try:
-            n_features = len(tv.select("features").first()[0])
-            most, patience = self.config["maxIter"], self.config["early_stopping_rounds"]
-            if val is None:
-                self.best_round = most
-                self.model = self._estimator(n_features, tv).fit(tv)
-                return self
-            vv = with_vectors(val).withColumn("weight", F.lit(1.0))
-            rounds = min(most, 2 * patience)
-            while True:
-                model = self._estimator(n_features, tv, rounds).fit(tv)
-                # Spark's boosting loss is twice the binary log-loss
-                vl = [x / 2 for x in model.evaluateEachIteration(vv)]
-                self.best_round, stop = first_minimum(vl, patience)
-                if stop < rounds or rounds == most:
-                    break
-                rounds = min(most, 2 * rounds)
-            tl = [x / 2 for x in model.evaluateEachIteration(tv)]
-            self.history = train.sparkSession.createDataFrame(
-                [(i + 1, float(a), float(b)) for i, (a, b) in enumerate(zip(tl, vl)) if i < stop],
-                "step int, train_loss double, val_loss double")
-            self.model = first_trees(model, self.best_round)
-        finally:
-            tv.unpersist()
+        return Prepared(with_vectors(M.with_class_weight(tr, bal, by=by or ("_all",))),
+                        None if val is None else
+                        with_vectors(val).withColumn("weight", F.lit(1.0)))
+
+    def fit_prepared(self, data: Prepared) -> "GBTModel":
+        """M1/M2. With val vectors the trees stop once the validation log-loss
+        has had no strict minimum for ``early_stopping_rounds`` rounds, and the
+        trees up to that minimum stay. Spark ML grows a whole ensemble at
+        once, so ensembles of growing size are fitted until one holds its
+        minimum and the patience, and then the one that ends at the minimum (the
+        same seed gives the same first trees)."""
+        tv, vv = data.train, data.val
+        most, patience = self.config["maxIter"], self.config["early_stopping_rounds"]
+        if vv is None:
+            self.best_round = most
+            self.model = self._estimator(data.n_features, tv).fit(tv)
+            return self
+        rounds = min(most, 2 * patience)
+        while True:
+            model = self._estimator(data.n_features, tv, rounds).fit(tv)
+            # Spark's boosting loss is twice the binary log-loss
+            vl = [x / 2 for x in model.evaluateEachIteration(vv)]
+            self.best_round, stop = first_minimum(vl, patience)
+            if stop < rounds or rounds == most:
+                break
+            rounds = min(most, 2 * rounds)
+        tl = [x / 2 for x in model.evaluateEachIteration(tv)]
+        self.history = tv.sparkSession.createDataFrame(
+            [(i + 1, float(a), float(b)) for i, (a, b) in enumerate(zip(tl, vl)) if i < stop],
+            "step int, train_loss double, val_loss double")
+        self.model = model if self.best_round == rounds else self._estimator(
+            data.n_features, tv, self.best_round).fit(tv)
         return self
 
     def importances(self, window: int, names=FEATURE_COLS) -> DataFrame:
@@ -177,20 +199,6 @@ def first_minimum(losses, patience: int) -> tuple[int, int]:
     return at, len(losses)
 
 
-def first_trees(model: GBTClassificationModel, k: int) -> GBTClassificationModel:
-    """The ensemble of a model's first ``k`` trees."""
-    from pyspark import SparkContext
-    sc, j = SparkContext._active_spark_context, model._java_obj
-    ml = sc._jvm.org.apache.spark.ml
-    trees = sc._gateway.new_array(ml.regression.DecisionTreeRegressionModel, k)
-    weights = sc._gateway.new_array(sc._gateway.jvm.double, k)
-    all_trees, all_weights = j.trees(), list(j.treeWeights())
-    for i in range(k):
-        trees[i], weights[i] = all_trees[i], all_weights[i]
-    return GBTClassificationModel(ml.classification.GBTClassificationModel(
-        j.uid(), trees, weights, j.numFeatures(), j.numClasses()))
-
-
 class MLPModel(PanelModel):
     """M5: feed-forward network on the flattened window (the neural family).
 
@@ -206,42 +214,39 @@ class MLPModel(PanelModel):
     def _model_class():
         return MultilayerPerceptronClassificationModel
 
-    def fit(self, train: DataFrame, val: DataFrame | None = None) -> "MLPModel":
-        c, weights = self.config, None
+    def prepare(self, train: DataFrame, val: DataFrame | None = None) -> Prepared:
         # Spark averages the gradient over blocks of a partition, so rows of
         # small partitions would weigh more: deal them out evenly
         parts = max(1, min(train.rdd.getNumPartitions(), train.count() // 2048))
-        tv = with_vectors(train).repartition(parts).persist()
-        vv = None if val is None else with_vectors(val).persist()
-        try:
-            layers = [len(tv.select("features").first()[0]), *c["hidden"], 2]
-            rows, best, wait = [], (math.inf, 0, None), 0
-            for epoch in range(1, c["epochs"] + 1):
-                e = MultilayerPerceptronClassifier(layers=layers, maxIter=c["steps_per_epoch"],
-                                                   seed=c["seed"])
-                if weights is not None:
-                    e = e.setInitialWeights(weights)
-                self.model = e.fit(tv)
-                weights = self.model.weights
-                tl, vl = (None if d is None else self._loss(d) for d in (tv, vv))
-                rows.append((epoch, tl, vl))
-                if vv is None:
-                    continue
-                if vl < best[0] - IMPROVE_EPS:
-                    best, wait = (vl, epoch, self.model), 0
-                else:
-                    wait += 1
-                    if wait >= c["patience"]:
-                        break
-            if vv is not None and best[2] is not None:
-                self.model = best[2]
-            self.best_round = best[1] or len(rows)
-            self.history = train.sparkSession.createDataFrame(
-                rows, "step int, train_loss double, val_loss double")
-        finally:
-            tv.unpersist()
-            if vv is not None:
-                vv.unpersist()
+        return Prepared(with_vectors(train).repartition(parts),
+                        None if val is None else with_vectors(val))
+
+    def fit_prepared(self, data: Prepared) -> "MLPModel":
+        c, weights, tv, vv = self.config, None, data.train, data.val
+        layers = [data.n_features, *c["hidden"], 2]
+        rows, best, wait = [], (math.inf, 0, None), 0
+        for epoch in range(1, c["epochs"] + 1):
+            e = MultilayerPerceptronClassifier(layers=layers, maxIter=c["steps_per_epoch"],
+                                               seed=c["seed"])
+            if weights is not None:
+                e = e.setInitialWeights(weights)
+            self.model = e.fit(tv)
+            weights = self.model.weights
+            tl, vl = (None if d is None else self._loss(d) for d in (tv, vv))
+            rows.append((epoch, tl, vl))
+            if vv is None:
+                continue
+            if vl < best[0] - IMPROVE_EPS:
+                best, wait = (vl, epoch, self.model), 0
+            else:
+                wait += 1
+                if wait >= c["patience"]:
+                    break
+        if vv is not None and best[2] is not None:
+            self.model = best[2]
+        self.best_round = best[1] or len(rows)
+        self.history = tv.sparkSession.createDataFrame(
+            rows, "step int, train_loss double, val_loss double")
         return self
 
     def _loss(self, vectors: DataFrame) -> float:

@@ -179,75 +179,108 @@ def tree_config(params: dict) -> dict:
     return out
 
 
-def search_model(seqs: DataFrame, trials: list, name: str = "gbt", base: dict | None = None,
-                 threads: int = 8) -> tuple[DataFrame, dict]:
-    """H3/H5 for ML models: every trial config is fitted on the train windows
-    (val for early stopping) as a concurrent Spark job from a small thread
-    pool; objective = validation directional accuracy. A trial that fails
-    scores 0.0 and keeps its error in ``state``. Only the best model so far is
-    held; it is scored once on the test windows. Returns (study table, best
-    info)."""
+def run_study(stored: DataFrame, study: str, trials: list, ledger, name: str = "gbt",
+              base: dict | None = None, threads: int = 8, limit: int | None = None) -> int:
+    """H3/H5 for ML models: fits the trials of one study (at most ``limit``) that
+    nobody has finished or claimed, as concurrent Spark jobs from a small thread pool, and
+    commits each as it ends; objective = validation directional accuracy. The
+    train and val vectors are prepared and persisted once for all trials. A
+    trial that fails scores 0.0 and keeps its error in ``state``. A model better
+    than all before it is saved, so that the best of a finished study can be
+    scored once on the test windows, by whichever searcher ends it. Returns the
+    number of trials run here."""
     from concurrent.futures import ThreadPoolExecutor
     from threading import Lock
 
     from barpanel.operators import models as ML
-    tr = seqs.filter(F.col("split") == "train")
-    va = seqs.filter(F.col("split") == "val")
-    lock, best = Lock(), {"trial": None, "value": -1.0, "model": None}
+    open_ = [t for t in trials if (study, t["trial"]) not in ledger.finished(study)][:limit]
+    if not open_:
+        _score_best(stored, study, trials, ledger, name)
+        return 0
+    seqs = stored.filter(F.col("ticker") == study)
+    tr, va = (seqs.filter(F.col("split") == x) for x in ("train", "val"))
+    prepared = ML.build_model(name).prepare(tr, va)
+    lock = Lock()
+    best = list(ledger.best(study) or (None, -1.0))
 
     def one(t):
+        if not ledger.claim(study, t["trial"]):
+            return 0
         cfg = {**(base or {}), **tree_config({k: v for k, v in t.items() if k != "trial"})}
         try:
-            m = ML.build_model(name, cfg)
-            m.fit(tr, va)
+            m = ML.build_model(name, cfg).fit_prepared(prepared)
             r = M.evaluate(m.predict(va), by=()).first()
         except Exception as e:  # noqa: BLE001  the error is part of the study
-            return t["trial"], 0.0, None, None, f"FAIL: {type(e).__name__}: {e}"[:500]
+            ledger.commit(study, t["trial"], 0.0, state=f"FAIL: {type(e).__name__}: {e}"[:500])
+            return 1
+        except BaseException:
+            ledger.release(study, t["trial"])
+            raise
         value = float(r["directional_accuracy"] or 0.0)
         with lock:
-            if (value, -t["trial"]) > (best["value"], -(best["trial"] or 0)):
-                best.update(trial=t["trial"], value=value, model=m)
-        return t["trial"], value, r["sharpe_ratio"], r["mae"], "COMPLETE"
-
-    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(trials)))) as ex:
-        res = list(ex.map(one, trials))
-    study = seqs.sparkSession.createDataFrame(
-        [(int(a), float(b), c, d, e) for a, b, c, d, e in res],
-        "trial bigint, value double, val_sharpe double, val_mae double, state string")
-    test = None
-    if best["model"] is not None:
-        test = M.evaluate(best["model"].predict(seqs.filter(F.col("split") == "test")),
-                          by=("split",))
-    return study, {"trial": best["trial"], "value": best["value"], "test": test}
+            if best[0] is None or (value, -t["trial"]) > (best[1], -best[0]):
+                m.save(_model_path(ledger, study, t["trial"]))
+                best[:] = t["trial"], value
+        ledger.commit(study, t["trial"], value, r["sharpe_ratio"], r["mae"])
+        return 1
+
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, min(threads, len(open_)))) as ex:
+            n = sum(ex.map(one, open_))
+    finally:
+        prepared.release()
+    _score_best(stored, study, trials, ledger, name)
+    return n
+
+
+def _model_path(ledger, study: str, trial: int) -> str:
+    from urllib.parse import quote
+    return f"{ledger.path}/models/{quote(study, safe='')}/{trial:08d}"
+
+
+def _score_best(stored: DataFrame, study: str, trials: list, ledger, name: str) -> None:
+    """The best trial's test metrics, once all trials of the study are in."""
+    from barpanel.operators import models as ML
+    if not {(study, t["trial"]) for t in trials} <= ledger.finished(study):
+        return
+    best = ledger.best(study)
+    if best is None or (study, best[0]) in ledger.tested(study):
+        return
+    path = _model_path(ledger, study, best[0])
+    fs_path = ledger._Path(path)
+    if not ledger._fs.exists(fs_path):  # every trial failed
+        return
+    test = stored.filter((F.col("ticker") == study) & (F.col("split") == "test"))
+    r = M.evaluate(ML.MODEL_REGISTRY[name].load(path).predict(test), by=("split",)).first()
+    ledger.commit_test(study, best[0], {m: r[m] if r is not None else None for m in M.METRICS})
 
 
 def resume_models(stored: DataFrame, studies: DataFrame, n_trials: int, path: str,
                   name: str = "gbt", base: dict | None = None, seed: int = SEED,
-                  threads: int = 8) -> DataFrame:
+                  threads: int = 8, budget: int | None = None, lease: float = 120.0) -> DataFrame:
     """One study per (model, ticker) of ``studies`` with ``n_trials`` trials of
-    the tree space, kept at ``path``: trials already there are not run again.
-    ``stored``: windows partitioned by (ticker, split). Returns the whole store
-    with ``is_best`` and the best trials' test metrics."""
+    the tree space, kept in a ledger at ``path``: trials finished there are not
+    run again, and other searchers may work on the same path. ``stored``: windows
+    partitioned by (ticker, split). ``budget`` ends this call after so many
+    trials. Returns the ledger's rows with ``is_best`` and, for finished studies,
+    the best trial's test metrics."""
+    from barpanel.operators.ledger import TrialLedger
     spark = stored.sparkSession
+    ledger = TrialLedger(spark, path, lease)
     wanted = derived_params(sample_trials(studies, n_trials, TREE_SPACE, seed))
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if p.getFileSystem(conf).exists(p):
-        done = spark.read.parquet(path).select("study", "trial")
-        wanted = wanted.join(done, ["study", "trial"], "left_anti")
     todo: dict[str, list] = {}
     for r in wanted.orderBy("study", "trial").collect():  # configurations, not data
         t = r.asDict()
         todo.setdefault(t.pop("study"), []).append(t)
     for study, trials in todo.items():
-        seqs = stored.filter(F.col("ticker") == study)
-        results, best = search_model(seqs, trials, name, base, threads)
-        test = best["test"].first() if best["test"] is not None else None
-        out = results.withColumns({"study": F.lit(study), **{
-            f"test_{m}": F.when(F.col("trial") == best["trial"], F.lit(test[m])).cast("double")
-            if test is not None else F.lit(None).cast("double") for m in M.METRICS}})
-        out.coalesce(1).write.mode("append").parquet(path)
-    got = spark.read.parquet(path)
+        if budget is not None and budget <= 0:
+            break
+        n = run_study(stored, study, trials, ledger, name, base, threads, budget)
+        budget = None if budget is None else budget - n
+    got, tests = ledger.rows(), ledger.tests()
     best = got.groupBy("study").agg(F.max_by(
         "trial", F.struct(F.col("value"), -F.col("trial"))).alias("best"))
-    return got.join(best, "study").withColumn("is_best", F.col("trial") == F.col("best")).drop("best")
+    return (got.join(best, "study").withColumn("is_best", F.col("trial") == F.col("best"))
+            .join(tests.select("study", "trial", "metrics"), ["study", "trial"], "left")
+            .select("study", "trial", "value", "val_sharpe", "val_mae", "state", "is_best",
+                    *[F.col("metrics")[m].alias(f"test_{m}") for m in M.METRICS]))

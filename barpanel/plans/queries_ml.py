@@ -180,20 +180,22 @@ def q_m9(spark, sf_dir):
                             F.round("val_loss", RATIO).alias("val_loss"))
 
 
-#: Trials per (model, ticker) in this query, the reference's default; the operator has none.
-HPO_TRIALS = 50
+#: Trials per (model, ticker) in this query; the operator has no default (see README
+#: for the time and memory of a trial).
+HPO_TRIALS = 4
 
 
 @query("hpo_gbt")
 def q_hpo_gbt(spark, sf_dir):
     """H3-H6 for the tree model: a study per ticker over the full tree space,
-    kept in a store; a second call resumes it and runs the missing trials only;
-    the best trial of each study is scored once on test."""
+    kept in a ledger. The first call stops in the middle of a study; the second
+    runs the missing trials only; the best trial of each study is scored once on
+    test."""
     from barpanel.operators import search as H
     s = _seqs(spark, sf_dir)
     studies = s.select(F.col("ticker").alias("study")).distinct()
     path = IO.scratch_path(spark, "ml-study")
-    H.resume_models(s, studies.filter("study < '3'"), HPO_TRIALS, path)   # an interrupted study
+    H.resume_models(s, studies, HPO_TRIALS, path, budget=HPO_TRIALS // 2)
     out = H.resume_models(s, studies, HPO_TRIALS, path)
     return out.select("study", "trial", F.round("value", 4).alias("value"), "val_sharpe",
                       "val_mae", "state", "is_best",

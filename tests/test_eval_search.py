@@ -154,18 +154,6 @@ def test_many_trials_keep_the_plan_small(spark):
     assert {r.ticker for r in test} == {"a", "b"}
 
 
-def test_failing_ml_trial_keeps_its_error(spark, daily):
-    from barpanel.operators import features as FT
-    from barpanel.plans.layout import PLAIN
-    s = FT.prepare_panel(daily, PLAIN, window=5)["sequences"]
-    study, best = H.search_model(s, [{"trial": 0, "n_estimators": 2, "max_depth": 2},
-                                     {"trial": 1, "n_estimators": 2, "max_depth": 99}],
-                                 "gbt", threads=1)
-    rows = {r.trial: r for r in study.collect()}
-    assert rows[0].state == "COMPLETE" and best["trial"] == 0
-    assert rows[1].state.startswith("FAIL") and rows[1].value == 0.0
-
-
 def test_causal_filter_receptive_field():
     from barpanel.operators.windows import receptive_field
     assert receptive_field(3, [1, 2, 4, 8, 16]) == 63

@@ -102,27 +102,6 @@ def test_run_log_keeps_everything(spark):
     assert rows["param.l"].text == "[1, 2]" and rows["param.b"].text == "true"
 
 
-def test_ml_study_resumes(spark, seqs, monkeypatch):
-    from barpanel.operators import search as H
-    path = IO.scratch_path(spark, "test-windows")
-    IO.write_sequences(seqs.filter("ticker IN ('2-HIGH', '5-LOW')"), path)
-    stored = IO.read_sequences(spark, path)
-    monkeypatch.setitem(H.TREE_SPACE, "n_estimators", ("int", 1, 3))
-    monkeypatch.setitem(H.TREE_SPACE, "max_depth", ("int", 1, 2))
-    study = IO.scratch_path(spark, "test-study")
-    st = spark.createDataFrame([("2-HIGH",), ("5-LOW",)], "study string")
-    first = H.resume_models(stored, st.filter("study = '2-HIGH'"), 2, study).collect()
-    ran = []
-    real = H.search_model
-    monkeypatch.setattr(H, "search_model", lambda *a, **k: ran.append(len(a[1])) or real(*a, **k))
-    got = H.resume_models(stored, st, 2, study).collect()
-    assert ran == [2]  # only the other study's trials
-    assert len(first) == 2 and len(got) == 4
-    best = [r for r in got if r.is_best]
-    assert {r.study for r in best} == {"2-HIGH", "5-LOW"}
-    assert all(r.test_mae is not None for r in best) and all(r.state == "COMPLETE" for r in got)
-
-
 def test_no_silent_local_scratch(monkeypatch):
     """Without a shared folder a cluster session raises."""
     from barpanel import session
