@@ -8,7 +8,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -60,6 +60,24 @@ def _remove() -> None:
             return
 
 
+def labelled(docs: DataFrame, labels: DataFrame, max_rows: int, id_col: str = "doc_id") -> DataFrame:
+    """The documents that have a row in ``labels``; beyond ``max_rows`` labels, of
+    a sample of about so many, drawn by a hash of the id. The drawn labels go to
+    every task, once their number has been checked, so no document is shuffled."""
+    total = labels.count()
+    if total > max_rows:
+        labels = labels.filter(drawn_by(F.col(id_col)) < max_rows / total * 2 ** 32)
+    if labels.count() <= 2 * max_rows:
+        labels = F.broadcast(labels)
+    return docs.join(labels, id_col)
+
+
+def drawn_by(id_: Column) -> Column:
+    """A number in [0, 2^32) drawn for an id; samples of different sizes nest."""
+    text = F.coalesce(id_.cast("string"), F.lit(""))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double")
+
+
 # -- Arrow batches in tasks -----------------------------------------------------
 
 def schema_of(ddl: str) -> pa.Schema:

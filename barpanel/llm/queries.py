@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barpanel.llm.common import table
+from barpanel.llm.common import labelled, table
 
 QUERIES: dict = {}
 
@@ -50,11 +50,11 @@ TOXIC_FROM = 0.3
 @query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from barpanel.llm.langid import fold
-    from barpanel.llm.toxicity import fit, score
+    from barpanel.llm.toxicity import MAX_TRAINING_ROWS, fit, score
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     known = labels.filter((fold(of=4) != 2) & F.col("toxic").isNotNull())
-    model = fit(docs.select("doc_id", "text").join(known, "doc_id"))
+    model = fit(labelled(docs.select("doc_id", "text"), known, MAX_TRAINING_ROWS))
     scored = score(docs, model)
     return scored.select("doc_id", F.coalesce(fold(of=4) == 2, F.lit(False)).alias("held_out"),
                          "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
@@ -130,11 +130,11 @@ GOOD_FROM = 0.5
 @query
 def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from barpanel.llm.langid import fold
-    from barpanel.llm.quality import fit, score
+    from barpanel.llm.quality import MAX_TRAINING_ROWS, fit, score
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     known = labels.filter((fold(of=3) != 1) & F.col("quality").isNotNull())
-    model = fit(docs.select("doc_id", "text").join(known, "doc_id"))
+    model = fit(labelled(docs.select("doc_id", "text"), known, MAX_TRAINING_ROWS))
     return score(docs, model).select(
         "doc_id", F.coalesce(fold(of=3) == 1, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= GOOD_FROM).cast("int").alias("predicted"))

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barpanel.llm.common import pieces, ragged, schema_of, texts
+from barpanel.llm.common import drawn_by, pieces, ragged, schema_of, texts
 
 DIMS = 1 << 18
 RANK = 8
@@ -39,6 +39,11 @@ LEAST_STEP = 0.003
 #: Terms nearer than this to equal shares under both labels have no weight of
 #: their own; they take part in pairs like all others.
 LEAST_Z = 0.7
+#: The fit without pairs whose residuals are looked through for interactions;
+#: buckets of partners, and dealings into them.
+LINEAR_EPOCHS = 3
+BUCKETS = 64
+HASHINGS = 3
 #: Expected number of labelled rows that the machine is fitted on.
 MAX_TRAINING_ROWS = 20_000
 
@@ -93,48 +98,59 @@ def confidence(rows: list[np.ndarray], y: np.ndarray, dims: int) -> np.ndarray:
     return np.where(pos + neg >= MIN_ROWS, z, 0.0)
 
 
-def pair_confidence(rows: list[np.ndarray], y: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """How far the strongest interaction of each known term is from 0 beyond what
-    chance gives to the largest of all pairs, in standard errors: the change that
-    one term of a pair makes in the other's smoothed log-odds ratio of the labels,
-    over every pair that ``MIN_ROWS`` rows hold."""
+def pair_confidence(rows: list[np.ndarray], r: np.ndarray, known: np.ndarray,
+                    buckets: int = BUCKETS, hashings: int = HASHINGS, seed: int = 7) -> np.ndarray:
+    """How far each known term's strongest interaction is from 0, in standard
+    errors beyond chance. An interaction of two terms shows in the sum of the
+    residuals ``r`` of the rows that hold both. The partners are not looked at
+    one by one: with random signs they are added up in ``buckets``, and a term is
+    held against every bucket, so time and memory are linear in the terms of
+    the rows. What only one dealing of the partners shows is chance; the least
+    over ``hashings`` of them counts."""
     dims, ids = len(known), np.flatnonzero(known)
     local = np.full(dims, -1, np.int64)
     local[ids] = np.arange(len(ids))
-    found = [local[r[known[r]]] for r in rows]
-    lengths = np.array([len(r) for r in found], np.int64)
+    found = [local[x[known[x]]] for x in rows]
+    lengths = np.array([len(x) for x in found], np.int64)
     out = np.zeros(dims)
     if not lengths.sum():
         return out
-    flat, first = np.concatenate(found), np.cumsum(lengths) - lengths
-    label = np.repeat(y > 0, lengths)
-    k = len(ids)
-    n = (float((y <= 0).sum()), float((y > 0).sum()))
-    one = (np.bincount(flat[~label], minlength=k), np.bincount(flat[label], minlength=k))
-    holders = np.split(np.repeat(np.arange(len(rows)), lengths)[np.argsort(flat, kind="stable")],
-                       np.cumsum(np.bincount(flat, minlength=k))[:-1])
-    chance = math.sqrt(2 * math.log(max(2.0, k * (k - 1) / 2)))
-    best = np.zeros(k)
-    for a, rows_a in enumerate(holders):
-        both = []
-        for side in (0, 1):
-            pick = rows_a[(y[rows_a] > 0) == bool(side)]
-            at = ragged(first[pick], lengths[pick])
-            both.append(np.bincount(flat[at], minlength=k))
-        b = np.flatnonzero(both[0] + both[1] >= MIN_ROWS)
-        b = b[b > a]  # each pair once
-        odds, var = 0.0, 0.0
-        for side, sign in ((0, -1.0), (1, 1.0)):
-            ab = both[side][b]
-            a_only, b_only = one[side][a] - ab, one[side][b] - ab
-            neither = n[side] - ab - a_only - b_only
-            for cell, s in ((ab, 1.0), (a_only, -1.0), (b_only, -1.0), (neither, 1.0)):
-                odds = odds + sign * s * np.log(cell + 0.5)
-                var = var + 1 / (cell + 0.5)
-        z = np.abs(odds) / np.sqrt(var)
-        best[a] = max(best[a], z.max(initial=0.0))
-        best[b] = np.maximum(best[b], z)
-    out[ids] = np.maximum(best - chance, 0.0)
+    flat, row = np.concatenate(found), np.repeat(np.arange(len(rows)), lengths)
+    k, rng = len(ids), np.random.default_rng(seed)
+    order = np.argsort(flat, kind="stable")
+    by_term, holders = flat[order], row[order]
+    n = np.bincount(flat, minlength=k)
+    # below this many rows no sum is as far from 0: |z| <= sqrt(rows)
+    chance = math.sqrt(2 * math.log(max(2.0, buckets * max(2.0, k) ** (1 / hashings))))
+    start = np.r_[0, np.cumsum(n)]
+    terms_ = np.flatnonzero(n > chance ** 2)
+    best = np.full(k, np.inf)
+    sum_r, sum_r2 = (np.bincount(by_term, x[holders], k) for x in (r, r * r))
+    for _ in range(hashings):
+        bucket, sign = rng.integers(0, buckets, k), rng.choice([-1.0, 1.0], k)
+        c = np.bincount(row * buckets + bucket[flat], sign[flat], len(rows) * buckets)
+        c = c.reshape(-1, buckets).astype(np.float32)
+        rc = (c * r[:, None]).astype(np.float32)
+        done = 0
+        while done < len(terms_):
+            # whole terms with about a hundred thousand rows between them
+            upto = max(done + 1, int(np.searchsorted(np.cumsum(n[terms_[done:]]), 100_000)) + done)
+            t = terms_[done:upto]
+            at = ragged(start[t], n[t])
+            first = np.cumsum(n[t]) - n[t]
+            x, h = rc[holders[at]], holders[at]
+            num = np.add.reduceat(x, first, axis=0).astype(np.float64)
+            x *= x
+            den = np.add.reduceat(x, first, axis=0).astype(np.float64)
+            own, s = (np.arange(len(t)), bucket[t]), sign[t]
+            # the term itself is no partner
+            cross = np.add.reduceat((r[h] * r[h]) * c[h, np.repeat(bucket[t], n[t])], first)
+            num[own] -= s * sum_r[t]
+            den[own] += sum_r2[t] - 2 * s * cross
+            z = np.abs(num) / np.sqrt(np.maximum(den, 1e-12))
+            best[t] = np.minimum(best[t], z.max(1))
+            done = upto
+    out[ids] = np.maximum(np.where(np.isfinite(best), best, 0.0) - chance, 0.0)
     return out
 
 
@@ -144,43 +160,68 @@ def train(rows: list[np.ndarray], y: np.ndarray, dims: int = DIMS, rank: int = R
     """AdaGrad on the log-loss. The step of a term's own weight is scaled by the
     confidence that the labels differ in it (from ``LEAST_STEP`` up to 1 at four
     standard errors), so the few telling terms of a text are learned before its
-    many chance ones. Its pair vector steps by that or by the confidence of its
-    strongest pair, since equal shares say nothing about pairs (exclusive or).
+    many chance ones. Its pair vector steps by that or by the confidence that
+    the residuals of a fit without pairs hold an interaction of it, since equal
+    shares say nothing about pairs (exclusive or). Linear in the rows' terms.
     The result depends on the order of the rows, so callers sort them."""
-    rng = np.random.default_rng(seed)
     z = confidence(rows, y, dims)
     known = np.bincount(np.concatenate([*rows, np.zeros(0, np.int32)]), minlength=dims) >= MIN_ROWS
     step = np.where(known & (z > LEAST_Z), np.clip((z / 4) ** 2, LEAST_STEP, 1.0), 0.0)
-    pair = pair_confidence(rows, y, known)
-    step_v = np.where(known, np.maximum(step, np.clip((pair / 4) ** 2, LEAST_STEP, 1.0)), 0.0)
-    rows = [r[known[r]] for r in rows]
+    # the known terms, numbered
+    ids = np.flatnonzero(known)
+    local = np.full(dims, -1, np.int64)
+    local[ids] = np.arange(len(ids))
+    found = [local[r[known[r]]] for r in rows]
+    plain = _descend(found, y, step[ids], None, 0, LINEAR_EPOCHS, rate, l2, batch, seed)
+    lengths = np.array([len(r) for r in found], np.int64)
+    p = 1 / (1 + np.exp(-np.clip(plain.w0 + _sums(plain.w[np.concatenate(
+        [*found, np.zeros(0, np.int64)])], lengths), -30, 30)))
+    pair = pair_confidence(rows, y - p, known)
+    step_v = np.maximum(step, np.clip((pair / 4) ** 2, LEAST_STEP, 1.0))
+    m = _descend(found, y, step[ids], step_v[ids], rank, epochs, rate, l2, batch, seed)
+    w, v = np.zeros(dims), np.zeros((dims, rank))
+    w[ids], v[ids] = m.w, m.v
+    return Model(m.w0, w, v)
+
+
+def _descend(rows: list[np.ndarray], y: np.ndarray, step: np.ndarray, step_v: np.ndarray | None,
+             rank: int, epochs: int, rate: float, l2: float, batch: int, seed: int) -> Model:
+    """The epochs of :func:`train` over numbered terms; without pairs if ``rank``
+    is 0."""
+    rng, k = np.random.default_rng(seed), len(step)
     share = min(max(float(y.mean()), 1e-3), 1 - 1e-3)
-    w0, w = float(np.log(share / (1 - share))), np.zeros(dims)
-    v = rng.normal(0, 0.01, (dims, rank)) * known[:, None]
-    gw, gv, g0 = np.full(dims, 1e-6), np.full((dims, rank), 1e-6), 1e-2
+    w0, w = float(np.log(share / (1 - share))), np.zeros(k)
+    v = rng.normal(0, 0.01, (k, rank))
+    gw, gv, g0 = np.full(k, 1e-6), np.full((k, rank), 1e-6), 1e-2
     for _ in range(epochs):
         order = rng.permutation(len(rows))
         for s in range(0, len(order), batch):
             pick = order[s:s + batch]
             lengths = np.array([len(rows[i]) for i in pick])
             flat = np.concatenate([rows[i] for i in pick])
-            m = Model(w0, w, v)
-            p = 1 / (1 + np.exp(-np.clip(logits(m, flat, lengths), -30, 30)))
+            linear = w0 + _sums(w[flat], lengths)
+            if rank:
+                vx = v[flat]
+                sums = _sums(vx, lengths)
+                linear += 0.5 * ((sums * sums).sum(1) - _sums((vx * vx).sum(1), lengths))
+            p = 1 / (1 + np.exp(-np.clip(linear, -30, 30)))
             e = (p - y[pick]) / len(pick)
             g = float(e.sum())
             g0 += g * g
             w0 -= rate * g / np.sqrt(g0)
             if not flat.size:
                 continue
-            used, inv = np.unique(flat, return_inverse=True)
             each = np.repeat(e, lengths)
-            grad = np.bincount(inv, each, len(used)) + l2 * w[used]
+            used = np.flatnonzero(np.bincount(flat, minlength=k))
+            grad = np.bincount(flat, each, k)[used] + l2 * w[used]
             gw[used] += grad ** 2
             w[used] -= rate * step[used] * grad / np.sqrt(gw[used])
-            pull = each[:, None] * (np.repeat(_sums(v[flat], lengths), lengths, axis=0) - v[flat])
-            by_term = np.argsort(inv, kind="stable")
-            grads = np.add.reduceat(pull[by_term], np.r_[0, np.cumsum(np.bincount(inv))[:-1]],
-                                    axis=0) + l2 * v[used]
+            if not rank:
+                continue
+            pull = np.repeat(e[:, None] * sums, lengths, axis=0) - each[:, None] * vx
+            grads = l2 * v[used]
+            for j in range(rank):
+                grads[:, j] += np.bincount(flat, pull[:, j], k)[used]
             gv[used] += grads ** 2
             v[used] -= 0.1 * rate * step_v[used, None] * grads / np.sqrt(gv[used])
     return Model(w0, w, v)
@@ -199,8 +240,7 @@ def fit(labelled: DataFrame, label_col: str = "toxic", text_col: str = "text",
     total = rows.count()
     if total == 0:
         return None
-    draw = F.conv(F.substring(F.md5(F.coalesce("id", F.lit(""))), 1, 8), 16, 10).cast("double")
-    rows = rows.withColumn("draw", draw)
+    rows = rows.withColumn("draw", drawn_by(F.col("id")))
     if total > max_rows:
         rows = rows.filter(F.col("draw") < max_rows / total * 2 ** 32)
 
