@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import math
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier,
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from barpanel.constants import FEATURE_COLS, IMPROVE_EPS, PROBA_THRESHOLD
 from barpanel.operators import metrics as M
+from barpanel.sources.store import PanelStore
 
 # --- fixed values: model defaults (merged with a user config) --------------
 GBT_DEFAULTS = {"maxIter": 300, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8,
@@ -317,6 +319,18 @@ def run_log_rows(run: str, kind: str, params: dict, metrics: DataFrame | None =
     return df
 
 
-def append_runs(rows: DataFrame, path: str) -> None:
-    """M8: append-only run table (Parquet)."""
-    rows.write.mode("append").parquet(path)
+def append_runs(rows: DataFrame, path: str, run_id: str | None = None) -> str:
+    """M8: adds one run to the run table, exactly once. A run is what ``run_id``
+    names: writing it again (a retry, a writer thought dead) replaces it, whole,
+    and runs written at the same time do not disturb each other. Without a
+    ``run_id`` the call is a run of its own. Returns the id."""
+    run_id = run_id or uuid.uuid4().hex
+    PanelStore(rows.sparkSession, path, ("run_id",)).write(
+        rows.withColumn("run_id", F.lit(run_id)))
+    return run_id
+
+
+def read_runs(spark, path: str, run_id: str | None = None) -> DataFrame:
+    """M8: all runs, or one; ``RUN_SCHEMA`` and ``run_id``."""
+    df = PanelStore(spark, path, ("run_id",)).read(run_id=run_id)
+    return spark.createDataFrame([], f"{RUN_SCHEMA}, run_id string") if df is None else df

@@ -64,31 +64,49 @@ def ewm(df: DataFrame, layout: SeriesLayout, c: str, out: str, com=None, span=No
     return ewm_columns(df, layout, {out: (c, alpha_from(com, span, alpha))})
 
 
+#: What the recurrences carry from bar to bar.
+STATES = ("avg_gain", "avg_loss", "ema_12", "ema_26", "macd_signal")
+
+
 def rsi_macd(df: DataFrame, layout: SeriesLayout, price: str = "close",
-             keep_ema: bool = False) -> DataFrame:
+             keep_ema: bool = False, resume: str | None = None) -> DataFrame:
     """W4/W5/W6 with P2: RSI(14) and MACD(12, 26, 9) in two EWM passes.
 
     RSI = 100 - 100/(1 + avg_gain/avg_loss); avg_loss 0 gives NULL.
+
+    ``resume`` names a flag of the rows to go on with. The rows before them are
+    only looked back at; the last of them holds the state of each recurrence in
+    ``_at_<name>`` (null elsewhere). That state stands as the first observation,
+    so the recurrence goes on as if it had never stopped. The states are kept as
+    ``_avg_gain``, ``_avg_loss``, ``ema_12`` and ``ema_26``.
     """
+    def entered(x, state):
+        x = P.col(x)
+        return x if resume is None else F.when(F.col(resume), x).otherwise(F.col(f"_at_{state}"))
     delta = P.col(price) - lag(layout, price)
     df = df.withColumn("_delta", delta)
-    df = df.withColumns({"_gain": P.clip_gain("_delta"), "_loss": P.clip_loss("_delta")})
+    df = df.withColumns({"_gain": entered(P.clip_gain("_delta"), "avg_gain"),
+                         "_loss": entered(P.clip_loss("_delta"), "avg_loss")})
+    one = () if resume else ("_delta",)  # inputs with the same gaps share a numbering
     df = ewm_columns(df, layout, {
-        "_avg_gain": ("_gain", alpha_from(com=RSI_COM), "_delta"),
-        "_avg_loss": ("_loss", alpha_from(com=RSI_COM), "_delta"),
-        "ema_12": (price, alpha_from(span=MACD_FAST_SPAN), price),
-        "ema_26": (price, alpha_from(span=MACD_SLOW_SPAN), price),
+        "_avg_gain": ("_gain", alpha_from(com=RSI_COM), *one),
+        "_avg_loss": ("_loss", alpha_from(com=RSI_COM), *one),
+        "ema_12": (entered(price, "ema_12"), alpha_from(span=MACD_FAST_SPAN), *([price] if one else [])),
+        "ema_26": (entered(price, "ema_26"), alpha_from(span=MACD_SLOW_SPAN), *([price] if one else [])),
     })
     rs = F.try_divide(F.col("_avg_gain"), F.nullif(F.col("_avg_loss"), F.lit(0.0)))
     df = df.withColumns({
         "rsi_14": F.lit(100.0) - F.try_divide(F.lit(100.0), F.lit(1.0) + rs),
         "macd": F.col("ema_12") - F.col("ema_26"),
     })
-    df = ewm_columns(df, layout, {"macd_signal": ("macd", alpha_from(span=MACD_SIGNAL_SPAN))})
+    df = ewm_columns(df, layout, {"macd_signal": (entered("macd", "macd_signal"),
+                                                  alpha_from(span=MACD_SIGNAL_SPAN))})
     df = df.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
-    drop = ["_delta", "_gain", "_loss", "_avg_gain", "_avg_loss"]
-    if not keep_ema:
-        drop += ["ema_12", "ema_26"]
+    drop = ["_delta", "_gain", "_loss"]
+    if resume is None:
+        drop += ["_avg_gain", "_avg_loss"]
+        if not keep_ema:
+            drop += ["ema_12", "ema_26"]
     return df.drop(*drop)
 
 

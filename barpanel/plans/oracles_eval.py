@@ -243,3 +243,9 @@ select 'linear-all' as run, 'train' as kind, key, null::int as step, value::doub
   union all select 'metric.' || ticker || '.' || key, value, null from ({_long}))"""))
 oracle("model_registry", _seq_sql("""select name, name as kind, split, count(*)::bigint as n_windows
 from sq, (values ('gbt'), ('mlp')) m(name) group by name, split"""))
+
+oracle("run_log_retries", pipeline_sql("""select r.run_id, k.key, k.value from
+  (select unnest(['run-1', 'run-2']) as run_id) r,
+  (select 'param.window' as key, 30.0::double as value
+   union all select 'count.' || ticker || '.n_' || split, count(*)::double from sq
+   group by ticker, split) k"""))

@@ -64,6 +64,7 @@ select ticker, {sql_date()}, {_P4}, volume from (select * from o union all selec
 oracle("utc_naive_date", f"""with h as ({PANEL_HOURLY})
 select ticker, strftime(date, '%Y-%m-%d %H:%M:%S') as bar, strftime(cast(date as date), '%Y-%m-%d') as day,
   round(close, 4) as close from h""")
+oracle("utc_offset_text", """select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as utc from events""")
 oracle("ticker_slug", f"""with d as ({PANEL_DAILY}), h as ({PANEL_HOURLY}),
 t as (select q.ticker, count(d.ticker)::bigint as n_bars from {REQUESTED} q left join d using (ticker) group by q.ticker
       union all select ticker, count(*)::bigint from h group by ticker)
@@ -104,6 +105,20 @@ select g.ticker, case when ok then 'OK' else 'FAILED' end as status,
   case when ok then '{{"status":"OK","rows":' || st.rows || ',"start":"' || strftime(st.s, '%Y-%m-%d')
     || '","end":"' || strftime(st.e, '%Y-%m-%d') || '"}}' else '{{"status":"FAILED"}}' end as entry
 from gate g left join st using (ticker)""")
+_SOURCES = "(select unnest(['1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW']) as ticker)"
+oracle("manifest_json", f"""{_D}, g as (select ticker, count(*)::bigint as n_rows, {_WORST} as worst from d
+  where ticker in ('1-URGENT', '3-MEDIUM', '5-LOW') group by ticker),
+gate as (select ticker, coalesce(n_rows > 0 and worst <= 0.05, false) as ok
+  from {_SOURCES} q left join g using (ticker)),
+dv as (select * from d where ticker in (select ticker from gate where ok)),
+{CLEAN_SQL.replace('from d where', 'from dv where')},
+st as (select ticker, count(*)::bigint as rows, min(date) as s, max(date) as e from clean group by ticker),
+en as (select g.ticker, '"' || g.ticker || '":' || case when ok then '{{"status":"OK","rows":' || st.rows
+    || ',"start":"' || strftime(st.s, '%Y-%m-%d') || '","end":"' || strftime(st.e, '%Y-%m-%d') || '"}}'
+    else '{{"status":"FAILED"}}' end as x from gate g left join st using (ticker))
+select '{{"collected_at":"2024-01-31T00:00:00+00:00","parameters":{{"start":"1995-01-01","end":"2001-12-31"}},'
+  || '"tickers":["1-URGENT","2-HIGH","3-MEDIUM","5-LOW"],"results":{{'
+  || string_agg(x, ',' order by ticker) || '}}}}' as manifest from en""")
 oracle("write_processed_csv", pipeline_sql(
     "select ticker, split, strftime(date, '%Y-%m-%d') as date, "
     + ", ".join(f"printf('%.6f', {c}) as {c}" for c in ("open", "high", "low", "close", "volume"))

@@ -112,9 +112,33 @@ def q_tag_union(spark, sf_dir):
 def q_utc(spark, sf_dir):
     """Hourly bars with a zone-less bar time and its calendar day."""
     h = panel_hourly(spark, sf_dir)
+    utc = IO.utc_naive(h, "date")
     return spark_round(h.select(
-        "ticker", F.date_format(IO.utc_naive("date"), "yyyy-MM-dd HH:mm:ss").alias("bar"),
-        F.date_format(F.to_date(IO.utc_naive("date")), "yyyy-MM-dd").alias("day"), "close"))
+        "ticker", F.date_format(utc, "yyyy-MM-dd HH:mm:ss").alias("bar"),
+        F.date_format(F.to_date(utc), "yyyy-MM-dd").alias("day"), "close"))
+
+
+@query("utc_offset_text")
+def q_utc_text(spark, sf_dir):
+    """Event times as feeds would write them (offsets, Z, a zone's name, none),
+    each back as zone-less UTC. New York's clocks change within the data."""
+    e = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("t"))
+    def written(shift, tail, style="yyyy-MM-dd HH:mm:ss.SSSSSS"):
+        at = F.col("t") + F.make_dt_interval(mins=F.lit(shift))
+        return F.concat(F.date_format(at, style), F.lit(tail))
+    ny = F.convert_timezone(F.lit("UTC"), F.lit("America/New_York"), "t")
+    # the hour that New York's clocks repeat cannot be told from its name
+    clear = F.convert_timezone(F.lit("America/New_York"), F.lit("UTC"), ny) == F.col("t")
+    k = F.col("event_id") % 6
+    text = (F.when(k == 0, written(0, "Z", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+            .when(k == 1, written(330, "+05:30")).when(k == 2, written(-300, "-0500"))
+            .when(k == 3, written(60, " +01"))
+            .when((k == 4) & clear, F.concat(F.date_format(ny, "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+                                             F.lit(" [America/New_York]")))
+            .otherwise(written(0, "")))
+    d = e.select("event_id", text.alias("written"))
+    return d.select("event_id", F.date_format(IO.utc_naive(d, "written"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+                    .alias("utc"))
 
 
 @query("ticker_slug")
@@ -303,6 +327,29 @@ def q_manifest(spark, sf_dir):
                                   {"start": "1995-01-01", "end": "2001-12-31"})
 
 
+@query("manifest_json")
+def q_manifest_json(spark, sf_dir):
+    """S8 with S2: sources of which one lacks a column and one has too many gaps;
+    the collection's manifest as one JSON object."""
+    d = _dirty(spark, sf_dir)
+    tickers = ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"]
+    frames = {t: d.filter(F.col("ticker") == t).drop("ticker") for t in tickers}
+    frames["2-HIGH"] = frames["2-HIGH"].drop("volume")
+    raw, sources = IO.collect_sources(frames, keep=("date", "seq"))
+    raw = materialize(raw)
+    gate = QL.validate_gate(raw, requested=sources)
+    valid = QL.keep_valid(raw, gate)
+    clean = QL.clean_panel(valid, layout_for(raw, ["seq"]))
+    m = IO.collection_manifest(gate, clean, "2024-01-31T00:00:00+00:00",
+                               {"start": "1995-01-01", "end": "2001-12-31"}, sources=sources)
+    path = f"{IO.scratch_path(spark, 'manifest')}/meta.json"
+    IO.publish_manifest(m, path)
+    kind = ("collected_at string, parameters struct<start:string,end:string>, tickers array<string>, "
+            "results map<string,struct<status:string,rows:bigint,start:string,end:string>>")
+    back = spark.read.text(path, wholetext=True)  # what a reader of the file finds
+    return back.select(F.to_json(F.from_json("value", kind)).alias("manifest"))
+
+
 @query("write_processed")
 def q_write_processed(spark, sf_dir):
     """Scaled splits stored per (ticker, split), read back."""

@@ -142,7 +142,20 @@ def q_m8(spark, sf_dir):
         "features": FEATURE_COLS, "shuffle": False}, M.evaluate(scores), None, spark, counts)
     path = IO.scratch_path(spark, "runs")
     ML.append_runs(rows, path)
-    return spark.read.parquet(path).withColumn("value", F.round("value", 4))
+    return ML.read_runs(spark, path).drop("run_id").withColumn("value", F.round("value", 4))
+
+
+@query("run_log_retries")
+def q_m8_retries(spark, sf_dir):
+    """M8: a run logged, logged again by a retry, and a second run: the first
+    stands once in the table, with the rows of the retry."""
+    s = _seqs(spark, sf_dir)
+    counts = s.groupBy("ticker", "split").agg(F.count(F.lit(1)).alias("n"))
+    path = IO.scratch_path(spark, "runs")
+    for run_id, window in (("run-1", 1), ("run-1", WINDOW), ("run-2", WINDOW)):
+        ML.append_runs(ML.run_log_rows("counts", "data", {"window": window}, None, None, spark,
+                                       counts), path, run_id)
+    return ML.read_runs(spark, path).select("run_id", "key", "value")
 
 
 @query("run_log_gbt")
@@ -157,7 +170,7 @@ def q_m8_gbt(spark, sf_dir):
         m.importances(WINDOW))
     path = IO.scratch_path(spark, "runs")
     ML.append_runs(rows, path)
-    return spark.read.parquet(path).withColumn("value", F.round("value", RATIO))
+    return ML.read_runs(spark, path).drop("run_id").withColumn("value", F.round("value", RATIO))
 
 
 @query("model_registry")

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-_FAMILIES = ("queries", "queries_io", "queries_eval", "queries_ml")
-_ORACLES = ("oracles", "oracles_io", "oracles_eval")
+_FAMILIES = ("queries", "queries_io", "queries_eval", "queries_ml", "queries_live")
+_ORACLES = ("oracles", "oracles_io", "oracles_eval", "oracles_live")
 
 
 def _load():
