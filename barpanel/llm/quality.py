@@ -40,7 +40,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barpanel.llm.common import pieces, schema_of, texts
+from barpanel.llm.common import drawn_by, pieces, schema_of, stored, texts
 
 DIMS = 1 << 15
 SIZE = 64
@@ -292,10 +292,10 @@ def fit(labelled: DataFrame, label_col: str = "quality", text_col: str = "text",
     total = rows.count()
     if total == 0:
         return None
-    draw = F.conv(F.substring(F.md5(F.coalesce("id", F.lit(""))), 1, 8), 16, 10).cast("double")
-    rows = rows.withColumn("draw", draw)
+    rows = rows.withColumn("draw", drawn_by(F.col("id")))
     if total > max_rows:
         rows = rows.filter(F.col("draw") < max_rows / total * 2 ** 32)
+    rows = stored(rows)  # read for the vectors and for the network
     vectors = word_vectors(rows.filter("text IS NOT NULL"), dims=dims, size=size)
     sent = rows.sparkSession.sparkContext.broadcast(vectors)
 
