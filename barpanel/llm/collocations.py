@@ -55,6 +55,8 @@ CHUNK_BYTES = 4 << 20
 HOT_SHARE = 1024
 #: One of so many documents is looked at for such pairs.
 SAMPLE = 64
+#: Tasks that rank a language's phrases before their leaders meet.
+SPREAD = 64
 
 _PIECE_END = re.compile(r"[.,;:!?\n\x0b\x0c\r]")
 _M1, _M2, _M3 = (np.uint64(x) for x in
@@ -180,7 +182,7 @@ class Stripes:
         self.size = 0
         self.table: pa.Table | None = None
 
-    def add(self, block: bytes, limit: int = 32 << 20) -> None:
+    def add(self, block: bytes, limit: int = 16 << 20) -> None:
         self.waiting.append(zstandard.ZstdDecompressor().decompress(block))
         self.size += len(self.waiting[-1])
         if self.size > limit:
@@ -286,6 +288,7 @@ def _chunks(batches, limit: int):
         texts = ["" if t is None else t for t in b.column("text").to_pylist()]
         yield langs.dictionary.to_pylist(), Places(texts, langs.indices.to_numpy().astype(np.int64),
                                                    limit)
+        pa.default_memory_pool().release_unused()
 
 
 def hot_pairs(docs: DataFrame, one_of: int = SAMPLE, share: int = HOT_SHARE) -> list[tuple]:
@@ -423,8 +426,12 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, **how) ->
     """The first ``top`` phrases of each language: lang, rank, phrase, a, l, r,
     n, score."""
     numbers = stored(count_stripes(docs, least, **how))
-    by = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    return (candidates(numbers, least).withColumn("rank", F.row_number().over(by))
-            .filter(F.col("rank") <= top)
+    order = (F.desc("score"), F.desc("a"), F.asc("phrase"))
+    # a language's phrases are ranked in SPREAD tasks first, whose leaders meet
+    some, all_ = (Window.partitionBy(*k).orderBy(*order) for k in (("lang", "share"), ("lang",)))
+    leaders = (candidates(numbers, least)
+               .withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(SPREAD)))
+               .withColumn("rank", F.row_number().over(some)).filter(F.col("rank") <= top))
+    return (leaders.withColumn("rank", F.row_number().over(all_)).filter(F.col("rank") <= top)
             .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n",
                     "score"))

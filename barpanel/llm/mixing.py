@@ -223,3 +223,13 @@ def mix(docs: DataFrame, target: Target, budget: int | None = None,
            .withColumn("mix_key", key)
            .filter(F.col("cut").isNull() | (F.col("mix_key") <= F.col("cut"))))
     return got.select("row.*", "mix_weight", "mix_pass", "mix_block", "mix_slot", "mix_key")
+
+
+def in_order(mixed: DataFrame, parts: int | None = None) -> DataFrame:
+    """The rows of :func:`mix` dealt into ``parts`` partitions that hold consecutive
+    stretches of the mixed stream, each sorted, so that files written from them
+    hold the target weights each and readers of a file see the mixed order. A
+    slot's share of the stream is known, so no sample is drawn."""
+    n = parts or int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    at = F.least(F.floor(F.col("mix_slot") * n), F.lit(n - 1)).cast("int")
+    return mixed.repartitionById(n, at).sortWithinPartitions("mix_slot", "mix_key")

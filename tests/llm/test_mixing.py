@@ -157,3 +157,23 @@ def test_every_document_comes_back(spark, seed):
     got = mix(docs(spark, texts, source=source), Target(max_repeat=1.5),
               block_tokens=rng.choice([3, 50]))
     assert {r.doc_id for r in got.collect()} == set(range(n))
+
+
+def test_partitions_hold_stretches_of_the_stream(spark):
+    """Each partition is sorted, follows the one before, and holds the weights."""
+    from pyspark.sql import functions as F
+    rng = random.Random(4)
+    texts = [prose(rng, 10) for _ in range(900)]
+    source = ["x"] * 600 + ["y"] * 300
+    got = mixing.in_order(mix(docs(spark, texts, source=source), Target(max_repeat=1.5),
+                              block_tokens=100), 4)
+    rows = got.withColumn("part", F.spark_partition_id()).collect()
+    assert [(r.mix_slot, r.mix_key) for r in rows] == sorted((r.mix_slot, r.mix_key) for r in rows)
+    assert len({r.part for r in rows}) == 4
+    w = rows[0].mix_weight if rows[0].source == "x" else 1 - rows[0].mix_weight
+    for p in {r.part for r in rows}:
+        own = [r for r in rows if r.part == p]
+        assert abs(sum(r.source == "x" for r in own) / len(own) - w) < 0.1
+    assert Counter(r.doc_id for r in rows) == Counter(
+        r.doc_id for r in mix(docs(spark, texts, source=source), Target(max_repeat=1.5),
+                              block_tokens=100).collect())

@@ -97,3 +97,50 @@ def test_run(spark, tmp_path):
     whole = sum(order) // 1024
     assert order[:whole] == [1024] * whole
     assert all(x & (x - 1) == 0 for x in order[whole:])
+
+
+def test_packing_and_the_whole_run_against_brute_force(spark, tmp_path):
+    """The run's pieces are those of the documents that brute force keeps, masks
+    and repeats, cut as packing's brute force cuts them."""
+    import zlib
+    from collections import Counter
+
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from barpanel.llm.mixing import Target, exponent
+    texts, source = corpus()
+    texts.append(prose(random.Random(3), 30_000) + " <|endoftext|> end")  # over many sequences
+    source.append("src1")
+    docs(spark, texts, source=source, clash=True).write.parquet(f"{tmp_path}/documents.parquet")
+    kept = [i for i, t in enumerate(texts) if (m := measure_text(t or ""))[0] >= 50
+            and 100 * m[5] <= 50 * m[0]]  # prose fails no other rule
+    keep = sorted(set(components_of([(i, fingerprint(texts[i])) for i in kept]).values()))
+    masked = {}
+    for i in keep:
+        t, shift = texts[i], 0
+        for s, _, e in base(texts[i]):
+            t, shift = t[:s + shift] + "[secret]" + t[e + shift:], shift + 8 - (e - s)
+        masked[i] = t
+    rows = [(i, source[i], len(masked[i].split())) for i in keep]
+    sizes = Counter()
+    for _, s, n in rows:
+        sizes[s] += n
+    alpha = exponent(spark.createDataFrame([(n,) for n in sizes.values()], "tokens long"),
+                     Target(max_repeat=2.0))
+    times = Counter(keep[k] for k, _ in mixed(rows, None, alpha, 1 << 16))
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = {i: tokenizer.encode(masked[i], add_special_tokens=False).ids + [0] for i in keep}
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    seen, sequences = {}, {}
+    for r in got:
+        part = np.array(ids[r.doc_id][r.start:r.start + r.length], "<u4").tobytes()
+        assert zlib.crc32(part) == r.ids_crc32 and r.doc_tokens == len(ids[r.doc_id])
+        seen.setdefault(r.doc_id, Counter()).update(range(r.start, r.start + r.length))
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert set(seen) == set(keep)
+    for i, c in seen.items():  # every id as often as the document is in the mix
+        assert c == Counter({k: times[i] for k in range(len(ids[i]))})
+    for s in sequences.values():
+        assert all(a + n == b for (a, n), (b, _) in zip(sorted(s), sorted(s)[1:]))
