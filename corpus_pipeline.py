@@ -9,8 +9,10 @@ the last return the columns of ``documents``.
 3. secret scan: every span found is blanked by ``[secret]``; no document goes;
 4. source mixing: no source is repeated more than twice as often as the least
    repeated one, and every document stays at least once; copies of a document
-   are rows of their own;
-5. packing: pieces of 1024-token sequences.
+   are rows of their own. The rows are written in the order of the mix: a file
+   holds a stretch of the mixed stream, in which the sources have their weights;
+5. packing: pieces of 1024-token sequences, filled with documents in the order in
+   which the files hold them (the order of whole files is the reader's).
 
 SQL cannot express stages 2, 3 and 5 (bit-summed fingerprints, randomness tests,
 tokenisation), so there is no ``ORACLE_SQL``; tests hold every stage against a
@@ -18,7 +20,8 @@ brute-force version.
 
 Defined cases follow the operators. Rows with a null ``doc_id`` pass stages 1,
 3, 4 and 5; in stage 2 such a row stays if no row of its group has an id, once
-per distinct text. An empty table gives empty results.
+per distinct text. An empty table gives empty results. Texts of any length are
+read whole by every stage; ties are settled as the operators say.
 """
 
 from __future__ import annotations
@@ -52,9 +55,10 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows of the mix, as often as the mix takes them."""
-    from barpanel.llm.mixing import Target, mix
-    return mix(docs, Target(max_repeat=MAX_REPEAT)).select(
+    """Rows of the mix, as often as the mix takes them and in its order: a file
+    holds a stretch of the mixed stream, which packing reads as it stands."""
+    from barpanel.llm.mixing import Target, in_order, mix
+    return in_order(mix(docs, Target(max_repeat=MAX_REPEAT))).select(
         *[F.col(f"`{c}`") for c in docs.columns])
 
 
