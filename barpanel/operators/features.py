@@ -225,6 +225,52 @@ def sliding_sequences(scaled: DataFrame, layout: SeriesLayout = PLAIN,
                      F.col("target").cast("bigint").alias("y"))
 
 
+#: Rows of a stored block, besides the ``window`` rows that it shares with the
+#: block before.
+BLOCK_ROWS = 512
+
+
+def window_blocks(scaled: DataFrame, window: int = DEFAULT_WINDOW, block: int = BLOCK_ROWS,
+                  cols=FEATURE_COLS, key: str = "ticker", order: str = "date") -> DataFrame:
+    """W10/S10 without a copy of every row per window: blocks of consecutive scaled
+    rows of a split as arrays, each with the ``window`` rows before it, so that
+    every window lies in one block. (key, split, blk, first, rows): ``first`` is
+    the position in the split of the first of ``rows`` (date, x, y). A group holds
+    at most ``block + window`` rows. ``scaled`` as for :func:`sliding_sequences`."""
+    n_train, n_val, _ = split_sizes("_n")
+    s = F.col("split")
+    at = F.col("_pos") - F.when(s == "train", F.lit(0)).when(s == "val", n_train).otherwise(
+        n_train + n_val)
+    blocks = F.sequence(F.floor(F.col("_q") / F.lit(block)),
+                        F.floor((F.col("_q") + F.lit(window)) / F.lit(block)))
+    x = F.array(*[F.col(c).cast("float") for c in cols])
+    return (scaled.select(key, "split", order, at.cast("bigint").alias("_q"), x.alias("x"),
+                          F.col("target").cast("bigint").alias("y"))
+            .withColumn("blk", F.explode(blocks))
+            .groupBy(key, "split", "blk")
+            .agg(F.sort_array(F.collect_list(F.struct("_q", order, "x", "y"))).alias("_r"))
+            .select(key, "split", "blk", F.get("_r", F.lit(0))["_q"].alias("first"),
+                    F.transform("_r", lambda r: F.struct(r[order].alias(order), r["x"].alias("x"),
+                                                         r["y"].alias("y"))).alias("rows"))
+            # the last rows of a split open a block that has nothing but the rows before it
+            .filter(F.col("first") + F.size("rows") > F.col("blk") * F.lit(block)))
+
+
+def windows_of_blocks(blocks: DataFrame, window: int = DEFAULT_WINDOW, block: int = BLOCK_ROWS,
+                      key: str = "ticker", order: str = "date") -> DataFrame:
+    """The windows cut out of stored blocks, as :func:`sliding_sequences`
+    gives them: (key, split, order, seq, y)."""
+    own = F.greatest(F.col("blk") * F.lit(block), F.lit(window).cast("bigint"))
+    past = F.col("first") + F.size("rows")
+    q = F.when(own < past, F.sequence(own, past - 1))
+    i = F.col("q") - F.col("first")  # of the row whose target the window has
+    row = F.get("rows", i.cast("int"))
+    seq = F.transform(F.slice("rows", (i - F.lit(window) + 1).cast("int"), F.lit(window)),
+                      lambda r: r["x"])
+    return (blocks.withColumn("q", F.explode(q))
+            .select(key, "split", row[order].alias(order), seq.alias("seq"), row["y"].alias("y")))
+
+
 def sequence_report(seqs: DataFrame, key: str = "ticker", window: int = DEFAULT_WINDOW,
                     n_features: int = len(FEATURE_COLS),
                     requested: DataFrame | None = None) -> DataFrame:

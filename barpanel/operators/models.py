@@ -68,9 +68,13 @@ class PanelModel:
     defaults: dict = {}
 
     def __init__(self, config: dict | None = None):
+        unknown = sorted(set(config or {}) - set(self.defaults))
+        if unknown:
+            raise ValueError(f"unknown settings {unknown}; known: {sorted(self.defaults)}")
         self.config = {**self.defaults, **(config or {})}
         self.model = None
         self.history = None
+        self.best_round = None
 
     # -- to override -------------------------------------------------------
     def prepare(self, train: DataFrame, val: DataFrame | None = None) -> "Prepared":

@@ -142,3 +142,12 @@ oracle("write_processed", pipeline_sql(
 oracle("sequence_store", pipeline_sql(f"""select ticker, split, count(*)::bigint as n_seq,
   sum(y)::bigint as n_up, round(sum(seq[-1][4]::double), {RATIO}) as sum_last_close
 from sq where ticker = '3-MEDIUM' group by ticker, split"""))
+
+oracle("window_store", pipeline_sql(f"""select ticker, split, {sql_date()}, y, len(seq)::int as n,
+  round(seq[1][4]::double, {RATIO}) as first_close, round(seq[-1][4]::double, {RATIO}) as last_close
+from sq"""))
+oracle("clustered_features", "with " + features_ctes(
+    f"select * from ({PANEL_DAILY}) where date >= date '1996-01-01' and date < date '1999-01-01'")
+    + f"\nselect ticker, {sql_date()}, " + ", ".join(sql_round(c) for c in FEATURE_COLS)
+    + ", target from fx")
+oracle("pipeline_windows", ORACLES["window_store"])

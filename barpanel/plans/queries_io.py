@@ -371,3 +371,28 @@ def q_seq_store(spark, sf_dir):
     return back.groupBy("ticker", "split").agg(
         F.count(F.lit(1)).alias("n_seq"), F.sum("y").cast("bigint").alias("n_up"),
         F.round(F.sum(F.element_at(F.element_at("seq", -1), 4).cast("double")), RATIO).alias("sum_last_close"))
+
+
+@query("window_store")
+def q_window_store(spark, sf_dir):
+    """S10/W10 in blocks of rows: windows cut out on reading, of every ticker."""
+    path = IO.scratch_path(spark, "window-blocks")
+    IO.write_window_blocks(FT.window_blocks(_prepared(spark, sf_dir)["scaled"]), path)
+    back = IO.load_windows(spark, path, 30)
+    close = F.transform("seq", lambda x: F.element_at(x, 4).cast("double"))
+    return back.select("ticker", "split", F.date_format("date", "yyyy-MM-dd").alias("date"), "y",
+                       F.size("seq").alias("n"),
+                       F.round(F.element_at(close, 1), RATIO).alias("first_close"),
+                       F.round(F.element_at(close, -1), RATIO).alias("last_close"))
+
+
+@query("clustered_features")
+def q_clustered(spark, sf_dir):
+    """The panel clustered by ticker, opened again, and its features for a
+    range of dates computed without an exchange."""
+    from barpanel.sources.clustered import read_clustered, write_clustered
+    path = IO.scratch_path(spark, "clustered")
+    write_clustered(panel_daily(spark, sf_dir), path, 8)
+    p = IO.scan_panel(read_clustered(spark, path), None, "1996-01-01", "1999-01-01")
+    f = FT.feature_frame(p)
+    return spark_round(f.select("ticker", "date", *FEATURE_COLS, "target"))

@@ -213,3 +213,55 @@ def q_hpo_gbt(spark, sf_dir):
     return out.select("study", "trial", F.round("value", 4).alias("value"), "val_sharpe",
                       "val_mae", "state", "is_best",
                       *[c for c in out.columns if c.startswith("test_")])
+
+
+# Spark ML pipelines -------------------------------------------------------------
+@query("pipeline_windows")
+def q_pipeline_windows(spark, sf_dir):
+    """Features, split, scaling and windows as Spark ML stages, fitted, saved,
+    loaded, and applied to the bars again."""
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from barpanel.operators import stages as ST
+    from barpanel.plans.queries import laid_panel
+    panel, _ = laid_panel(spark, sf_dir)
+    path = IO.scratch_path(spark, "pipeline")
+    Pipeline(stages=[ST.PanelFeatures(), ST.ChronoSplit(), ST.PanelScaler(),
+                     ST.SlidingWindows(window=WINDOW)]).fit(panel).save(path)
+    w = PipelineModel.load(path).transform(panel)
+    close = F.transform("seq", lambda x: F.element_at(x, 4).cast("double"))
+    return w.select("ticker", "split", F.date_format("date", "yyyy-MM-dd").alias("date"), "y",
+                    F.size("seq").alias("n"),
+                    F.round(F.element_at(close, 1), RATIO).alias("first_close"),
+                    F.round(F.element_at(close, -1), RATIO).alias("last_close"))
+
+
+def _pipeline_scores(spark, sf_dir, kind, config):
+    from pyspark.ml import PipelineModel
+
+    from barpanel.operators.stages import direction_pipeline
+    from barpanel.plans.queries import laid_panel
+    panel, _ = laid_panel(spark, sf_dir)
+    fitted = direction_pipeline(kind, config).fit(panel)
+    path = IO.scratch_path(spark, f"pipeline-{kind}")
+    fitted.save(path)
+    a = fitted.transform(panel).select("ticker", "split", "date", "y", "p", "pred")
+    b = PipelineModel.load(path).transform(panel).select(
+        "ticker", "split", "date", F.col("p").alias("p_loaded"))
+    j = a.join(b, ["ticker", "split", "date"])
+    return j.select(
+        "ticker", "split", F.date_format("date", "yyyy-MM-dd").alias("date"), "y",
+        F.round("p", RATIO).alias("p"), "pred", (F.col("p") == F.col("p_loaded")).alias("identical"))
+
+
+@query("pipeline_gbt")
+def q_pipeline_gbt(spark, sf_dir):
+    """One pipeline from bars to P(up) with boosted trees (40 of depth 4);
+    saved, loaded, the same scores."""
+    return _pipeline_scores(spark, sf_dir, "gbt", {"maxIter": 40, "maxDepth": 4})
+
+
+@query("pipeline_mlp")
+def q_pipeline_mlp(spark, sf_dir):
+    """As ``pipeline_gbt`` with the network."""
+    return _pipeline_scores(spark, sf_dir, "mlp", {})

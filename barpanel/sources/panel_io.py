@@ -301,3 +301,16 @@ def load_sequences(spark: SparkSession, path: str, ticker: str, split: str | Non
     if df is None or df.limit(1).count() == 0:
         raise MissingDataError(f"no sequences stored for {ticker!r}; run prepare first")
     return df
+
+
+def write_window_blocks(blocks: DataFrame, path: str, key: str = "ticker") -> None:
+    """S10 in blocks of rows (see ``features.window_blocks``), per (ticker, split)."""
+    PanelStore(blocks.sparkSession, path, (key, "split")).write(blocks)
+
+
+def load_windows(spark: SparkSession, path: str, window: int, tickers=None, splits=None,
+                 key: str = "ticker", block: int | None = None) -> DataFrame:
+    """Windows cut out of the stored blocks when they are read."""
+    from barpanel.operators.features import BLOCK_ROWS, windows_of_blocks
+    return windows_of_blocks(read_processed(spark, path, tickers, splits, key), window,
+                             block or BLOCK_ROWS, key)
