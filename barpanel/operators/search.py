@@ -117,12 +117,6 @@ def momentum_columns(df: DataFrame, layout, ns, price: str = "close") -> DataFra
                            for n in ns})
 
 
-def momentum_of(ns, n: Column) -> Column:
-    """The momentum over ``n`` days out of the columns ``mom_<n>``."""
-    moms = F.array(*[F.col(f"mom_{k}") for k in ns])
-    return F.get(moms, (F.array_position(F.array(*[F.lit(k) for k in ns]), n) - 1).cast("int"))
-
-
 def momentum_proba(mom: Column, thr, scale, side) -> Column:
     z = (mom - P.col(thr)) / P.col(scale)
     p_long = P.sigmoid(z)
@@ -136,12 +130,14 @@ def score_trials(rows: DataFrame, trials: DataFrame, ns, key: str = "ticker",
     packed = (trials.select(F.col(study).alias(key), "trial", "n_mom", "thr", "scale", "side")
               .groupBy(key, F.floor(F.col("trial") / F.lit(TRIALS_PER_ROW)).alias("_part"))
               .agg(F.collect_list(F.struct("trial", "n_mom", "thr", "scale", "side")).alias("_t")))
-    moms = [f"mom_{n}" for n in ns]
-    j = (rows.select(key, F.col(y).cast("double").alias("y"), *moms)
+    # the momenta become one array before the trials multiply the rows
+    moms = F.array(*[F.col(f"mom_{n}") for n in ns])
+    lengths = F.array(*[F.lit(k) for k in ns])
+    place = (F.array_position(lengths, F.col("t.n_mom")) - 1).cast("int")
+    j = (rows.select(key, F.col(y).cast("double").alias("y"), moms.alias("_moms"))
          .join(packed.drop("_part"), key)
          .withColumn("t", F.explode("_t")).drop("_t"))
-    p = momentum_proba(momentum_of(ns, F.col("t.n_mom")), F.col("t.thr"), F.col("t.scale"),
-                       F.col("t.side"))
+    p = momentum_proba(F.get("_moms", place), F.col("t.thr"), F.col("t.scale"), F.col("t.side"))
     return (j.select(key, F.col("t.trial").alias("trial"), "y", p.alias("p"))
             .withColumn("pred", (F.col("p") >= 0.5).cast("double")))
 

@@ -29,7 +29,8 @@ def _seqs(spark, sf_dir):
 
 
 def _scores(spark, sf_dir):
-    return M.score_sequences(_seqs(spark, sf_dir), WINDOW)
+    panel, lay = laid_panel(spark, sf_dir)
+    return M.score_rows(FT.prepare_panel(panel, lay)["scaled"], lay, WINDOW)
 
 
 def _d(c="date"):
