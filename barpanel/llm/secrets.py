@@ -6,19 +6,19 @@ Two detectors over whole texts:
   runs (``base_spans``);
 * *randomness*: every run of 20 or more characters of an encoding alphabet is a
   candidate. Its encoding is inferred (hex, base32 and base36 in either case,
-  base62, base64), and three tests
-  ask whether it could be ordinary text of the corpus: chi-squared distance
-  from the uniform alphabet, runs above and below the alphabet's middle, and
-  lag-one serial correlation. Ordinary text is the null model: letters drawn
-  from the corpus's own frequencies in one case, whose chi-squared distance
-  grows with length, so the tests know the length. The combined p-values pass
-  a Benjamini-Hochberg step in every length band, from a histogram whose size
-  does not depend on the corpus.
+  base62, base64), and three tests, joined into one p-value, ask whether it
+  is random: chi-squared distance from the uniform alphabet, runs above and
+  below the alphabet's middle, and lag-one serial correlation. What passes is
+  held against ordinary text: letters drawn from the corpus's own frequencies
+  in one case, whose chi-squared distance grows with length, so the tests know
+  the length. These p-values pass a Benjamini-Hochberg step in every length
+  band, from a histogram whose size does not depend on the corpus.
 
 A span is (kind, start, end) in code points, end exclusive. Spans of the
 randomness test that touch a pattern span are dropped: patterns stay.
 
-Defined cases: a null or empty text has no span; a null ``doc_id`` is carried
+Defined cases: a null or empty text has no span; texts of any length are read
+whole; overlapping spans of different kinds are all kept, by start and kind; a null ``doc_id`` is carried
 through; repeated rows are scanned one by one; an empty table gives an empty
 result; other columns are not read.
 """
@@ -49,6 +49,8 @@ MIN_VALUE, MIN_ACCESS = 12, 18
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 #: Expected share of false finds among the randomness test's finds.
 FDR = 0.001
+#: Strings less likely than this from a random source are not taken for random.
+RANDOM_FROM = 0.002
 #: Upper ends of the length bands that control false discovery apart.
 BANDS = (24, 32, 40, 64, 128, 1 << 30)
 _HEXDIGITS = frozenset("0123456789abcdef")
@@ -168,23 +170,23 @@ def case_classes(token: str) -> int:
 def p_value(token: str, letters: np.ndarray) -> float:
     """How likely ordinary text of this length looks as random as the token.
 
-    Text is a run of letters in one case: against it the chi-squared distance
-    of random characters is too small (they use the whole alphabet evenly), and
-    their class (lower, upper, digit) changes too often. Tokens whose runs or
-    serial correlation are not those of random characters score 1: dates,
-    counters, paths and repeated patterns."""
+    First, whether it is random at all: chi-squared distance, runs and serial
+    correlation each give the p-value of a random string of the token's alphabet
+    and length, and Fisher's sum joins the three. Tokens below ``RANDOM_FROM`` score 1:
+    dates, counters, paths and repeated patterns.
+
+    Then, whether text could be so: text is a run of letters in one case; against
+    it the chi-squared distance of random characters is too small (they use the
+    whole alphabet evenly), and their class (lower, upper, digit) changes too
+    often. Both p-values are joined likewise."""
     kind, size = encoding(token)
     code = codes(token, kind)
     n = len(code)
     if n < 16:
         return 1.0
-    if abs(runs_z(code, size)) > 3.3 or abs(serial_z(code)) > 3.3:
-        return 1.0
     counts = np.bincount(code, minlength=size)
     x2 = chi_squared(counts, n)
-    # too uneven for a random string of this length (Wilson-Hilferty)
-    df = size - 1
-    if ((x2 / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df)) > 3.5:
+    if p_random(code, size, x2) < RANDOM_FROM:
         return 1.0
     null = np.zeros(size)
     if kind == "hex":
@@ -198,9 +200,27 @@ def p_value(token: str, letters: np.ndarray) -> float:
     # class changes of text: rare (a capital, a joined number), about Poisson
     lam, c = 0.1 * n, case_classes(token)
     p_cls = 1.0 if c <= lam else math.exp(min(0.0, c - lam - c * math.log(c / lam)))
-    stat = -2 * (math.log(max(p_chi, 1e-290)) + math.log(max(p_cls, 1e-290)))
-    # Fisher: chi-squared with 4 degrees of freedom has this tail
-    return max(math.exp(-stat / 2) * (1 + stat / 2), 1e-290)
+    return fisher(p_chi, p_cls)
+
+
+def p_random(code: np.ndarray, size: int, x2: float) -> float:
+    """How likely a random string of the alphabet is as uneven, or as far from
+    its expected runs and from no serial correlation."""
+    df = size - 1  # Wilson-Hilferty
+    even = ((x2 / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df))
+    return fisher(_normal_tail(-even), 2 * _normal_tail(-abs(runs_z(code, size))),
+                  2 * _normal_tail(-abs(serial_z(code))))
+
+
+def fisher(*ps: float) -> float:
+    """The tail of -2 sum(ln p), chi-squared with twice as many degrees of
+    freedom as there are p-values."""
+    x = -sum(math.log(max(p, 1e-290)) for p in ps)
+    terms, t = 1.0, 1.0
+    for i in range(1, len(ps)):
+        t *= x / i
+        terms += t
+    return max(math.exp(-x) * terms, 1e-290)
 
 
 # -- false-discovery control ------------------------------------------------------

@@ -63,3 +63,49 @@ def test_sampled_training(spark):
     model = langid.fit(df, max_rows=100)
     got = langid.predict(docs(spark, ["the cat", "le chat"]), model).collect()
     assert [r.lang_pred for r in sorted(got, key=lambda r: r.doc_id)] == ["en", "fr"]
+
+
+def test_scores_equal_a_plain_naive_bayes(spark):
+    """Counts in dictionaries, one n-gram at a time."""
+    import math
+    import random
+    import re
+    from collections import Counter
+
+    import numpy as np
+    rng = random.Random(2)
+    words = {"en": "the of and to in is that it was for", "de": "der die und das ist nicht ein zu",
+             "fr": "le la les des est une que dans pour"}
+    rows = [(" ".join(rng.choices(words[x].split(), k=rng.randint(3, 30))) + rng.choice(["", " 12!", " É"]), x)
+            for x in rng.choices(sorted(words), [6, 3, 1], k=60)]
+    dims = 1 << 12
+    model = langid.fit(docs(spark, [t for t, _ in rows], lang=[x for _, x in rows]).repartition(4),
+                       dims=dims)
+
+    def grams(text):
+        kept = re.sub(r"[^a-z\x80-\U0010ffff]+", " ", text.lower())
+        for order in langid.ORDERS:
+            for k in range(len(kept) - order + 1):
+                g = kept[k:k + order]
+                if order == 1 and g == " ":
+                    continue
+                h = order
+                for c in g:
+                    h = ((h ^ ord(c)) * 0x9E3779B1) & 0xFFFFFFFF
+                    h ^= h >> 15
+                yield h & (dims - 1)
+    counts = {x: Counter() for x in words}
+    for t, x in rows:
+        counts[x].update(grams(t))
+    n = Counter(x for _, x in rows)
+    texts = ["the cat is in that", "une maison dans la ville", "ist das nicht zu viel", "x", "é 99 la"]
+    got = langid.scores(model, texts)
+    for t, p in zip(texts, got):
+        s = {}
+        for x in sorted(n):
+            total = sum(counts[x].values()) + langid.SMOOTHING * dims
+            s[x] = math.log(n[x] / len(rows)) + sum(
+                math.log((counts[x][g] + langid.SMOOTHING) / total) for g in grams(t))
+        top = max(s.values())
+        z = sum(math.exp(v - top) for v in s.values())
+        assert np.allclose(p, [math.exp(s[x] - top) / z for x in sorted(n)], atol=1e-4)

@@ -126,3 +126,69 @@ def test_chi_moments_match_simulation():
     mean, var = secrets.chi_moments(p, 30)
     assert abs(np.mean(x) - mean) < 0.5 and abs(np.var(x) / var - 1) < 0.1
     assert os_secrets  # the standard module is not shadowed
+
+
+def test_fisher_is_the_tail_of_its_chi_squared():
+    """By simulation: joined p-values of true nulls are even in [0, 1]."""
+    rng = random.Random(3)
+    for k in (2, 3):
+        got = sorted(secrets.fisher(*(1 - rng.random() for _ in range(k))) for _ in range(4000))
+        assert max(abs(p - (i + 1) / 4000) for i, p in enumerate(got)) < 0.03
+
+
+def test_random_strings_pass_the_battery_and_patterns_do_not():
+    import numpy as np
+    rng = random.Random(4)
+    for kind, letters in secrets.ALPHABETS.items():
+        for n in (24, 40, 80, 160):
+            ok = 0
+            for _ in range(60):
+                t = "".join(rng.choices(letters, k=n))
+                code = secrets.codes(t, kind)
+                x2 = secrets.chi_squared(np.bincount(code, minlength=len(letters)), n)
+                ok += secrets.p_random(code, len(letters), x2) >= secrets.RANDOM_FROM
+            assert ok >= 56, (kind, n)
+    for t in ("abcdefghijklmnopqrstuvwxyz0123456789", "AbAbAbAbAbAbAbAbAbAbAbAbAbAb1",
+              "2024-01-01-2024-12-31-2025-01-01-2025-12-31", "aaaaaaaaaaaaaaaaZZZZZZZZZZZZZZZZ0"):
+        assert secrets.p_value(t, np.full(26, 1 / 26)) > 0.01, t
+
+
+def test_added_spans_by_definition(spark):
+    """Candidates, letters and Benjamini-Hochberg over all of them, in plain
+    Python: a token is found if its cell of p-values is accepted in its band."""
+    import math
+
+    import numpy as np
+    texts, _, clean = corpus(random.Random(12))
+    texts += clean + [None, PLANTED[0]]
+    taken = [base(t) for t in texts]
+    cand = []  # (text, start, end)
+    for i, t in enumerate(texts):
+        for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}={0,2}", t or ""):
+            s, e = m.span()
+            body = t[s + 1:e]
+            kinds = [any(map(f, body)) for f in (str.islower, str.isupper)]
+            if (sum(kinds) != 1 or re.search("[0-9]", body)) and not any(
+                    a < e and s < b for a, _, b in taken[i]):
+                cand.append((i, s, e))
+    letters = np.ones(26)
+    for t in texts:
+        for c in (t or "").lower():
+            if "a" <= c <= "z":
+                letters[ord(c) - 97] += 1
+    letters /= letters.sum()
+    p = {c: secrets.p_value(texts[c[0]][c[1]:c[2]], letters) for c in cand}
+    want = set()
+    for lo, hi in zip((0, *secrets.BANDS), secrets.BANDS):
+        own = [c for c in cand if lo < c[2] - c[1] <= hi]
+        cells = {c: min(199, int(-math.log10(p[c]) / 0.25)) for c in own}
+        accepted = [x for x in set(cells.values()) if 10 ** (-0.25 * x) * len(own)
+                    <= secrets.FDR * sum(v >= x for v in cells.values())]
+        # the lowest level that the step accepts, also between the cells that occur
+        level = next((x for x in range(200) if (k := sum(v >= x for v in cells.values()))
+                      and 10 ** (-0.25 * x) * len(own) <= secrets.FDR * k), None)
+        assert (level is None) == (not accepted)
+        want |= {c for c in own if level is not None and cells[c] >= level}
+    got = {(r.doc_id, s.start, s.end) for r in secrets.scan(docs(spark, texts)).collect()
+           for s in r.spans if s.kind == 3}
+    assert got == want and len(want) > 30

@@ -95,3 +95,68 @@ def test_held_out_rows_of_the_tables(spark):
     assert sum(r.predicted for r in toxic) / len(toxic) > 0.8
     assert sum(r.predicted for r in clean) / len(clean) < 0.01
     assert got.count() == spark.read.parquet(f"{sf}/documents.parquet").count()
+
+
+def test_fit_equals_plain_loops():
+    """The same descent, term by term and pair by pair."""
+    rng = np.random.default_rng(5)
+    k, rank, n = 7, 2, 30
+    rows = [np.sort(rng.choice(k, rng.integers(0, 5), replace=False)) for _ in range(n)]
+    y = rng.integers(0, 2, n).astype(float)
+    step, step_v = rng.uniform(0, 1, k), rng.uniform(0, 1, k)
+    got = toxicity._descend(rows, y, step, step_v, rank, 3, 0.3, 1e-4, 8, 7)
+    g = np.random.default_rng(7)
+    share = y.mean()
+    w0, w, v = float(np.log(share / (1 - share))), np.zeros(k), g.normal(0, 0.01, (k, rank))
+    gw, gv, g0 = np.full(k, 1e-6), np.full((k, rank), 1e-6), 1e-2
+    for _ in range(3):
+        order = g.permutation(n)
+        for s in range(0, n, 8):
+            pick = order[s:s + 8]
+            e0, grad, grad_v, used = 0.0, np.zeros(k), np.zeros((k, rank)), set()
+            for i in pick:
+                z = w0 + sum(w[a] for a in rows[i]) + sum(
+                    v[a] @ v[b] for a in rows[i] for b in rows[i] if a < b)
+                e = (1 / (1 + np.exp(-z)) - y[i]) / len(pick)
+                e0 += e
+                for a in rows[i]:
+                    used.add(a)
+                    grad[a] += e
+                    for b in rows[i]:
+                        if a != b:
+                            grad_v[a] += e * v[b]
+            g0 += e0 * e0
+            w0 -= 0.3 * e0 / np.sqrt(g0)
+            for a in used:
+                d, dv = grad[a] + 1e-4 * w[a], grad_v[a] + 1e-4 * v[a]
+                gw[a] += d * d
+                gv[a] += dv * dv
+                w[a] -= 0.3 * step[a] * d / np.sqrt(gw[a])
+                v[a] -= 0.03 * step_v[a] * dv / np.sqrt(gv[a])
+    assert np.allclose(got.w, w) and np.allclose(got.v, v) and np.isclose(got.w0, w0)
+
+
+def test_pair_confidence_by_definition():
+    """Residuals against signed sums of partners, one term and bucket at a time."""
+    rng = np.random.default_rng(6)
+    k, n, buckets, hashings = 40, 300, 4, 2
+    rows = [np.sort(rng.choice(k, 12, replace=False)) for _ in range(n)]
+    r = rng.normal(0, 0.1, n) + np.array([0.8 * ((3 in x) and (5 in x)) for x in rows])
+    known = np.ones(k, bool)
+    got = toxicity.pair_confidence(rows, r, known, buckets, hashings, seed=1)
+    g = np.random.default_rng(1)
+    best = np.full(k, np.inf)
+    for _ in range(hashings):
+        bucket, sign = g.integers(0, buckets, k), g.choice([-1.0, 1.0], k)
+        for t in range(k):
+            zs = []
+            for b in range(buckets):
+                c = [(r[i], sum(sign[j] for j in rows[i] if bucket[j] == b and j != t))
+                     for i in range(n) if t in rows[i]]
+                den = sum((a * x) ** 2 for a, x in c)
+                zs.append(abs(sum(a * x for a, x in c)) / np.sqrt(max(den, 1e-12)))
+            best[t] = min(best[t], max(zs))
+    chance = np.sqrt(2 * np.log(buckets * k ** (1 / hashings)))
+    want = np.maximum(best - chance, 0)
+    assert np.allclose(got, want, atol=1e-3)
+    assert got[3] > 0 and got[5] > 0
