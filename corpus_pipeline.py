@@ -33,10 +33,20 @@ from barpanel.llm.common import stored, table
 
 MAX_REPEAT = 2.0
 MASK = "[secret]"
+#: Rows of documents in a batch that goes to Python: the session's default of
+#: 10,000 holds tens of megabytes of text, several times over in a task.
+BATCH_ROWS = 1000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that the current policy keeps."""
+    _small_batches(spark)
     from barpanel.llm.quality_rules import keep_rows
     return keep_rows(docs)
 
@@ -44,12 +54,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document per group of near duplicates: the one with the
     smallest id, and of repeated rows of that id one."""
+    _small_batches(spark)
     from barpanel.llm.simhash import keep_first
     return keep_first(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Blanks the secrets in the texts; ``n_chars`` follows there."""
+    _small_batches(spark)
     from barpanel.llm.secrets import mask_rows
     return mask_rows(docs, MASK)
 
@@ -64,6 +76,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed sequences, with the digest of their ids."""
+    _small_batches(spark)
     from barpanel.llm.packing import pack
     return pack(docs).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
