@@ -139,8 +139,8 @@ def test_fit_equals_plain_loops():
 def test_pair_confidence_by_definition():
     """Residuals against signed sums of partners, one term and bucket at a time."""
     rng = np.random.default_rng(6)
-    k, n, buckets, hashings = 40, 300, 4, 2
-    rows = [np.sort(rng.choice(k, 12, replace=False)) for _ in range(n)]
+    k, n, buckets, hashings = 40, 400, 16, 2
+    rows = [np.sort(rng.choice(k, 10, replace=False)) for _ in range(n)]
     r = rng.normal(0, 0.1, n) + np.array([0.8 * ((3 in x) and (5 in x)) for x in rows])
     known = np.ones(k, bool)
     got = toxicity.pair_confidence(rows, r, known, buckets, hashings, seed=1)
