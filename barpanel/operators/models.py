@@ -99,7 +99,7 @@ class PanelModel:
     def predict(self, seqs: DataFrame) -> DataFrame:
         """(ticker, split, date, y, p, pred): P(up) and the hard label."""
         self._check()
-        out = self.model.transform(with_vectors(seqs))
+        out = self.model.transform(seqs if "features" in seqs.columns else with_vectors(seqs))
         p = vector_to_array("probability")[1]
         return out.select("ticker", "split", "date", F.col("y").cast("int").alias("y"),
                           p.alias("p"), self._label(p, out).alias("pred"))

@@ -175,57 +175,79 @@ def tree_config(params: dict) -> dict:
     return out
 
 
-def run_study(stored: DataFrame, study: str, trials: list, ledger, name: str = "gbt",
-              base: dict | None = None, threads: int = 8, limit: int | None = None) -> int:
-    """H3/H5 for ML models: fits the trials of one study (at most ``limit``) that
-    nobody has finished or claimed, as concurrent Spark jobs from a small thread pool, and
-    commits each as it ends; objective = validation directional accuracy. The
-    train and val vectors are prepared and persisted once for all trials. A
-    trial that fails scores 0.0 and keeps its error in ``state``. A model better
-    than all before it is saved, so that the best of a finished study can be
-    scored once on the test windows, by whichever searcher ends it. Returns the
-    number of trials run here."""
+def run_trials(stored: DataFrame, tasks: list, ledger, name: str = "gbt",
+               base: dict | None = None, threads: int = 8) -> int:
+    """H3 for ML models: fits the (study, trial) pairs of ``tasks`` that nobody has
+    finished or claimed, as concurrent Spark jobs from one small thread pool over
+    all studies, and commits each as it ends; objective = validation directional
+    accuracy. The train and val vectors of a study are prepared and persisted
+    once, for all of its trials, and released after the last. A trial that fails
+    scores 0.0 and keeps its error in ``state``. A model better than all before it
+    in its study is saved. Returns the number of trials run here."""
+    from collections import Counter
     from concurrent.futures import ThreadPoolExecutor
     from threading import Lock
 
     from barpanel.operators import models as ML
-    open_ = [t for t in trials if (study, t["trial"]) not in ledger.finished(study)][:limit]
-    if not open_:
-        _score_best(stored, study, trials, ledger, name)
-        return 0
-    seqs = stored.filter(F.col("ticker") == study)
-    tr, va = (seqs.filter(F.col("split") == x) for x in ("train", "val"))
-    prepared = ML.build_model(name).prepare(tr, va)
-    lock = Lock()
-    best = list(ledger.best(study) or (None, -1.0))
-
-    def one(t):
-        if not ledger.claim(study, t["trial"]):
-            return 0
-        cfg = {**(base or {}), **tree_config({k: v for k, v in t.items() if k != "trial"})}
+    left = Counter(study for study, _ in tasks)
+    lock = {study: Lock() for study in left}
+    prepared: dict = {}
+    best: dict = {}
+
+    def data(study):
+        with lock[study]:
+            if study not in prepared:
+                seqs = stored.filter(F.col("ticker") == study)
+                prepared[study] = ML.build_model(name).prepare(
+                    *(seqs.filter(F.col("split") == x) for x in ("train", "val")))
+                best[study] = ledger.best(study) or (None, -1.0)
+            return prepared[study]
+
+    def done(study):
+        with lock[study]:
+            left[study] -= 1
+            if not left[study] and study in prepared:
+                prepared.pop(study).release()
+
+    def one(task):
+        study, t = task
         try:
-            m = ML.build_model(name, cfg).fit_prepared(prepared)
-            r = M.evaluate(m.predict(va), by=()).first()
-        except Exception as e:  # noqa: BLE001  the error is part of the study
-            ledger.commit(study, t["trial"], 0.0, state=f"FAIL: {type(e).__name__}: {e}"[:500])
+            if not ledger.claim(study, t["trial"]):
+                return 0
+            cfg = {**(base or {}), **tree_config({k: v for k, v in t.items() if k != "trial"})}
+            try:
+                vectors = data(study)
+                m = ML.build_model(name, cfg).fit_prepared(vectors)
+                r = M.evaluate(m.predict(vectors.val), by=()).first()
+            except Exception as e:  # noqa: BLE001  the error is part of the study
+                ledger.commit(study, t["trial"], 0.0, state=f"FAIL: {type(e).__name__}: {e}"[:500])
+                return 1
+            except BaseException:
+                ledger.release(study, t["trial"])
+                raise
+            value = float(r["directional_accuracy"] or 0.0)
+            with lock[study]:
+                if best[study][0] is None or (value, -t["trial"]) > (best[study][1], -best[study][0]):
+                    m.save(_model_path(ledger, study, t["trial"]))
+                    best[study] = t["trial"], value
+            ledger.commit(study, t["trial"], value, r["sharpe_ratio"], r["mae"])
             return 1
-        except BaseException:
-            ledger.release(study, t["trial"])
-            raise
-        value = float(r["directional_accuracy"] or 0.0)
-        with lock:
-            if best[0] is None or (value, -t["trial"]) > (best[1], -best[0]):
-                m.save(_model_path(ledger, study, t["trial"]))
-                best[:] = t["trial"], value
-        ledger.commit(study, t["trial"], value, r["sharpe_ratio"], r["mae"])
-        return 1
+        finally:
+            done(study)
 
     try:
-        with ThreadPoolExecutor(max_workers=max(1, min(threads, len(open_)))) as ex:
-            n = sum(ex.map(one, open_))
+        with ThreadPoolExecutor(max_workers=max(1, min(threads, len(tasks)))) as ex:
+            return sum(ex.map(one, tasks))
     finally:
-        prepared.release()
-    _score_best(stored, study, trials, ledger, name)
+        for p in prepared.values():
+            p.release()
+
+
+def run_study(stored: DataFrame, study: str, trials: list, ledger, name: str = "gbt",
+              base: dict | None = None, threads: int = 8) -> int:
+    """H3/H5: the trials of one study, then its best trial's test metrics."""
+    n = run_trials(stored, [(study, t) for t in trials], ledger, name, base, threads)
+    score_best(stored, study, trials, ledger, name)
     return n
 
 
@@ -234,8 +256,9 @@ def _model_path(ledger, study: str, trial: int) -> str:
     return f"{ledger.path}/models/{quote(study, safe='')}/{trial:08d}"
 
 
-def _score_best(stored: DataFrame, study: str, trials: list, ledger, name: str) -> None:
-    """The best trial's test metrics, once all trials of the study are in."""
+def score_best(stored: DataFrame, study: str, trials: list, ledger, name: str) -> None:
+    """H5: the best trial's test metrics, once all trials of the study are in and
+    nobody has scored it."""
     from barpanel.operators import models as ML
     if not {(study, t["trial"]) for t in trials} <= ledger.finished(study):
         return
@@ -268,11 +291,12 @@ def resume_models(stored: DataFrame, studies: DataFrame, n_trials: int, path: st
     for r in wanted.orderBy("study", "trial").collect():  # configurations, not data
         t = r.asDict()
         todo.setdefault(t.pop("study"), []).append(t)
+    finished = {study: ledger.finished(study) for study in todo}
+    tasks = [(study, t) for study, trials in todo.items() for t in trials
+             if (study, t["trial"]) not in finished[study]]
+    run_trials(stored, tasks[:budget], ledger, name, base, threads)
     for study, trials in todo.items():
-        if budget is not None and budget <= 0:
-            break
-        n = run_study(stored, study, trials, ledger, name, base, threads, budget)
-        budget = None if budget is None else budget - n
+        score_best(stored, study, trials, ledger, name)
     got, tests = ledger.rows(), ledger.tests()
     best = got.groupBy("study").agg(F.max_by(
         "trial", F.struct(F.col("value"), -F.col("trial"))).alias("best"))

@@ -195,7 +195,7 @@ def q_m9(spark, sf_dir):
 
 #: Trials per (model, ticker) in this query; the operator has no default (see README
 #: for the time and memory of a trial).
-HPO_TRIALS = 4
+HPO_TRIALS = 8
 
 
 @query("hpo_gbt")
