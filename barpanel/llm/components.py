@@ -26,7 +26,9 @@ def _star(pairs: DataFrame) -> DataFrame:
 def components(edges: DataFrame, a: str, b: str, max_rounds: int = 100) -> DataFrame:
     """``node`` and ``component`` (its least node) for every node that has an
     edge to another; nodes are of any ordered type. Null ends and loops are
-    ignored."""
+    ignored. The rounds grow with the logarithm of the longest path, so
+    ``max_rounds`` is out of reach of any table; it ends a loop that a wrong
+    edge type could cause."""
     e = cut(edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
             .filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
             .distinct())

@@ -18,8 +18,10 @@ its first table only, which both vectors' codes tell.
 Defined cases: vectors that are null, empty, all zero or hold null or
 non-finite components link with nothing, nor do rows with a null id; vectors of
 different lengths are never compared; equal vectors link with each other;
-repeated ids are rows of their own that share the smallest id; an empty table
-gives an empty result; other columns are not read.
+repeated ids are rows of their own that share the smallest id; ties between ids
+cannot arise otherwise; a cosine of exactly the limit links; vectors of any
+length are compared whole; an empty table gives an empty result; other columns
+are not read.
 """
 
 from __future__ import annotations

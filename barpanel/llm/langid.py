@@ -2,15 +2,15 @@
 
 Multinomial naive Bayes over hashed character n-grams. Training counts are one
 distributed aggregation over (label, hashed n-gram); the log-probability
-matrix has ``dims x labels`` entries, a bound that ``fit`` checks, so it may be
-sent to every task. Scoring adds the matrix's rows of all n-grams of a text,
+matrix has ``dims x labels`` entries, a bound that ``fit`` keeps by hashing into
+fewer cells where there are very many labels, so it may be sent to every task. Scoring adds the matrix's rows of all n-grams of a text,
 for whole batches of texts at once.
 
 Defined cases: a text that is null or holds no letter is ``und`` with score
 0.0, and so is every text when nothing could be learned; a null ``doc_id`` is
 carried through; ties between labels go to the first in alphabetical order;
-repeated rows are scored one by one; an empty table gives an empty result;
-other columns are not read.
+repeated rows are scored one by one; texts of any length are read whole; an
+empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ ORDERS = (1, 2, 3)
 DIMS = 1 << 16
 #: Most entries of the matrix that is sent to the tasks (32-bit floats).
 MAX_ENTRIES = 1 << 24
+#: Fewest cells that n-grams are hashed into, whatever the number of labels.
+LEAST_DIMS = 1 << 8
 #: Expected number of labelled documents that the counts are taken from.
 MAX_TRAINING_ROWS = 100_000
 SMOOTHING = 0.5
@@ -81,12 +83,13 @@ def fit(labelled: DataFrame, label_col: str = "lang", text_col: str = "text",
                            F.col(label_col).alias("label"), F.col(text_col).alias("text")).filter(
         "label IS NOT NULL AND text IS NOT NULL")
     sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-             .limit(MAX_ENTRIES // dims + 1).collect()}
+             .limit(MAX_ENTRIES // LEAST_DIMS + 1).collect()}
     if not sizes:
         return None
+    while len(sizes) * dims > MAX_ENTRIES and dims > LEAST_DIMS:
+        dims //= 2
     if len(sizes) * dims > MAX_ENTRIES:
-        raise ValueError(f"more than {MAX_ENTRIES // dims} labels for {dims} hashed n-grams: "
-                         "the matrix would not fit the tasks; use fewer dims")
+        raise ValueError(f"more than {MAX_ENTRIES // LEAST_DIMS} labels: no column of languages")
     total = sum(sizes.values())
     if total > max_rows:
         draw = F.conv(F.substring(F.md5(F.coalesce("id", F.lit(""))), 1, 8), 16, 10).cast("double")

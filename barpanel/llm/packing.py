@@ -16,8 +16,10 @@ tests hold them against ``tokenizers``; texts with a run of white space that
 ``tiktoken``'s regex cannot take go through ``tokenizers`` itself.
 
 Defined cases: a null or empty text has only the end id; a null ``doc_id`` is
-carried through; every row is a document of its own, repeated rows too; an
-empty table has no piece; other columns are not read.
+carried through; every row is a document of its own, repeated rows too, and
+rows that tie in everything keep the order of the input; a text of any length is
+encoded whole and cut over as many sequences as it fills; an empty table has no
+piece; other columns are not read.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ counts per distinct bitmask.
 
 Defined cases: a null or empty text has no word (all counts 0, mean 0.0) and
 fails ``few_words`` only; a null ``doc_id`` is carried through; repeated rows
-are judged one by one; an empty table gives an empty ledger; columns of the
+are judged one by one; texts of any length are read whole; a limit that is met
+exactly (a tie) passes; an empty table gives an empty ledger; columns of the
 input other than the id and the text are neither read nor returned.
 
 Letters are A-Z, a-z (``n_latin``) and every code point beyond ASCII

@@ -20,8 +20,9 @@ none is lost.
 Defined cases: null, empty and wordless texts have fingerprint 0 and link as
 any other; texts of fewer words than a shingle are one shingle; a null
 ``doc_id`` keeps its fingerprint and joins its component; a component of null
-ids only has a null ``component_id``; repeated rows come back repeated; an empty
-table gives an empty result; other columns are not read.
+ids only has a null ``component_id``; repeated rows come back repeated; texts of any
+length are read whole, slice by slice; a bit set in exactly half of the shingles
+(a tie) is 0; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ with the weights, whose size is fixed by ``dims`` and ``rank``.
 Defined cases: null and empty texts have no term and score by the intercept;
 rows with a null label are not learned from; when nothing can be learned every
 score is 0.0; a null ``doc_id`` is carried through; repeated rows are scored one
-by one; an empty table gives an empty result; other columns are not read.
+by one; texts of any length are read whole; labelled rows that tie in the
+sample's hash are ordered by their terms; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations

@@ -51,12 +51,6 @@ def test_batched_scores_equal_single_ones(spark):
         assert langid.scores(model, [t])[0] == pytest.approx(p)
 
 
-def test_too_many_labels(spark):
-    df = docs(spark, ["a", "b", "c"], lang=["x", "y", "z"])
-    with pytest.raises(ValueError):
-        langid.fit(df, dims=1 << 23)
-
-
 def test_sampled_training(spark):
     df = docs(spark, ["the cat %d" % i for i in range(200)] + ["le chat"] * 200,
               lang=["en"] * 200 + ["fr"] * 200)
@@ -109,3 +103,16 @@ def test_scores_equal_a_plain_naive_bayes(spark):
         top = max(s.values())
         z = sum(math.exp(v - top) for v in s.values())
         assert np.allclose(p, [math.exp(s[x] - top) / z for x in sorted(n)], atol=1e-4)
+
+
+def test_very_many_labels_are_hashed_into_fewer_cells(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_ENTRIES", 1 << 12)
+    names = [f"l{k:02d}" for k in range(9)]
+    texts = [" ".join([chr(97 + k) * 3] * 20) for k in range(9)]
+    model = langid.fit(docs(spark, texts, lang=names), dims=1 << 10)
+    assert model.logp.shape == (256, 9)
+    got = langid.predict(docs(spark, texts), model).collect()
+    assert [r.lang_pred for r in sorted(got, key=lambda r: r.doc_id)] == names
+    monkeypatch.setattr(langid, "MAX_ENTRIES", 1 << 11)
+    with pytest.raises(ValueError):
+        langid.fit(docs(spark, texts, lang=names), dims=1 << 10)

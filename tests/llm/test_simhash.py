@@ -99,3 +99,16 @@ def test_keep_first_of_odd_rows(spark):
     got = simhash.keep_first(docs(spark, [t for _, t in rows], [i for i, _ in rows]))
     assert sorted((r.doc_id or -1, r.text) for r in got.collect()) == [
         (-1, "q r s t u"), (1, "x y z"), (5, "a b c d"), (5, "other words are here")]
+
+
+def test_very_long_text(spark):
+    """A text of 40,000 words, its copy, and one with a word changed."""
+    import random
+
+    from tests.llm.helpers import prose
+    t = prose(random.Random(11), 40_000)
+    texts = [t, t, t.replace(" ", " changed ", 1), "short one here"]
+    got = {r.doc_id: r for r in simhash.near_duplicates(docs(spark, texts)).collect()}
+    for i, x in enumerate(texts):
+        assert got[i].fingerprint == f"{brute(x):016x}"
+    assert [got[i].component_id for i in range(4)] == [0, 0, 0, 3]
