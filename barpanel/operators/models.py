@@ -272,22 +272,42 @@ def build_model(name: str, config: dict | None = None) -> PanelModel:
 
 
 def train_per_ticker(stored: DataFrame, name: str, tickers, config: dict | None = None,
-                     threads: int = 8) -> dict:
+                     threads: int = 8, path: str | None = None) -> dict:
     """M6: one model per requested ticker, fitted as concurrent Spark jobs from
     a small thread pool. ``stored`` is a table partitioned by (ticker, split),
-    so a fit reads its own partitions only. A ticker without windows raises."""
+    so a fit reads its own partitions only. A ticker without windows raises.
+    With ``path`` each model and its predictions are stored as soon as it is
+    fitted (see :func:`predictions_of`): what is done stays when the driver dies,
+    and the plan of an evaluation does not grow with the tickers. Tickers that are
+    stored there already are loaded, not fitted."""
+    from urllib.parse import quote
+    done = PanelStore(stored.sparkSession, f"{path}/predictions") if path else None
+    have = {k[0] for k in done.live()} if path else set()
 
     def one(t):
+        own = f"{path}/models/{quote(t, safe='')}"
+        if t in have:
+            return t, MODEL_REGISTRY[name].load(own, config)
         s = stored.filter(F.col("ticker") == t)
         tr, va = s.filter(F.col("split") == "train"), s.filter(F.col("split") == "val")
         if tr.isEmpty():
             raise ValueError(f"no windows for {t!r}")
-        return t, build_model(name, config).fit(tr, va)
+        m = build_model(name, config).fit(tr, va)
+        if path:
+            m.save(own)
+            done.write(m.predict(s).withColumn("best_round", F.lit(m.best_round)))
+        return t, m
 
     with ThreadPoolExecutor(max_workers=max(1, min(threads, len(tickers)))) as ex:
         return dict(ex.map(one, tickers))
 
 
+def predictions_of(spark, path: str) -> DataFrame:
+    """The stored predictions of every ticker's model: (ticker, split, date, y, p,
+    pred, best_round)."""
+    return PanelStore(spark, f"{path}/predictions").read()
+
+
 RUN_SCHEMA = "run string, kind string, key string, step int, value double, text string"
 
 

@@ -104,15 +104,15 @@ def q_m5(spark, sf_dir):
 
 @query("train_per_ticker")
 def q_m6(spark, sf_dir):
-    """M6: one GBT per ticker (concurrent jobs); test metrics of each."""
+    """M6: one GBT per ticker (concurrent jobs), models and predictions stored as
+    they are done; metrics of every ticker in one job."""
     s = _seqs(spark, sf_dir)
     tickers = sorted(r[0] for r in s.select("ticker").distinct().collect())
-    models = ML.train_per_ticker(s, "gbt", tickers)
-    out = None
-    for t, m in models.items():
-        e = m.evaluate(s.filter(F.col("ticker") == t)).withColumn("best_round", F.lit(m.best_round))
-        out = e if out is None else out.unionByName(e)
-    return out
+    path = IO.scratch_path(spark, "per-ticker")
+    ML.train_per_ticker(s, "gbt", tickers, path=path)
+    p = ML.predictions_of(spark, path)
+    rounds = p.groupBy("ticker").agg(F.max("best_round").alias("best_round"))
+    return M.evaluate(p, by=("ticker", "split")).join(rounds, "ticker")
 
 
 @query("model_store")
@@ -193,6 +193,18 @@ def q_m9(spark, sf_dir):
                             F.round("val_loss", RATIO).alias("val_loss"))
 
 
+@query("learning_curve_mlp")
+def q_m9_mlp(spark, sf_dir):
+    """M9 for the network family: loss per epoch (train and val), and the epoch
+    whose weights are kept."""
+    s = _seqs(spark, sf_dir)
+    m = ML.build_model("mlp").fit(_split(s, "train"), _split(s, "val"))
+    return m.history.select(F.lit("mlp-all").alias("run"), "step",
+                            F.round("train_loss", RATIO).alias("train_loss"),
+                            F.round("val_loss", RATIO).alias("val_loss"),
+                            F.lit(m.best_round).alias("best_epoch"))
+
+
 #: Trials per (model, ticker) in this query; the operator has no default (see README
 #: for the time and memory of a trial).
 HPO_TRIALS = 8

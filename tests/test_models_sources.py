@@ -95,6 +95,26 @@ def test_per_ticker_models_and_missing_ticker(spark, seqs):
         ML.train_per_ticker(stored, "gbt", ["NO-SUCH"], {"maxIter": 2})
 
 
+def test_per_ticker_models_are_stored_as_they_are_done(spark, seqs, monkeypatch):
+    path = IO.scratch_path(spark, "test-stored")
+    IO.write_sequences(seqs, path)
+    stored = IO.read_sequences(spark, path)
+    out = IO.scratch_path(spark, "test-per-ticker")
+    cfg = {"maxIter": 2, "maxDepth": 2}
+    with pytest.raises(ValueError):  # what is done before the failure stays
+        ML.train_per_ticker(stored, "gbt", ["2-HIGH", "NO-SUCH"], cfg, 1, out)
+    fits, real = [], ML.GBTModel.fit_prepared
+    monkeypatch.setattr(ML.GBTModel, "fit_prepared",
+                        lambda self, data: fits.append(1) or real(self, data))
+    got = ML.train_per_ticker(stored, "gbt", ["2-HIGH", "5-LOW"], cfg, 2, out)
+    assert len(fits) == 1 and set(got) == {"2-HIGH", "5-LOW"}
+    p = ML.predictions_of(spark, out)
+    assert {r.ticker for r in p.select("ticker").distinct().collect()} == {"2-HIGH", "5-LOW"}
+    for t, m in got.items():
+        want = {(r.split, r.date): r.p for r in m.predict(stored.filter(F.col("ticker") == t)).collect()}
+        assert {(r.split, r.date): r.p for r in p.filter(F.col("ticker") == t).collect()} == want
+
+
 def test_run_log_keeps_everything(spark):
     rows = {r.key: r for r in ML.run_log_rows("r", "train", {
         "a": 1, "s": "x", "l": [1, 2], "b": True}, spark=spark).collect()}
