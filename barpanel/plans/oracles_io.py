@@ -151,3 +151,12 @@ oracle("clustered_features", "with " + features_ctes(
     + f"\nselect ticker, {sql_date()}, " + ", ".join(sql_round(c) for c in FEATURE_COLS)
     + ", target from fx")
 oracle("pipeline_windows", ORACLES["window_store"])
+oracle("prepare_store", pipeline_sql(f"""select q.ticker, s.split,
+  case when r.ticker is null then 'FAIL' else 'OK' end as status, r.n_rows, r.sum_close,
+  w.n_windows, w.n_up, round(p.min_close, 4) as min_close, round(p.max_close, 4) as max_close
+from {REQUESTED} q cross join (select unnest(['train', 'val', 'test']) as split) s
+left join (select ticker, split, count(*)::bigint as n_rows, round(sum(close), 3) as sum_close
+  from sc group by ticker, split) r on r.ticker = q.ticker and r.split = s.split
+left join (select ticker, split, count(*)::bigint as n_windows, sum(y)::bigint as n_up
+  from sq group by ticker, split) w on w.ticker = q.ticker and w.split = s.split
+left join sc_par p on p.ticker = q.ticker"""))

@@ -396,3 +396,25 @@ def q_clustered(spark, sf_dir):
     p = IO.scan_panel(read_clustered(spark, path), None, "1996-01-01", "1999-01-01")
     f = FT.feature_frame(p)
     return spark_round(f.select("ticker", "date", *FEATURE_COLS, "target"))
+
+
+@query("prepare_store")
+def q_prepare_store(spark, sf_dir):
+    """F10 with S9, F8, S10: the preparation stored for every requested ticker, one of
+    them rewritten alone afterwards; what the stores hold, per ticker and split."""
+    from barpanel.operators.jobs import prepare_to_store
+    panel = materialize(panel_daily(spark, sf_dir))
+    root = IO.scratch_path(spark, "prepared")
+    lay = layout_for(panel)
+    report = prepare_to_store(panel, root, lay, requested=requested_tickers(spark, sf_dir))
+    report = materialize(report)
+    prepare_to_store(panel.filter("ticker = '2-HIGH'"), root, lay)
+    rows = IO.read_processed(spark, f"{root}/processed").groupBy("ticker", "split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("close"), 3).alias("sum_close"))
+    windows = IO.load_windows(spark, f"{root}/windows", 30).groupBy("ticker", "split").agg(
+        F.count(F.lit(1)).alias("n_windows"), F.sum("y").cast("bigint").alias("n_up"))
+    scaler = FT.load_scaler(spark, f"{root}/scaler").select(
+        "ticker", F.round("min_close", 4).alias("min_close"), F.round("max_close", 4).alias("max_close"))
+    return (FT.requested_splits(report).join(report.select("ticker", "status"), "ticker")
+            .join(rows, ["ticker", "split"], "left").join(windows, ["ticker", "split"], "left")
+            .join(scaler, "ticker", "left"))

@@ -179,3 +179,21 @@ def test_date_range_opens_only_its_row_groups(spark, daily01):
     scan = leaves.apply(0)
     read = scan.metrics().apply("numOutputRows").value()
     assert 0 < read < total / 2
+
+
+# -- the whole preparation ---------------------------------------------------------
+
+def test_prepare_to_store_leaves_out_what_fails_the_gate(spark, daily, prepared):
+    from barpanel.operators.jobs import prepare_to_store
+    root = IO.scratch_path(spark, "test-prepared")
+    few = daily.filter("ticker <> '5-LOW'").unionByName(
+        daily.filter("ticker = '5-LOW'").orderBy("date").limit(52))  # three complete rows
+    report = {r.ticker: r for r in prepare_to_store(few, root, window=WINDOW).collect()}
+    assert report["5-LOW"].status == "FAIL" and report["2-HIGH"].status == "OK"
+    stored = IO.read_processed(spark, f"{root}/processed")
+    assert "5-LOW" not in {r.ticker for r in stored.select("ticker").distinct().collect()}
+    assert report["2-HIGH"].n_val == stored.filter("ticker = '2-HIGH' AND split = 'val'").count()
+    prepare_to_store(daily.filter("ticker = '5-LOW'"), root, window=WINDOW)  # its bars are complete now
+    got = keyed(IO.load_windows(spark, f"{root}/windows", WINDOW), "seq", "y")
+    assert got == keyed(prepared["sequences"], "seq", "y")
+    assert FT.load_scaler(spark, f"{root}/scaler").count() == 5
