@@ -96,6 +96,12 @@ def test_temperature_has_least_loss():
     grid = np.exp(np.linspace(-2, 3, 400))
     losses = [np.mean(np.logaddexp(0, z / g) - y * z / g) for g in grid]
     assert t == pytest.approx(grid[int(np.argmin(losses))], rel=0.03) and 2 < t < 3
+    # labels that the sign tells without a fault: scores stop at the rates of so many rows
+    z = np.r_[np.full(30, 5.0), np.full(50, -5.0)]
+    y = (z > 0).astype(float)
+    p = 1 / (1 + np.exp(-z / Q.temperature(z, y)))
+    assert 0.95 < p.max() < 0.99 and p.min() > 0.01
+    z, y = rng.normal(0, 3, 4000), np.zeros(4000)
     assert Q.temperature(z[:0], y[:0]) == 1.0 and Q.temperature(z, np.ones(4000)) == 1.0
 
 
