@@ -172,43 +172,3 @@ def score_sequences(seqs: DataFrame, window: int, bias: float = 0.0) -> DataFram
     p = linear_score(seqs, linear_weights(window), bias)
     return seqs.select("ticker", "split", "date", F.col("y").cast("int").alias("y"),
                        p.alias("p")).withColumn("pred", P.threshold_label("p"))
-
-
-def score_rows(scaled: DataFrame, layout, window: int, bias: float = 0.0,
-               weights: list[float] | None = None, names=FEATURE_COLS) -> DataFrame:
-    """P13 + P11 without window tensors: the score of the window before a row is
-    a causal filter. Every scaled row has one dot product per lag, compiled as
-    plain arithmetic, and a window's score is the sum of its rows' products, each
-    at its lag. ``scaled`` as for ``features.sliding_sequences``; the result is
-    that of :func:`score_sequences` over its windows."""
-    from barpanel.operators.features import split_sizes
-    key, order, n = layout.key, layout.order[0], len(names)
-    w = linear_weights(window, n) if weights is None else list(weights)
-    n_train, n_val, _ = split_sizes("_n")
-    s = F.col("split")
-    start = F.when(s == "train", F.lit(0)).when(s == "val", n_train).otherwise(n_train + n_val)
-    lay = layout
-    df = scaled.withColumn("_split_start", start)
-    if layout.blocked:
-        lay = layout.with_halo(window, 0)
-        df = lay.prepare(df.drop("_rn", "_blk"), ordinal="_pos")
-    xs = {c: F.col(c).cast("float").cast("double") for c in names}
-    df = df.select(*[c for c in df.columns if c not in names],
-                   *[x.alias(f"_x{i}") for i, x in enumerate(xs.values())])
-
-    def product(lag):
-        at = (window - lag) * n
-        terms = [F.lit(float(w[at + i])) * F.col(f"_x{i}") for i in range(n)]
-        total = terms[0]
-        for t in terms[1:]:
-            total = total + t
-        return total
-    df = df.withColumns({f"_d{k}": product(k) for k in range(1, window + 1)})
-    W = lay.window()
-    df = df.withColumns({f"_d{k}": F.lag(f"_d{k}", k).over(W) for k in range(1, window + 1)})
-    z = F.lit(bias)
-    for k in range(window, 0, -1):
-        z = z + F.col(f"_d{k}")
-    df = lay.finish(df).filter(F.col("_pos") - F.col("_split_start") >= window)
-    return df.select(key, "split", order, F.col("target").cast("int").alias("y"),
-                     P.sigmoid(z).alias("p")).withColumn("pred", P.threshold_label("p"))

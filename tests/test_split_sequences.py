@@ -95,16 +95,3 @@ def test_auto_layout_scales_its_ranges(daily01):
     for r in got:
         assert r["_rn"] == at.get(r.ticker, 0)
         at[r.ticker] = at.get(r.ticker, 0) + 1
-
-
-def test_rows_scored_as_a_filter_equal_windows_scored_whole(daily):
-    """Both layouts; float order apart, the same probabilities for every window."""
-    from barpanel.operators import metrics as M
-    from barpanel.plans.layout import SeriesLayout
-    for lay in (PLAIN, SeriesLayout(block_rows=40)):
-        st = FT.prepare_panel(daily, lay, window=12)
-        want = {(r.ticker, r.split, r.date): r for r in M.score_sequences(st["sequences"], 12).collect()}
-        got = {(r.ticker, r.split, r.date): r for r in M.score_rows(st["scaled"], lay, 12).collect()}
-        assert set(got) == set(want) and want
-        for k, r in got.items():
-            assert abs(r.p - want[k].p) < 1e-12 and r.y == want[k].y and r.pred == want[k].pred
