@@ -15,15 +15,17 @@ import math
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import SparkContext
 from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier,
                                        MultilayerPerceptronClassificationModel,
                                        MultilayerPerceptronClassifier)
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barpanel.constants import FEATURE_COLS, IMPROVE_EPS, PROBA_THRESHOLD
 from barpanel.operators import metrics as M
+from barpanel.session import ensure_checkpoint_dir
 from barpanel.sources.store import PanelStore
 
 # --- fixed values: model defaults (merged with a user config) --------------
@@ -46,11 +48,13 @@ def with_vectors(seqs: DataFrame, seq: str = "seq", out: str = "features") -> Da
 
 class Prepared:
     """Persisted train and val vectors; whoever prepared them releases them,
-    after the last fit."""
+    after the last fit. They are checkpointed first: a fit runs thousands of small
+    jobs, and every task of them would carry the plan that made the vectors."""
 
     def __init__(self, train: DataFrame, val: DataFrame | None):
-        self.train = train.persist()
-        self.val = None if val is None else val.persist()
+        ensure_checkpoint_dir(train.sparkSession)
+        self.train = train.checkpoint().persist()
+        self.val = None if val is None else val.checkpoint().persist()
         self.n_features = len(self.train.select("features").first()[0])
 
     def release(self) -> None:
@@ -156,16 +160,16 @@ class GBTModel(PanelModel):
         """M1/M2. With val vectors the trees stop once the validation log-loss
         has had no strict minimum for ``early_stopping_rounds`` rounds, and the
         trees up to that minimum stay. Spark ML grows a whole ensemble at
-        once, so ensembles of growing size are fitted until one holds its
-        minimum and the patience, and then the one that ends at the minimum (the
-        same seed gives the same first trees)."""
+        once, so a second, longer ensemble is fitted when the first one does not
+        hold its minimum and the patience (see :func:`more_rounds`; the same seed
+        gives the same first trees), and the first trees of it are kept."""
         tv, vv = data.train, data.val
         most, patience = self.config["maxIter"], self.config["early_stopping_rounds"]
         if vv is None:
             self.best_round = most
             self.model = self._estimator(data.n_features, tv).fit(tv)
             return self
-        rounds = min(most, 2 * patience)
+        rounds = min(most, patience + 1)
         while True:
             model = self._estimator(data.n_features, tv, rounds).fit(tv)
             # Spark's boosting loss is twice the binary log-loss
@@ -173,26 +177,47 @@ class GBTModel(PanelModel):
             self.best_round, stop = first_minimum(vl, patience)
             if stop < rounds or rounds == most:
                 break
-            rounds = min(most, 2 * rounds)
+            rounds = more_rounds(rounds, self.best_round, patience, most)
         tl = [x / 2 for x in model.evaluateEachIteration(tv)]
         self.history = tv.sparkSession.createDataFrame(
             [(i + 1, float(a), float(b)) for i, (a, b) in enumerate(zip(tl, vl)) if i < stop],
             "step int, train_loss double, val_loss double")
-        self.model = model if self.best_round == rounds else self._estimator(
-            data.n_features, tv, self.best_round).fit(tv)
+        self.model = model if self.best_round == rounds else first_trees(model, self.best_round)
         return self
 
     def importances(self, window: int, names=FEATURE_COLS) -> DataFrame:
         """M4: importance per (lag, feature) of the flattened window."""
         self._check()
-        imp = self.model.featureImportances.toArray()
         k = len(names)
+        imp = [0.0] * (window * k)
+        if self.model.totalNumNodes > self.model.getNumTrees:  # a tree splits
+            found = self.model.featureImportances.toArray()
+            imp[:len(found)] = found
         rows = [(window - i // k, names[i % k], float(v)) for i, v in enumerate(imp)]
-        from pyspark.sql import SparkSession
         spark = SparkSession.getActiveSession()
         return spark.createDataFrame(rows, "lag int, feature string, importance double")
 
 
+def first_trees(model: GBTClassificationModel, k: int) -> GBTClassificationModel:
+    """The ensemble of the first ``k`` trees, by the class's public constructor (it
+    leaves the number of features open, which scoring does not need)."""
+    sc = SparkContext._active_spark_context
+    ml = sc._jvm.org.apache.spark.ml
+    trees = sc._gateway.new_array(ml.regression.DecisionTreeRegressionModel, k)
+    weights = sc._gateway.new_array(sc._jvm.double, k)
+    from_trees, from_weights = model._java_obj.trees(), model._java_obj.treeWeights()
+    for i in range(k):
+        trees[i], weights[i] = from_trees[i], from_weights[i]
+    return model._copyValues(GBTClassificationModel(
+        ml.classification.GBTClassificationModel(model.uid, trees, weights)))
+
+
+def more_rounds(rounds: int, best: int, patience: int, most: int) -> int:
+    """How many rounds to fit when ``rounds``, with their minimum at ``best``, were
+    too few: all of them while the loss still falls, else twice as many."""
+    return most if best > rounds - patience // 2 else min(most, 2 * rounds)
+
+
 def first_minimum(losses, patience: int) -> tuple[int, int]:
     """(round of the strict minimum, last round run), counted from 1, when
     boosting stops after ``patience`` rounds without a new minimum."""

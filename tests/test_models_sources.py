@@ -69,6 +69,68 @@ def test_early_stopping_keeps_the_first_trees(spark, seqs):
     assert loss == pytest.approx(curve[m.best_round - 1], rel=1e-6)
 
 
+def test_longer_fits_and_no_second_fit_of_the_kept_trees(spark, seqs, monkeypatch):
+    """While the loss falls the next ensemble is the whole one; the trees up to the
+    minimum are cut from it, not fitted again."""
+    sizes, real = [], ML.GBTModel._estimator
+
+    def sized(self, n_features, train, max_iter=None):
+        sizes.append(max_iter)
+        return real(self, n_features, train, max_iter)
+    monkeypatch.setattr(ML.GBTModel, "_estimator", sized)
+    tr, va = (seqs.filter(F.col("split") == x) for x in ("train", "val"))
+    cfg = {"maxDepth": 2, "subsamplingRate": 1.0, "featureSubsetStrategy": "all"}
+    m = ML.build_model("gbt", {**cfg, "maxIter": 12, "early_stopping_rounds": 3}).fit(tr, tr)
+    assert sizes == [4, 12] and m.best_round == m.model.getNumTrees == 12
+    sizes.clear()
+    # steps far too long: the minimum comes at once
+    m = ML.build_model("gbt", {**cfg, "maxIter": 12, "early_stopping_rounds": 3,
+                               "stepSize": 1.0}).fit(tr, va.withColumn("y", 1 - F.col("y")))
+    assert sizes[0] == 4 and m.best_round not in sizes and m.best_round == m.model.getNumTrees
+    assert [ML.more_rounds(31, b, 30, 300) for b in (1, 16, 17, 31)] == [62, 62, 300, 300]
+    assert ML.more_rounds(62, 20, 30, 100) == 100
+
+
+def test_first_trees_score_save_and_load(spark, seqs):
+    one = seqs.filter("ticker = '2-HIGH'").coalesce(1)
+    tr = one.filter("split = 'train'")
+    data = ML.build_model("gbt").prepare(tr)
+    try:
+        long, short = (ML.build_model("gbt", {"maxDepth": 3})._estimator(
+            data.n_features, data.train, k).fit(data.train) for k in (5, 2))
+    finally:
+        data.release()
+    m = ML.build_model("gbt", {"maxDepth": 3})
+    m.model = ML.first_trees(long, 2)
+    assert m.model.getNumTrees == 2 and m.model.getMaxDepth() == long.getMaxDepth()
+
+    def scores(of):
+        return {r.date: r.p for r in of.predict(one).collect()}
+    want = ML.build_model("gbt")
+    want.model = short
+    path = m.save(IO.scratch_path(spark, "test-first"))
+    assert scores(m) == scores(want) == scores(ML.GBTModel.load(path))
+    # importances have a row per lag and feature, also without any split
+    same = [{(r.lag, r.feature): r.importance for r in x.importances(10).collect()}
+            for x in (m, want)]
+    assert len(same[0]) == 180 and same[0] == pytest.approx(same[1])
+    flat = ML.build_model("gbt", {"minInfoGain": 9.0, "maxIter": 2}).fit(tr)
+    flat.model = ML.first_trees(flat.model, 1)
+    assert {r.importance for r in flat.importances(10).collect()} == {0.0}
+
+
+def test_fits_do_not_carry_the_plan_of_their_vectors(seqs):
+    for kind in ("gbt", "mlp"):
+        data = ML.build_model(kind).prepare(*(seqs.filter(F.col("split") == x)
+                                              for x in ("train", "val")))
+        try:
+            for d in (data.train, data.val):
+                plan = d._jdf.queryExecution().logical().toString()
+                assert "LogicalRDD" in plan and "Join" not in plan and "Relation" not in plan
+        finally:
+            data.release()
+
+
 def test_defaults_are_full_size():
     c = ML.build_model("gbt").config
     assert (c["maxIter"], c["maxDepth"], c["early_stopping_rounds"]) == (300, 6, 30)
