@@ -175,12 +175,28 @@ def tree_config(params: dict) -> dict:
     return out
 
 
+def in_turn(tasks: list, studies: int = 8) -> list:
+    """The order in which (study, trial) pairs are run: so many studies at a time,
+    since a small study's vectors lie on one executor and only several studies
+    keep all executors busy; of these the trials with the most tree levels first,
+    so that no long one is left for the end."""
+    place = {study: k // studies for k, study in enumerate(dict.fromkeys(s for s, _ in tasks))}
+
+    def key(task):
+        study, t = task
+        return place[study], -t.get("n_estimators", 0) * t.get("max_depth", 0), t["trial"]
+    return sorted(tasks, key=key)
+
+
 def run_trials(stored: DataFrame, tasks: list, ledger, name: str = "gbt",
-               base: dict | None = None, threads: int = 8) -> int:
+               base: dict | None = None, threads: int | None = None) -> int:
     """H3 for ML models: fits the (study, trial) pairs of ``tasks`` that nobody has
-    finished or claimed, as concurrent Spark jobs from one small thread pool over
-    all studies, and commits each as it ends; objective = validation directional
-    accuracy. The train and val vectors of a study are prepared and persisted
+    finished or claimed, as concurrent Spark jobs from one thread pool over all
+    studies, and commits each as it ends; objective = validation directional
+    accuracy. A fit is a row of short jobs that mostly wait for their turn, so
+    there are two threads per core of the cluster, 8 at least, unless ``threads``
+    says otherwise; see :func:`in_turn` for the order. The train and val vectors of
+    a study are prepared and persisted
     once, for all of its trials, and released after the last. A trial that fails
     scores 0.0 and keeps its error in ``state``. A model better than all before it
     in its study is saved. Returns the number of trials run here."""
@@ -189,6 +205,8 @@ def run_trials(stored: DataFrame, tasks: list, ledger, name: str = "gbt",
     from threading import Lock
 
     from barpanel.operators import models as ML
+    threads = threads or max(8, 2 * stored.sparkSession.sparkContext.defaultParallelism)
+    tasks = in_turn(tasks)
     left = Counter(study for study, _ in tasks)
     lock = {study: Lock() for study in left}
     prepared: dict = {}
@@ -244,7 +262,7 @@ def run_trials(stored: DataFrame, tasks: list, ledger, name: str = "gbt",
 
 
 def run_study(stored: DataFrame, study: str, trials: list, ledger, name: str = "gbt",
-              base: dict | None = None, threads: int = 8) -> int:
+              base: dict | None = None, threads: int | None = None) -> int:
     """H3/H5: the trials of one study, then its best trial's test metrics."""
     n = run_trials(stored, [(study, t) for t in trials], ledger, name, base, threads)
     score_best(stored, study, trials, ledger, name)
@@ -276,7 +294,7 @@ def score_best(stored: DataFrame, study: str, trials: list, ledger, name: str) -
 
 def resume_models(stored: DataFrame, studies: DataFrame, n_trials: int, path: str,
                   name: str = "gbt", base: dict | None = None, seed: int = SEED,
-                  threads: int = 8, budget: int | None = None, lease: float = 120.0) -> DataFrame:
+                  threads: int | None = None, budget: int | None = None, lease: float = 120.0) -> DataFrame:
     """One study per (model, ticker) of ``studies`` with ``n_trials`` trials of
     the tree space, kept in a ledger at ``path``: trials finished there are not
     run again, and other searchers may work on the same path. ``stored``: windows

@@ -141,6 +141,17 @@ def test_budget_stops_inside_a_study_and_best_is_scored_once(spark, stored, smal
     assert got.test_mae == pytest.approx(want)
 
 
+def test_trials_of_several_studies_take_turns():
+    """Neighbouring studies are mixed, the longest trials first; none is lost."""
+    tasks = [(f"s{k:02d}", {"trial": t, "n_estimators": 100 * (1 + (t + k) % 3), "max_depth": 4})
+             for k in range(10) for t in range(3)]
+    got = H.in_turn(tasks, studies=8)
+    assert sorted(map(str, got)) == sorted(map(str, tasks))
+    assert {s for s, _ in got[:24]} == {f"s{k:02d}" for k in range(8)}
+    assert len({s for s, _ in got[:8]}) == 8
+    assert [t["n_estimators"] for _, t in got[:24]] == [300] * 8 + [200] * 8 + [100] * 8
+
+
 def test_failing_trial_keeps_its_error(spark, stored, path):
     ledger = TrialLedger(spark, path)
     trials = [{"trial": 0, "n_estimators": 2, "max_depth": 2},
