@@ -160,16 +160,16 @@ class GBTModel(PanelModel):
         """M1/M2. With val vectors the trees stop once the validation log-loss
         has had no strict minimum for ``early_stopping_rounds`` rounds, and the
         trees up to that minimum stay. Spark ML grows a whole ensemble at
-        once, so a second, longer ensemble is fitted when the first one does not
-        hold its minimum and the patience (see :func:`more_rounds`; the same seed
-        gives the same first trees), and the first trees of it are kept."""
+        once, so ensembles of growing size are fitted until one holds its
+        minimum and the patience (the same seed gives the same first trees), and
+        its first trees are kept."""
         tv, vv = data.train, data.val
         most, patience = self.config["maxIter"], self.config["early_stopping_rounds"]
         if vv is None:
             self.best_round = most
             self.model = self._estimator(data.n_features, tv).fit(tv)
             return self
-        rounds = min(most, patience + 1)
+        rounds = min(most, 2 * patience)
         while True:
             model = self._estimator(data.n_features, tv, rounds).fit(tv)
             # Spark's boosting loss is twice the binary log-loss
@@ -177,7 +177,7 @@ class GBTModel(PanelModel):
             self.best_round, stop = first_minimum(vl, patience)
             if stop < rounds or rounds == most:
                 break
-            rounds = more_rounds(rounds, self.best_round, patience, most)
+            rounds = min(most, 3 * rounds)
         tl = [x / 2 for x in model.evaluateEachIteration(tv)]
         self.history = tv.sparkSession.createDataFrame(
             [(i + 1, float(a), float(b)) for i, (a, b) in enumerate(zip(tl, vl)) if i < stop],
@@ -212,12 +212,6 @@ def first_trees(model: GBTClassificationModel, k: int) -> GBTClassificationModel
         ml.classification.GBTClassificationModel(model.uid, trees, weights)))
 
 
-def more_rounds(rounds: int, best: int, patience: int, most: int) -> int:
-    """How many rounds to fit when ``rounds``, with their minimum at ``best``, were
-    too few: all of them while the loss still falls, else twice as many."""
-    return most if best > rounds - patience // 2 else min(most, 2 * rounds)
-
-
 def first_minimum(losses, patience: int) -> tuple[int, int]:
     """(round of the strict minimum, last round run), counted from 1, when
     boosting stops after ``patience`` rounds without a new minimum."""
