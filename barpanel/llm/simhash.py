@@ -145,8 +145,11 @@ def _links(distance: int):
 
 
 def _compared(dealt: DataFrame, distance: int) -> DataFrame:
-    """Links of whole buckets, each in one task."""
-    return (dealt.repartition("k", "key").sortWithinPartitions("k", "key", "fp")
+    """Links of whole buckets, each in one task. They are dealt by a hash of the
+    bucket: Spark drops an exchange by ``k`` and ``key`` after a join by them, and
+    if that join becomes a broadcast while it runs, its rows are read file by file,
+    which tears the buckets apart."""
+    return (dealt.repartition(F.xxhash64("k", "key")).sortWithinPartitions("k", "key", "fp")
             .mapInArrow(_links(distance), "a long,b long").distinct())
 
 
