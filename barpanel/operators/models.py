@@ -12,9 +12,15 @@ from __future__ import annotations
 
 import json
 import math
+import re
+import time
 import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark import SparkContext
 from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier,
                                        MultilayerPerceptronClassificationModel,
@@ -24,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barpanel.constants import FEATURE_COLS, IMPROVE_EPS, PROBA_THRESHOLD
+from barpanel.operators import boosting as B
 from barpanel.operators import metrics as M
 from barpanel.session import ensure_checkpoint_dir
 from barpanel.sources.store import PanelStore
@@ -57,6 +64,21 @@ class Prepared:
         self.val = None if val is None else val.checkpoint().persist()
         self.n_features = len(self.train.select("features").first()[0])
 
+    #: Train and val rows in one partition, if they are few; see :meth:`gather`.
+    rows: DataFrame | None = None
+
+    def gather(self) -> "Prepared":
+        """Rows of a small table also in one partition, the train rows first, for
+        fits in one task (:mod:`barpanel.operators.boosting`)."""
+        def few(d):
+            n, least, known = d.agg(F.count(F.lit(1)), F.min("weight"), F.count("weight")).first()
+            return 0 < n <= B.MAX_ROWS and known == n and least > 0
+        if self.val is not None and few(self.train) and few(self.val):
+            own = [d.select(vector_to_array("features").alias("x"), "label", "weight",
+                            F.lit(k).alias("val")) for k, d in enumerate((self.train, self.val))]
+            self.rows = own[0].unionByName(own[1]).coalesce(1).checkpoint()
+        return self
+
     def release(self) -> None:
         for d in (self.train, self.val):
             if d is not None:
@@ -85,6 +107,10 @@ class PanelModel:
         """Vectors of the windows, persisted, for one fit or many."""
         return Prepared(with_vectors(train), None if val is None else with_vectors(val))
 
+    def prepare_trials(self, train: DataFrame, val: DataFrame) -> "Prepared":
+        """As :meth:`prepare`, for the trials of a search."""
+        return self.prepare(train, val)
+
     def fit_prepared(self, data: "Prepared") -> "PanelModel":
         raise NotImplementedError
 
@@ -156,14 +182,21 @@ class GBTModel(PanelModel):
                         None if val is None else
                         with_vectors(val).withColumn("weight", F.lit(1.0)))
 
+    def prepare_trials(self, train: DataFrame, val: DataFrame) -> Prepared:
+        return self.prepare(train, val).gather()
+
     def fit_prepared(self, data: Prepared) -> "GBTModel":
         """M1/M2. With val vectors the trees stop once the validation log-loss
         has had no strict minimum for ``early_stopping_rounds`` rounds, and the
         trees up to that minimum stay. Spark ML grows a whole ensemble at
         once, so ensembles of growing size are fitted until one holds its
         minimum and the patience (the same seed gives the same first trees), and
-        its first trees are kept."""
+        its first trees are kept. Rows that were gathered are fitted in one task, as
+        Spark ML would fit them, but round by round."""
         tv, vv = data.train, data.val
+        if data.rows is not None and re.fullmatch(r"0?\.\d*[1-9]\d*|1\.0+",
+                                                  str(self.config["featureSubsetStrategy"])):
+            return self._fit_in_one_task(data)
         most, patience = self.config["maxIter"], self.config["early_stopping_rounds"]
         if vv is None:
             self.best_round = most
@@ -185,6 +218,32 @@ class GBTModel(PanelModel):
         self.model = model if self.best_round == rounds else first_trees(model, self.best_round)
         return self
 
+    def _fit_in_one_task(self, data: Prepared) -> "GBTModel":
+        spark = data.rows.sparkSession
+        est = self._estimator(data.n_features, data.train)
+        est._transfer_params_to_java()  # checks their ranges
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fit-{uuid.uuid4().hex}"
+        Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        fs = Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        try:
+            data.rows.mapInArrow(_boosted(self.config), ENSEMBLE).write.parquet(f"{path}/data")
+            tl, vl = (spark.read.schema(ENSEMBLE).parquet(f"{path}/data")
+                      .filter("train_loss IS NOT NULL").select("train_loss", "val_loss").first())
+            self.best_round, stop = first_minimum(vl, self.config["early_stopping_rounds"])
+            for name, content in _described(est, data.n_features, self.best_round, spark.version):
+                out = fs.create(Path(f"{path}/{name}"))
+                try:
+                    out.write(bytearray(content))
+                finally:
+                    out.close()
+            self.model = GBTClassificationModel.load(path)
+        finally:
+            fs.delete(Path(path), True)
+        losses = [(k, *both) for k, both in enumerate(zip(tl, vl), 1)]
+        self.history = spark.createDataFrame(
+            losses[:stop], "step int, train_loss double, val_loss double")
+        return self
+
     def importances(self, window: int, names=FEATURE_COLS) -> DataFrame:
         """M4: importance per (lag, feature) of the flattened window."""
         self._check()
@@ -198,6 +257,68 @@ class GBTModel(PanelModel):
         return spark.createDataFrame(rows, "lag int, feature string, importance double")
 
 
+#: Nodes of the trees kept, as a saved model has them; the first node also has the
+#: losses of all rounds run.
+ENSEMBLE = ("treeID int, nodeData struct<id: int, prediction: double, impurity: double, "
+            "impurityStats: array<double>, rawCount: bigint, gain: double, leftChild: int, "
+            "rightChild: int, split: struct<featureIndex: int, leftCategoriesOrThreshold: "
+            "array<double>, numCategories: int>>, train_loss array<double>, val_loss array<double>")
+
+
+def _boosted(config: dict):
+    """Task function: one ensemble from all rows of the (only) partition."""
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(list(batches))
+        val = t.column("val").to_numpy()
+        order = np.argsort(val, kind="stable")
+        y, w = (t.column(c).to_numpy()[order] for c in ("label", "weight"))
+        x = t.column("x").combine_chunks().flatten().to_numpy().reshape(len(y), -1)[order]
+        g, trees, losses, _ = B.boost(x, y, w, len(y) - int(val.sum()), config)
+        rows = [(k, *r) for k, tree in enumerate(trees) for r in B.node_rows(g, tree)]
+        if not rows:
+            raise ValueError("no round has a minimum of the validation loss")
+        tree, id_, p, impurity, stats, n, gain, left, right, feature, threshold = zip(*rows)
+        d, i = pa.float64(), pa.int32()
+        many = pa.list_(d)
+
+        def struct(**of):
+            return pa.StructArray.from_arrays(list(of.values()), list(of))
+        split = struct(featureIndex=pa.array(feature, i), leftCategoriesOrThreshold=pa.array(
+            [[] if v is None else [v] for v in threshold], many), numCategories=pa.array([-1] * len(rows), i))
+        node = struct(id=pa.array(id_, i), prediction=pa.array(p, d), impurity=pa.array(impurity, d),
+                      impurityStats=pa.array(stats, many), rawCount=pa.array(n, pa.int64()),
+                      gain=pa.array(gain, d), leftChild=pa.array(left, i),
+                      rightChild=pa.array(right, i), split=split)
+        rest = [None] * (len(rows) - 1)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(tree, i), node, *(pa.array([list(c), *rest], many) for c in zip(*losses))],
+            names=["treeID", "nodeData", "train_loss", "val_loss"])
+    return run
+
+
+def _described(est: GBTClassifier, n_features: int, k: int, version: str) -> list[tuple[str, bytes]]:
+    """What a saved ``GBTClassificationModel`` of ``k`` trees has besides its nodes."""
+    def said(kind, uid, names=None, **more):
+        params = ({p.name: v for p, v in m.items() if names is None or p.name in names}
+                  for m in (est._paramMap, est._defaultParamMap))
+        return json.dumps({"class": f"org.apache.spark.ml.{kind}", "timestamp": int(time.time() * 1000),
+                           "sparkVersion": version, "uid": uid,
+                           **dict(zip(("paramMap", "defaultParamMap"), params)), **more})
+    of_tree = {"cacheNodeIds", "checkpointInterval", "featuresCol", "impurity", "labelCol", "leafCol",
+               "maxBins", "maxDepth", "maxMemoryInMB", "minInfoGain", "minInstancesPerNode",
+               "minWeightFractionPerNode", "predictionCol", "seed", "weightCol"}
+    trees = pa.table({
+        "_1": pa.array(range(k), pa.int32()),
+        "_2": [said("regression.DecisionTreeRegressionModel", f"{est.uid}-{i}", of_tree)
+               for i in range(k)],
+        "_3": [1.0 if i == 0 else float(est.getStepSize()) for i in range(k)]})
+    pq.write_table(trees, found := pa.BufferOutputStream())
+    whole = said("classification.GBTClassificationModel", est.uid, numFeatures=n_features, numTrees=k)
+    return [("metadata/part-00000.txt", whole.encode()),
+            ("treesMetadata/part-00000.parquet", found.getvalue().to_pybytes())]
+
+
 def first_trees(model: GBTClassificationModel, k: int) -> GBTClassificationModel:
     """The ensemble of the first ``k`` trees, by the class's public constructor (it
     leaves the number of features open, which scoring does not need)."""

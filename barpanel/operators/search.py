@@ -195,7 +195,8 @@ def run_trials(stored: DataFrame, tasks: list, ledger, name: str = "gbt",
     studies, and commits each as it ends; objective = validation directional
     accuracy. A fit is a row of short jobs that mostly wait for their turn, so
     there are two threads per core of the cluster, 8 at least, unless ``threads``
-    says otherwise; see :func:`in_turn` for the order. The train and val vectors of
+    says otherwise; see :func:`in_turn` for the order. Trials of a small study are
+    one task each (:mod:`barpanel.operators.boosting`). The train and val vectors of
     a study are prepared and persisted
     once, for all of its trials, and released after the last. A trial that fails
     scores 0.0 and keeps its error in ``state``. A model better than all before it
@@ -216,7 +217,7 @@ def run_trials(stored: DataFrame, tasks: list, ledger, name: str = "gbt",
         with lock[study]:
             if study not in prepared:
                 seqs = stored.filter(F.col("ticker") == study)
-                prepared[study] = ML.build_model(name).prepare(
+                prepared[study] = ML.build_model(name).prepare_trials(
                     *(seqs.filter(F.col("split") == x) for x in ("train", "val")))
                 best[study] = ledger.best(study) or (None, -1.0)
             return prepared[study]
