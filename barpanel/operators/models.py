@@ -21,7 +21,7 @@ from concurrent.futures import ThreadPoolExecutor
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark import SparkContext
+from pyspark import SparkContext, cloudpickle
 from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier,
                                        MultilayerPerceptronClassificationModel,
                                        MultilayerPerceptronClassifier)
@@ -35,6 +35,9 @@ from barpanel.operators import metrics as M
 from barpanel.session import ensure_checkpoint_dir
 from barpanel.sources.store import PanelStore
 
+#: Goes to the tasks with the function: no panel operator asks for this package there.
+cloudpickle.register_pickle_by_value(B)
+
 # --- fixed values: model defaults (merged with a user config) --------------
 GBT_DEFAULTS = {"maxIter": 300, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8,
                 "featureSubsetStrategy": "0.8", "minInstancesPerNode": 1, "minInfoGain": 0.0,

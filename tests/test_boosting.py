@@ -1,7 +1,12 @@
 """Boosting in one task: the trees of Spark ML, without its jobs."""
 
+import os
+import subprocess
+import sys
+
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from barpanel.operators import boosting as B
@@ -95,3 +100,11 @@ def test_other_tables_stay_with_spark_ml(spark, monkeypatch):
     assert ML.GBTModel().prepare(train, val).rows is None  # a fit, not a search
     monkeypatch.setattr(B, "MAX_ROWS", 59)
     assert ML.GBTModel().prepare_trials(train, val).rows is None
+
+
+def test_tasks_do_not_need_this_package():
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    code = "import pickle, sys; print(pickle.loads(sys.stdin.buffer.read()).__name__)"
+    got = subprocess.run([sys.executable, "-c", code], input=cloudpickle.dumps(ML._boosted({})),
+                         capture_output=True, cwd="/", env=env)
+    assert got.stdout.strip() == b"run", got.stderr
